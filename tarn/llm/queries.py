@@ -6,22 +6,77 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tarn.llm.arc_convert import convert
 from tarn.llm.path_join import near_duplicates
+from tarn.llm.secret_scan import scan
+from tarn.llm.slack_pack import pack
+from tarn.llm.url_rules import judge
+
+#: Where the public tokenizer's files lie on every executor, and its splitting pattern (fixed values).
+TOKENIZER = {
+    "tokenizer": "byte_bpe_50k.json",
+    "ranks": "byte_bpe_50k.tiktoken",
+}
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_files() -> dict[str, str]:
+    import public_tokenizers
+
+    return {k: public_tokenizers.path(v) for k, v in TOKENIZER.items()} | {"pattern": public_tokenizers.PATTERN}
+
+
+def op1_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convert(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(_table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(_table(spark, sf_dir, "documents"))
+
+
+def op6_min_slack_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), **tokenizer_files())
+
+
 def op10_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_arc_to_warc": op1_arc_to_warc,
+        "op2_url_rules": op2_url_rules,
+        "op4_secret_scan": op4_secret_scan,
+        "op6_min_slack_pack": op6_min_slack_pack,
         "op10_chosen_path_join": op10_chosen_path_join,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+    return {
+        "op1_arc_to_warc": """
+            WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+            q AS (SELECT page_id, octet_length(encode(html)) AS n, sha1(html) AS payload_digest,
+                         max(page_id) OVER (PARTITION BY sha1(html)) AS last FROM p)
+            SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, payload_digest,
+                   CASE WHEN n >= 1000 AND page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+                   CASE WHEN n >= 1000 AND page_id < last THEN last END AS refers_to
+            FROM q""",
+        "op2_url_rules": f"""
+            WITH rules(h, p, v) AS (VALUES {rules}),
+            u AS (SELECT page_id, coalesce(regexp_extract(url, '^[\\s\\S]*?://([\\s\\S]*)$', 1), '') AS rest FROM pages),
+            s AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+            f AS (SELECT s.*, h || p AS rule, v, row_number() OVER (PARTITION BY page_id ORDER BY length(h || p) DESC, length(h) DESC) AS rn
+                  FROM s LEFT JOIN rules ON (host = h OR suffix(host, '.' || h)) AND starts_with(path, p))
+            SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM f WHERE rn = 1""",
+    }
