@@ -215,7 +215,7 @@ def near_duplicates(
     k: int = 5,
     percent: int = 80,
     trees: int = 12,
-    leaf: int = 512,
+    leaf: int = 4096,
     depth: int = 8,
     bunch_docs: int = 4096,
     bunch_shingles: int = 4_000_000,
