@@ -10,6 +10,7 @@ from tarn.llm.arc_convert import convert
 from tarn.llm.path_join import near_duplicates
 from tarn.llm.secret_scan import scan
 from tarn.llm.slack_pack import pack
+from tarn.llm.tree_extract import extract
 from tarn.llm.url_rules import judge
 
 #: Where the public tokenizer's files lie on every executor, and its splitting pattern (fixed values).
@@ -46,6 +47,10 @@ def op6_min_slack_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), **tokenizer_files())
 
 
+def op9_tree_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op10_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
 
@@ -56,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_url_rules": op2_url_rules,
         "op4_secret_scan": op4_secret_scan,
         "op6_min_slack_pack": op6_min_slack_pack,
+        "op9_tree_extract": op9_tree_extract,
         "op10_chosen_path_join": op10_chosen_path_join,
     }
 
