@@ -12,6 +12,7 @@ from tarn.llm.secret_scan import scan
 from tarn.llm.slack_pack import pack
 from tarn.llm.tree_extract import extract
 from tarn.llm.url_rules import judge
+from tarn.llm.vector_graph import near_vectors
 
 #: Where the public tokenizer's files lie on every executor, and its splitting pattern (fixed values).
 TOKENIZER = {
@@ -39,6 +40,10 @@ def op2_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(_table(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
 
 
+def op3_pruned_graph_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"), cos=0.98)
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_arc_to_warc": op1_arc_to_warc,
         "op2_url_rules": op2_url_rules,
+        "op3_pruned_graph_links": op3_pruned_graph_links,
         "op4_secret_scan": op4_secret_scan,
         "op6_min_slack_pack": op6_min_slack_pack,
         "op9_tree_extract": op9_tree_extract,
