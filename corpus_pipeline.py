@@ -6,22 +6,52 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tarn.llm.budget_tree import mix
 from tarn.llm.common import new_path
+from tarn.llm.cotrain import keep_good
 from tarn.llm.path_join import near_duplicates
+from tarn.llm.queries import LANGUAGE_WEIGHTS, tokenizer_files
+from tarn.llm.secret_scan import redact
+from tarn.llm.slack_pack import pack
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifiers reject go; the others stay as they are."""
+    return keep_good(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest id."""
     kept = near_duplicates(docs, k=5, percent=80).filter("kept").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
 
 
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret found is replaced by a mark; all documents stay."""
+    return redact(docs.select(*COLUMNS))
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Nine tenths of the tokens, by language weights; no document is used twice."""
+    chosen = mix(docs, share=0.9, weights=LANGUAGE_WEIGHTS, epochs=1).select("doc_id").distinct()
+    return docs.join(chosen, "doc_id", "left_semi").select(*COLUMNS)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences of 2048 tokens."""
+    return pack(docs, **tokenizer_files())
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", quality),
     ("near_dedup", near_dedup),
+    ("secret_scan", secrets),
+    ("mixture", mixture),
+    ("packing", packing),
 ]
-ORACLE_SQL = None  # a trained classifier decides the first stage
+ORACLE_SQL = None  # a trained classifier decides the first stage; tests hold the rest against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

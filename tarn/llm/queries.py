@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarn.llm.arc_convert import convert
+from tarn.llm.budget_tree import mix
+from tarn.llm.chroma_align import align, fingerprints, render
+from tarn.llm.cotrain import score
 from tarn.llm.path_join import near_duplicates
 from tarn.llm.secret_scan import scan
 from tarn.llm.slack_pack import pack
@@ -21,6 +25,9 @@ TOKENIZER = {
 }
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
+LANGUAGE_WEIGHTS = {"lang": {"en": 2.0, "de": 1.0, "es": 1.0, "fr": 1.0}}
+TURNS = 1 << 20  # recordings are numbered conversation * TURNS + turn
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -48,10 +55,25 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(_table(spark, sf_dir, "documents"))
 
 
+def op5_cotrain_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_min_slack_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), **tokenizer_files())
 
 
+def op7_budget_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents"), share=1.0, weights=LANGUAGE_WEIGHTS, epochs=2)
+
+
+def op8_chroma_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One recording per turn of a conversation; queries are the turns of every hundredth conversation."""
+    turns = _table(spark, sf_dir, "conversations").select((F.col("conv_id") * TURNS + F.col("turn")).alias("rec_id"), "text")
+    found = align(fingerprints(render(turns)), F.floor(F.col("rec_id") / TURNS) % 100 == 0)
+    return found.withColumn("conv_id", F.floor(F.col("rec_id") / TURNS).cast("long")).withColumn("turn", (F.col("rec_id") % TURNS).cast("long")).drop("rec_id", "votes")
+
+
 def op9_tree_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(_table(spark, sf_dir, "pages"))
 
@@ -66,7 +88,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_url_rules": op2_url_rules,
         "op3_pruned_graph_links": op3_pruned_graph_links,
         "op4_secret_scan": op4_secret_scan,
+        "op5_cotrain_quality": op5_cotrain_quality,
         "op6_min_slack_pack": op6_min_slack_pack,
+        "op7_budget_tree": op7_budget_tree,
+        "op8_chroma_align": op8_chroma_align,
         "op9_tree_extract": op9_tree_extract,
         "op10_chosen_path_join": op10_chosen_path_join,
     }
