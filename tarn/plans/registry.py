@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+MODULES = ("q_core", "q_more", "q_marts")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -21,7 +23,8 @@ def register(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    """Import the modules that register queries."""
+    for m in MODULES:
+        importlib.import_module(f"tarn.plans.{m}")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
