@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tarn.llm.common import Scratch, connected_components, groups, roots
 
-DEGREE, BEAM, STARTS = 24, 48, 4
+DEGREE, BEAM, STARTS = 16, 32, 4
 INDEX, BOTH, QUERY = 0, 1, 2  # roles of a vector in a shard
 
 
@@ -46,17 +46,18 @@ def _matrix(col: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(col), float).reshape(len(col), -1)
 
 
-def _to_shards(batches: Iterator[pd.DataFrame], centres: dict[tuple[str, int], np.ndarray], overlap: int) -> Iterator[pd.DataFrame]:
-    """Each vector to its nearest ``overlap`` centres of its label and width; the nearest is its home."""
+def _to_shards(batches: Iterator[pd.DataFrame], centres: dict[tuple[str, int], np.ndarray], margin: float) -> Iterator[pd.DataFrame]:
+    """Each vector to its nearest centre of its label and width, its home, and to those hardly farther."""
     for pdf in batches:
         pdf = pdf.reset_index(drop=True)
         parts = []
         for (label, width), at in pdf.groupby(["label", pdf["v"].map(len)]).groups.items():
             part = pdf.loc[at]
             c = centres.get((label, width // 8))
-            near = np.argsort(-(_matrix(part["v"]) @ c.T), axis=1, kind="stable")[:, :overlap] if c is not None else np.zeros((len(part), 1), int)
-            for r in range(near.shape[1]):
-                parts.append(pd.DataFrame({"shard": [f"{label}/{width}/{k}" for k in near[:, r]], "vec_id": part["vec_id"].to_numpy(), "copies": part["copies"].to_numpy(), "home": r == 0, "v": part["v"].to_numpy()}))
+            angle = np.arccos(np.clip(_matrix(part["v"]) @ c.T, -1, 1)) if c is not None else np.zeros((len(part), 1))
+            home = angle.argmin(axis=1)
+            i, k = np.nonzero(angle <= angle.min(axis=1)[:, None] + margin)
+            parts.append(pd.DataFrame({"shard": [f"{label}/{width}/{x}" for x in k], "vec_id": part["vec_id"].to_numpy()[i], "copies": part["copies"].to_numpy()[i], "home": home[i] == k, "v": part["v"].to_numpy()[i]}))
         if parts:
             yield pd.concat(parts, ignore_index=True)
 
@@ -83,7 +84,7 @@ def robust_prune(x: np.ndarray, rows: np.ndarray, pool: np.ndarray, alpha: float
     return out
 
 
-def _build(batches: Iterator[pd.DataFrame], near: int = 32, far: int = 12) -> Iterator[pd.DataFrame]:
+def _build(batches: Iterator[pd.DataFrame], near: int = 24, far: int = 8) -> Iterator[pd.DataFrame]:
     """Neighbour lists of the vectors that a shard indexes."""
     for g in groups(batches, "shard"):
         g = g[g["role"] != QUERY].sort_values("vec_id", kind="stable")
@@ -96,12 +97,10 @@ def _build(batches: Iterator[pd.DataFrame], near: int = 32, far: int = 12) -> It
             sims = x[rows] @ x.T
             best = np.argpartition(-sims, near - 1, axis=1)[:, :near] if near < n else np.tile(np.arange(n), (len(rows), 1))
             lists += [r[r >= 0].tolist() for r in robust_prune(x, rows, np.hstack([best, rng.integers(0, n, (len(rows), far))]))]
-        degree = np.bincount(np.array([v for o in lists for v in o], int), minlength=n)
         for u, o in enumerate([o[:6] for o in lists]):  # links back, so that every vector can be reached
-            for v in o:
-                if len(lists[v]) < 3 * DEGREE or not degree[u]:
+            for rank, v in enumerate(o):
+                if rank < 2 or len(lists[v]) < 3 * DEGREE:
                     lists[v].append(u)
-                    degree[u] += 1
         yield pd.DataFrame({"shard": g["shard"].iloc[0], "vec_id": ids, "out": [ids[np.unique(np.array(o, int))] for o in lists]})
 
 
@@ -219,7 +218,7 @@ def near_vectors(
     shard_rows: int = 1000,
     most_centres: int = 2048,
     shard_limit: int = 8000,
-    overlap: int = 3,
+    margin: float = 0.16,
     audit: int = 100,
     least_recall: float = 0.95,
 ) -> DataFrame:
@@ -227,7 +226,9 @@ def near_vectors(
 
     shard_rows: aimed-at rows of a shard. most_centres: bound of all centres together, which every task
     gets. shard_limit: a larger shard is indexed in parts, each searched for all queries of the shard.
-    overlap: shards that index a vector. audit: most queries compared with brute force.
+    margin: radians by which a shard's centre may be farther than the nearest one and still index a vector;
+    near duplicates differ in their distance to any centre by little more than their own angle over the
+    root of the dimension. audit: most queries compared with brute force.
     """
     tmp = Scratch(vectors.sparkSession)
     src = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast("array<double>").alias("embedding"))
@@ -252,7 +253,7 @@ def near_vectors(
     truth = {r["vec_id"]: r["n"] for r in classes.select("label", "v", "copies").mapInPandas(partial(_count_true, asks=asks, cos=cos), "vec_id long, n long").groupBy("vec_id").agg(F.sum("n").alias("n")).collect()}
     recall = 0.0
     while True:
-        spread = classes.select("label", "vec_id", "copies", "v").mapInPandas(partial(_to_shards, centres=centres, overlap=overlap), "shard string, vec_id long, copies long, home boolean, v binary")
+        spread = classes.select("label", "vec_id", "copies", "v").mapInPandas(partial(_to_shards, centres=centres, margin=margin), "shard string, vec_id long, copies long, home boolean, v binary")
         spread = tmp.put(spread, "shards")
         counts = spread.groupBy("shard").agg(F.ceil(F.count("*") / shard_limit).cast("int").alias("parts"))
         cut = spread.join(counts, "shard").withColumn("own", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
@@ -267,9 +268,9 @@ def near_vectors(
         got = {r["a"]: r["n"] for r in links.filter(F.col("a").isin([a[0] for a in asks])).collect()} if asks else {}
         true = sum(truth[r["vec_id"]] - r["copies"] for r in asked)
         recall = sum(min(got.get(r["vec_id"], 0), truth[r["vec_id"]] - r["copies"]) for r in asked) / true if true else 1.0
-        if recall >= least_recall or overlap >= 16:
+        if recall >= least_recall or margin > 2:
             break
-        overlap *= 2
+        margin *= 2
     comps = connected_components(found.filter("b is not null").select("a", "b"), "a", "b", tmp)
     per_class = (
         classes.select("key", "vec_id", "copies")
