@@ -233,7 +233,7 @@ def game_state(minute: Column | str, side: Column | str, home_after: Column | st
         "minute_bucket": F.least(F.floor(F.greatest(m, F.lit(0)) / 15), F.lit(5)),
         "is_equaliser": own_before == -1,
         "is_go_ahead": own_before == 0,
-        "is_late": m >= 76,
+        "is_late": m >= 75,
     }
 
 
