@@ -244,7 +244,7 @@ def band_nearest(spark, d):
 
 
 @register("pair_history_last5", """
-    WITH l AS (SELECT l_orderkey, l_linenumber, l_suppkey % 50 AS a, l_partkey % 50 AS b, l_quantity FROM lineitem)
+    WITH l AS (SELECT *, l_suppkey % 50 AS a, l_partkey % 50 AS b FROM lineitem)
     SELECT l_orderkey, l_linenumber, count(*) OVER w AS h2h_n, round(avg(l_quantity) OVER w, 6) AS h2h_avg FROM l
     WINDOW w AS (PARTITION BY least(a, b), greatest(a, b) ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)""")
 def pair_history_last5(spark, d):

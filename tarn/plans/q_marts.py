@@ -1 +1,137 @@
-"""Mart queries."""
+"""The marts over matches that are derived from orders and their lines."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tarn.operators import reshape as R
+from tarn.plans import bi, core, features, ml
+from tarn.plans.q_core import DAYS, orders, table
+from tarn.plans.registry import register
+
+# Each order is a match of two of its suppliers: the lines with the lowest and highest number.
+MATCHES = f"""
+    x AS (SELECT o_orderkey, {DAYS} AS match_date, o_orderpriority AS competition_key, o_orderstatus <> 'P' AS is_finished, o_orderkey % 23 AS ref,
+                 arg_min(l_suppkey % 40, (l_linenumber, l_suppkey, l_partkey, l_quantity)) AS home, arg_max(l_suppkey % 40, (l_linenumber, l_suppkey, l_partkey, l_quantity)) AS away,
+                 CAST(arg_min(l_quantity, (l_linenumber, l_suppkey, l_partkey, l_quantity)) AS INTEGER) AS hq, CAST(arg_max(l_quantity, (l_linenumber, l_suppkey, l_partkey, l_quantity)) AS INTEGER) AS aq
+          FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL),
+    m AS (SELECT CAST(o_orderkey AS VARCHAR) AS match_key, match_date, competition_key, is_finished, CAST(home AS VARCHAR) AS home_key, CAST(away AS VARCHAR) AS away_key,
+                 CASE WHEN o_orderkey % 17 <> 0 THEN hq % 5 END AS home_goals, CASE WHEN o_orderkey % 17 <> 0 THEN aq % 4 END AS away_goals, hq AS home_shots, aq AS away_shots,
+                 CASE WHEN o_orderkey % 3 <> 0 THEN hq % 7 END AS home_shots_target, CASE WHEN o_orderkey % 3 <> 0 THEN aq % 7 END AS away_shots_target,
+                 CAST(CASE WHEN month(match_date) >= 7 THEN year(match_date) ELSE year(match_date) - 1 END AS INTEGER) AS season, o_orderkey
+          FROM x WHERE home <> away)"""
+
+
+def matches(spark: SparkSession, d: str) -> DataFrame:
+    c, i = F.col, lambda x: x.cast("int")
+    j = orders(spark, d).join(table(spark, d, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey"))
+    at = F.struct("l_linenumber", "l_suppkey", "l_partkey", "l_quantity")
+    x = j.groupBy("o_orderkey", c("day").alias("match_date"), c("o_orderpriority").alias("competition_key"), c("o_orderstatus")).agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
+    hq, aq = i(c("lo.l_quantity")), i(c("hi.l_quantity"))
+    side = lambda s: (c(f"{s}.l_suppkey") % 40).cast("string")
+    known, shot = c("o_orderkey") % 17 != 0, c("o_orderkey") % 3 != 0
+    none = F.lit(None).cast("int")
+    m = x.select(
+        c("o_orderkey").cast("string").alias("match_key"), "match_date", "competition_key", (c("o_orderstatus") != "P").alias("is_finished"), side("lo").alias("home_key"), side("hi").alias("away_key"), F.when(known, hq % 5).alias("home_goals"), F.when(known, aq % 4).alias("away_goals"),
+        hq.alias("home_shots"), aq.alias("away_shots"), F.when(shot, hq % 7).alias("home_shots_target"), F.when(shot, aq % 7).alias("away_shots_target"), F.lit(None).cast("timestamp_ntz").alias("kickoff_utc"), "o_orderkey",
+        *[none.alias(f"{s}_{k}") for k in ("corners", "fouls", "yellows", "reds") for s in ("home", "away")], *[F.lit(None).cast("double").alias(f"{s}_xg") for s in ("home", "away")], *[none.alias(f"ht_{s}_goals") for s in ("home", "away")], (c("o_orderkey") % 23).cast("string").alias("referee"), none.alias("matchday"),
+    ).filter("home_key <> away_key")
+    h, a = c("home_goals"), c("away_goals")
+    done = c("is_finished") & h.isNotNull()
+    return m.withColumns({"season": F.when(F.month("match_date") >= 7, F.year("match_date")).otherwise(F.year("match_date") - 1), "result": F.when(done, F.when(h > a, "H").when(h == a, "D").otherwise("A")), "total_goals": F.when(c("is_finished"), h + a)})
+
+
+@register("bi_match_analysis", f"""
+    WITH {MATCHES}, b AS (SELECT *, is_finished AND home_goals IS NOT NULL AND away_goals IS NOT NULL AS has_result FROM m)
+    SELECT match_key, has_result, is_finished AND NOT (home_goals IS NOT NULL AND away_goals IS NOT NULL) AS is_missing_final_score, CASE WHEN has_result THEN CASE WHEN home_goals > away_goals THEN 3 WHEN home_goals = away_goals THEN 1 ELSE 0 END END AS home_points,
+           CASE WHEN has_result THEN home_goals - away_goals END AS goal_difference, CASE WHEN is_finished THEN home_shots + away_shots END AS total_shots, CASE WHEN is_finished THEN home_shots_target - away_shots_target END AS shots_target_difference,
+           round(CASE WHEN is_finished THEN home_shots_target / nullif(home_shots, 0) END, 6) AS home_shot_accuracy, CAST(isodow(match_date) AS INTEGER) AS match_day_of_week FROM b""")
+def bi_match_analysis(spark, d):
+    b = bi.match_analysis(matches(spark, d))
+    return b.select("match_key", "has_result", "is_missing_final_score", "home_points", "goal_difference", "total_shots", "shots_target_difference", F.round("home_shot_accuracy", 6).alias("home_shot_accuracy"), "match_day_of_week")
+
+
+TEAM = f"""{MATCHES}, t AS (
+    SELECT match_key, 'h' AS side, home_key AS team_key, competition_key, season, match_date, is_finished, home_goals AS gf, away_goals AS ga, home_shots AS shots, home_shots_target AS st FROM m
+    UNION ALL SELECT match_key, 'a', away_key, competition_key, season, match_date, is_finished, away_goals, home_goals, away_shots, away_shots_target FROM m),
+    r AS (SELECT *, is_finished AND gf IS NOT NULL AND ga IS NOT NULL AS has, CASE WHEN gf > ga THEN 3 WHEN gf = ga THEN 1 ELSE 0 END AS p FROM t)"""
+
+
+@register("bi_team_match", f"""
+    WITH {TEAM} SELECT match_key, side, team_key, CASE WHEN has THEN p END AS points, CASE WHEN has THEN CASE p WHEN 3 THEN 'W' WHEN 1 THEN 'D' ELSE 'L' END END AS team_result, CASE WHEN has THEN CAST(ga = 0 AS INTEGER) END AS is_clean_sheet, CASE WHEN is_finished THEN shots END AS shots FROM r""")
+def bi_team_match(spark, d):
+    return bi.team_match(core.fact_team_match(matches(spark, d))).select("match_key", "side", "team_key", "points", "team_result", "is_clean_sheet", "shots")
+
+
+@register("bi_team_season", f"""
+    WITH {TEAM} SELECT competition_key, season, team_key, count(*) AS source_row_count, count(DISTINCT match_key) AS matches_total, count(DISTINCT match_key) FILTER (WHERE has) AS matches_with_result, count(DISTINCT match_key) FILTER (WHERE has AND p = 3) AS wins,
+           CAST(sum(p) FILTER (WHERE has) AS BIGINT) AS points_total, CAST(sum(p) FILTER (WHERE has AND side = 'h') AS BIGINT) AS home_points_total, round(sum(p) FILTER (WHERE has) / nullif(count(DISTINCT match_key) FILTER (WHERE has), 0), 6) AS points_per_match,
+           count(st) FILTER (WHERE has) AS shots_target_observations, round(sum(st) FILTER (WHERE has AND st IS NOT NULL) / nullif(sum(shots) FILTER (WHERE has AND st IS NOT NULL), 0), 6) AS shot_accuracy FROM r GROUP BY ALL""")
+def bi_team_season(spark, d):
+    s = bi.team_season(bi.team_match(core.fact_team_match(matches(spark, d))))
+    return s.select("competition_key", "season", "team_key", "source_row_count", "matches_total", "matches_with_result", "wins", "points_total", "home_points_total", F.round("points_per_match", 6).alias("points_per_match"), "shots_target_observations", F.round("shot_accuracy", 6).alias("shot_accuracy"))
+
+
+@register("ml_team_features", f"""
+    WITH {TEAM}, pl AS (SELECT *, CAST(match_date AS TIMESTAMP) AS ord, CAST(match_date AS TIMESTAMP) + INTERVAL '23 hours 59 minutes 59 seconds' AS known FROM r WHERE has),
+    roll AS (SELECT team_key, known, match_key, count(*) OVER (w ROWS UNBOUNDED PRECEDING) AS n, CASE WHEN count(*) OVER (w ROWS 2 PRECEDING) >= 3 THEN avg(p) OVER (w ROWS 2 PRECEDING) END AS p3, CASE WHEN count(st) OVER (w ROWS 4 PRECEDING) >= 5 THEN avg(st) OVER (w ROWS 4 PRECEDING) END AS st5,
+             CASE WHEN count(*) OVER (w ROWS 4 PRECEDING) >= 5 THEN array_to_string(list(CASE p WHEN 3 THEN 'W' WHEN 1 THEN 'D' ELSE 'L' END) OVER (w ROWS 4 PRECEDING), '') END AS form5 FROM pl WINDOW w AS (PARTITION BY team_key ORDER BY known, match_key)),
+    last_known AS (SELECT * FROM roll QUALIFY row_number() OVER (PARTITION BY team_key, known ORDER BY match_key DESC) = 1),
+    busy AS (SELECT r.match_key, r.side, count(*) AS n30 FROM r JOIN pl ON pl.team_key = r.team_key AND pl.known < CAST(r.match_date AS TIMESTAMP) AND pl.ord >= CAST(r.match_date AS TIMESTAMP) - INTERVAL 30 DAY GROUP BY ALL)
+    SELECT r.match_key AS match_key, r.side AS side, coalesce(k.n, 0) AS f_n_prev, round(k.p3, 6) AS f_pts_l3, round(k.st5, 6) AS f_sot_l5, k.form5 AS f_form5, coalesce(n30, 0) AS f_n_30d, CASE WHEN r.has THEN r.p END AS y_points
+    FROM (SELECT *, CAST(match_date AS TIMESTAMP) AS ord FROM r WHERE match_date >= DATE '1990-01-01') r ASOF LEFT JOIN last_known k ON k.team_key = r.team_key AND r.ord > k.known LEFT JOIN busy b ON b.match_key = r.match_key AND b.side = r.side""")
+def ml_team_features(spark, d):
+    f = ml.team_match_features(core.fact_team_match(matches(spark, d)), "1990-01-01")
+    return f.select("match_key", "side", "f_n_prev", F.round("f_pts_l3", 6).alias("f_pts_l3"), F.round("f_sot_l5", 6).alias("f_sot_l5"), "f_form5", "f_n_30d", "y_points")
+
+
+@register("ml_match_features", f"""
+    WITH {MATCHES} SELECT match_key, CASE WHEN NOT coalesce(is_finished AND home_goals IS NOT NULL AND away_goals IS NOT NULL, false) THEN 'predict' WHEN match_date <= DATE '1996-06-30' THEN 'train' WHEN match_date <= DATE '1997-06-30' THEN 'valid' ELSE 'test' END AS split,
+           CASE WHEN is_finished AND home_goals IS NOT NULL AND away_goals IS NOT NULL THEN CASE WHEN home_goals > away_goals THEN 2 WHEN home_goals = away_goals THEN 1 ELSE 0 END END AS y_result_code,
+           CASE WHEN is_finished AND home_goals IS NOT NULL AND away_goals IS NOT NULL THEN CAST(home_goals + away_goals > 2 AS INTEGER) END AS y_over_2_5 FROM m""")
+def ml_match_features(spark, d):
+    m = matches(spark, d)
+    f = ml.match_features(m, ml.team_match_features(core.fact_team_match(m), "1990-01-01"), core.dim_competition(spark), None, "1996-06-30", "1997-06-30", min_date="1990-01-01")
+    return f.select("match_key", "split", "y_result_code", "y_over_2_5")
+
+
+@register("league_positions", f"""
+    WITH {TEAM}, z AS (SELECT season, team_key AS team, match_date, coalesce(p, 0) AS p, coalesce(gf - ga, 0) AS gd, coalesce(gf, 0) AS gf FROM (SELECT *, CASE WHEN gf IS NULL THEN NULL ELSE p END AS q FROM r) WHERE gf IS NOT NULL),
+    grid AS (SELECT * FROM (SELECT DISTINCT season, match_date FROM z) JOIN (SELECT DISTINCT season, team FROM z) USING (season)), s AS (SELECT season, team, match_date, sum(p) AS p, sum(gd) AS gd, sum(gf) AS gf FROM z GROUP BY ALL),
+    c AS (SELECT g.season, g.match_date, g.team, coalesce(sum(p) OVER w, 0) AS p, coalesce(sum(gd) OVER w, 0) AS gd, coalesce(sum(gf) OVER w, 0) AS gf FROM grid g LEFT JOIN s USING (season, team, match_date) WINDOW w AS (PARTITION BY g.season, g.team ORDER BY g.match_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    SELECT season, match_date, team, CAST(rank() OVER (PARTITION BY season, match_date ORDER BY p DESC, gd DESC, gf DESC) AS INTEGER) AS position FROM c""")
+def league_positions(spark, d):
+    from tarn.operators.temporal import rank_before
+
+    c = F.col
+    m = matches(spark, d).select(c("match_key").alias("match_id"), "match_date", "season", c("home_key").alias("home"), c("away_key").alias("away"), "home_goals", "away_goals")
+    s = features.sides(m.filter("home_goals is not null")).withColumn("gd", c("gf") - c("ga"))
+    return rank_before(s, ["season"], "team", "match_date", "points", ["gd", "gf"]).select("season", "match_date", "team", "position")
+
+
+@register("rolling_form", f"""
+    WITH {TEAM}, z AS (SELECT match_key AS match_id, side, avg(CASE WHEN gf IS NOT NULL THEN p END) OVER (PARTITION BY team_key ORDER BY match_date, match_key ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS f FROM r)
+    SELECT match_id, round(max(f) FILTER (WHERE side = 'h'), 6) AS home_form_points, round(max(f) FILTER (WHERE side = 'a'), 6) AS away_form_points FROM z GROUP BY 1""")
+def rolling_form(spark, d):
+    c = F.col
+    m = matches(spark, d).select(c("match_key").alias("match_id"), "match_date", "season", c("home_key").alias("home"), c("away_key").alias("away"), "home_goals", "away_goals")
+    return features.rolling_form(m).select("match_id", F.round("home_form_points", 6).alias("home_form_points"), F.round("away_form_points", 6).alias("away_form_points"))
+
+
+@register("consolidated_matches", f"""
+    WITH {MATCHES}, a AS (SELECT match_key, match_date, home_key, away_key, home_goals, away_goals FROM m WHERE o_orderkey % 3 <> 0), b AS (SELECT match_key, match_date, home_key, away_key, CASE WHEN o_orderkey % 10 = 0 THEN home_goals + 1 ELSE home_goals END AS home_goals, away_goals FROM m WHERE o_orderkey % 4 <> 0)
+    SELECT match_key, coalesce(a.home_goals, b.home_goals) AS home_goals, coalesce(a.home_goals || '-' || a.away_goals <> b.home_goals || '-' || b.away_goals, false) AS goals_conflict, a.match_key IS NOT NULL AS in_fdo, b.match_key IS NOT NULL AS in_couk FROM a FULL JOIN b USING (match_key)""")
+def consolidated_matches(spark, d):
+    c = F.col
+    m = matches(spark, d)
+    score = lambda df: df.withColumns({"score_str": F.concat(c("home_goals").cast("string"), F.lit("-"), c("away_goals").cast("string")), "done": F.lit(True)})
+    cols = ["match_key", "match_date", "home_key", "away_key", "home_goals", "away_goals"]
+    a = m.filter("o_orderkey % 3 <> 0").select(*cols)
+    b = m.filter("o_orderkey % 4 <> 0").withColumn("home_goals", F.when(c("o_orderkey") % 10 == 0, c("home_goals") + 1).otherwise(c("home_goals"))).select(*cols)
+    return core.consolidate({"fdo": score(a), "couk": score(b)}).select("match_key", "home_goals", "goals_conflict", "in_fdo", "in_couk")
+
+
+@register("pivoted_sides", f"WITH {TEAM} SELECT match_key, max(shots) FILTER (WHERE side = 'h') AS h, max(shots) FILTER (WHERE side = 'a') AS a FROM t GROUP BY 1")
+def pivoted_sides(spark, d):
+    return R.pivot_kind(core.fact_team_match(matches(spark, d)), ["match_key"], "side", ["h", "a"], ["shots"])
