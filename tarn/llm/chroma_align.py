@@ -3,11 +3,11 @@
 A recording (a column of WAV bytes) becomes frames of energy per pitch class. Filters that add and
 subtract rectangles of frames and pitch classes, each a few look-ups in the integral image, are
 quantised to two bits; sixteen of them make one packed 32-bit integer per frame position. Recordings
-with equal fingerprints are one class. Query classes meet the others through equal integers; the
+with equal fingerprints are one class. Query classes meet the others through equal pairs of integers; the
 histogram of their offsets names an alignment, and the bit errors along it decide.
 
 Recordings shorter than the widest filter have no integers, form one class per recording and match
-nothing; null audio counts as empty. The tables here hold no media, so ``render`` makes one recording per
+nothing (nor do those shorter than two filters); null audio counts as empty. The tables here hold no media, so ``render`` makes one recording per
 text: a note per word, whose pitch comes from the word.
 """
 
@@ -164,19 +164,22 @@ def _bit_errors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf[["class_id", "match_id", "offset", "votes"]].assign(shared=shared, bit_error=errors)
 
 
-def align(prints: DataFrame, is_query: Column, votes: int = 8, most_error: float = 0.1) -> DataFrame:
+def align(prints: DataFrame, is_query: Column, votes: int = 4, most_error: float = 0.1) -> DataFrame:
     """Member rows (rec_id, class_id, n_frames, fp_crc32) and pair rows (class_id, match_id, offset, shared,
     bit_error) in one table, told apart by ``kind``.
 
     is_query: condition on rec_id; a class with such a member is searched for in all classes.
-    votes: equal integers that an offset needs. most_error: largest share of differing bits.
+    votes: equal keys that an offset needs. A key is two integers of adjacent, separate windows: one
+    alone has so few bits of its own that chance hits would grow with the square of the input. most_error: largest share of differing bits.
     """
     tmp = Scratch(prints.sparkSession)
     key = F.when(F.size("fp") > 0, F.md5(F.concat_ws(",", F.transform("fp", lambda x: x.cast("string"))))).otherwise(F.concat(F.lit("short/"), F.col("rec_id").cast("string")))
     seen = tmp.put(prints.withColumn("key", key), "prints")
     classes = seen.groupBy("key").agg(F.min("rec_id").alias("class_id"), F.max(is_query.cast("int")).alias("asks"))
     reps = tmp.put(seen.select("key", F.col("rec_id").alias("class_id"), "fp").join(classes, ["key", "class_id"]).select("class_id", "asks", "fp").dropDuplicates(["class_id"]), "reps")
-    posted = reps.select("class_id", "asks", F.posexplode("fp").alias("at", "value"))
+    next_fp = F.slice("fp", WIDEST + 1, F.greatest(F.size("fp") - WIDEST, F.lit(0)))
+    two = reps.select("class_id", "asks", F.posexplode(F.arrays_zip(F.col("fp").alias("a"), next_fp.alias("b"))).alias("at", "w"))
+    posted = two.filter("w.b is not null").select("class_id", "asks", "at", F.xxhash64("w.a", "w.b").alias("value"))
     asked = posted.filter("asks = 1").select(F.col("class_id").alias("q"), F.col("at").alias("q_at"), "value")
     hits = (
         posted.select(F.col("class_id").alias("match_id"), "at", "value")
