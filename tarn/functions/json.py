@@ -59,7 +59,9 @@ def explode_parallel(df: DataFrame, doc: str, fields: dict[str, tuple[str, str]]
     """Parallel arrays to rows; shorter arrays are padded with nulls."""
     keep = [c for c in df.columns if c != doc] if keep is None else keep
     names = list(fields)
-    arrays = [F.transform(F.try_variant_get(doc, path, "array<variant>"), lambda v, k=kind: F.coalesce(F.try_variant_get(v, "$", k), F.try_variant_get(v, "$", "string").try_cast(k))).alias(n) for n, (path, kind) in fields.items()]
+    cast = lambda kind: lambda v: jget(v, "$", kind)
+    none = F.array().cast("array<variant>")
+    arrays = [F.transform(F.coalesce(F.try_variant_get(doc, path, "array<variant>"), none), cast(kind)).alias(n) for n, (path, kind) in fields.items()]
     return df.select(*keep, *arrays).select(*keep, F.inline(F.arrays_zip(*names)))
 
 
@@ -79,7 +81,9 @@ def explode_named(df: DataFrame, doc: str, path: str, names: list[str], alias: s
 def explode_sides(df: DataFrame, doc: str, sides: dict[str, str], alias: str = "item", keep: list[str] | None = None) -> DataFrame:
     """Elements of several array fields, tagged by side, out of one scan."""
     keep = [c for c in df.columns if c != doc] if keep is None else keep
-    tagged = F.concat(*[F.transform(F.coalesce(F.try_variant_get(doc, p, "array<variant>"), F.array().cast("array<variant>")), lambda v, s=s: F.struct(F.lit(s).alias("side"), v.alias(alias))) for s, p in sides.items()])
+    tag = lambda side: lambda v: F.struct(F.lit(side).alias("side"), v.alias(alias))
+    none = F.array().cast("array<variant>")
+    tagged = F.concat(*[F.transform(F.coalesce(F.try_variant_get(doc, p, "array<variant>"), none), tag(s)) for s, p in sides.items()])
     return df.select(*keep, F.inline(tagged))
 
 

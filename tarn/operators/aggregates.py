@@ -91,7 +91,8 @@ def corr_tripwire(df: DataFrame, features: list[str], label: str, most: float =
     for f in features:
         both = F.col(f).isNotNull() & F.col(label).isNotNull()
         x, y = F.when(both, F.col(f).cast("double")), F.when(both, F.col(label).cast("double"))
-        cells.append(F.struct(F.lit(f).alias("feature"), F.corr(x, y).alias("r"), F.count(x).alias("n")))
+        r = F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))  # null for a constant
+        cells.append(F.struct(F.lit(f).alias("feature"), r.alias("r"), F.count(x).alias("n")))
     one = df.agg(F.array(*cells).alias("c")).select(F.inline("c"))
     return one.filter(F.col("r").isNotNull() & ~F.isnan("r") & (F.col("n") >= least) & (F.abs("r") > most))
 

@@ -560,7 +560,7 @@ def stg_openliga_matches(spark: SparkSession, lake: str, min_season: int = 2024)
     m = t["matches"].withColumnsRenamed({"team1_id": "home_team_id", "team2_id": "away_team_id"})
     out = m.join(t["leagues"].filter(F.col("season") >= min_season), "league_id").join(t["groups"].drop("league_id"), "group_id", "left").join(side["home"], "home_team_id", "left").join(side["away"], "away_team_id", "left")
     out = out.join(t["locations"].select("location_id", F.col("stadium").alias("venue_name"), F.col("city").alias("venue_city")), "location_id", "left").join(res, "match_id", "left")
-    return out.withColumn("status", F.when("is_finished", "FINISHED").otherwise("SCHEDULED")).drop("location_id")
+    return out.withColumn("status", F.when(F.col("is_finished"), "FINISHED").otherwise("SCHEDULED")).drop("location_id")
 
 
 def stg_openliga_goals(spark: SparkSession, lake: str) -> DataFrame:
