@@ -17,6 +17,7 @@ import io
 import wave
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -139,18 +140,22 @@ def render(texts: DataFrame) -> DataFrame:
     return texts.select("rec_id", "text").mapInPandas(_render, "rec_id long, audio binary")
 
 
-def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _fingerprints(batches: Iterator[pd.DataFrame], column: str) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
-        for blob in pdf["audio"]:
-            c = chroma(from_wav(blob))
+        for x in pdf[column]:
+            c = chroma(from_wav(x if column == "audio" else to_wav(notes_of(x))))
             rows.append((len(c), fingerprint(c)))
         yield pd.DataFrame({"rec_id": pdf["rec_id"].astype("Int64"), "n_frames": [n for n, _ in rows], "fp": [f for _, f in rows], "fp_crc32": [zlib.crc32(f.tobytes()) for _, f in rows]})
 
 
-def fingerprints(recordings: DataFrame) -> DataFrame:
-    """(rec_id, n_frames, fp, fp_crc32) of (rec_id, audio)."""
-    return recordings.mapInPandas(_fingerprints, "rec_id long, n_frames long, fp array<int>, fp_crc32 long")
+def fingerprints(recordings: DataFrame, column: str = "audio") -> DataFrame:
+    """(rec_id, n_frames, fp, fp_crc32) of (rec_id, audio), or of the recordings rendered from (rec_id, text).
+
+    A text's recording is made, read and dropped before the next one, so no batch of audio is held; for
+    stored audio keep ``spark.sql.execution.arrow.maxRecordsPerBatch`` small.
+    """
+    return recordings.select("rec_id", column).mapInPandas(partial(_fingerprints, column=column), "rec_id long, n_frames long, fp array<int>, fp_crc32 long")
 
 
 def _bit_errors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tarn.llm.arc_convert import convert
 from tarn.llm.budget_tree import mix
-from tarn.llm.chroma_align import align, fingerprints, render
+from tarn.llm.chroma_align import align, fingerprints
 from tarn.llm.cotrain import score
 from tarn.llm.path_join import near_duplicates
 from tarn.llm.secret_scan import scan
@@ -70,7 +70,7 @@ def op7_budget_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_chroma_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One recording per turn of a conversation; queries are the turns of every hundredth conversation."""
     turns = _table(spark, sf_dir, "conversations").select((F.col("conv_id") * TURNS + F.col("turn")).alias("rec_id"), "text")
-    found = align(fingerprints(render(turns)), F.floor(F.col("rec_id") / TURNS) % 100 == 0)
+    found = align(fingerprints(turns, "text"), F.floor(F.col("rec_id") / TURNS) % 100 == 0)
     return found.withColumn("conv_id", F.floor(F.col("rec_id") / TURNS).cast("long")).withColumn("turn", (F.col("rec_id") % TURNS).cast("long")).drop("rec_id", "votes")
 
 

@@ -180,6 +180,8 @@ def test_recordings_align(spark):
     texts = {100: words[:200], 1: words[60:260], 2: words[300:400], 3: words[:200], 4: [*words[:90], "zz", *words[91:200]], 5: [], 6: ["x"] * 5}
     df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()] + [(7, None)], "rec_id long, text string")
     rows = chroma_align.align(chroma_align.fingerprints(chroma_align.render(df)), F.col("rec_id") % 100 == 0).collect()
+    again = chroma_align.fingerprints(df, "text").select("rec_id", "fp_crc32").collect()
+    assert sorted(again) == sorted(chroma_align.fingerprints(chroma_align.render(df)).select("rec_id", "fp_crc32").collect())
     member = {r.rec_id: r.class_id for r in rows if r.kind == "member"}
     pairs = {r.match_id: (r.class_id, r.offset) for r in rows if r.kind == "pair"}
     assert len(member) == 8 and member[100] == member[3] == 3 and member[5] == 5
