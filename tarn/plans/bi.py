@@ -51,18 +51,21 @@ def team_match(t: DataFrame) -> DataFrame:
 def team_season(tm: DataFrame) -> DataFrame:
     """Totals with their numbers of observations, whole and by side, in one aggregation."""
     c, has = F.col, F.col("has_result")
-    aggs = [F.count("*").alias("source_row_count")]
+    flags, sums, counts = {}, {}, {}
     for prefix, on in (("", F.lit(True)), ("home_", c("side") == "h"), ("away_", c("side") == "a")):
-        n = lambda cond, on=on: F.count_distinct(F.when(on & cond, c("match_key")))
-        aggs += [n(F.lit(True)).alias(f"{prefix}matches_total"), n(c("is_finished")).alias(f"{prefix}matches_finished"), n(has).alias(f"{prefix}matches_with_result"), n(~has).alias(f"{prefix}matches_without_result")]
-        aggs += [n(has & (c("team_result") == r)).alias(f"{prefix}{w}") for r, w in (("W", "wins"), ("D", "draws"), ("L", "losses"))]
-        aggs += [F.sum(F.when(on & has, c(m))).alias(f"{prefix}{m}_total") for m in ("points", "goals_for", "goals_against", "goal_difference")]
+        flags |= {f"{prefix}matches_total": on, f"{prefix}matches_finished": on & c("is_finished"), f"{prefix}matches_with_result": on & has, f"{prefix}matches_without_result": on & ~has}
+        flags |= {f"{prefix}{w}": on & has & (c("team_result") == r) for r, w in (("W", "wins"), ("D", "draws"), ("L", "losses"))}
+        sums |= {f"{prefix}{m}_total": F.when(on & has, c(m)) for m in ("points", "goals_for", "goals_against", "goal_difference")}
     for m in SUMS:
-        aggs += [F.sum(F.when(has, c(m))).alias(f"{m}_total"), F.count(F.when(has, c(m))).alias(f"{m}_observations")]
+        sums[f"{m}_total"], counts[f"{m}_observations"] = F.when(has, c(m)), F.when(has, c(m))
     for name, num, den in (("shot_accuracy", "shots_target", "shots"), ("ppda", "ppda_att", "ppda_def")):
         both = has & c(num).isNotNull() & c(den).isNotNull()
-        aggs += [F.sum(F.when(both, c(num))).alias(f"{name}_numerator_total"), F.sum(F.when(both, c(den))).alias(f"{name}_denominator_total"), F.count(F.when(both, 1)).alias(f"{name}_observations")]
-    g = tm.groupBy("competition_key", "season", "team_key").agg(*aggs)
+        sums |= {f"{name}_numerator_total": F.when(both, c(num)), f"{name}_denominator_total": F.when(both, c(den))}
+        counts[f"{name}_observations"] = F.when(both, 1)
+    keys = ["competition_key", "season", "team_key"]
+    # Matches are counted once each: flags are first raised per match, which many distinct counts would expand.
+    per_match = tm.groupBy(*keys, "match_key").agg(F.count("*").alias("source_row_count"), *[F.max(F.coalesce(x, F.lit(False)).cast("int")).alias(n) for n, x in flags.items()], *[F.sum(x).alias(n) for n, x in sums.items()], *[F.count(x).alias(n) for n, x in counts.items()])
+    g = per_match.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in ("source_row_count", *flags, *sums, *counts)])
     rates = {}
     for p in ("", "home_", "away_"):
         rates |= {f"{p}points_per_match": X.ratio(1.0 * c(f"{p}points_total"), f"{p}matches_with_result"), f"{p}win_rate": X.ratio(1.0 * c(f"{p}wins"), f"{p}matches_with_result")}

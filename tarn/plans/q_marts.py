@@ -13,8 +13,8 @@ from tarn.plans.registry import register
 # Each order is a match of two of its suppliers: the lines with the lowest and highest number.
 MATCHES = f"""
     x AS (SELECT o_orderkey, {DAYS} AS match_date, o_orderpriority AS competition_key, o_orderstatus <> 'P' AS is_finished, o_orderkey % 23 AS ref,
-                 arg_min(l_suppkey % 40, (l_linenumber, l_suppkey, l_partkey, l_quantity)) AS home, arg_max(l_suppkey % 40, (l_linenumber, l_suppkey, l_partkey, l_quantity)) AS away,
-                 CAST(arg_min(l_quantity, (l_linenumber, l_suppkey, l_partkey, l_quantity)) AS INTEGER) AS hq, CAST(arg_max(l_quantity, (l_linenumber, l_suppkey, l_partkey, l_quantity)) AS INTEGER) AS aq
+                 arg_min(l_suppkey % 40, (l_linenumber, l_suppkey, l_quantity)) AS home, arg_max(l_suppkey % 40, (l_linenumber, l_suppkey, l_quantity)) AS away,
+                 CAST(arg_min(l_quantity, (l_linenumber, l_suppkey, l_quantity)) AS INTEGER) AS hq, CAST(arg_max(l_quantity, (l_linenumber, l_suppkey, l_quantity)) AS INTEGER) AS aq
           FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL),
     m AS (SELECT CAST(o_orderkey AS VARCHAR) AS match_key, match_date, competition_key, is_finished, CAST(home AS VARCHAR) AS home_key, CAST(away AS VARCHAR) AS away_key,
                  CASE WHEN o_orderkey % 17 <> 0 THEN hq % 5 END AS home_goals, CASE WHEN o_orderkey % 17 <> 0 THEN aq % 4 END AS away_goals, hq AS home_shots, aq AS away_shots,
@@ -26,10 +26,10 @@ MATCHES = f"""
 def matches(spark: SparkSession, d: str) -> DataFrame:
     c, i = F.col, lambda x: x.cast("int")
     j = orders(spark, d).join(table(spark, d, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey"))
-    at = F.struct("l_linenumber", "l_suppkey", "l_partkey", "l_quantity")
+    at = c("l_linenumber").cast("long") * (1 << 50) + c("l_suppkey") * 8192 + (c("l_quantity") * 100).cast("long")  # one long: minima of structs are sorted for
     x = j.groupBy("o_orderkey", c("day").alias("match_date"), c("o_orderpriority").alias("competition_key"), c("o_orderstatus")).agg(F.min(at).alias("lo"), F.max(at).alias("hi"))
-    hq, aq = i(c("lo.l_quantity")), i(c("hi.l_quantity"))
-    side = lambda s: (c(f"{s}.l_suppkey") % 40).cast("string")
+    hq, aq = (i(F.floor(c(s) % 8192 / 100)) for s in ("lo", "hi"))
+    side = lambda s: (F.shiftright(c(s) % (1 << 50), 13) % 40).cast("string")
     known, shot = c("o_orderkey") % 17 != 0, c("o_orderkey") % 3 != 0
     none = F.lit(None).cast("int")
     m = x.select(
