@@ -5,7 +5,8 @@ content. A node's own evidence comes from a multinomial regression over its feat
 potentials come from counted transitions. Both are fitted on a bounded sample of labelled pages: pages
 with an ``article`` or ``main`` element, whose inside is content. Each is used as it is, with its
 telling tags and class names hidden, and with comments, asides, forms and notices of its own prose put
-inside and beside the article, so that plain pages and unwanted prose are judged too. One upward and one
+inside and beside the article, with the article's paragraphs in other forms, and with a very short
+article, so that plain pages, unwanted prose, lists and bare text are judged too. One upward and one
 downward sum-product pass give exact marginals, and blocks of content nodes are the text.
 
 Null, empty and text-free pages give an empty text. Character references are decoded, white space in
@@ -199,17 +200,55 @@ def graft(source: str) -> str:
     return source[: m.start()] + parts[0] + source[m.start() : k] + parts[1] + parts[2] + source[k:] + parts[3]
 
 
+def _inside(source: str) -> tuple[int, int] | None:
+    """Where the inside of the first article or main element starts and ends."""
+    m = re.search(r"<(article|main)\b[^>]*>", source, re.I)
+    if not m:
+        return None
+    k = source.lower().rfind(f"</{m[1].lower()}>")
+    return m.end(), k if k > m.end() else len(source)
+
+
+FORMS = ["<p>%s</p>", "<div>%s</div>", "<ul><li>%s</li></ul>", "<table><tr><td>%s</td></tr></table>", "%s<br>", '<p>See <a href="/a">%s</a> there.</p>']
+
+
+def vary(source: str) -> str:
+    """The page with the paragraphs of its article as lists, tables, plain blocks and bare text."""
+    at = _inside(source)
+    if not at:
+        return source
+    i = iter(range(10**9))
+
+    def change(m: re.Match) -> str:
+        form = FORMS[next(i) % len(FORMS)]
+        text = m[1].replace(", ", ",</li><li>") if "<li>" in form else m[1]
+        return form.replace("%s", text)
+
+    return source[: at[0]] + re.sub(r"<p>([^<]*)</p>", change, source[at[0] : at[1]]) + source[at[1] :]
+
+
+def shorten(source: str) -> str:
+    """The page with an article of a heading and one or two words."""
+    at = _inside(source)
+    words = re.sub(r"<[^>]*>", " ", source[at[0] : at[1]]).split() if at else []
+    if not words:
+        return source
+    few = " ".join(words[: 1 + len(source) % 2])
+    form = ("<h1>%s</h1><p>%s</p>", "<p>%s %s</p>", "%s %s", "<div>%s</div><div>%s</div>")[len(source) % 4]
+    return source[: at[0]] + form % (words[0], few) + source[at[1] :]
+
+
 def _labelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
-        for source, both in ((f(s or ""), both) for s in pdf["html"] for f, both in ((str, True), (graft, False))):
+        for source, both in ((f(s or ""), both) for s in pdf["html"] for f, both in ((str, True), (graft, False), (vary, None), (shorten, None))):
             page = Page(source)
             y = page.labels()
             if y is None:
                 continue
             x = page.features()
             up = np.array([-1, *(y[p] for p in page.parent[1:])])
-            for z in (x, hide(x, both)):
+            for z in (x, hide(x, both)) if both is not None else (x,):
                 rows += [(z[i].astype(float), int(y[i]), int(up[i])) for i in range(len(y))]
         yield pd.DataFrame(rows, columns=["x", "y", "up"])
 

@@ -39,6 +39,28 @@ def test_hard_pages(model):
     assert isinstance(X._texts([nested], model)[0], str)
 
 
+PROSE = ["Of a longer kind is this one. It says, in short, a thing.", "The second goes on about it, and on, and on again.", "Short one.", "The last of them ends it, as it should, in good order."]
+PS, ALL = "".join(f"<p>{p}</p>" for p in PROSE), " ".join(PROSE)
+NAV = "<nav><ul><li><a href=a>Home</a></li><li><a href=b>News</a></li></ul></nav>"
+PAGES = {
+    "main": (f"<header><h1>Site</h1><p>Tag line of the site.</p></header>{NAV}<main>{PS}</main><footer>x y</footer>", ALL),
+    "cookie": (f'<div class="cookie-notice"><p>We use cookies to improve, and so on.</p></div>{NAV}<article>{PS}</article>', ALL),
+    "comments": (f'{NAV}<article>{PS}<section class="comments"><div class="comment"><p>I like this one, thanks a lot.</p></div></section></article>', ALL),
+    "after": (f'{NAV}<article>{PS}</article><div id="comments"><p>I like this one, thanks.</p></div><form><label>Your name</label></form>', ALL),
+    "plain": (f'<div class="menu"><a href=a>A</a><a href=b>B</a></div><div class="content">{PS}</div><div class="footer">c</div>', ALL),
+    "list": (f"{NAV}<article><p>{PROSE[0]}</p><ul><li>first item of it</li><li>second item</li></ul></article>", PROSE[0] + " first item of it second item"),
+    "table": (f"{NAV}<article><p>{PROSE[0]}</p><table><tr><td>one cell</td><td>two cell</td></tr></table></article>", PROSE[0] + " one cell two cell"),
+    "bare": (f"{NAV}<article>{PROSE[0]}<br>{PROSE[1]}</article>", " ".join(PROSE[:2])),
+    "tiny": (f'{NAV}<div class="ad">Buy it.</div><article><h1>Éaux.</h1><p>Éaux.</p></article><footer>x</footer>', "Éaux. Éaux."),
+}
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_templates(model, name):
+    body, want = PAGES[name]
+    assert X._texts([f"<!DOCTYPE html><html><head><title>t</title></head><body>{body}</body></html>"], model) == [want]
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(1)
     model = {"w": rng.normal(size=(3, X.WIDTH)), "b": rng.normal(size=3), "prior": np.log(np.full(3, 1 / 3)), "pair": np.log(rng.dirichlet(np.ones(3), 3)), "root": np.log(rng.dirichlet(np.ones(3)))}
