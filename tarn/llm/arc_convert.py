@@ -197,7 +197,6 @@ def _from_warc(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """One row per record, its payload digest checked; files are bounded, so one at a time is held."""
-    spark.conf.set("spark.sql.sources.binaryFile.maxLength", str(2**31 - 1))
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path).select("content")
     return files.mapInPandas(_from_warc, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, target_uri string, record_id string, warc_date string")
 

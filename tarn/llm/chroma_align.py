@@ -7,7 +7,7 @@ with equal fingerprints are one class. Query classes meet the others through equ
 histogram of their offsets names an alignment, and the bit errors along it decide.
 
 Recordings shorter than the widest filter have no integers, form one class per recording and match
-nothing (nor do those shorter than two filters); null audio counts as empty. The tables here hold no media, so ``render`` makes one recording per
+nothing (nor do those shorter than two filters), rows with null id are members of a null class; null audio counts as empty. The tables here hold no media, so ``render`` makes one recording per
 text: a note per word, whose pitch comes from the word.
 """
 
@@ -178,7 +178,7 @@ def align(prints: DataFrame, is_query: Column, votes: int = 4, most_error: float
     alone has so few bits of its own that chance hits would grow with the square of the input. most_error: largest share of differing bits.
     """
     tmp = Scratch(prints.sparkSession)
-    key = F.when(F.size("fp") > 0, F.md5(F.concat_ws(",", F.transform("fp", lambda x: x.cast("string"))))).otherwise(F.concat(F.lit("short/"), F.col("rec_id").cast("string")))
+    key = F.when(F.size("fp") > 0, F.md5(F.concat_ws(",", F.transform("fp", lambda x: x.cast("string"))))).otherwise(F.concat(F.lit("short/"), F.coalesce(F.col("rec_id").cast("string"), F.lit(""))))
     seen = tmp.put(prints.withColumn("key", key), "prints")
     classes = seen.groupBy("key").agg(F.min("rec_id").alias("class_id"), F.max(is_query.cast("int")).alias("asks"))
     reps = tmp.put(seen.select("key", F.col("rec_id").alias("class_id"), "fp").join(classes, ["key", "class_id"]).select("class_id", "asks", "fp").dropDuplicates(["class_id"]), "reps")

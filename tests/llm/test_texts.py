@@ -184,6 +184,9 @@ def test_recordings_align(spark):
     assert sorted(again) == sorted(chroma_align.fingerprints(chroma_align.render(df)).select("rec_id", "fp_crc32").collect())
     member = {r.rec_id: r.class_id for r in rows if r.kind == "member"}
     pairs = {r.match_id: (r.class_id, r.offset) for r in rows if r.kind == "pair"}
+    odd = spark.createDataFrame([(None, "a"), (None, None)], df.schema)
+    assert chroma_align.align(chroma_align.fingerprints(odd, "text"), F.col("rec_id") % 100 == 0).count() == 2
+    assert chroma_align.align(chroma_align.fingerprints(odd.filter("false"), "text"), F.lit(True)).count() == 0
     assert len(member) == 8 and member[100] == member[3] == 3 and member[5] == 5
     assert pairs[1] == (3, -60) and pairs[4] == (3, 0) and 2 not in pairs and 6 not in pairs
     assert chroma_align.from_wav(chroma_align.to_wav(chroma_align.notes_of("a b"))).shape == (512,)
