@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, NGram, RegexTokenizer, StringIndexer
+from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer, StringIndexer
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tarn.functions.exprs import clean_text
 from tarn.operators.aggregates import burst_alerts, sentiment_metrics, trend
@@ -121,16 +128,85 @@ def topic_names(spark: SparkSession, model: PipelineModel, n: int = 5) -> DataFr
     return spark.createDataFrame(rows, "topic_id int, topic_name string")
 
 
-def sentiment_pipeline(text: str, label: str, dims: int = 1 << 14, iterations: int = 30) -> Pipeline:
-    """Character trigram TF-IDF and multinomial logistic regression."""
+def mix64(x: np.ndarray) -> np.ndarray:
+    """A fixed bijective mixer of unsigned 64-bit integers."""
+    with np.errstate(over="ignore"):
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def trigram_counts(text: str, dims: int) -> np.ndarray:
+    """Counts of the hashed trigrams of characters of a whole text, lower-cased."""
+    c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    h = (c[:-2] << np.uint64(42)) ^ (c[1:-1] << np.uint64(21)) ^ c[2:] if len(c) > 2 else c[:0]
+    return np.bincount((mix64(h) % np.uint64(dims)).astype(np.int64), minlength=dims)
+
+
+def _trigram_batches(batches: Iterator[pa.RecordBatch], text: str, out: str, dims: int, vector: pa.DataType) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            where, counts, ends = [], [], [0]
+            for t in part.column(text).to_pylist():
+                n = trigram_counts(t or "", dims)
+                i = np.flatnonzero(n)
+                where.append(i)
+                counts.append(n[i])
+                ends.append(ends[-1] + len(i))
+            at_end, rows = pa.array(ends, pa.int32()), part.num_rows
+            lists = [pa.ListArray.from_arrays(at_end, pa.array(np.concatenate(x).astype(t))) for x, t in ((where, np.int32), (counts, np.float64))]
+            cells = [pa.array(np.zeros(rows, np.int8)), pa.array(np.full(rows, dims, np.int32)), *[x.cast(f.type) for x, f in zip(lists, list(vector)[2:], strict=True)]]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.StructArray.from_arrays(cells, fields=list(vector))], names=[*part.schema.names, out])
+
+
+class CharTrigrams(Transformer):
+    """Vectors of hashed character trigrams, counted per document outside the JVM: no token per character."""
+
+    def __init__(self, text: str, out: str, dims: int):
+        super().__init__()
+        self.text, self.out, self.dims = text, out, dims
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        vector = pa.struct([pa.field("type", pa.int8(), False), pa.field("size", pa.int32()), pa.field("indices", pa.list_(pa.field("element", pa.int32(), False))), pa.field("values", pa.list_(pa.field("element", pa.float64(), False)))])
+        run = partial(_trigram_batches, text=self.text, out=self.out, dims=self.dims, vector=vector)
+        return df.mapInArrow(run, StructType([*df.schema.fields, StructField(self.out, VectorUDT())]))
+
+
+def sentiment_pipeline(text: str, label: str, dims: int = 1 << 14, iterations: int = 30, weight: str | None = None) -> Pipeline:
+    """Character trigram TF-IDF over whole texts and multinomial logistic regression."""
+    last = LogisticRegression(labelCol="_y", maxIter=iterations, regParam=0.01)
     return Pipeline(stages=[
         StringIndexer(inputCol=label, outputCol="_y", handleInvalid="skip", stringOrderType="alphabetAsc"),
-        RegexTokenizer(inputCol=text, outputCol="_c", pattern=r"[\s\S]", gaps=False, minTokenLength=1),
-        NGram(n=3, inputCol="_c", outputCol="_g"), HashingTF(inputCol="_g", outputCol="_h", numFeatures=dims), IDF(inputCol="_h", outputCol="features"),
-        LogisticRegression(labelCol="_y", maxIter=iterations, regParam=0.01),
+        CharTrigrams(text, "_h", dims), IDF(inputCol="_h", outputCol="features"),
+        last.setWeightCol(weight) if weight else last,
     ])
 
 
+def fit_sentiment(df: DataFrame, ident: str, text: str, label: str, most_labelled: int = 20_000, **options) -> PipelineModel:
+    """``sentiment_pipeline`` fitted on all labelled rows, or on a sample of about ``most_labelled``.
+
+    Labels share the sample evenly, so a rare one is used whole; rows are taken by the hash of ``ident`` and
+    weighted by what their label's sample stands for. Texts are never cut.
+    """
+    ok = df.filter(F.col(label).isNotNull()).select(ident, text, label)
+    left, share = most_labelled, {}
+    found = sorted((n, y) for y, n in ok.groupBy(label).count().collect())
+    for i, (n, y) in enumerate(found):  # what small labels leave goes to the larger ones
+        share[y] = min(1.0, left / (len(found) - i) / n)
+        left -= share[y] * n
+    rate = F.lit(1.0)
+    for y, r in share.items():
+        rate = F.when(F.col(label) == y, r).otherwise(rate)
+    taken = ok.withColumn("_rate", rate).filter(F.pmod(F.xxhash64(ident), F.lit(1 << 20)) < F.col("_rate") * (1 << 20))
+    return sentiment_pipeline(text, label, weight="_weight", **options).fit(taken.select(text, label, (1 / F.col("_rate")).alias("_weight")))
+
+
+def score_sentiment(model: PipelineModel, df: DataFrame, keep: list[str], text: str) -> DataFrame:
+    """(keep, prediction) of every row, labelled or not; ``prediction`` is the label's place in the alphabet."""
+    return PipelineModel(model.stages[1:]).transform(df.select(*keep, text)).select(*keep, F.col("prediction").cast("int").alias("prediction"))
+
+
 def js_distance(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """One row: Jensen-Shannon distance (base 2) of the distributions of ``key`` in two tables."""
     def dist(df: DataFrame, name: str) -> DataFrame:

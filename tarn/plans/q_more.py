@@ -351,10 +351,13 @@ def topic_clusters(spark, d):
 
 @register("sentiment_model")
 def sentiment_model(spark, d):
-    """Character n-gram classifier of the documents' language, scored on all of them."""
-    docs = table(spark, d, "documents").filter("text is not null").withColumn("short", F.substring("text", 1, 400))
-    model = X2.sentiment_pipeline("short", "lang", 1 << 12, 10).fit(docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0))
-    return model.transform(docs).select("doc_id", F.col("prediction").cast("int").alias("prediction"))
+    """Character trigram classifier of the documents' language: every document with a text is scored whole.
+
+    Fitted on whole texts of all labelled documents, or of about ``most_labelled`` (20,000) of them, evenly by language.
+    """
+    docs = table(spark, d, "documents").filter("text is not null")
+    model = X2.fit_sentiment(docs, "doc_id", "text", "lang", most_labelled=20_000)
+    return X2.score_sentiment(model, docs, ["doc_id"], "text")
 
 
 @register("js_distance", """

@@ -157,3 +157,15 @@ def test_models_and_metrics(spark):
     assert r.p_home + r.p_draw + r.p_away == pytest.approx(1) and r.p_draw == pytest.approx(0.08 / 0.98)
     f = df.withColumns({"split": F.lit("train"), "n": F.lit(None).cast("double"), "k": F.lit(1.0)})
     assert M.select_features(f, ["a", "n", "k"]) == ["a"]
+
+
+def test_sentiment_model_reads_whole_texts(spark):
+    opening = "0123456789 " * 60  # 660 characters that say nothing
+    good, bad = "lovely splendid wonderful ", "dreadful horrible rotten "
+    rows = [(i, opening + (good if i % 2 else bad) * 3, "good" if i % 2 else "bad") for i in range(80)]
+    df = spark.createDataFrame([*rows, (100, opening + good, None), (101, opening + bad, None), (102, "", None)], "doc_id long, text string, label string")
+    for most in (1000, 40):
+        model = TX.fit_sentiment(df, "doc_id", "text", "label", most_labelled=most)
+        got = {r.doc_id: r.prediction for r in TX.score_sentiment(model, df, ["doc_id"], "text").collect()}
+        assert len(got) == 83 and all(got[i] == i % 2 for i in range(80)) and got[100] == 1 and got[101] == 0
+    assert TX.trigram_counts("Naïve👍", 1 << 14).sum() == 4 and TX.trigram_counts("ab", 64).sum() == 0
