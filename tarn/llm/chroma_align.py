@@ -6,18 +6,21 @@ quantised to two bits; sixteen of them make one packed 32-bit integer per frame
 with equal fingerprints are one class. Query classes meet the others through equal pairs of integers; the
 histogram of their offsets names an alignment, and the bit errors along it decide.
 
-Recordings shorter than the widest filter have no integers, form one class per recording and match
-nothing (nor do those shorter than two filters), rows with null id are members of a null class; null audio counts as empty. The tables here hold no media, so ``render`` makes one recording per
+Recordings shorter than the widest filter have no integers: those of equal frames and samples are one class,
+and they match nothing else. Recordings with fewer pairs of integers than the votes asked for must lie wholly
+in the other one; they are found without loss by halves of single integers. Rows with null id are members of a null class; null audio counts as empty. The tables here hold no media, so ``render`` makes one recording per
 text: a note per word, whose pitch comes from the word.
 """
 
 from __future__ import annotations
 
+import hashlib
 import io
 import wave
 import zlib
 from collections.abc import Iterator
 from functools import partial
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -144,29 +147,36 @@ def _fingerprints(batches: Iterator[pd.DataFrame], column: str) -> Iterator[pd.D
     for pdf in batches:
         rows = []
         for x in pdf[column]:
-            c = chroma(from_wav(x if column == "audio" else to_wav(notes_of(x))))
-            rows.append((len(c), fingerprint(c)))
-        yield pd.DataFrame({"rec_id": pdf["rec_id"].astype("Int64"), "n_frames": [n for n, _ in rows], "fp": [f for _, f in rows], "fp_crc32": [zlib.crc32(f.tobytes()) for _, f in rows]})
+            samples = from_wav(x if column == "audio" else to_wav(notes_of(x)))
+            c = chroma(samples)
+            f = fingerprint(c)
+            rows.append((len(c), f, None if len(f) else hashlib.md5(samples.tobytes()).hexdigest()))
+        yield pd.DataFrame({"rec_id": pdf["rec_id"].astype("Int64"), "n_frames": [n for n, _, _ in rows], "fp": [f for _, f, _ in rows], "fp_crc32": [zlib.crc32(f.tobytes()) for _, f, _ in rows], "sound": [h for _, _, h in rows]})
 
 
 def fingerprints(recordings: DataFrame, column: str = "audio") -> DataFrame:
-    """(rec_id, n_frames, fp, fp_crc32) of (rec_id, audio), or of the recordings rendered from (rec_id, text).
+    """(rec_id, n_frames, fp, fp_crc32, sound) of (rec_id, audio), or of the recordings rendered from (rec_id, text).
 
     A text's recording is made, read and dropped before the next one, so no batch of audio is held; for
-    stored audio keep ``spark.sql.execution.arrow.maxRecordsPerBatch`` small.
+    stored audio keep ``spark.sql.execution.arrow.maxRecordsPerBatch`` small. ``sound`` is a digest of the
+    samples where they are too few for an integer.
     """
-    return recordings.select("rec_id", column).mapInPandas(partial(_fingerprints, column=column), "rec_id long, n_frames long, fp array<int>, fp_crc32 long")
+    return recordings.select("rec_id", column).mapInPandas(partial(_fingerprints, column=column), "rec_id long, n_frames long, fp array<int>, fp_crc32 long, sound string")
 
 
-def _bit_errors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _bit_errors(batches: Iterator[pd.DataFrame], most_error: float) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        shared, errors = [], []
-        for a, b, off in zip(pdf["q_fp"], pdf["fp"], pdf["offset"], strict=True):
-            lo, hi = max(0, -off), min(len(a), len(b) - off)
-            x = np.asarray(a[lo:hi], np.int32) ^ np.asarray(b[lo + off : hi + off], np.int32)
-            shared.append(hi - lo)
-            errors.append(float(np.unpackbits(x.view(np.uint8)).sum()) / (32 * max(1, hi - lo)))
-        yield pdf[["class_id", "match_id", "offset", "votes"]].assign(shared=shared, bit_error=errors)
+        rows = []
+        for q, m, a, b, offsets in zip(pdf["class_id"], pdf["match_id"], pdf["q_fp"], pdf["fp"], pdf["offsets"], strict=True):
+            a, b = np.asarray(a, np.int32), np.asarray(b, np.int32)
+            for o in sorted(offsets, key=lambda o: (-o["votes"], abs(o["offset"]), -o["offset"])):
+                off = int(o["offset"])
+                lo, hi = max(0, -off), min(len(a), len(b) - off)
+                error = float(np.unpackbits((a[lo:hi] ^ b[lo + off : hi + off]).view(np.uint8)).sum()) / (32 * max(1, hi - lo))
+                if error <= most_error:
+                    rows.append((q, m, off, o["votes"], hi - lo, error))
+                    break
+        yield pd.DataFrame(rows, columns=["class_id", "match_id", "offset", "votes", "shared", "bit_error"])
 
 
 def align(prints: DataFrame, is_query: Column, votes: int = 4, most_error: float = 0.1) -> DataFrame:
@@ -174,29 +184,47 @@ def align(prints: DataFrame, is_query: Column, votes: int = 4, most_error: float
     bit_error) in one table, told apart by ``kind``.
 
     is_query: condition on rec_id; a class with such a member is searched for in all classes.
-    votes: equal keys that an offset needs. A key is two integers of adjacent, separate windows: one
-    alone has so few bits of its own that chance hits would grow with the square of the input. most_error: largest share of differing bits.
+    votes: equal keys that an offset needs where the shorter recording has 8 * votes keys; an eighth of its keys
+    where it has fewer, one at least. A key is two integers of adjacent, separate windows: one alone has so few
+    bits of its own that chance hits would grow with the square of the input. Recordings with fewer keys than
+    ``votes`` lie whole in the other one or not at all, so one integer has at most the mean number of wrong bits
+    and one half of it at most half of those: halves of integers are their keys, with so many bits flipped on the
+    short side. most_error: largest share of differing bits. All offsets with enough votes are tried; of those that pass, the one of most votes is named.
     """
     tmp = Scratch(prints.sparkSession)
-    key = F.when(F.size("fp") > 0, F.md5(F.concat_ws(",", F.transform("fp", lambda x: x.cast("string"))))).otherwise(F.concat(F.lit("short/"), F.coalesce(F.col("rec_id").cast("string"), F.lit(""))))
+    key = F.when(F.size("fp") > 0, F.md5(F.concat_ws(",", F.transform("fp", lambda x: x.cast("string"))))).otherwise(F.concat_ws("/", F.lit("short"), "n_frames", "sound"))
     seen = tmp.put(prints.withColumn("key", key), "prints")
     classes = seen.groupBy("key").agg(F.min("rec_id").alias("class_id"), F.max(is_query.cast("int")).alias("asks"))
     reps = tmp.put(seen.select("key", F.col("rec_id").alias("class_id"), "fp").join(classes, ["key", "class_id"]).select("class_id", "asks", "fp").dropDuplicates(["class_id"]), "reps")
     next_fp = F.slice("fp", WIDEST + 1, F.greatest(F.size("fp") - WIDEST, F.lit(0)))
-    two = reps.select("class_id", "asks", F.posexplode(F.arrays_zip(F.col("fp").alias("a"), next_fp.alias("b"))).alias("at", "w"))
-    posted = two.filter("w.b is not null").select("class_id", "asks", "at", F.xxhash64("w.a", "w.b").alias("value"))
-    asked = posted.filter("asks = 1").select(F.col("class_id").alias("q"), F.col("at").alias("q_at"), "value")
-    hits = (
-        posted.select(F.col("class_id").alias("match_id"), "at", "value")
-        .join(asked, "value")
-        .filter("match_id <> q")
-        .groupBy("q", "match_id", (F.col("at") - F.col("q_at")).alias("offset"))
-        .agg(F.count("*").alias("votes"))
-        .filter(F.col("votes") >= votes)
-    )
-    best = hits.groupBy("q", "match_id").agg(F.max_by("offset", F.struct("votes", -F.abs("offset"), "offset")).alias("offset"), F.max("votes").alias("votes"))
+    least = WIDEST + votes  # integers of a recording with ``votes`` keys
+    n = F.size("fp").alias("n")
+    two = reps.filter(F.size("fp") >= least).select("class_id", "asks", n, F.posexplode(F.arrays_zip(F.col("fp").alias("a"), next_fp.alias("b"))).alias("at", "w"))
+    posted = two.filter("w.b is not null").select("class_id", "asks", "n", "at", F.lit(0).alias("w"), F.xxhash64("w.a", "w.b").alias("value"))
+    halves = lambda x: F.array(F.shiftrightunsigned(x, 16), x.bitwiseAND(0xFFFF).bitwiseOR(1 << 16))
+    one = reps.select("class_id", "asks", n, F.posexplode("fp").alias("at", "w")).select("class_id", "asks", "n", "at", "w", F.explode(halves(F.col("w"))).alias("value"))
+    wrong = int(32 * most_error)  # bits of one integer
+    flips = [sum(1 << i for i in c) for r in range(wrong // 2 + 1) for c in combinations(range(16), r)]
+    few = one.filter(F.col("n") < least).withColumn("value", F.explode(F.array(*[F.col("value").bitwiseXOR(m) for m in flips])))
+
+    def met(posted: DataFrame, asked: DataFrame, needed: Column) -> DataFrame:
+        asked = asked.filter("asks = 1").select(F.col("class_id").alias("q"), F.col("at").alias("q_at"), F.col("n").alias("q_n"), F.col("w").alias("q_w"), "value")
+        return (
+            posted.select(F.col("class_id").alias("match_id"), "at", "n", "w", "value")
+            .join(asked, "value")
+            .filter((F.col("match_id") != F.col("q")) & (F.bit_count(F.col("w").bitwiseXOR(F.col("q_w")).cast("long").bitwiseAND(0xFFFFFFFF)) <= wrong))
+            .groupBy("q", "match_id", "n", "q_n", (F.col("at") - F.col("q_at")).alias("offset"))
+            .agg(F.count("*").alias("votes"))
+            .filter(F.col("votes") >= needed)
+        )
+
+    shorter = F.least("n", "q_n")
+    eighth = F.greatest(F.lit(1), F.least(F.lit(votes), F.floor((shorter - WIDEST) / 8)))
+    hits = met(posted, posted, eighth).unionByName(met(one, few, F.lit(1))).unionByName(met(few, one.filter(F.col("n") >= least), F.lit(1)))
+    shared = F.least(F.col("q_n"), F.col("n") - F.col("offset")) - F.greatest(F.lit(0), -F.col("offset"))
+    tried = hits.filter(shared >= F.least(shorter, F.lit(least))).groupBy("q", "match_id").agg(F.collect_list(F.struct("votes", "offset")).alias("offsets"))
     fps = reps.select("class_id", "fp")
-    both = best.join(fps.select(F.col("class_id").alias("match_id"), "fp"), "match_id").join(fps.select(F.col("class_id").alias("q"), F.col("fp").alias("q_fp")), "q")
-    pairs = both.select(F.col("q").alias("class_id"), "match_id", "offset", "votes", "fp", "q_fp").mapInPandas(_bit_errors, "class_id long, match_id long, offset int, votes long, shared long, bit_error double").filter(F.col("bit_error") <= most_error)
+    both = tried.join(fps.select(F.col("class_id").alias("match_id"), "fp"), "match_id").join(fps.select(F.col("class_id").alias("q"), F.col("fp").alias("q_fp")), "q")
+    pairs = both.select(F.col("q").alias("class_id"), "match_id", "offsets", "fp", "q_fp").mapInPandas(partial(_bit_errors, most_error=most_error), "class_id long, match_id long, offset int, votes long, shared long, bit_error double")
     members = seen.join(classes, "key").select(F.lit("member").alias("kind"), "rec_id", "class_id", "n_frames", "fp_crc32")
     return members.unionByName(pairs.withColumn("kind", F.lit("pair")), allowMissingColumns=True)

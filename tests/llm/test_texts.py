@@ -190,3 +190,15 @@ def test_recordings_align(spark):
     assert len(member) == 8 and member[100] == member[3] == 3 and member[5] == 5
     assert pairs[1] == (3, -60) and pairs[4] == (3, 0) and 2 not in pairs and 6 not in pairs
     assert chroma_align.from_wav(chroma_align.to_wav(chroma_align.notes_of("a b"))).shape == (512,)
+
+
+def test_short_and_edited_recordings_align(spark):
+    words = [f"w{n}" for n in np.random.default_rng(8).integers(0, 10_000, 300)]
+    texts = {100: words[:120], 1: words[40:55], 2: words[70:79], 200: words[200:204], 3: words[200:204], 4: words[201:204], 5: words[20:44], 300: words[150:164], 6: words[140:190]}
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "rec_id long, text string")
+    rows = chroma_align.align(chroma_align.fingerprints(df, "text"), F.col("rec_id") % 100 == 0).collect()
+    member = {r.rec_id: r.class_id for r in rows if r.kind == "member"}
+    pairs = {(r.class_id, r.match_id): r for r in rows if r.kind == "pair"}
+    assert member[200] == member[3] == 3 and member[4] == 4  # exact copies of four words
+    assert [pairs[100, i].offset for i in (1, 2, 5)] == [-40, -70, -20] and pairs[100, 2].shared == 1
+    assert pairs[300, 6].offset == 10 and pairs[300, 6].shared == 6 and pairs[100, 1].shared == 7
