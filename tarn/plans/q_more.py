@@ -319,7 +319,7 @@ def training_snapshot(spark, d):
 
 @register("elo_by_group")
 def elo_by_group(spark, d):
-    e = table(spark, d, "events").select((F.col("user_id") % 5).alias("grp"), "event_id", F.year("ts").alias("season"), F.col("ts").cast("timestamp").alias("at"), (F.col("user_id") % 40).cast("string").alias("home"), (F.col("event_id") % 41 + 40).cast("string").alias("away"), (F.col("value") % 4).cast("int").alias("hg"), (F.col("event_id") % 3).cast("int").alias("ag"))
+    e = table(spark, d, "events").select(F.col("user_id").alias("grp"), "event_id", F.year("ts").alias("season"), F.col("ts").cast("timestamp").alias("at"), (F.col("user_id") % 40).cast("string").alias("home"), (F.col("event_id") % 41 + 40).cast("string").alias("away"), (F.col("value") % 4).cast("int").alias("hg"), (F.col("event_id") % 3).cast("int").alias("ag"))
     return elo(e, "grp", "season", ["at"], "home", "away", "hg", "ag", "event_id")
 
 

@@ -40,28 +40,35 @@ COLUMNS = "home_elo_before double, away_elo_before double, elo_diff double, home
 def elo(matches: DataFrame, group: str, season: str, order: list[str], home: str, away: str, hg: str, ag: str, ident: str, k: float = 20, edge: float = 60, start: float = 1500, regress: float = 0.25) -> DataFrame:
     """Ratings before each match of a group (competition), which is rated in order in one task.
 
-    A group is a competition's history, thousands of rows; entities of two groups have two ratings.
+    Matches arrive sorted, batch by batch; only the ratings of the group at hand are held, never its matches.
+    Entities of two groups have two ratings.
     At a new season ratings go back towards the start by ``regress``; unplayed matches change nothing.
     """
     kind = {f.name: f.dataType.simpleString() for f in matches.schema}
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([*order, ident], kind="stable")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rating: dict = {}
-        now, rows = None, []
-        for r in pdf[[group, ident, season, home, away, hg, ag]].itertuples(index=False, name=None):
-            if now is not None and r[2] != now:
-                rating = {t: start + (1 - regress) * (v - start) for t, v in rating.items()}
-            now = r[2]
-            h, a = rating.get(r[3], start), rating.get(r[4], start)
-            done = not (pd.isna(r[5]) or pd.isna(r[6]))
-            delta, e = elo_step(h, a, int(r[5]), int(r[6]), k, edge) if done else (0.0, _expected(h + edge - a))
-            rows.append((r[0], r[1], h, a, h + edge - a, e))
-            rating[r[3]], rating[r[4]] = h + delta, a - delta
-        return pd.DataFrame(rows, columns=[group, ident, "home_elo_before", "away_elo_before", "elo_diff", "home_expected"])
+        at, now = (), None
+        for pdf in batches:
+            rows = []
+            for r in pdf[[group, season, home, away, hg, ag]].itertuples(index=False, name=None):
+                g = (None if pd.isna(r[0]) else r[0],)
+                if g != at:
+                    at, rating, now = g, {}, None
+                if now is not None and r[1] != now:
+                    rating = {t: start + (1 - regress) * (v - start) for t, v in rating.items()}
+                now = r[1]
+                h, a = rating.get(r[2], start), rating.get(r[3], start)
+                done = not (pd.isna(r[4]) or pd.isna(r[5]))
+                delta, e = elo_step(h, a, int(r[4]), int(r[5]), k, edge) if done else (0.0, _expected(h + edge - a))
+                rows.append((h, a, h + edge - a, e))
+                rating[r[2]], rating[r[3]] = h + delta, a - delta
+            new = pd.DataFrame(rows, columns=["home_elo_before", "away_elo_before", "elo_diff", "home_expected"], index=pdf.index)
+            yield pd.concat([pdf[[group, ident]], new], axis=1)
 
     cols = [*dict.fromkeys([group, ident, season, *order, home, away, hg, ag])]
-    return matches.select(*cols).groupBy(group).applyInPandas(run, f"{group} {kind[group]}, {ident} {kind[ident]}, {COLUMNS}")
+    dealt = matches.select(*cols).repartition(group).sortWithinPartitions(group, *[F.asc_nulls_last(c) for c in [*order, ident]])
+    return dealt.mapInPandas(run, f"{group} {kind[group]}, {ident} {kind[ident]}, {COLUMNS}")
 
 
 class EloState(StatefulProcessor):

@@ -94,3 +94,19 @@ def test_elo_order_and_stream(spark, tmp_path):
     q.awaitTermination(120)
     s = {r.match_id: round(r.home_elo_before, 6) for r in spark.table("elo").collect()}
     assert s == {r.match_id: round(r.home_elo_before, 6) for r in elo(one, "grp", "season", ["ord"], "home", "away", "hg", "ag", "match_id").collect()}
+
+
+def test_elo_holds_no_group_whole(spark):
+    rows = [(g, i, 2025 + i // 20, i, f"t{i % 3}", f"t{3 + i % 4}", i % 4, i % 3 if i % 7 else None) for g in (1, 2, None) for i in range(40)]
+    m = spark.createDataFrame(rows, "grp long, match_id long, season int, ord long, home string, away string, hg int, ag int")
+    args = ("grp", "season", ["ord"], "home", "away", "hg", "ag", "match_id")
+    whole = sorted(elo(m, *args).collect(), key=str)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        df = elo(m.orderBy(F.desc("ord")), *args)
+        assert sorted(df.collect(), key=str) == whole and len(whole) == 120
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "FlatMapGroupsInPandas" not in df._jdf.queryExecution().toString()
+    by = {g: {r.match_id: r[2:] for r in whole if r.grp == g} for g in (1, 2, None)}
+    assert by[1] == by[2] == by[None] and by[1][39][0] != 1500
