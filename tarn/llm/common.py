@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -12,17 +13,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_SCOPES: list[str] = []
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a local one only where none is set (tests)."""
+    """The shared folder that the cluster names; a local one only where none is set in local mode (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
 def new_path(spark: SparkSession, tag: str) -> str:
-    return f"{scratch_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    return "/".join([scratch_dir(spark), *_SCOPES, f"{tag}-{uuid.uuid4().hex}"])
+
+
+@contextmanager
+def scope(spark: SparkSession, tag: str) -> Iterator[None]:
+    """Scratch tables made inside are deleted at the end; write what should stay before, outside of it."""
+    _SCOPES.append(f"{tag}-{uuid.uuid4().hex}")
+    path = "/".join([scratch_dir(spark), *_SCOPES])
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        remove(spark, path)
 
 
 class Scratch:
@@ -97,33 +115,45 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return lab
 
 
+def hot_join(left: DataFrame, right: DataFrame, on: str, weight: str, how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right`` (unique ``on``), where ``weight`` tells how many rows of ``left`` a key has.
+
+    Keys with over 1,000 rows and over a two-thousandth of all, so fewer than 2,000 keys, are joined by
+    broadcast and never meet in one task; rows without a key do not meet either. ``weight`` is dropped.
+    """
+    cut = max(1000.0, float(right.agg(F.sum(weight)).first()[0] or 0) / 2000)
+    hot, cold = (right.filter(c).drop(weight) for c in (F.col(weight) > cut, F.col(weight) <= cut))
+    keyed = left.filter(F.col(on).isNotNull())
+    parts = keyed.join(F.broadcast(hot), on).unionByName(keyed.join(F.broadcast(hot.select(on)), on, "left_anti").join(cold, on, how))
+    if how == "left":
+        kinds = {f.name: f.dataType for f in right.schema.fields}
+        none = [F.lit(None).cast(kinds[c]).alias(c) for c in hot.columns if c != on]
+        parts = parts.unionByName(left.filter(F.col(on).isNull()).select("*", *none))
+    return parts
+
+
 def connected_components(edges: DataFrame, a: str, b: str, scratch: Scratch) -> DataFrame:
     """(id, component): the smallest id reachable from each id that occurs in a link.
 
-    Large-star and small-star rounds over (low, high) links, each a pre-aggregated minimum and an
-    equi join (adaptive execution splits a hot centre); each round is written to the shared folder.
+    Large-star and small-star rounds over (low, high) links, each a pre-aggregated minimum and an equi
+    join in which hot centres are broadcast; each round is written to the shared folder.
     """
-    spark = edges.sparkSession
     cur = scratch.put(
         edges.filter(F.col(a) != F.col(b)).select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).distinct(), "cc"
     )
     seen = None
     while True:
-        sig = cur.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"), F.countDistinct("v").alias("d")).first()
+        sig = cur.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if sig["n"] == 0 or (sig["n"], sig["h"]) == seen:
             break
         seen = (sig["n"], sig["h"])
         sym = cur.select(F.col("u").alias("x"), F.col("v").alias("y")).union(cur.select("v", "u"))
-        low = sym.groupBy("x").agg(F.min("y").alias("lo")).select("x", F.least("x", "lo").alias("lo"))
-        large = sym.join(low, "x").filter("y > x").select(F.col("lo").alias("u"), F.col("y").alias("v"))
-        low2 = large.groupBy("v").agg(F.min("u").alias("lo"))
-        small = large.join(low2, "v").filter("u > lo").select(F.col("lo").alias("u"), F.col("u").alias("v"))
+        low = scratch.put(sym.groupBy("x").agg(F.least("x", F.min("y")).alias("lo"), F.count("*").alias("c")), "low")
+        large = scratch.put(hot_join(sym, low, "x", "c").filter("y > x").select(F.col("lo").alias("u"), F.col("y").alias("v")), "large")
+        low2 = scratch.put(large.groupBy("v").agg(F.min("u").alias("lo"), F.count("*").alias("c")), "low")
+        small = hot_join(large, low2, "v", "c").filter("u > lo").select(F.col("lo").alias("u"), F.col("u").alias("v"))
         nxt = scratch.put(low2.select(F.col("lo").alias("u"), "v").union(small).distinct(), "cc")
-        scratch.free(cur)
+        scratch.free(cur, low, large, low2)
         cur = nxt
     stars = cur.select(F.col("v").alias("id"), F.col("u").alias("component"))
     return stars.union(cur.select("u", F.col("u").alias("c")).distinct())
-
-
-def spark_of(df: DataFrame) -> SparkSession:
-    return df.sparkSession
