@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -97,6 +98,88 @@ def test_redaction(spark):
     assert secret_scan.redact(docs(spark, [])).count() == 0
 
 
+@pytest.fixture(scope="module")
+def tables():
+    rows = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist()
+    return secret_scan.calibrate(sum(secret_scan.pair_counts(t) for t in rows if t)), " ".join(t for t in rows[:300] if t).split()
+
+
+def test_pair_counts_by_brute_force():
+    text, want = "Ab-c é/_9\n=Ab", np.zeros((64, 64), int)
+    kept = [secret_scan.WIDE.index({"-": "+", "_": "/"}.get(c, c)) for c in text if c in secret_scan.WIDE + "-_"]
+    for a, b in zip(kept, kept[1:]):
+        want[a, b] += 1
+    assert (secret_scan.pair_counts(text).reshape(64, 64) == want).all() and secret_scan.pair_counts("").sum() == 0
+
+
+def test_power_of_the_battery(tables):
+    """Share of uniform random strings found at p < 0.01, by alphabet and length."""
+    rng, fitted = np.random.default_rng(0), tables[0]
+    up, low, dig = (__import__("string").ascii_uppercase, __import__("string").ascii_lowercase, "0123456789")
+    alphabets = {"base64": up + low + dig + "+/", "base64url": up + low + dig + "-_", "base32": up + "234567", "hex": dig + "abcdef", "upper hex": dig + "ABCDEF", "base36": dig + low, "letters": up + low}
+    share = {(k, n): np.mean([secret_scan.battery("".join(rng.choice(list(a), n)), fitted) < 0.01 for _ in range(200)]) for k, a in alphabets.items() for n in (32, 40)}
+    assert all(v >= (0.75 if k == ("letters", 32) else 0.9) for k, v in share.items()), share
+    assert secret_scan.battery("1" * 8 + "2345678901234567890", fitted) == 1 and secret_scan.battery("x" * 40, fitted) > 0.5
+    assert secret_scan.battery("x" * 19, fitted) == 1 and secret_scan.battery("Zx8" * 900, fitted) <= 1
+
+
+def test_false_discoveries_among_generated_text(tables):
+    fitted, words = tables
+    rng, words = np.random.default_rng(1), [w for w in words if w.isascii() and w.isalpha()]
+
+    def glued(n):
+        k, out = int(rng.integers(5)), ""
+        at = int(rng.integers(len(words) - 60))
+        while len(out) < n:
+            w, at = words[at], at + 1
+            out += (w.lower(), w.capitalize(), w.lower() + "_", w.lower() + "-", w.upper() + "_")[k] if rng.random() > 0.15 or k == 0 else str(rng.integers(10_000))
+        return out[:n]
+
+    texts = [glued(int(n)) for n in rng.integers(20, 80, 900)] + ["".join(rng.choice(list(secret_scan.WIDE), n)) for n in rng.integers(24, 64, 100)]
+    counts, found = np.zeros((secret_scan.BANDS, secret_scan.BINS), int), []
+    for i, t in enumerate(texts):
+        for *_, band, b in secret_scan.candidates(t, fitted):
+            counts[band, b] += 1
+            found.append((i >= 900, band, b))
+    cuts = secret_scan.step_up(counts, 0.05)
+    hits = [true for true, band, b in found if b >= cuts[band]]
+    assert sum(hits) >= 70 and len(hits) - sum(hits) <= 0.05 * len(hits) + 3
+
+
+def test_step_up_equals_a_plain_one():
+    """Ordered candidates one by one, each p over its band's weight."""
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        rows = [(int(rng.integers(secret_scan.BANDS)), int(rng.choice([0, 5, 30, 70, 120]) + rng.integers(5))) for _ in range(60)]
+        counts = np.zeros((secret_scan.BANDS, secret_scan.BINS), int)
+        for r in rows:
+            counts[r] += 1
+        weight = 2 ** (np.arange(secret_scan.BANDS) / 2)
+        weight /= np.mean([weight[b] for b, _ in rows])
+        ps = sorted((10 ** (-x / secret_scan.BIN) / weight[b], b, x) for b, x in rows)
+        last = max((i for i, (p, _, _) in enumerate(ps, 1) if p <= 0.05 * i / len(ps)), default=0)
+        want = {(b, x) for p, b, x in ps if last and p <= ps[last - 1][0] * (1 + 1e-12)}
+        cuts = secret_scan.step_up(counts, 0.05)
+        assert {(b, x) for b, x in rows if x >= cuts[b]} == want
+
+
+def test_spans_added_by_the_battery_by_brute_force(spark):
+    texts = SECRETS * 2 + ["see " + "Qz7" * 3 + "x9KfLw2PvTb4Rm8Jc and more", "plain words only"]
+    df = docs(spark, texts)
+    fitted = secret_scan.fit(df)
+    for r in secret_scan.scan(df).collect():
+        t, want = texts[r.doc_id] or "", []
+        base = brute_spans(t)
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]+", t):
+            n = m.end() - m.start()
+            if n >= 20 and not any(s < m.end() and m.start() < e for s, _, e in base):
+                p = max(secret_scan.battery(m[0], fitted[0]), 1e-60)
+                band = sum(n >= 2**k for k in range(5, 10))
+                if int(-secret_scan.BIN * np.log10(p)) >= fitted[1][band]:
+                    want.append((m.start(), 3, m.end()))
+        assert r.spans == ",".join(f"{secret_scan.KINDS[k]}:{s}:{e}" for s, k, e in sorted(base + want))
+
+
 def test_step_up_is_the_weighted_procedure():
     counts = np.zeros((secret_scan.BANDS, secret_scan.BINS), np.int64)
     counts[0, 60] = 5
