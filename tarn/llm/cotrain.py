@@ -1,15 +1,17 @@
 """Document quality by co-training.
 
-Two views describe a document: its text content (hashed word endings and their repetition) and what a
-page's metadata tells (language, source, length, line and character statistics). Each view has its own
-logistic regression. Over some rounds, each one labels those documents of an unlabelled pool of which
-it is sure, and these join the other one's training rows. Both are then calibrated on held-out labelled
-rows and their calibrated log-odds are averaged for every document.
-
-Fitting uses bounded hash samples of labelled and unlabelled rows (``most_labelled``, ``most_pool``);
-scoring covers all rows and whole texts. Null, empty and blank texts score 0; without labels of both
-classes every other document scores 0.5 and is kept; repeated rows are each scored; a label that
-repeats counts by its largest quality.
+Two views describe a document. The text view holds its content: hashed words, word pairs and character
+trigrams by relative frequency, repetition, and shares of character kinds. The metadata view holds what
+can be known without reading the words: language and source (one-hot by hash), length, and layout (lines and
+their lengths). Each view has its own logistic regression. In every round both score all unlabelled
+documents; those of which one view is sure become training rows of the other one. In the end each view
+is calibrated on held-out labelled rows, and a two-weight regression on the same rows combines their log-odds.
+
+Fits use bounded samples: at most about ``most_labelled`` labelled rows, and per view and round at most about
+``most_new`` pseudo-labelled ones, drawn by hash evenly over label, language and source from all of which the
+other view is sure. Scoring covers all rows and whole texts. Null, empty and blank texts score 0;
+without labels of both classes every other document scores 0.5 and is kept; repeated rows are each
+scored; a label that repeats counts by its largest quality. Rows with null id are scored, but teach nothing.
 """
 
 from __future__ import annotations
@@ -21,77 +23,159 @@ from functools import partial
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import SparseVector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarn.llm.common import Scratch
-
-ENDINGS = 1024  # hashed features of word endings
-TEXT, META = ENDINGS + 2, 26
-
-
-def features(text: str | None, lang: str | None, source: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """The text-content view and the page-metadata view of a document."""
-    t, m = np.zeros(TEXT, np.float32), np.zeros(META, np.float32)
-    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
-    m[0] = 1
-    m[1 + zlib.crc32((lang or "").encode()) % 4] = 1
-    m[5 + zlib.crc32((source or "").encode()) % 8] = 0.3
-    if not len(raw):
-        return t, m
-    word = raw > 32
-    ends = np.flatnonzero(word & ~np.r_[word[1:], False])
-    n = len(ends)
-    if not n:
-        return t, m
-    p = np.maximum(ends[:, None] - np.arange(3), 0)
-    c = np.where(word[p], raw[p], 0).astype(np.uint32)
-    h = (c[:, 0] * np.uint32(0x9E3779B1)) ^ (c[:, 1] * np.uint32(0x85EBCA6B)) ^ (c[:, 2] * np.uint32(0xC2B2AE35))
-    h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-    t[:ENDINGS] = np.sqrt(np.bincount(h >> np.uint32(22), minlength=ENDINGS) / n)
-    words = text.split()
-    t[ENDINGS] = len(set(words)) / max(1, len(words))
-    t[ENDINGS + 1] = sum(a == b for a, b in zip(words, words[1:], strict=False)) / max(1, len(words))
-    size = len(raw)
-    upper = np.count_nonzero((raw >= 65) & (raw <= 90))
-    digit = np.count_nonzero((raw >= 48) & (raw <= 57))
-    lower = np.count_nonzero((raw >= 97) & (raw <= 122) | (raw >= 128))
-    lines = 1 + np.count_nonzero(raw == 10)
-    symbols = size - upper - digit - lower - np.count_nonzero(~word)
-    bars = np.count_nonzero(raw == 124)
-    stops = np.count_nonzero((raw == 46) | (raw == 44))
-    m[13:26] = [np.log1p(size) / 10, np.log1p(n) / 10, min(40, size / n) / 10, upper / size * 4, digit / size * 4, symbols / size * 4, lower / size, np.log1p(lines) / 5, lines / n * 5, (symbols - stops) / n, bars / n * 2, stops / n * 3, upper > lower]
-    return t, m
+from tarn.llm.common import Scratch, mix64
+
+BUCKETS = 2048  # of words, of word pairs, and of character trigrams
+LANGS, SOURCES = 64, 1024
+TEXT_STATS, META_STATS = 10, 6
+TEXT, META = 3 * BUCKETS + TEXT_STATS, LANGS + SOURCES + META_STATS
+SLICE = 1 << 19  # bytes of text that are looked at together
+_ODD, _POWERS = np.uint64(0x9E3779B97F4A7C15), {}
+# Kinds of bytes: lower case and beyond ASCII, upper case, digit, white space, full stop or comma, bar, other sign.
+_KIND = np.full(256, 6, np.int64)
+_KIND[97:123], _KIND[128:], _KIND[65:91], _KIND[48:58], _KIND[:33], _KIND[[44, 46]], _KIND[124] = 0, 0, 1, 2, 3, 4, 5
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, modulo 2**64."""
+    if len(_POWERS.get("up", ())) < n:
+        for name, x in (("up", int(_ODD)), ("down", pow(int(_ODD), -1, 1 << 64))):
+            seq = np.full(n, np.uint64(x))
+            seq[0] = 1
+            with np.errstate(over="ignore"):
+                _POWERS[name] = np.multiply.accumulate(seq)
+    return _POWERS["up"][:n], _POWERS["down"][:n]
+
+
+class Slice:
+    """Features of some documents at once: (document, feature) pairs of the text view, and both views' statistics."""
+
+    def __init__(self, texts: list[bytes]):
+        m, lens = len(texts), np.array([len(t) + 1 for t in texts])
+        raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+        doc = np.repeat(np.arange(m), lens)
+        size = np.maximum(1, lens - 1)
+        word = raw > 32
+        first = np.flatnonzero(word & ~np.r_[False, word[:-1]])
+        last = np.flatnonzero(word & ~np.r_[word[1:], False])
+        up, down = _powers(len(raw) + 1)
+        with np.errstate(over="ignore"):
+            total = np.r_[np.uint64(0), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)])]
+            h = mix64((total[last + 1] - total[first]) * down[first])
+            wdoc = doc[first]
+            near = wdoc[1:] == wdoc[:-1]
+            pairs = mix64(h[:-1] * np.uint64(3) + h[1:])[near]
+            tri = (raw[:-2].astype(np.uint32) | raw[1:-1].astype(np.uint32) << np.uint32(8) | raw[2:].astype(np.uint32) << np.uint32(16)) * np.uint32(0x9E3779B1)
+        inside = np.flatnonzero(doc[:-2] == doc[2:]) if len(raw) > 2 else np.empty(0, np.int64)
+        n = np.bincount(wdoc, minlength=m)
+        self.n_words, self.docs, words = n, m, np.maximum(1, n)
+        # the three groups of pairs: document, bucket, and what one occurrence counts
+        self.groups = [
+            (wdoc, (h >> np.uint64(53)).astype(np.int64), 1 / words),
+            (wdoc[1:][near], (pairs >> np.uint64(53)).astype(np.int64) + BUCKETS, 1 / words),
+            (doc[inside], (tri[inside] >> np.uint32(21)).astype(np.int64) + 2 * BUCKETS, 1 / size),
+        ]
+        kinds = np.bincount(doc * 7 + _KIND[raw], minlength=7 * m).reshape(m, 7).astype(float)
+        kinds[:, 3] -= 1  # the blank after each document
+        distinct = np.bincount((np.unique(wdoc.astype(np.uint64) << np.uint64(44) | h >> np.uint64(20)) >> np.uint64(44)).astype(np.int64), minlength=m)
+        again = np.bincount(wdoc[1:][near & (h[1:] == h[:-1])], minlength=m)
+        length = np.bincount(wdoc, last - first + 1, minlength=m) / words
+        share = kinds / size[:, None]
+        self.text = np.column_stack([distinct / words, again / words, np.minimum(40, length) / 10, share[:, 1] * 4, share[:, 2] * 4, share[:, 6] * 4, share[:, 0], kinds[:, 5] / words, kinds[:, 4] / words, kinds[:, 1] > kinds[:, 0]])
+        ends = raw == 10
+        lines = 1 + np.bincount(doc[ends], minlength=m)
+        blank = np.bincount(doc[1:][ends[1:] & ends[:-1]], minlength=m)
+        self.meta = np.column_stack([np.log1p(lens - 1) / 10, np.log1p(lines) / 5, np.minimum(1, (lens - 1) / lines / 1000), blank / lines, np.log1p((lens - 1) / lines) / 10, lens < 100])
+
+    def text_odds(self, w: np.ndarray, b: float) -> np.ndarray:
+        out = self.text @ w[3 * BUCKETS :] + b
+        for doc, feature, each in self.groups:
+            out += np.bincount(doc, w[feature], minlength=self.docs) * each
+        return out
+
+    def text_rows(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(indices, values) of each document's text view."""
+        key = np.concatenate([d * TEXT + f for d, f, _ in self.groups])
+        value = np.concatenate([each[d] for d, _, each in self.groups])
+        key, at = np.unique(key, return_inverse=True)
+        value = np.bincount(at, value, minlength=len(key))
+        cuts = np.searchsorted(key, np.arange(self.docs + 1) * TEXT)
+        tail = np.arange(3 * BUCKETS, TEXT)
+        return [(np.r_[key[a:b] - i * TEXT, tail], np.r_[value[a:b], self.text[i]]) for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))]
+
+
+def _origin(langs: pd.Series, sources: pd.Series) -> np.ndarray:
+    """Indices of language and source in the metadata view."""
+    def place(x: str | None, n: int) -> int:
+        return zlib.crc32((x or "").encode("utf-8", "surrogatepass")) % n
+
+    return np.array([(place(a, LANGS), LANGS + place(b, SOURCES)) for a, b in zip(langs, sources, strict=True)]).reshape(-1, 2)
+
+
+def _slices(pdf: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, Slice, np.ndarray]]:
+    """Slices of the rows with their features and origins."""
+    texts = [(t or "").encode("utf-8", "surrogatepass") for t in pdf["text"]]
+    ends = np.cumsum([len(t) for t in texts])
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE)))
+        part = pdf.iloc[at:to]
+        yield part, Slice(texts[at:to]), _origin(part["lang"], part["source"])
+        at = to
+
+
+def _odds(s: Slice, origin: np.ndarray, model: dict) -> tuple[np.ndarray, np.ndarray]:
+    (wt, bt), (wm, bm) = model["t"], model["m"]
+    return np.clip(s.text_odds(wt, bt), -30, 30), np.clip(s.meta @ wm[LANGS + SOURCES :] + wm[origin].sum(axis=1) + bm, -30, 30)
 
 
 def _measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        both = [features(*x) for x in zip(pdf["text"], pdf["lang"], pdf["source"], strict=True)]
-        yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "t": [a.astype(float) for a, _ in both], "m": [b.astype(float) for _, b in both]})
+        for part, s, origin in _slices(pdf):
+            rows, tail = s.text_rows(), np.arange(LANGS + SOURCES, META)
+            out = part[["doc_id", "y", "yt", "ym"]].copy()
+            out["ti"], out["tv"] = [i for i, _ in rows], [v for _, v in rows]
+            out["mi"] = [np.r_[o, tail] for o in origin]
+            out["mv"] = [np.r_[1.0, 1.0, x] for x in s.meta]
+            yield out
 
 
-def _fit(rows: DataFrame, view: str, label: str, reg: float, iterations: int = 25) -> tuple[np.ndarray, float] | None:
-    """Weights and intercept; None unless both classes occur."""
-    if rows.filter(F.col(label).isNotNull()).select(label).distinct().count() < 2:
-        return None
-    lr = LogisticRegression(featuresCol="v", labelCol="l", weightCol="w", maxIter=iterations, regParam=reg)
-    m = lr.fit(rows.filter(F.col(label).isNotNull()).select(array_to_vector(view).alias("v"), F.col(label).cast("double").alias("l"), F.when(F.col("y").isNotNull(), 1.0).otherwise(0.3).alias("w")))
-    return m.coefficients.toArray(), float(m.intercept)
+MEASURED = "doc_id long, y int, yt int, ym int, ti array<int>, tv array<double>, mi array<int>, mv array<double>"
+
+
+def _guess(batches: Iterator[pd.DataFrame], model: dict) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for part, s, origin in _slices(pdf):
+            ot, om = _odds(s, origin, model)
+            yield pd.DataFrame({"doc_id": part["doc_id"], "lang": part["lang"], "source": part["source"], "ot": ot, "om": om})[s.n_words > 0]
+
 
+def _vector(size: int):
+    return F.udf(lambda i, v: SparseVector(size, i, v), VectorUDT())
 
-def _odds(view: str, model: tuple[np.ndarray, float]) -> Column:
-    """Log-odds of a row, from its feature array."""
-    w = F.array(*[F.lit(float(x)) for x in model[0]])
-    return F.aggregate(F.zip_with(view, w, lambda a, b: a * b), F.lit(model[1]), lambda s, x: s + x)
 
+def _fit(rows: DataFrame, view: str, label: str, reg: float = 3e-4, iterations: int = 25) -> tuple[np.ndarray, float] | None:
+    """Weights and intercept; None unless both classes occur. Pseudo-labels weigh 0.3."""
+    known = rows.filter(F.col(label).isNotNull())
+    if known.select(label).distinct().count() < 2:
+        return None
+    size = TEXT if view == "t" else META
+    points = known.select(_vector(size)(f"{view}i", f"{view}v").alias("v"), F.col(label).cast("double").alias("l"), F.when(F.col("y").isNotNull(), 1.0).otherwise(0.3).alias("w"))
+    m = LogisticRegression(featuresCol="v", labelCol="l", weightCol="w", maxIter=iterations, regParam=reg).fit(points)
+    return m.coefficients.toArray(), float(m.intercept)
 
-def _calibrate(rows: DataFrame, odds: str) -> tuple[float, float]:
-    """Slope and intercept that turn a view's log-odds into calibrated ones, on held-out labelled rows."""
+
+def _calibrate(rows: DataFrame, odds: list[str]) -> tuple[np.ndarray, float]:
+    """Weights and intercept that turn views' log-odds into calibrated ones, on held-out labelled rows."""
     if rows.select("y").distinct().count() < 2:
-        return 1.0, 0.0
-    m = LogisticRegression(featuresCol="v", labelCol="l", maxIter=25, regParam=1e-3).fit(rows.select(array_to_vector(F.array(F.greatest(F.lit(-30.0), F.least(F.lit(30.0), odds)))).alias("v"), F.col("y").cast("double").alias("l")))
-    return max(0.05, float(m.coefficients[0])), float(m.intercept)
+        return np.full(len(odds), 1 / len(odds)), 0.0
+    m = LogisticRegression(featuresCol="v", labelCol="l", maxIter=25, regParam=1e-3).fit(rows.select(array_to_vector(F.array(*odds)).alias("v"), F.col("y").cast("double").alias("l")))
+    return m.coefficients.toArray(), float(m.intercept)
 
 
 def _share(df: DataFrame, key: str, most: int, seed: int) -> Column:
@@ -101,46 +185,62 @@ def _share(df: DataFrame, key: str, most: int, seed: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) < F.lit(int(p * (1 << 30)) + (p >= 1))
 
 
-def train(docs: DataFrame, labels: DataFrame, rounds: int = 3, most_labelled: int = 6000, most_pool: int = 6000, sure: float = 0.97) -> dict | None:
-    """Both views' weights and calibrations; None without labels of both classes."""
+def _sure(scored: DataFrame, odds: str, cut: float, most: int, seed: int) -> DataFrame:
+    """(doc_id, label): of the rows of which a view is sure about ``most``, evenly over label, language and source."""
+    sure = scored.filter(F.abs(odds) >= cut).select("doc_id", "lang", "source", (F.col(odds) > 0).cast("int").alias("label"))
+    keys = ["label", "lang", "source"]
+    strata = sure.groupBy(*keys).agg(F.count("*").alias("n"))
+    quota = most / max(1, strata.count())
+    on = [F.col(f"s.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+    drawn = sure.alias("r").join(strata.alias("s"), on).filter(F.pmod(F.xxhash64(F.lit(seed), "r.doc_id"), F.lit(1 << 30)) < F.lit(float(quota)) / F.col("s.n") * (1 << 30))
+    return drawn.select("r.doc_id", "r.label").groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
+def train(docs: DataFrame, labels: DataFrame, rounds: int = 2, most_labelled: int = 4000, most_new: int = 2000, sure: float = 0.97) -> dict | None:
+    """Both views' weights, their calibrations and the weights of both together; None without labels of both classes."""
     tmp = Scratch(docs.sparkSession)
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").cast("int").alias("y"))
-    picked = known.filter(_share(known, "doc_id", most_labelled, 1))
-    pool = docs.filter(_share(docs, "doc_id", most_pool, 2)).select("doc_id", "text", "lang", "source").join(F.broadcast(picked.select("doc_id")), "doc_id", "left_anti").withColumn("y", F.lit(None).cast("int"))
-    seen = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "text", "lang", "source", "y")
-    base = tmp.put(seen.unionByName(pool).mapInPandas(_measure, "doc_id long, y int, t array<double>, m array<double>").coalesce(4), "views")
+    picked = tmp.put(known.filter(_share(known, "doc_id", most_labelled, 1)), "picked")
+    cols = ["doc_id", "text", "lang", "source"]
+    seen = docs.join(F.broadcast(picked), "doc_id").select(*cols, "y", F.col("y").alias("yt"), F.col("y").alias("ym"))
+    base = tmp.put(seen.mapInPandas(_measure, MEASURED).coalesce(4), "views")
     held = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(5)) == 0
-    test, rows = base.filter(F.col("y").isNotNull() & held), base.filter(F.col("y").isNull() | ~held)
-    state = rows.withColumn("yt", F.col("y")).withColumn("ym", F.col("y"))
+    test, rows = base.filter(held), base.filter(~held)
+    cut, state = float(np.log(sure / (1 - sure))), rows
     for k in range(rounds + 1):
-        mt, mm = _fit(state, "t", "yt", 3e-4), _fit(state, "m", "ym", 3e-4)
+        mt, mm = _fit(state, "t", "yt"), _fit(state, "m", "ym")
         if mt is None or mm is None:
             return None
+        model = {"t": mt, "m": mm}
         if k == rounds:
             break
-        cut = float(np.log(sure / (1 - sure)))
-
-        def guess(c: Column, cut: float = cut) -> Column:
-            return F.when(c >= cut, 1).when(c <= -cut, 0)
-
-        state = tmp.put(rows.select("doc_id", "y", "t", "m", F.coalesce("y", guess(_odds("m", mm))).alias("yt"), F.coalesce("y", guess(_odds("t", mt))).alias("ym")), "round")
-    judged = tmp.put(test.select("y", _odds("t", mt).alias("ot"), _odds("m", mm).alias("om")), "held")
-    return {"t": (*mt, *_calibrate(judged, "ot")), "m": (*mm, *_calibrate(judged, "om"))}
+        rest = docs.filter(F.col("doc_id").isNotNull()).select(*cols).join(F.broadcast(picked.select("doc_id")), "doc_id", "left_anti")
+        scored = tmp.put(rest.mapInPandas(partial(_guess, model=model), "doc_id long, lang string, source string, ot double, om double"), "scored")
+        new = _sure(scored, "om", cut, most_new, 5).withColumnRenamed("label", "yt").join(_sure(scored, "ot", cut, most_new, 6).withColumnRenamed("label", "ym"), "doc_id", "full")
+        new = tmp.put(new, "new")  # at most about 2 * most_new rows
+        fresh = docs.join(F.broadcast(new), "doc_id").select(*cols, F.lit(None).cast("int").alias("y"), "yt", "ym")
+        state = rows.unionByName(tmp.put(fresh.mapInPandas(_measure, MEASURED).coalesce(4), "fresh"))
+        tmp.free(scored, new)
+    judged = tmp.put(test.mapInPandas(partial(_judge, model=model), "y int, ot double, om double"), "held")
+    return model | {"ct": _calibrate(judged, ["ot"]), "cm": _calibrate(judged, ["om"]), "both": _calibrate(judged, ["ot", "om"])}
+
+
+def _judge(batches: Iterator[pd.DataFrame], model: dict) -> Iterator[pd.DataFrame]:
+    (wt, bt), (wm, bm) = model["t"], model["m"]
+    for pdf in batches:
+        yield pd.DataFrame({"y": pdf["y"], "ot": [float(np.clip(wt[i] @ v + bt, -30, 30)) for i, v in zip(pdf["ti"], pdf["tv"], strict=True)], "om": [float(np.clip(wm[i] @ v + bm, -30, 30)) for i, v in zip(pdf["mi"], pdf["mv"], strict=True)]})
 
 
 def _score(batches: Iterator[pd.DataFrame], model: dict | None) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        rows = []
-        for text, lang, source in zip(pdf["text"], pdf["lang"], pdf["source"], strict=True):
-            if not text or not text.strip():
-                rows.append((0.0, 0.0, 0.0))
-            elif model is None:
-                rows.append((0.5, 0.5, 0.5))
-            else:
-                odds = [max(-30.0, min(30.0, float(x @ w) + b)) * slope + at for x, (w, b, slope, at) in zip(features(text, lang, source), (model["t"], model["m"]), strict=True)]
-                rows.append(tuple(1 / (1 + np.exp(-o)) for o in (*odds, sum(odds) / 2)))
-        p = np.array(rows).reshape(-1, 3)
-        yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "p_text": p[:, 0], "p_meta": p[:, 1], "score": p[:, 2]})
+        for part, s, origin in _slices(pdf):
+            p = np.full((s.docs, 3), 0.5)
+            if model is not None:
+                odds = np.column_stack(_odds(s, origin, model))
+                for j, (x, (w, b)) in enumerate(((odds[:, :1], model["ct"]), (odds[:, 1:], model["cm"]), (odds, model["both"]))):
+                    p[:, j] = 1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30)))
+            p[[not (t and t.strip()) for t in part["text"]]] = 0.0
+            yield pd.DataFrame({"doc_id": part["doc_id"].astype("Int64"), "p_text": p[:, 0], "p_meta": p[:, 1], "score": p[:, 2]})
 
 
 def _inputs(docs: DataFrame) -> DataFrame:
@@ -160,7 +260,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5, **options)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            parts = pdf[["doc_id", "text", "lang", "source"]]
-            yield pdf[next(_score(iter([parts]), model))["score"].to_numpy() >= least]
+            scores = [p["score"].to_numpy() for p in _score(iter([pdf[["doc_id", "text", "lang", "source"]]]), model)]
+            yield pdf[np.concatenate(scores) >= least] if scores else pdf
 
     return docs.mapInPandas(run, schema)

@@ -209,6 +209,86 @@ def test_cotraining_separates_held_out(spark):
     assert cotrain.score(df.filter("false"), labels).count() == 0
 
 
+def test_text_features_by_brute_force():
+    texts = ["", "a", "one two one, TWO 22", "é è\n\n| x |\n", "the the the cat", " lead"]
+    s = cotrain.Slice([t.encode() for t in texts])
+    w = np.random.default_rng(0).normal(size=cotrain.TEXT)
+    odds, rows = s.text_odds(w, 0.5), s.text_rows()
+    for i, t in enumerate(texts):
+        words, raw = t.encode().split(), t.encode()
+        index, value = rows[i]
+        assert odds[i] == pytest.approx(value @ w[index] + 0.5)  # both forms of the view agree
+        total = value[index < 3 * cotrain.BUCKETS].sum()
+        n = max(1, len(words))
+        assert total == pytest.approx(len(words) / n + max(0, len(words) - 1) / n + max(0, len(raw) - 1) / max(1, len(raw)))  # trigrams take in the blank after the text
+        assert s.text[i, 0] == pytest.approx(len(set(words)) / n) and s.text[i, 1] == pytest.approx(sum(x == y for x, y in zip(words, words[1:])) / n)
+        assert s.text[i, 3] == pytest.approx(4 * sum(chr(c).isupper() for c in raw if c < 128) / max(1, len(raw)))
+        assert s.text[i, 8] == pytest.approx(sum(c in b".," for c in raw) / n)
+        assert s.meta[i, 1] == pytest.approx(np.log1p(1 + t.count("\n")) / 5)
+    same = cotrain.Slice([b"x", b"one two"]).text_rows()[1]
+    assert np.array_equal(np.sort(same[0]), np.sort(cotrain.Slice([b"one two"]).text_rows()[0][0]))  # the place of a document does not matter
+    a, b = cotrain._origin(["en", "de"], ["src1", "src2"])
+    assert a[0] != b[0] and a[1] != b[1]
+
+
+def logistic(x, y, w, reg=3e-4, steps=4000):
+    """Plain standardised logistic regression by gradient descent."""
+    sd = np.maximum(x.std(axis=0), 1e-9)
+    z, beta, b = (x / sd) * (x.std(axis=0) > 1e-9), np.zeros(x.shape[1]), 0.0
+    for _ in range(steps):
+        g = w * (1 / (1 + np.exp(-(z @ beta + b))) - y) / w.sum()
+        beta -= 0.5 * (z.T @ g + reg * beta)
+        b -= 0.5 * g.sum()
+    return lambda q: (q / sd) @ beta + b
+
+
+def test_cotraining_equals_a_plain_one(spark):
+    """The same rounds in numpy, on dense copies of both views, decide nearly all documents alike."""
+    rng = np.random.default_rng(3)
+    good_words, bad_words = [f"w{i}" for i in range(40)], [f"w{i}" for i in range(25, 65)]
+    rows = []
+    for i in range(500):
+        ok = i % 2
+        text = " ".join(rng.choice(good_words if ok else bad_words, 12))
+        rows.append((i, text, "en", f"src{(i % 4) * 2 + (ok if rng.random() < 0.9 else 1 - ok)}", 0, ""))
+    df = spark.createDataFrame(rows, DOCS)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(150)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in cotrain.score(df, labels, rounds=1, sure=0.9).collect()}
+    s = cotrain.Slice([t.encode() for _, t, *_ in rows])
+    views = {"t": np.zeros((500, cotrain.TEXT)), "m": np.zeros((500, cotrain.META))}
+    for i, (index, value) in enumerate(s.text_rows()):
+        views["t"][i, index] = value
+    for i, o in enumerate(cotrain._origin([r[2] for r in rows], [r[3] for r in rows])):
+        views["m"][i, o] = 1
+        views["m"][i, -cotrain.META_STATS :] = s.meta[i]
+    views = {k: v[:, v.std(axis=0) > 0] for k, v in views.items()}
+    held = {r.doc_id for r in df.filter(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(5)) == 0).collect()}
+    fit = [i for i in range(150) if i not in held]
+    y = np.array([i % 2 for i in range(500)], float)
+    first = {k: logistic(v[fit], y[fit], np.ones(len(fit)))(v) for k, v in views.items()}
+    cut, last = np.log(9), {}
+    for k, other in (("t", "m"), ("m", "t")):
+        new = [i for i in range(150, 500) if abs(first[other][i]) >= cut]
+        use = fit + new
+        lab = np.r_[y[fit], (first[other][new] > 0).astype(float)]
+        last[k] = logistic(views[k][use], lab, np.r_[np.ones(len(fit)), np.full(len(new), 0.3)])(views[k])
+    test = [i for i in range(150) if i in held]
+    both = np.column_stack([last["t"], last["m"]])
+    want = logistic(both[test], y[test], np.ones(len(test)), reg=1e-3)(both) >= 0
+    assert np.mean([got[i].kept == want[i] for i in range(500)]) >= 0.96
+    assert np.mean([got[i].kept == (i % 2 == 1) for i in range(150, 500)]) >= 0.95
+    rank = lambda f: np.argsort(np.argsort([f(got[i]) for i in range(150, 500)]))
+    auc = {k: rank(lambda r, k=k: r[k])[y[150:] == 1].mean() - rank(lambda r, k=k: r[k])[y[150:] == 0].mean() for k in ("p_text", "p_meta", "score")}
+    assert auc["score"] >= max(auc["p_text"], auc["p_meta"]) - 2  # both views together are no worse than one
+
+
+def test_clashing_columns_pass_through(spark):
+    df = docs(spark, ["fine text here", None]).withColumn("y", F.lit("clash")).withColumn("score", F.lit(1))
+    labels = spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int")
+    assert cotrain.score(df, labels).columns == ["doc_id", "p_text", "p_meta", "score", "kept"]
+    assert cotrain.keep_good(df, labels).columns == df.columns
+
+
 def brute_fill(total, weights, caps):
     share, left, rest = dict.fromkeys(caps, 0.0), set(caps), total
     while left and rest > 1e-9:
