@@ -3,11 +3,16 @@
 Every block element of a page is a node in one of three states: boilerplate, container of content, or
 content. A node's own evidence comes from a multinomial regression over its features; parent-child
 potentials come from counted transitions. Both are fitted on a bounded sample of labelled pages: pages
-with an ``article`` or ``main`` element, whose inside is content. Each is used as it is, with its
-telling tags and class names hidden, and with comments, asides, forms and notices of its own prose put
-inside and beside the article, with the article's paragraphs in other forms, and with a very short
-article, so that plain pages, unwanted prose, lists and bare text are judged too. One upward and one
-downward sum-product pass give exact marginals, and blocks of content nodes are the text.
+with an ``article`` or ``main`` element, whose inside is content but for its navigation, header, footer,
+aside and form elements. Class names decide no label. Each page is used as it is, with its telling tags and
+names hidden, and with comments, asides, forms and notices of its own prose put inside and beside the article
+and labelled as such, with the article's paragraphs in other forms, and with a very short article, so that
+plain pages, unwanted prose, lists and bare text are judged too. One upward and one downward sum-product
+pass give exact marginals, and blocks of content nodes are the text. Where no page has an article or main
+element, nothing can be learned, and fixed weights of telling tags, names and long paragraphs stand in.
+
+Work is linear in the size of a page. Elements nested deeper than 512 become siblings at that depth, as in
+browsers, so a hostile page has a bounded number of levels; no text is lost by it.
 
 Null, empty and text-free pages give an empty text. Character references are decoded, white space in
 a block becomes one space, blocks are joined by one space; markup cut off at the page's end is dropped.
@@ -50,15 +55,23 @@ KINDS = {
 AWAY = frozenset("ad ads advert advertisement adverts banner sponsor sponsored promo sidebar side comment comments reply replies respond notice notices cookie cookies consent alert popup modal nav navbar navigation menu breadcrumb breadcrumbs footer header masthead social share sharing related recommended newsletter subscribe signup login search widget pagination pager copyright legal disclaimer form".split())
 TOWARDS = frozenset("article content main post entry story body text".split())
 WIDTH = 20
+DEEPEST = 512  # levels of nesting
+
+
+def _levels(depth: np.ndarray) -> list[np.ndarray]:
+    """Nodes of each depth, by one sort."""
+    order = np.argsort(depth, kind="stable")
+    return np.split(order, np.cumsum(np.bincount(depth))[:-1])
 
 
 class Page:
     """Block nodes of a page (parent, kind, hints, link and text sizes) and its text blocks."""
 
     def __init__(self, source: str):
-        self.parent, self.kind, self.away, self.towards = [-1], [0], [0], [0]
+        self.parent, self.kind, self.away, self.towards, self.depth, self.put_in = [-1], [0], [0], [0], [0], [0]
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters in links
         stack: list[tuple[str, int]] = [("#", 0)]
+        open_tags: dict[str, int] = {}  # how many of each tag are on the stack, so that none is looked for in vain
         buf: list[tuple[str, bool]] = []
         links = unseen = 0
 
@@ -75,8 +88,15 @@ class Page:
             for tag, _ in stack[to:]:
                 links -= tag == "a"
                 unseen -= tag in UNSEEN
+                open_tags[tag] -= 1
             del stack[to:]
 
+        def innermost(tag: str) -> int:
+            """Place of the last open ``tag`` on the stack, 0 if there is none; what lies above it is then closed."""
+            if not open_tags.get(tag):
+                return 0
+            return next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag)
+
         at, size = 0, len(source)
         while at < size:
             m = TAG.search(source, at)
@@ -90,7 +110,7 @@ class Page:
                 continue
             tag = name.lower()
             if m[1] or m[4]:
-                k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
+                k = innermost(tag)
                 if tag not in INLINE:
                     flush()
                 if k:
@@ -106,7 +126,7 @@ class Page:
             if tag in VOID:
                 continue
             if tag in ENDS_P:
-                k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == "p"), 0)
+                k = innermost("p")
                 if k:
                     pop(k)
             if tag in SAME and stack[-1][0] in SAME[tag]:
@@ -120,7 +140,11 @@ class Page:
             node = stack[-1][1]
             if tag not in INLINE and tag not in UNSEEN:
                 words = {w for h in HINT.findall(attrs) for w in WORD.findall("".join(h).lower())} if "=" in attrs else ()
+                if self.depth[node] >= DEEPEST:
+                    node = self.parent[node]
                 self.parent.append(node)
+                self.depth.append(self.depth[node] + 1)
+                self.put_in.append(int(PUT_IN in attrs))
                 self.kind.append(KINDS.get(tag, 0))
                 self.away.append(int(bool(AWAY & set(words))))
                 self.towards.append(int(bool(TOWARDS & set(words))))
@@ -128,6 +152,7 @@ class Page:
             links += tag == "a"
             unseen += tag in UNSEEN
             stack.append((tag, node))
+            open_tags[tag] = open_tags.get(tag, 0) + 1
         flush()
 
     def features(self) -> np.ndarray:
@@ -138,11 +163,10 @@ class Page:
             link[node] += min(inside, len(text))
             words[node] += text.count(" ") + 1
             stops[node] += text.count(".") + text.count(",")
-        sub, sublink = own.copy(), link.copy()
-        for i in range(n - 1, 0, -1):
-            p = self.parent[i]
-            sub[p] += sub[i]
-            sublink[p] += sublink[i]
+        sub, sublink, parent = own.copy(), link.copy(), np.array(self.parent)
+        for at in reversed(_levels(np.array(self.depth))[1:]):
+            np.add.at(sub, parent[at], sub[at])
+            np.add.at(sublink, parent[at], sublink[at])
         x = np.zeros((n, WIDTH), np.float32)
         x[np.arange(n), self.kind] = 1
         x[:, 7], x[:, 8] = self.away, self.towards
@@ -160,7 +184,7 @@ class Page:
         return x
 
     def labels(self) -> np.ndarray | None:
-        """States by the page's own article or main element; None if it has none."""
+        """States by the page's own article or main element and by what was put in; None if it has none."""
         n, kind = len(self.parent), self.kind
         if 1 not in kind:
             return None
@@ -168,7 +192,7 @@ class Page:
         for i in range(1, n):
             p = self.parent[i]
             inside = state[p] == 2 or kind[i] == 1
-            state[i] = 2 if inside and kind[i] != 2 and not self.away[i] else 0
+            state[i] = 2 if inside and kind[i] != 2 and not self.put_in[i] else 0
         for i in range(n - 1, 0, -1):
             p = self.parent[i]
             if state[i] and not state[p] and state[i] != state[p]:
@@ -184,7 +208,8 @@ def hide(x: np.ndarray, both: bool) -> np.ndarray:
     return y
 
 
-GRAFTS = ['<div class="comments"><p>%s</p><p>%s</p></div>', "<aside><p>%s</p><p>%s</p></aside>", "<form><p>%s</p><label>%s</label></form>", '<div class="notice">%s %s</div>', '<div class="sidebar"><h3>%s</h3><p>%s</p></div>', '<section id="comment-list" class="comments"><div><p>%s</p></div><div><p>%s</p></div></section>']
+PUT_IN = "data-put-in"  # marks parts that training puts into a page; no feature
+GRAFTS = ['<div data-put-in class="comments"><p>%s</p><p>%s</p></div>', "<aside data-put-in><p>%s</p><p>%s</p></aside>", "<form data-put-in><p>%s</p><label>%s</label></form>", '<div data-put-in class="notice">%s %s</div>', '<div data-put-in class="sidebar"><h3>%s</h3><p>%s</p></div>', '<section data-put-in id="comment-list" class="comments"><div><p>%s</p></div><div><p>%s</p></div></section>']
 
 
 def graft(source: str) -> str:
@@ -288,7 +313,7 @@ def marginals(x: np.ndarray, parent: np.ndarray, depth: np.ndarray, model: dict[
     u = x @ model["w"].T + model["b"]
     u = u - _lse(u, 1)[:, None] - model["prior"]
     pair, up = model["pair"], np.zeros((len(x), 3))
-    levels = [np.flatnonzero(depth == d) for d in range(int(depth.max()) + 1)]
+    levels = _levels(depth)
     sent = np.zeros((len(x), 3))
     for at in reversed(levels[1:]):
         sent[at] = _lse(pair[None] + (u[at] + up[at])[:, None, :], 2)
@@ -307,13 +332,7 @@ def _texts(sources: list[str | None], model: dict[str, np.ndarray]) -> list[str]
     sizes = np.array([len(p.parent) for p in pages])
     base = np.r_[0, np.cumsum(sizes)[:-1]]
     parent = np.concatenate([np.array(p.parent) + b for p, b in zip(pages, base, strict=True)])
-    depths = []
-    for p in pages:
-        d = [0]
-        for i in p.parent[1:]:
-            d.append(d[i] + 1)
-        depths.append(d)
-    content = marginals(np.concatenate([p.features() for p in pages]), parent, np.concatenate(depths).astype(int), model)[:, 2] > 0.5
+    content = marginals(np.concatenate([p.features() for p in pages]), parent, np.concatenate([np.array(p.depth) for p in pages]), model)[:, 2] > 0.5
     return [" ".join(t for node, t, _ in p.blocks if content[b + node]) for p, b in zip(pages, base, strict=True)]
 
 

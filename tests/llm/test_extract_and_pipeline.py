@@ -1,5 +1,6 @@
 import html as htmllib
 import re
+import time
 
 import numpy as np
 import pytest
@@ -98,3 +99,25 @@ def test_pipeline_stages(spark):
         at = out
     last = corpus_pipeline.STAGES[-1][1](spark, at, SF)
     assert last.select("doc_id").distinct().count() == at.count() <= n
+
+
+@pytest.mark.parametrize("source", ["<div>" * 400_000, "<div><p>x" * 200_000, "<b><p>" * 300_000, "<p>x" * 400_000, "<a '" * 400_000, "<" * 2_000_000, "</b>" * 400_000])
+def test_hostile_pages_take_linear_time(model, source):
+    def seconds(s):
+        start = time.process_time()
+        X._texts([s], model)
+        return time.process_time() - start
+
+    small, whole = seconds(source[: len(source) // 4]), seconds(source)
+    assert whole < 8 * small + 2 and whole < 30
+
+
+def test_deep_nesting_keeps_text_and_order(model):
+    page = X.Page("<article>" + "<div>" * 2000 + "<p>one</p>" + "</div>" * 1500 + "<p>two</p></article><p>three")
+    assert [t for _, t, _ in page.blocks] == ["one", "two", "three"] and max(page.depth) <= X.DEEPEST + 1
+
+
+def test_class_names_decide_no_label():
+    page = X.Page('<article><div class="comments"><p>a</p></div><div data-put-in class="x"><p>b</p></div><nav><p>c</p></nav></article>')
+    state = page.labels()
+    assert [int(state[n]) for n, _, _ in page.blocks] == [2, 0, 0]
