@@ -6,7 +6,11 @@ coordinates are chosen at random (1.25 on average, the inverse of the threshold
 goes to the child named by its minwise token there. Nodes of one class vanish; small nodes are
 compared exhaustively by sketches; larger ones branch again, and what cannot be branched is compared
 in blocks. The sketch links of all trees make candidate clusters; inside each, full shingle sets are
-compared through an inverted index, and only links of Jaccard similarity >= threshold count.
+compared through an inverted index, and only links of Jaccard similarity >= threshold count. A cluster of
+too many texts or shingles is confirmed node by node, and a node whose shingles are still too many in pairs
+of blocks, so that a task holds a bounded number of them (or two texts, if those are larger).
+
+The number of trees follows from the recall wanted for a pair exactly at the threshold (``trees_for``).
 
 Rows with a null id come back with null ``component_id`` and ``kept``; null, empty and blank texts
 have no shingles and link with nothing; repeated rows are each returned.
@@ -14,6 +18,7 @@ have no shingles and link with nothing; repeated rows are each returned.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial
 
@@ -23,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarn.llm.common import Scratch, connected_components, groups, mix64, roots
+from tarn.llm.common import Scratch, connected_components, groups, hot_join, mix64, roots
 
 WIDTH = 128  # minwise coordinates of a signature
 
@@ -208,13 +213,37 @@ def _confirm(batches: Iterator[pd.DataFrame], k: int, percent: int) -> Iterator[
             yield pd.DataFrame({"a": ids[lab[on]], "b": ids[on]})
 
 
+def survival(percent: int, depth: int) -> float:
+    """Chance that a pair at the threshold is still together in one tree after ``depth`` levels."""
+    s, extra, p = percent / 100, max(0.0, min(1.0, 100 / percent - 1)), 1.0
+    for _ in range(depth):  # one or two coordinates, each with equal minwise tokens at chance s
+        p = 1 - ((1 - extra) * (1 - s * p) + extra * (1 - s * p) ** 2)
+    return p
+
+
+def trees_for(recall: float, percent: int, depth: int) -> int:
+    """Independent trees that meet such a pair at least with chance ``recall``, even at the deepest level."""
+    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - survival(percent, depth))))
+
+
+def _bounded(texts: DataFrame, most: int) -> DataFrame:
+    """(bunch, rep) of (bunch, rep, n_shingles), where a bunch of more than ``most`` shingles is dealt into blocks
+    of half as many, and each pair of its blocks becomes a bunch."""
+    sums = texts.groupBy("bunch").agg(F.ceil(2 * F.sum("n_shingles") / most).cast("int").alias("blocks"), F.sum("n_shingles").alias("w"))
+    cut = texts.join(sums, "bunch").withColumn("p", F.when(F.col("w") > most, F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
+    whole = cut.filter("p is null").select("bunch", "rep")
+    pairs = cut.filter("p is not null").select("bunch", "rep", "p", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("q"))
+    return whole.union(pairs.select(F.xxhash64("bunch", F.least("p", "q"), F.greatest("p", "q")), "rep"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     k: int = 5,
     percent: int = 80,
-    trees: int = 12,
+    recall: float = 0.998,
+    trees: int | None = None,
     leaf: int = 4096,
     depth: int = 8,
     bunch_docs: int = 4096,
@@ -223,18 +252,21 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``.
 
-    trees: independent trees; twelve miss a pair at the threshold less often than once in a thousand.
+    recall: least chance that a pair exactly at the threshold is compared, if nodes branch to the last level;
+    most pairs are more alike or meet at the first level. trees: independent trees, by default as many as that takes.
     leaf: most members of a node that is compared exhaustively. depth: levels of branching; nodes still
     larger after them are compared in pairs of blocks, so that nothing is dropped. bunch_docs and
-    bunch_shingles: a larger candidate cluster is confirmed node by node instead of at once.
+    bunch_shingles: a larger candidate cluster is confirmed node by node instead of at once, and a node of more
+    shingles in pairs of blocks.
     """
     spark = docs.sparkSession
     tmp = Scratch(spark)
+    trees = trees or trees_for(recall, percent, depth)
     extra = max(0.0, min(1.0, 100 / percent - 1))
     least = int(WIDTH * (percent / 100 - 0.14))
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     seen = tmp.put(src.mapInPandas(partial(_measure, k=k, seed=seed), "doc_id long, n_shingles long, set_key binary, sig binary"), "sets")
-    classes = seen.filter("n_shingles > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig"))
+    classes = seen.filter("n_shingles > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.min_by("sig", "doc_id").alias("sig"), F.first("n_shingles").alias("n_shingles"), F.count("*").alias("copies"))
     keyed = tmp.put(classes, "classes")
     sketched = tmp.put(keyed.select("rep", "sig").mapInPandas(_with_sketch, "rep long, sig binary, sketch binary"), "sketch")
 
@@ -266,18 +298,15 @@ def near_duplicates(
         .distinct()
     )
     clusters = tmp.put(connected_components(near, "a", "b", tmp), "clusters").withColumnRenamed("id", "rep")
-    weights = clusters.join(keyed.join(seen.select("set_key", "n_shingles", F.col("doc_id").alias("rep")), ["set_key", "rep"]).select("rep", "n_shingles"), "rep")
-    weighed = tmp.put(
-        clusters.join(weights.groupBy("component").agg(F.count("*").alias("docs"), F.sum("n_shingles").alias("weight")), "component")
-        .withColumn("large", (F.col("docs") > bunch_docs) | (F.col("weight") > bunch_shingles))
-        .select("rep", "component", "large"),
-        "weighed",
-    )
+    sized = tmp.put(clusters.join(keyed.select("rep", "n_shingles"), "rep"), "sized")
+    sums = sized.groupBy("component").agg(F.count("*").alias("docs"), F.sum("n_shingles").alias("weight"))
+    large = (F.col("docs") > bunch_docs) | (F.col("weight") > bunch_shingles)
+    weighed = tmp.put(hot_join(sized, sums.select("component", large.alias("large"), "docs"), "component", "docs"), "weighed")
     any_large = bool(weighed.filter("large").limit(1).count())
     bunches = weighed.filter("not large").select("rep", F.col("component").alias("bunch"))
     if any_large:
-        inside = weighed.filter("large").join(leaves.distinct(), "rep").select("rep", F.xxhash64("component", "node").alias("bunch"))
-        bunches = bunches.unionByName(inside)
+        inside = weighed.filter("large").join(leaves.distinct(), "rep").select(F.xxhash64("component", "node").alias("bunch"), "rep", "n_shingles")
+        bunches = bunches.unionByName(_bounded(inside, bunch_shingles))
     texts = src.join(bunches, src["doc_id"] == bunches["rep"]).select("bunch", "doc_id", "text")
     stars = texts.repartition(F.col("bunch")).sortWithinPartitions("bunch").mapInPandas(partial(_confirm, k=k, percent=percent), "a long, b long")
     if any_large:
@@ -286,7 +315,8 @@ def near_duplicates(
         found = stars.select(F.col("b").alias("id"), F.col("a").alias("component"))
     found = tmp.put(found, "found")
 
-    reps = keyed.select("set_key", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
-    out = seen.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key")).join(reps, "set_key", "left")
+    reps = keyed.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"), "copies")
+    mine = seen.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_key")).alias("set_key"))
+    out = hot_join(mine, tmp.put(reps, "reps"), "set_key", "copies", "left")
     comp = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), comp).alias("component_id"), (comp == F.col("doc_id")).alias("kept"))
