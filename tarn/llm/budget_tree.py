@@ -8,7 +8,8 @@ children in the order of capacity by weight, so every level of the tree is one w
 
 Each leaf then gives a prefix of its own seeded order, epoch by epoch: whole epochs, and of the last
 one the documents before the budget is met. Prefix sums over a hot leaf never sit in one task: tokens
-are first summed over ranges of the hash, and only the range in which the budget ends is sorted.
+are first summed over ranges of the hash, so a leaf's window has at most 4,096 rows an epoch, and each
+chosen range, a small part of the leaf, is sorted by itself to place its documents.
 
 Tokens are words (runs without ASCII white space). Null language or source are nodes of their own;
 documents without tokens, and rows without id, are never selected; a leaf without tokens gets nothing.
