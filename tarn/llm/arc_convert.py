@@ -5,9 +5,13 @@ as that line declares. The converter reads lines and declared lengths, never del
 and makes up what WARC wants and ARC lacks: record identifiers (from the record's own content, so a
 repeated task writes the same), ISO timestamps, record types and block and payload digests.
 
-Archives are read as binary files, a bounded number of records each, and written by Spark's text
-writer, whose line separator is WARC's record end; its commit protocol covers lost executors.
-A null body counts as empty; bytes that are no records raise an error.
+WARC files are bounded by bytes and start with a warcinfo record. Spark's text writer writes them, with
+WARC's record end as line separator; its commit protocol covers lost executors. A file is one gzip stream.
+They are read as binary files, unpacked piece by piece, so a task holds one packed file and one record. ARC
+files may be plain or gzip-compressed, in one member or one a record.
+
+A null body counts as empty; bytes that are no records raise an error. A page without id can revisit another
+one, and among payloads of such pages only one of them is the response; repeated rows are the same record.
 """
 
 from __future__ import annotations
@@ -18,11 +22,14 @@ import zlib
 from collections.abc import Iterator
 from functools import partial
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarn.llm.common import new_path
+from tarn.llm.common import Scratch, new_path
 
 # Field lines of the two ARC versions, and WARC's line ends.
 ARC_FIELDS = {
@@ -50,28 +57,75 @@ def arc_records(pages: DataFrame, version: Column, date: str = "20260101000000",
     return pages.select(F.concat(F.when(version == 1, F.lit(head[1])).otherwise(F.lit(head[2])), line, block, F.lit("\n")).cast("binary").alias("arc"))
 
 
+class Stream:
+    """Bytes of a plain or gzip-compressed file (any number of members), unpacked as they are asked for."""
+
+    def __init__(self, blob: bytes, piece: int = 1 << 17):
+        self.blob, self.piece, self.at, self.held = memoryview(blob), piece, 0, bytearray()
+        self.packed = blob[:2] == b"\x1f\x8b"
+        self.unpack = zlib.decompressobj(31) if self.packed else None
+
+    def more(self) -> bool:
+        if self.at >= len(self.blob):
+            if self.packed and not self.unpack.eof:
+                raise ValueError("gzip member is cut off")
+            return False
+        if self.packed:
+            if self.unpack.eof:
+                self.unpack = zlib.decompressobj(31)
+            part = self.blob[self.at : self.at + self.piece]
+            self.held += self.unpack.decompress(part)
+            self.at += len(part) - len(self.unpack.unused_data)
+        else:
+            self.held += self.blob[self.at : self.at + self.piece]
+            self.at += self.piece
+        return True
+
+    def until(self, mark: bytes) -> bytes:
+        """What comes before ``mark``, which is taken too; an error if it never comes."""
+        start = 0
+        while (k := self.held.find(mark, start)) < 0:
+            start = max(0, len(self.held) - len(mark) + 1)
+            if not self.more():
+                raise ValueError("file ends inside a record header")
+        return self.take(k + len(mark))[:k]
+
+    def take(self, n: int) -> bytes:
+        """The next ``n`` bytes, fewer only at the end."""
+        while len(self.held) < n and self.more():
+            pass
+        out = bytes(self.held[:n])
+        del self.held[:n]
+        return out
+
+    def skip(self, of: bytes) -> bool:
+        """Drops leading bytes that are in ``of``; whether anything follows."""
+        while True:
+            k = next((i for i, c in enumerate(self.held) if c not in of), -1)
+            if k >= 0:
+                del self.held[:k]
+                return True
+            self.held.clear()
+            if not self.more():
+                return False
+
+
 def parse_arc(blob: bytes) -> Iterator[dict]:
     """Records of one ARC file; the version block says how header lines read."""
-    at, fields = 0, ARC_FIELDS[1].split()
-    while at < len(blob):
-        if blob[at : at + 1] in b"\r\n":  # blank lines stand between records
-            at += 1
-            continue
-        end = blob.index(b"\n", at)
-        parts = blob[at:end].decode("utf-8", "replace").strip().split(" ")
+    file, fields = Stream(blob), ARC_FIELDS[1].split()
+    while file.skip(b"\r\n"):  # blank lines stand between records
+        parts = file.until(b"\n").decode("utf-8", "replace").strip().split(" ")
         first = parts[0].startswith("filedesc://")
         names = fields if not first else ARC_FIELDS[1 if len(parts) == 5 else 2].split()
         if len(parts) != len(names):
             raise ValueError(f"ARC header has {len(parts)} fields, not {len(names)}")
         head = dict(zip(names, parts, strict=True))
         size = int(head["Archive-length"])
-        block = blob[end + 1 : end + 1 + size]
+        block = file.take(size)
         if len(block) != size:
             raise ValueError("ARC record is shorter than declared")
-        at = end + 1 + size
         if first:
-            lines = block.decode("utf-8", "replace").split("\n")
-            fields = ARC_FIELDS[2 if lines[0].startswith("2") else 1].split()
+            fields = ARC_FIELDS[2 if block.startswith(b"2") else 1].split()
             continue
         yield {**head, "block": block}
 
@@ -111,18 +165,24 @@ def arc_to_records(arcs: DataFrame, names: list[str] | None = None) -> DataFrame
 def mark_revisits(records: DataFrame, originals: DataFrame, least: int = 1000) -> DataFrame:
     """Adds the record to which a repeated payload refers: that with the largest page_id of its digest.
 
-    originals: (page_id, record_id, payload_bytes, payload_digest) of all records, without payloads.
+    originals: (page_id, record_id, payload_bytes, payload_digest) of all records, without payloads. A digest
+    that many pages share is joined by broadcast, as in ``hot_join``, but in one pass over the payloads.
     """
     last = (
-        originals.filter((F.col("payload_bytes") >= least) & F.col("page_id").isNotNull())
+        originals.filter(F.col("payload_bytes") >= least)
         .groupBy("payload_digest")
-        .agg(F.max("page_id").alias("refers_to"), F.max_by("record_id", "page_id").alias("refers_record"), F.count("*").alias("copies"))
+        .agg(F.max("page_id").alias("refers_to"), F.max_by("record_id", F.struct(F.coalesce("page_id", F.lit(-(1 << 63))), "record_id")).alias("refers_record"), F.count("*").alias("copies"))
         .filter("copies > 1")
-        .drop("copies")
     )
-    joined = records.join(last, "payload_digest", "left")
-    revisit = F.col("refers_record").isNotNull() & ~F.col("record_id").eqNullSafe(F.col("refers_record"))
-    return joined.withColumn("record_type", F.when(revisit, "revisit").otherwise("response")).withColumn("refers_to", F.when(revisit, F.col("refers_to")))
+    last = Scratch(records.sparkSession).put(last, "repeated")
+    cut = max(1000.0, float(last.agg(F.sum("copies")).first()[0] or 0) / 2000)
+    hot = last.filter(F.col("copies") > cut).select("payload_digest", F.col("refers_to").alias("hot_to"), F.col("refers_record").alias("hot_record"))
+    cold = last.filter(F.col("copies") <= cut).select(F.col("payload_digest").alias("joined"), "refers_to", "refers_record")
+    spread = F.when(F.col("hot_record").isNull() & (F.col("payload_bytes") >= least), F.col("payload_digest")).otherwise(F.concat(F.lit("#"), "record_id"))
+    both = records.join(F.broadcast(hot), "payload_digest", "left").withColumn("joined", spread).join(cold, "joined", "left")
+    both = both.withColumn("refers_record", F.coalesce("hot_record", "refers_record")).withColumn("refers_to", F.coalesce("hot_to", "refers_to"))
+    revisit = F.col("refers_record").isNotNull() & (F.col("record_id") != F.col("refers_record"))
+    return both.withColumn("record_type", F.when(revisit, "revisit").otherwise("response")).withColumn("refers_to", F.when(revisit, F.col("refers_to"))).drop("joined", "hot_to", "hot_record")
 
 
 def warc_text(marked: DataFrame) -> DataFrame:
@@ -140,7 +200,7 @@ def warc_text(marked: DataFrame) -> DataFrame:
         line("WARC-Date", F.col("date")),
         line("WARC-Target-URI", F.col("uri")),
         line("WARC-IP-Address", F.col("ip")),
-        F.when(revisit, F.concat(line("WARC-Refers-To", F.col("refers_record")), F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n"), line("X-Refers-To-Page", F.col("refers_to").cast("string")))).otherwise(line("WARC-Block-Digest", F.col("block_digest"))),
+        F.when(revisit, F.concat(line("WARC-Refers-To", F.col("refers_record")), F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n"), F.when(F.col("refers_to").isNotNull(), line("X-Refers-To-Page", F.col("refers_to").cast("string"))).otherwise(""))).otherwise(line("WARC-Block-Digest", F.col("block_digest"))),
         line("WARC-Payload-Digest", F.col("payload_digest")),
         line("X-Payload-Length", F.col("payload_bytes").cast("string")),
         line("Content-Type", F.col("content_type")),
@@ -150,40 +210,58 @@ def warc_text(marked: DataFrame) -> DataFrame:
     return marked.select(F.concat(head, body).alias("value"))
 
 
-def write_warc(marked: DataFrame, path: str, per_file: int = 20_000) -> None:
-    """WARC files of at most ``per_file`` records, gzip-compressed."""
-    warc_text(marked).write.option("lineSep", RECORD_END).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
+def _volumes(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Adds the number of the file in which a task puts each record, and a warcinfo record at each one's start."""
+    text = "software: tarn\r\nformat: WARC File Format 1.1\r\n"
+    h = hashlib.sha1(text.encode()).hexdigest()
+    info = f"WARC/1.1\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:uuid:{h[:8]}-{h[8:12]}-5{h[13:16]}-a{h[17:20]}-{h[20:32]}>\r\nWARC-Date: 2026-01-01T00:00:00Z\r\nContent-Type: application/warc-fields\r\nContent-Length: {len(text)}\r\n\r\n{text}"
+    done, last = 0, -1
+    for b in batches:
+        if not b.num_rows:
+            continue
+        value = b.column(0)
+        ends = done + np.cumsum(pc.binary_length(value).to_numpy(zero_copy_only=False).astype(np.int64) + 4)
+        volume = np.r_[done, ends[:-1]] // most
+        done = int(ends[-1])
+        new = [int(v) for v in np.unique(volume) if v > last]
+        last = int(volume[-1])
+        if new:
+            yield pa.RecordBatch.from_arrays([pa.array([info] * len(new), value.type), pa.array(new, pa.int32())], names=["value", "volume"])
+        yield pa.RecordBatch.from_arrays([value, pa.array(volume, pa.int32())], names=["value", "volume"])
+
+
+def write_warc(marked: DataFrame, path: str, file_bytes: int = 64 << 20) -> None:
+    """WARC files of at most ``file_bytes`` unpacked bytes (and the rest of one record), gzip-compressed."""
+    placed = warc_text(marked).mapInArrow(partial(_volumes, most=file_bytes), "value string, volume int")
+    placed.write.partitionBy("volume").option("lineSep", RECORD_END).option("compression", "gzip").text(path)
 
 
 def parse_warc(blob: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of each record, by declared lengths; ``blob`` may be gzip-compressed."""
-    if blob[:2] == b"\x1f\x8b":
-        out = []
-        while blob:
-            d = zlib.decompressobj(31)
-            out.append(d.decompress(blob))
-            blob = d.unused_data
-        blob = b"".join(out)
-    at = 0
-    while at < len(blob):
-        end = blob.index(b"\r\n\r\n", at)
-        first, *lines = blob[at:end].decode("utf-8", "replace").split(CRLF)
+    file = Stream(blob)
+    while file.skip(b""):
+        first, *lines = file.until(b"\r\n\r\n").decode("utf-8", "replace").split(CRLF)
         if not first.startswith("WARC/"):
             raise ValueError("no WARC record where one should start")
         head = dict(x.split(": ", 1) for x in lines)
         size = int(head["Content-Length"])
-        block = blob[end + 4 : end + 4 + size]
-        if len(block) != size or blob[end + 4 + size : end + 8 + size] != b"\r\n\r\n":
+        block = file.take(size)
+        if len(block) != size or file.take(4) != b"\r\n\r\n":
             raise ValueError("WARC record does not end where its length says")
-        at = end + 8 + size
         yield head, block
 
 
-def _from_warc(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _from_warc(batches: Iterator[pd.DataFrame], at_once: int = 5000) -> Iterator[pd.DataFrame]:
+    def table(rows: list[tuple]) -> pd.DataFrame:
+        out = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri", "record_id", "warc_date"])
+        return out.astype({"page_id": "Int64", "refers_to": "Int64"})
+
     for pdf in batches:
         for blob in pdf["content"]:
             rows = []
             for head, block in parse_warc(bytes(blob)):
+                if head["WARC-Type"] == "warcinfo":
+                    continue
                 cut = block.find(b"\r\n\r\n") + 4 if block.startswith(b"HTTP/") else 0
                 ident = next((int(x[11:]) for x in block[:cut].split(b"\r\n") if x.startswith(b"X-Page-Id: ")), None)
                 digest = base64.b32decode(head["WARC-Payload-Digest"][5:])
@@ -191,13 +269,15 @@ def _from_warc(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     raise ValueError(f"payload of {head['WARC-Record-ID']} does not match its digest")
                 refers = head.get("X-Refers-To-Page")
                 rows.append((ident, int(head["X-Payload-Length"]), digest.hex(), head["WARC-Type"], int(refers) if refers else None, head["WARC-Target-URI"], head["WARC-Record-ID"], head["WARC-Date"]))
-            out = pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "target_uri", "record_id", "warc_date"])
-            yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
+                if len(rows) == at_once:
+                    yield table(rows)
+                    rows = []
+            yield table(rows)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record, its payload digest checked; files are bounded, so one at a time is held."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt.gz").load(path).select("content")
+    """One row per record, its payload digest checked."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt.gz").load(path).select("content")
     return files.mapInPandas(_from_warc, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, target_uri string, record_id string, warc_date string")
 
 

@@ -1,9 +1,10 @@
+import glob
 import gzip
 
 import pytest
 from pyspark.sql import functions as F
 
-from tarn.llm.arc_convert import arc_records, convert, parse_arc, parse_warc
+from tarn.llm.arc_convert import Stream, arc_records, arc_to_records, convert, mark_revisits, parse_arc, parse_warc, read_warc, write_warc
 from tarn.llm.url_rules import judge
 
 PAGES = "page_id long, url string, html string, record_type string"
@@ -42,6 +43,47 @@ def test_warc_members_and_bad_length():
         list(parse_warc(rec.replace(b": 3", b": 2")))
 
 
+def test_gzip_archives_of_many_records():
+    one = b"filedesc://x.arc 0.0.0.0 20260101000000 text/plain 77\n1 0 x\nURL IP-address Archive-date Content-type Archive-length\n" + b" " * 13
+    head, rest = one.split(b"\n", 1)
+    head = head.rsplit(b" ", 1)[0] + b" " + str(len(rest)).encode()
+    parts = [head + b"\n" + rest + b"\n"] + [f"http://h/{i} 1.2.3.4 20260102030405 text/html {5000 + i}\n".encode() + bytes([97 + i]) * (5000 + i) + b"\n" for i in range(9)]
+    for blob in (b"".join(parts), gzip.compress(b"".join(parts)), b"".join(gzip.compress(p) for p in parts)):
+        got = list(parse_arc(blob))
+        assert [r["URL"] for r in got] == [f"http://h/{i}" for i in range(9)]
+        assert all(r["block"] == bytes([97 + i]) * (5000 + i) for i, r in enumerate(got))
+        with pytest.raises(ValueError):
+            list(parse_arc(blob[:-300]))
+
+
+def test_streams_hold_one_piece():
+    s = Stream(gzip.compress(b"x" * 10_000_000 + b"\n" + b"y" * 10), piece=1000)
+    assert s.take(5) == b"xxxxx" and len(s.held) < 2_000_000
+    assert len(s.until(b"\n")) == 9_999_995 and s.take(99) == b"y" * 10 and s.take(1) == b""
+
+
+def test_files_are_bounded_by_bytes(spark, tmp_path):
+    rows = [(i, "u", chr(97 + i % 26) * (3000 + i)) for i in range(300)]
+    src = arc_to_records(arc_records(pages(spark, rows).coalesce(2), F.lit(2)))
+    marked = mark_revisits(src, src.select("page_id", "record_id", "payload_bytes", "payload_digest"))
+    write_warc(marked, str(tmp_path / "w"), file_bytes=50_000)
+    files = [gzip.open(f, "rb").read() for f in glob.glob(f"{tmp_path}/w/*/*.gz")]
+    assert len(files) >= 18 and max(map(len, files)) <= 56_000
+    kinds = [[h["WARC-Type"] for h, _ in parse_warc(f)] for f in files]
+    assert all(k[0] == "warcinfo" and set(k[1:]) == {"response"} for k in kinds)
+    assert sorted(r.page_id for r in read_warc(spark, str(tmp_path / "w")).collect()) == list(range(300))
+
+
+def test_revisits_of_pages_without_id_and_of_hot_payloads(spark, tmp_path):
+    big, other = "x" * 1500, "y" * 1500
+    rows = [(None, "a", big), (4, "b", big), (None, "c", other), (None, "d", other), *[(100 + i, "h", "z" * 1200) for i in range(2500)]]
+    got = convert(pages(spark, rows), str(tmp_path / "w")).collect()
+    assert [(r.record_type, r.refers_to) for r in got if r.target_uri in "ab"] == [(("revisit", 4) if r.target_uri == "a" else ("response", None)) for r in got if r.target_uri in "ab"]
+    assert sorted(r.record_type for r in got if r.target_uri in "cd") == ["response", "revisit"]
+    hot = {r.page_id: (r.record_type, r.refers_to) for r in got if r.target_uri == "h"}
+    assert hot[2599] == ("response", None) and all(hot[100 + i] == ("revisit", 2599) for i in range(2499))
+
+
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"), ("b.com", "/de/x", "allow"), ("net", "", "block")]
 URLS = ["http://example.org/es/a", "https://www.example.org/en/12?x#y", "http://xexample.org/es/a", "http://EXAMPLE.ORG/en/2", "ftp://b.com/de/x/y", "http://a,b.com/de/q", "http://a.b.com/de/q", "nourl", None, "http://", "http://com/fr/", "http://u@h.net:80?q=/de/", "://org", "http://a.net#f", "http://é.org/es/", "x\n://q.org/"]
 

@@ -4,8 +4,10 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tarn.llm import common
 from tarn.llm import tree_extract as X
 
 SF = "/root/testdata/sf0.001"
@@ -101,6 +103,64 @@ def test_pipeline_stages(spark):
     assert last.select("doc_id").distinct().count() == at.count() <= n
 
 
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, component_id long"
+
+
+def plain_near_dedup(rows, k=5):
+    """Ids that stay: the smallest of each component of texts alike to 80 of 100 in word shingles."""
+    sets = {}
+    for i, t in rows:
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1))} if w else set()
+    comp = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if comp[a] < comp[b] and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    comp[b], changed = comp[a], True
+    return {i for i in comp if comp[i] == i}
+
+
+def test_pipeline_stages_by_brute_force(spark):
+    """Near copies, secrets, budgets and sequences of a small table, each stage on its own input."""
+    base = [f"word{i % 37}x{i}" for i in range(60)]
+    texts = [" ".join(base), " ".join(base[:58] + ["other", "end"]), " ".join(base[::-1]), "one two", "", None, " ".join(base), 'long one here token = "abcdef0123456789" and so on it goes']
+    rows = [(i, t, "en" if i % 2 else "de", f"src{i}", len(t or ""), "clash", 7) for i, t in enumerate(texts)]
+    df = spark.createDataFrame([*rows, (None, "no id", None, None, None, "", 1), (3, "one two", "en", "src3", 7, "", 1)], DOCS)
+    stages = dict(corpus_pipeline.STAGES)
+    out = stages["near_dedup"](spark, df, SF)
+    assert out.columns == corpus_pipeline.COLUMNS
+    got = sorted(r.doc_id if r.doc_id is not None else -1 for r in out.collect())
+    assert got == sorted([-1, *plain_near_dedup([(i, t) for i, t in enumerate(texts)])])
+    clean = {r.doc_id: r for r in stages["secret_scan"](spark, df, SF).collect()}
+    assert clean[7].text == "long one here [SECRET]\" and so on it goes" and clean[7].n_chars == len(clean[7].text) and clean[0].text == texts[0]
+    mixed = stages["mixture"](spark, df, SF).collect()
+    tokens = {i: len((t or "").split()) for i, t in enumerate(texts)}
+    used = sum(tokens[r.doc_id] for r in mixed if r.doc_id is not None)
+    assert 0 < used <= 0.9 * (sum(tokens.values()) + 2) and sum(r.doc_id is None for r in mixed) == 1
+    packed = stages["packing"](spark, df, SF)
+    assert packed.filter("doc_id is not null").select("doc_id").distinct().count() == 8
+    assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").count() == 0
+
+
+def test_stages_take_empty_tables(spark):
+    empty = spark.createDataFrame([], DOCS)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).count() == 0, name
+
+
+def test_run_leaves_one_table(spark, tmp_path, monkeypatch):
+    for t in ("documents", "labels"):
+        df = spark.read.parquet(f"{SF}/{t}.parquet")
+        (df.limit(60) if t == "documents" else df).write.parquet(str(tmp_path / f"{t}.parquet"))
+    root = tmp_path / "scratch"
+    monkeypatch.setattr(common, "scratch_dir", lambda spark: str(root))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+    assert [p.name.split("-")[0] for p in root.iterdir()] == ["packing"]
+
+
 @pytest.mark.parametrize("source", ["<div>" * 400_000, "<div><p>x" * 200_000, "<b><p>" * 300_000, "<p>x" * 400_000, "<a '" * 400_000, "<" * 2_000_000, "</b>" * 400_000])
 def test_hostile_pages_take_linear_time(model, source):
     def seconds(s):
