@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarn.llm.budget_tree import mix
-from tarn.llm.common import new_path
+from tarn.llm.common import Scratch, new_path, remove, scope
 from tarn.llm.cotrain import keep_good
 from tarn.llm.path_join import near_duplicates
 from tarn.llm.queries import LANGUAGE_WEIGHTS, tokenizer_files
@@ -23,9 +24,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest id."""
-    kept = near_duplicates(docs, k=5, percent=80).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    """One document of each group of near duplicates stays: the one with the smallest id.
+
+    Of rows that repeat both id and text one stays. Rows with null id cannot be named by a group; all stay.
+    """
+    kept = near_duplicates(docs, k=5, percent=80).filter("kept").groupBy("doc_id").agg(F.count("*").alias("rows"))
+    kept = Scratch(spark).put(kept, "kept")
+    named = docs.join(kept, "doc_id").select(*COLUMNS, "rows")
+    out = named.filter("rows = 1")
+    if kept.filter("rows > 1").limit(1).count():
+        out = out.unionByName(named.filter("rows > 1").dropDuplicates(["doc_id", "text"]))
+    return out.unionByName(docs.filter("doc_id is null"), allowMissingColumns=True).select(*COLUMNS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +43,13 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Nine tenths of the tokens, by language weights; no document is used twice."""
+    """Nine tenths of the tokens, by language weights; no document is used twice.
+
+    A document without tokens takes nothing from a budget and is not selected (the first stage lets none through);
+    rows with null id cannot be told apart by a budget's seeded order and stay beside it.
+    """
     chosen = mix(docs, share=0.9, weights=LANGUAGE_WEIGHTS, epochs=1).select("doc_id").distinct()
-    return docs.join(chosen, "doc_id", "left_semi").select(*COLUMNS)
+    return docs.join(chosen, "doc_id", "left_semi").unionByName(docs.filter("doc_id is null")).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,9 +68,15 @@ ORACLE_SQL = None  # a trained classifier decides the first stage; tests hold th
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages one after another. A stage's scratch tables go when it has been written, its own table when
+    the next one has; only the last table stays."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        out, path = stage(spark, docs, sf_dir), new_path(spark, name)
-        out.write.parquet(path)
-        docs = spark.read.schema(out.schema).parquet(path)
+        path = new_path(spark, name)
+        with scope(spark, name):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        if last:
+            remove(spark, last)
+        docs, last = spark.read.schema(out.schema).parquet(path), path
     return docs
