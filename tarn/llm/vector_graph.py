@@ -277,8 +277,8 @@ def _sample(df: DataFrame, share: Column) -> DataFrame:
 
 
 def _centres(classes: DataFrame, shard_rows: int, most_centres: int) -> dict[tuple[str, int], np.ndarray]:
-    """Centres of the labels with more rows than a shard: at most about 2 * most_centres in all."""
-    sizes = classes.groupBy("label", F.length("v").alias("width")).agg(F.count("*").alias("n")).filter(F.col("n") > shard_rows)
+    """Centres of the labels with more rows than two shards: at most about 2 * most_centres in all."""
+    sizes = classes.groupBy("label", F.length("v").alias("width")).agg(F.count("*").alias("n")).filter(F.col("n") > 2 * shard_rows)
     large = sizes.orderBy(F.desc("n"), "label", "width").limit(most_centres // 2).collect()
     total, centres = sum(r["n"] for r in large), {}
     share = {f"{r['label']}/{r['width']}": 2.0 * max(2, min(-(-r["n"] // shard_rows), most_centres // 2 * r["n"] // total)) / r["n"] for r in large}
@@ -324,9 +324,9 @@ def near_vectors(
     vector_col: str = "embedding",
     label_col: str = "label",
     cos: float = 0.98,
-    shard_rows: int = 1000,
+    shard_rows: int = 4000,
     most_centres: int = 2048,
-    shard_limit: int = 8000,
+    shard_limit: int = 16000,
     levels: int = 3,
     margin: float = 0.16,
     audit: int = 120,
@@ -335,7 +335,7 @@ def near_vectors(
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept, audit_recall, audit_classes, audit_links), one row per row of ``vectors``.
 
-    shard_rows: aimed-at rows of a shard. most_centres: bound of the centres that a task gets, for all labels
+    shard_rows: aimed-at rows of a shard; a label of up to twice as many is one shard, without overlap. most_centres: bound of the centres that a task gets, for all labels
     together or for one shard that is divided. shard_limit: a larger shard is divided again, up to ``levels``
     times; where dividing does not thin it (a dense ball of near copies), it is indexed in parts, each searched
     for all queries of the shard. margin: radians by which a shard's centre may be farther than the nearest

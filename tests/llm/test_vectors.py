@@ -29,7 +29,7 @@ def brute(rows, cos=0.98):
     return {i: (n[i], root(i)) for i in comp}
 
 
-@pytest.mark.parametrize("options", [{}, {"shard_rows": 40}, {"shard_rows": 40, "shard_limit": 30}, {"shard_rows": 20, "shard_limit": 30, "most_centres": 4}])
+@pytest.mark.parametrize("options", [{}, {"shard_rows": 40}, {"shard_rows": 40, "shard_limit": 30}, {"shard_rows": 20, "shard_limit": 30, "most_centres": 4}, {"shard_rows": 15}, {"shard_rows": 15, "shard_limit": 20}])
 def test_equals_brute_force(spark, options):
     rng = np.random.default_rng(0)
     rows, i = [], 0
