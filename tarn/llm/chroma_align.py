@@ -8,7 +8,8 @@ histogram of their offsets names an alignment, and the bit errors along it decid
 
 Recordings shorter than the widest filter have no integers: those of equal frames and samples are one class,
 and they match nothing else. Recordings with fewer pairs of integers than the votes asked for must lie wholly
-in the other one; they are found without loss by halves of single integers. Rows with null id are members of a null class; null audio counts as empty. The tables here hold no media, so ``render`` makes one recording per
+in the other one, and meet it through equal single integers. An integer or pair that many asking positions
+share is dealt over salts, so that it does not meet in one task. Rows with null id are members of a null class; null audio counts as empty. The tables here hold no media, so ``render`` makes one recording per
 text: a note per word, whose pitch comes from the word.
 """
 
@@ -20,7 +21,6 @@ import wave
 import zlib
 from collections.abc import Iterator
 from functools import partial
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -31,6 +31,7 @@ from tarn.llm.common import Scratch
 
 RATE, NOTE, FRAME, HOP = 4000, 256, 512, 256
 BANDS, WIDEST = 12, 8
+SALTS = 32  # shares of a hot key
 
 
 def _filters() -> list[tuple[int, int, int, int]]:
@@ -173,7 +174,7 @@ def _bit_errors(batches: Iterator[pd.DataFrame], most_error: float) -> Iterator[
                 off = int(o["offset"])
                 lo, hi = max(0, -off), min(len(a), len(b) - off)
                 error = float(np.unpackbits((a[lo:hi] ^ b[lo + off : hi + off]).view(np.uint8)).sum()) / (32 * max(1, hi - lo))
-                if error <= most_error:
+                if error <= (most_error if hi - lo > 1 else 0):
                     rows.append((q, m, off, o["votes"], hi - lo, error))
                     break
         yield pd.DataFrame(rows, columns=["class_id", "match_id", "offset", "votes", "shared", "bit_error"])
@@ -187,9 +188,9 @@ def align(prints: DataFrame, is_query: Column, votes: int = 4, most_error: float
     votes: equal keys that an offset needs where the shorter recording has 8 * votes keys; an eighth of its keys
     where it has fewer, one at least. A key is two integers of adjacent, separate windows: one alone has so few
     bits of its own that chance hits would grow with the square of the input. Recordings with fewer keys than
-    ``votes`` lie whole in the other one or not at all, so one integer has at most the mean number of wrong bits
-    and one half of it at most half of those: halves of integers are their keys, with so many bits flipped on the
-    short side. most_error: largest share of differing bits. All offsets with enough votes are tried; of those that pass, the one of most votes is named.
+    ``votes`` lie whole in the other one or not at all; single integers are their keys. most_error: largest
+    share of differing bits; an alignment of one integer must be exact, since its 32 bits (some 18 of their own)
+    cannot tell a near hit from chance, and chance hits grow with the square of the input. All offsets with enough votes are tried; of those that pass, the one of most votes is named.
     """
     tmp = Scratch(prints.sparkSession)
     key = F.when(F.size("fp") > 0, F.md5(F.concat_ws(",", F.transform("fp", lambda x: x.cast("string"))))).otherwise(F.concat_ws("/", F.lit("short"), "n_frames", "sound"))
@@ -200,19 +201,21 @@ def align(prints: DataFrame, is_query: Column, votes: int = 4, most_error: float
     least = WIDEST + votes  # integers of a recording with ``votes`` keys
     n = F.size("fp").alias("n")
     two = reps.filter(F.size("fp") >= least).select("class_id", "asks", n, F.posexplode(F.arrays_zip(F.col("fp").alias("a"), next_fp.alias("b"))).alias("at", "w"))
-    posted = two.filter("w.b is not null").select("class_id", "asks", "n", "at", F.lit(0).alias("w"), F.xxhash64("w.a", "w.b").alias("value"))
-    halves = lambda x: F.array(F.shiftrightunsigned(x, 16), x.bitwiseAND(0xFFFF).bitwiseOR(1 << 16))
-    one = reps.select("class_id", "asks", n, F.posexplode("fp").alias("at", "w")).select("class_id", "asks", "n", "at", "w", F.explode(halves(F.col("w"))).alias("value"))
-    wrong = int(32 * most_error)  # bits of one integer
-    flips = [sum(1 << i for i in c) for r in range(wrong // 2 + 1) for c in combinations(range(16), r)]
-    few = one.filter(F.col("n") < least).withColumn("value", F.explode(F.array(*[F.col("value").bitwiseXOR(m) for m in flips])))
+    posted = two.filter("w.b is not null").select("class_id", "asks", "n", "at", F.xxhash64("w.a", "w.b").alias("value"))
+    one = reps.select("class_id", "asks", n, F.posexplode("fp").alias("at", "value")).withColumn("value", F.col("value").cast("long"))
+    few = one.filter(F.col("n") < least)
 
     def met(posted: DataFrame, asked: DataFrame, needed: Column) -> DataFrame:
-        asked = asked.filter("asks = 1").select(F.col("class_id").alias("q"), F.col("at").alias("q_at"), F.col("n").alias("q_n"), F.col("w").alias("q_w"), "value")
+        asked = tmp.put(asked.filter("asks = 1").select(F.col("class_id").alias("q"), F.col("at").alias("q_at"), F.col("n").alias("q_n"), "value"), "asked")
+        counts = asked.groupBy("value").agg(F.count("*").alias("c"))
+        hot = counts.filter(F.col("c") > max(100, asked.count() // 2000)).select("value", F.lit(True).alias("hot"))  # fewer than 2,000
+        deal = F.when(F.col("hot"), F.pmod(F.xxhash64("match_id", "at"), F.lit(SALTS))).otherwise(0).cast("int")
+        left = posted.select(F.col("class_id").alias("match_id"), "at", "n", "value").join(F.broadcast(hot), "value", "left").withColumn("salt", deal).drop("hot")
+        every = F.explode(F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+        right = asked.join(F.broadcast(hot), "value", "left").withColumn("salt", every).drop("hot")
         return (
-            posted.select(F.col("class_id").alias("match_id"), "at", "n", "w", "value")
-            .join(asked, "value")
-            .filter((F.col("match_id") != F.col("q")) & (F.bit_count(F.col("w").bitwiseXOR(F.col("q_w")).cast("long").bitwiseAND(0xFFFFFFFF)) <= wrong))
+            left.join(right, ["value", "salt"])
+            .filter(F.col("match_id") != F.col("q"))
             .groupBy("q", "match_id", "n", "q_n", (F.col("at") - F.col("q_at")).alias("offset"))
             .agg(F.count("*").alias("votes"))
             .filter(F.col("votes") >= needed)

@@ -365,3 +365,56 @@ def test_short_and_edited_recordings_align(spark):
     assert member[200] == member[3] == 3 and member[4] == 4  # exact copies of four words
     assert [pairs[100, i].offset for i in (1, 2, 5)] == [-40, -70, -20] and pairs[100, 2].shared == 1
     assert pairs[300, 6].offset == 10 and pairs[300, 6].shared == 6 and pairs[100, 1].shared == 7
+
+
+def alignments(fps, least=12, most_error=0.1):
+    """Every pair (query, other) of fingerprints that some offset aligns, by trying all offsets."""
+    out = {}
+    for q, a in fps.items():
+        for m, b in fps.items():
+            need = min(len(a), len(b), least)
+            if q == m or q % 100 or not need:
+                continue
+            bits = np.unpackbits((a[:, None] ^ b[None, :]).view(np.uint8).reshape(len(a), len(b), 4), axis=2).sum(axis=2)
+            for off in range(need - len(a), len(b) - need + 1):
+                d = np.diagonal(bits, off)
+                if len(d) >= need and d.sum() <= 32 * len(d) * (most_error if len(d) > 1 else 0):
+                    out[q, m] = min(out.get((q, m), 1.0), d.sum() / (32 * len(d)))
+    return out
+
+
+def test_recall_with_noise_and_offset_by_brute_force(spark):
+    """Noisy excerpts of 20 to 90 words at any word, short quotations, and strangers: links against all offsets."""
+    rng = np.random.default_rng(9)
+    words = [f"w{n}" for n in rng.integers(0, 10_000, 3000)]
+    rows = []
+    for k in range(12):
+        at = int(rng.integers(0, 2800))
+        whole = chroma_align.notes_of(" ".join(words[at : at + 130]))
+        rows.append((100 * (k + 1), chroma_align.to_wav(whole)))
+        for j in range(5):
+            o, n = int(rng.integers(0, 40)), int(rng.integers(20, 90))
+            part = whole[o * chroma_align.NOTE : (o + n) * chroma_align.NOTE].astype(float) + rng.normal(0, 2.0 * j, min(n, 130 - o) * chroma_align.NOTE)
+            rows.append((100 * (k + 1) + 1 + j, chroma_align.to_wav(np.clip(part.round(), 0, 255).astype(np.uint8))))
+        o = int(rng.integers(0, 100))
+        rows.append((100 * (k + 1) + 7, chroma_align.to_wav(whole[o * chroma_align.NOTE : (o + 9 + k % 12) * chroma_align.NOTE])))
+    df = spark.createDataFrame([(i, bytearray(w)) for i, w in rows], "rec_id long, audio binary")
+    prints = chroma_align.fingerprints(df)
+    want = alignments({r.rec_id: np.array(r.fp, np.int32) for r in prints.collect()})
+    found = chroma_align.align(prints, F.col("rec_id") % 100 == 0).filter("kind = 'pair'").collect()
+    got = {(r.class_id, r.match_id): r.bit_error for r in found}
+    assert len(want) >= 60 and set(got) <= set(want) and len(set(got)) >= 0.9 * len(want)
+    assert all(e <= want[k] + 0.1 for k, e in got.items())
+
+
+def test_hot_keys_and_repeated_recordings(spark):
+    """A steady note and a stock phrase in every recording: nothing is lost or counted twice."""
+    rng = np.random.default_rng(10)
+    phrase = " ".join(f"p{i}" for i in range(40))
+    texts = {100 * i: f"{phrase} " + " ".join(f"w{n}" for n in rng.integers(0, 10_000, 15)) for i in range(12)} | {7: "a " * 300, 8: "a " * 200, 9: phrase, 10: phrase}
+    rows = [(i, t) for i, t in texts.items()] + [(9, phrase)]
+    df = spark.createDataFrame(rows, "rec_id long, text string")
+    out = chroma_align.align(chroma_align.fingerprints(df, "text"), F.col("rec_id") % 100 == 0).collect()
+    assert sorted(r.rec_id for r in out if r.kind == "member") == sorted(i for i, _ in rows)
+    pairs = [(r.class_id, r.match_id) for r in out if r.kind == "pair"]
+    assert len(pairs) == len(set(pairs)) and {(100 * i, 9) for i in range(12)} <= set(pairs) and not any(m in (7, 8, 10) for _, m in pairs)
