@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarn.functions.exprs import overround
+
 
 def sum_if(cond: Column, value: Column | str) -> Column:
     return F.sum(F.when(cond, F.col(value) if isinstance(value, str) else value))
@@ -157,3 +159,17 @@ def market_features(df: DataFrame, keys: list[str], book: str, odds: tuple[str,
     ps = {n: implied_prob(odds, i) for i, n in enumerate(("home", "draw", "away"))}
     aggs = [F.avg(p).alias(f"mkt_{n}") for n, p in ps.items()] + [F.max(F.when(F.col(book) == reference, p)).alias(f"ref_{n}") for n, p in ps.items()]
     return df.groupBy(*keys).agg(F.count_distinct(book).alias("n_books"), F.avg(overround(odds)).alias("mean_overround"), *aggs)
+
+
+def hours_mean(df: DataFrame, keys: list[str], ts: str, value: str, first: int = 14, last: int = 17) -> DataFrame:
+    """(keys, day, mean_value, n): daily mean over the hours ``first`` to ``last``, both included."""
+    inside = df.filter(F.hour(ts).between(first, last))
+    return inside.groupBy(*keys, F.to_date(ts).alias("day")).agg(F.avg(value).alias("mean_value"), F.count(value).alias("n"))
+
+
+def market_by_season(df: DataFrame, keys: list[str], odds: list[str], result: str, outcomes: tuple[str, ...] = ("H", "D", "A")) -> DataFrame:
+    """(keys, n_matches, mean_margin, rate_<outcome>): the bookmaker's mean margin, and how often each outcome came
+    among the matches with a result."""
+    n = F.count(result)
+    rates = [(F.count(F.when(F.col(result) == o, 1)) / F.nullif(n, F.lit(0))).alias(f"rate_{o.lower()}") for o in outcomes]
+    return df.groupBy(*keys).agg(n.alias("n_matches"), F.avg(overround(odds)).alias("mean_margin"), *rates)

@@ -62,6 +62,14 @@ def union_sources(*dfs: DataFrame, by_name: bool = True) -> DataFrame:
     return out
 
 
+def union_distinct(*dfs: DataFrame) -> DataFrame:
+    """Different rows of tables with the same columns, in any order of columns."""
+    out = dfs[0]
+    for d in dfs[1:]:
+        out = out.unionByName(d)
+    return out.distinct()
+
+
 def histogram(df: DataFrame, keys: list[str], value: str, width: float) -> DataFrame:
     return df.groupBy(*keys, (F.floor(F.col(value) / width) * width).cast("long").alias("bucket")).agg(F.count("*").alias("n"))
 

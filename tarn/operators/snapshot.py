@@ -12,10 +12,15 @@ def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def latest_batch(df: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """All rows of each key's newest batch."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    return df.withColumn("_rk", F.dense_rank().over(w)).filter("_rk = 1").drop("_rk")
+def latest_batch(df: DataFrame, keys: list[str], batch: Column) -> DataFrame:
+    """All rows of each key's newest batch: those with its largest ``batch``, or all if it has none.
+
+    One pre-aggregated maximum and an equi join, so a key with few values never gathers in one task.
+    """
+    rows = df.withColumn("_b", batch)
+    newest = rows.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.max("_b").alias("_newest"))
+    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_b").eqNullSafe(F.col("_newest"))]
+    return rows.join(newest, on, "left_semi").drop("_b")
 
 
 def latest_by(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:

@@ -70,6 +70,13 @@ def word_mentions(docs: DataFrame, dictionary: DataFrame, text: str, keep: list[
     return d.select(*keep, F.explode(grams).alias("alias")).join(dictionary.select("alias", "entity"), "alias").groupBy(*keep, "entity").agg(F.count("*").alias("n_mentions"))
 
 
+def mentions_by_day(docs: DataFrame, dictionary: DataFrame, text: str, ident: str, day: str, most_words: int = 4) -> DataFrame:
+    """(entity, day, n_docs, n_mentions): how many documents of a day name an entity, and how often."""
+    m = word_mentions(docs, dictionary, text, [ident, day], most_words)
+    return m.groupBy("entity", F.col(day).alias("day")).agg(F.count_distinct(ident).alias("n_docs"), F.sum("n_mentions").alias("n_mentions"))
+
+
+
 def contains_mentions(docs: DataFrame, names: DataFrame, text: str, name: str, keep: list[str], most_names: int = 5000) -> DataFrame:
     """The longest name that each text contains (ties: the smaller)."""
     if names.limit(most_names + 1).count() > most_names:

@@ -63,7 +63,7 @@ def latest_order_by_max(spark, d):
     QUALIFY dense_rank() OVER (PARTITION BY event_type ORDER BY CAST(ts AS DATE) DESC NULLS LAST) = 1""")
 def latest_batch_per_type(spark, d):
     e = table(spark, d, "events").withColumn("day", F.to_date("ts"))
-    return S.latest_batch(e, ["event_type"], F.desc_nulls_last("day")).select("event_type", "event_id", "user_id")
+    return S.latest_batch(e, ["event_type"], F.col("day")).select("event_type", "event_id", "user_id")
 
 
 @register("rolling_min_obs_avg", f"""

@@ -86,6 +86,30 @@ def ml_team_features(spark, d):
     return f.select("match_key", "side", "f_n_prev", F.round("f_pts_l3", 6).alias("f_pts_l3"), F.round("f_sot_l5", 6).alias("f_sot_l5"), "f_form5", "f_n_30d", "y_points")
 
 
+@register("ml_team_feature_families", f"""
+    WITH {MATCHES}, t AS (
+    SELECT match_key, 'h' AS side, home_key AS team_key, away_key AS opponent_key, competition_key, season, match_date, is_finished, home_goals AS gf, away_goals AS ga, home_shots_target AS st FROM m
+    UNION ALL SELECT match_key, 'a', away_key, home_key, competition_key, season, match_date, is_finished, away_goals, home_goals, away_shots_target FROM m),
+    r AS (SELECT *, CAST(match_date AS TIMESTAMP) AS ord, is_finished AND gf IS NOT NULL AND ga IS NOT NULL AS has, CASE WHEN gf > ga THEN 3 WHEN gf = ga THEN 1 ELSE 0 END AS p FROM t WHERE match_date >= DATE '1990-01-01'),
+    pl AS (SELECT *, CAST(match_date AS TIMESTAMP) + INTERVAL '23 hours 59 minutes 59 seconds' AS known FROM r WHERE has),
+    team AS (SELECT team_key, known, match_key, CASE WHEN count(*) OVER (w ROWS 9 PRECEDING) >= 10 THEN avg(gf) OVER (w ROWS 9 PRECEDING) END AS gf10, CASE WHEN count(*) OVER (w ROWS 9 PRECEDING) >= 10 THEN avg(CAST(p = 3 AS INTEGER)) OVER (w ROWS 9 PRECEDING) END AS win10 FROM pl WINDOW w AS (PARTITION BY team_key ORDER BY known, match_key)),
+    team1 AS (SELECT * FROM team QUALIFY row_number() OVER (PARTITION BY team_key, known ORDER BY match_key DESC) = 1),
+    side AS (SELECT team_key, side, known, match_key, CASE WHEN count(*) OVER (w ROWS 4 PRECEDING) >= 5 THEN avg(p) OVER (w ROWS 4 PRECEDING) END AS pts5 FROM pl WINDOW w AS (PARTITION BY team_key, side ORDER BY known, match_key)),
+    side1 AS (SELECT * FROM side QUALIFY row_number() OVER (PARTITION BY team_key, side, known ORDER BY match_key DESC) = 1),
+    year AS (SELECT team_key, competition_key, season, known, match_key, count(*) OVER w AS n, avg(p) OVER w AS ppg, avg(gf - ga) OVER w AS gd FROM pl WINDOW w AS (PARTITION BY team_key, competition_key, season ORDER BY known, match_key ROWS UNBOUNDED PRECEDING)),
+    year1 AS (SELECT * FROM year QUALIFY row_number() OVER (PARTITION BY team_key, competition_key, season, known ORDER BY match_key DESC) = 1),
+    met AS (SELECT team_key, opponent_key, known, match_key, count(*) OVER w AS n, avg(p) OVER w AS pts, avg(ga) OVER w AS ga FROM pl WINDOW w AS (PARTITION BY team_key, opponent_key ORDER BY known, match_key ROWS 4 PRECEDING)),
+    met1 AS (SELECT * FROM met QUALIFY row_number() OVER (PARTITION BY team_key, opponent_key, known ORDER BY match_key DESC) = 1)
+    SELECT r.match_key AS match_key, r.side AS side, round(a.gf10, 6) AS f_gf_l10, round(a.win10, 6) AS f_win_rate_l10, round(b.pts5, 6) AS f_side_pts_l5, coalesce(y.n, 0) AS f_s_played, round(y.ppg, 6) AS f_s_ppg, round(y.gd, 6) AS f_s_gd_pg, coalesce(h.n, 0) AS f_h2h_n, round(h.pts, 6) AS f_h2h_pts, round(h.ga, 6) AS f_h2h_ga
+    FROM r ASOF LEFT JOIN team1 a ON a.team_key = r.team_key AND r.ord > a.known ASOF LEFT JOIN side1 b ON b.team_key = r.team_key AND b.side = r.side AND r.ord > b.known
+    ASOF LEFT JOIN year1 y ON y.team_key = r.team_key AND y.competition_key = r.competition_key AND y.season = r.season AND r.ord > y.known ASOF LEFT JOIN met1 h ON h.team_key = r.team_key AND h.opponent_key = r.opponent_key AND r.ord > h.known""")
+def ml_team_feature_families(spark, d):
+    f = ml.team_match_features(core.fact_team_match(matches(spark, d)), "1990-01-01")
+    names = ["f_gf_l10", "f_win_rate_l10", "f_side_pts_l5", "f_s_ppg", "f_s_gd_pg", "f_h2h_pts", "f_h2h_ga"]
+    counts = [F.coalesce(n, F.lit(0)).cast("bigint").alias(n) for n in ("f_s_played", "f_h2h_n")]
+    return f.select("match_key", "side", *[F.round(n, 6).alias(n) for n in names], *counts)
+
+
 @register("ml_match_features", f"""
     WITH {MATCHES} SELECT match_key, CASE WHEN NOT coalesce(is_finished AND home_goals IS NOT NULL AND away_goals IS NOT NULL, false) THEN 'predict' WHEN match_date <= DATE '1996-06-30' THEN 'train' WHEN match_date <= DATE '1997-06-30' THEN 'valid' ELSE 'test' END AS split,
            CASE WHEN is_finished AND home_goals IS NOT NULL AND away_goals IS NOT NULL THEN CASE WHEN home_goals > away_goals THEN 2 WHEN home_goals = away_goals THEN 1 ELSE 0 END END AS y_result_code,

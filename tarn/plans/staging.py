@@ -510,7 +510,7 @@ def stg_wikidata(spark: SparkSession, lake: str) -> DataFrame:
     docs = read_json_docs(spark, f"{lake.rstrip('/')}/raw/wikidata/sparql")
     rows = J.explode_array(docs, "doc", "$.results.bindings", "binding_obj", ["path"])
     df = rows.select(J.path_part("query").alias("sparql_query_name"), J.path_date().alias("ingest_date"), "binding_obj")
-    return latest_batch(df, ["sparql_query_name"], F.desc_nulls_last("ingest_date"))
+    return latest_batch(df, ["sparql_query_name"], F.col("ingest_date"))
 
 
 def _wikidata(query: str, cols: dict[str, tuple[str, str]]):
