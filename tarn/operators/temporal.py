@@ -19,19 +19,21 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, ri
     known = F.lit(True)
     for b in by:
         known = known & F.col(b).isNotNull()
-    # Every value is carried by its own window expression, so unused ones are pruned; rows without a key or
-    # time, whose answer is null, are dealt over the partitions they come from.
-    l_cols, r_types = [x for x in left.columns if x not in by], {f.name: f.dataType for f in right.schema}
-    l_types = {f.name: f.dataType for f in left.schema}
-    null = lambda kind, name: F.lit(None).cast(kind).alias(name)
-    deal = F.when(known & F.col(left_ts).isNotNull(), F.lit(-1)).otherwise(F.spark_partition_id())
-    lpart = left.select(*by, F.col(left_ts).alias("_ts"), F.lit(left_first).alias("_side"), deal.alias("_deal"), *[null(r_types[t], f"_t{i}") for i, t in enumerate(tie)], *[F.col(x).alias(f"_l_{x}") for x in l_cols], *[F.lit(None).cast(f"struct<v:{r_types[v].simpleString()}>").alias(f"_r_{v}") for v in values])
-    rpart = right.filter(known & F.col(right_ts).isNotNull()).select(*by, F.col(right_ts).alias("_ts"), F.lit(1).alias("_side"), F.lit(-1).alias("_deal"), *[F.col(t).alias(f"_t{i}") for i, t in enumerate(tie)], *[null(l_types[x], f"_l_{x}") for x in l_cols], *[F.struct(F.col(v).alias("v")).alias(f"_r_{v}") for v in values])
+    # rows without a key or time, whose answer is null, are dealt by their time and do not meet in one task
+    deal = F.when(known & F.col(left_ts).isNotNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64(left_ts), F.lit(1000)).cast("int"))
+    lrow, rrow = F.struct(*[F.col(c) for c in left.columns]), F.struct(*[F.col(c) for c in values])
+    tie_cols = [f"_t{i}" for i in range(len(tie))]
+    r_types = {f.name: f.dataType for f in right.schema}
+    lpart = left.select(*by, F.col(left_ts).alias("_ts"), F.lit(left_first).alias("_side"), deal.alias("_deal"), *[F.lit(None).cast(r_types[t]).alias(n) for t, n in zip(tie, tie_cols, strict=True)], lrow.alias("_l"), F.lit(None).cast(right.select(rrow.alias("x")).schema["x"].dataType).alias("_r"))
+    usable = F.col(right_ts).isNotNull()
+    for b in by:
+        usable = usable & F.col(b).isNotNull()
+    rpart = right.filter(usable).select(*by, F.col(right_ts).alias("_ts"), F.lit(1).alias("_side"), F.lit(-1).alias("_deal"), *[F.col(t).alias(n) for t, n in zip(tie, tie_cols, strict=True)], F.lit(None).cast(left.select(lrow.alias("x")).schema["x"].dataType).alias("_l"), rrow.alias("_r"))
     ts = F.col("_ts").asc_nulls_first() if sign > 0 else F.col("_ts").desc_nulls_first()
-    w = Window.partitionBy(*by, "_deal").orderBy(ts, "_side", *[F.col(f"_t{i}").asc_nulls_first() for i in range(len(tie))]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hits = lpart.unionByName(rpart).withColumns({f"_h_{v}": F.last(f"_r_{v}", ignorenulls=True).over(w) for v in values}).filter(F.col("_side") == left_first)
-    usable = F.col("_deal") == -1
-    return hits.select(*[F.col(x) if x in by else F.col(f"_l_{x}").alias(x) for x in left.columns], *[F.when(usable, F.col(f"_h_{v}.v")).alias(f"{prefix}{v}") for v in values])
+    w = Window.partitionBy(*by, "_deal").orderBy(ts, "_side", *[F.col(t).asc_nulls_first() for t in tie_cols]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    got = lpart.unionByName(rpart).withColumn("_hit", F.last("_r", ignorenulls=True).over(w)).filter("_l is not null")
+    hit = F.when(F.col("_deal") == -1, F.col("_hit"))
+    return got.select(hit.alias("_hit"), "_l.*").select(*left.columns, *[F.col(f"_hit.{v}").alias(f"{prefix}{v}") for v in values])
 
 
 def range_agg(left: DataFrame, right: DataFrame, by: list[str], left_id: list[str], left_day: str, right_day: str, lookback: int, aggs: list[Column], include_same: bool = False) -> DataFrame:

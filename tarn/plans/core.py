@@ -22,6 +22,7 @@ COMPETITIONS = [
     ("RFPL", "Russian Premier League", "Russia", 1, None, None, "RFPL", 235, None, None, None),
 ]
 COMPETITION_SCHEMA = "competition_key string, competition_name string, country string, tier int, fdo_code string, couk_division string, understat_league string, api_football_league_id int, odds_sport_key string, thesportsdb_slug string, openliga_shortcut string"
+# Shortcuts of test leagues in the source, which are left out.
 TEST_LEAGUES = ["test-del", "goalunited23", "bulimo", "klb", "essl", "blclaude", "tst1"]
 
 

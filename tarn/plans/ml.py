@@ -138,6 +138,7 @@ def goals(g: DataFrame, matches: DataFrame) -> DataFrame:
     })
 
 
+# Name parts that are cut off a club's name, so that keys equal those of the page views' source.
 SUFFIX = r" (f c|fc|cf|afc|a c|ac|sc|ssc|s s c)$"
 PREFIX = r"^(fc|afc|ac|as|ssc|sv|vfl|vfb|tsg|rc|ud|cd|ca|sd|us|ss) "
 

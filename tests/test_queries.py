@@ -53,4 +53,9 @@ def test_query_equals_sql(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(SQL)))
 def test_query_runs(spark, name):
     df = registry.queries()[name](spark, SF)
-    assert len(df.columns) > 1 and df.count() >= 0
+    n, bounds = df.count(), {"html_tables": (0, 10**6), "fingerprint": (1, 100), "calibration_bins": (1, 100)}
+    lo, hi = bounds.get(name, (1, 10**6))
+    assert len(df.columns) > 1 and lo <= n <= hi
+    shares = [c for c, t in df.dtypes if t == "double" and (c.startswith("p_") or c in ("accuracy", "auc"))]
+    for c in shares:  # probabilities and rates stay within their range
+        assert df.filter(f"{c} < -1e-9 or {c} > 1 + 1e-9").count() == 0, c
