@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 _SCOPES: list[str] = []
@@ -49,10 +50,11 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, {}
 
-    def put(self, df: DataFrame, tag: str = "t") -> DataFrame:
+    def put(self, df: DataFrame, tag: str = "t", schema: StructType | None = None) -> DataFrame:
+        """``df`` written and read back, by its own schema or by another one that reads the same columns."""
         path = new_path(self.spark, tag)
         df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(schema or df.schema).parquet(path)
         self.paths[id(out)] = (path, out)
         return out
 

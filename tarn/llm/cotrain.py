@@ -17,16 +17,19 @@ scored; a label that repeats counts by its largest quality. Rows with null id ar
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tarn.llm.common import Scratch, mix64
 
@@ -146,6 +149,21 @@ def _measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 MEASURED = "doc_id long, y int, yt int, ym int, ti array<int>, tv array<double>, mi array<int>, mv array<double>"
+KNOWN = ["doc_id", "y", "yt", "ym"]
+
+
+def _views(rows: DataFrame, tmp: Scratch, tag: str) -> DataFrame:
+    """(doc_id, y, yt, ym, t, m): the views of a bounded set of rows as sparse vectors, in a few partitions.
+
+    Vectors are written as the struct that stores them and read back as vectors, without a Python function a row.
+    The shuffle of these few rows leaves the scan of all documents at its full width.
+    """
+    def stored(view: str, size: int) -> Column:
+        return F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), F.col(f"{view}i").alias("indices"), F.col(f"{view}v").alias("values")).alias(view)
+
+    out = rows.mapInPandas(_measure, MEASURED).select(*KNOWN, stored("t", TEXT), stored("m", META)).repartition(4)
+    schema = StructType([*[out.schema[c] for c in KNOWN], StructField("t", VectorUDT()), StructField("m", VectorUDT())])
+    return tmp.put(out, tag, schema)
 
 
 def _guess(batches: Iterator[pd.DataFrame], model: dict) -> Iterator[pd.DataFrame]:
@@ -155,8 +173,10 @@ def _guess(batches: Iterator[pd.DataFrame], model: dict) -> Iterator[pd.DataFram
             yield pd.DataFrame({"doc_id": part["doc_id"], "lang": part["lang"], "source": part["source"], "ot": ot, "om": om})[s.n_words > 0]
 
 
-def _vector(size: int):
-    return F.udf(lambda i, v: SparseVector(size, i, v), VectorUDT())
+def _at_once(spark: SparkSession, *fits: Callable[[], tuple | None]) -> list[tuple | None]:
+    """The results of small fits, whose many short jobs share the executors."""
+    with ThreadPool(len(fits)) as pool:
+        return pool.map(lambda f: f(), [inheritable_thread_target(spark)(f) for f in fits])
 
 
 def _fit(rows: DataFrame, view: str, label: str, reg: float = 3e-4, iterations: int = 25) -> tuple[np.ndarray, float] | None:
@@ -164,8 +184,7 @@ def _fit(rows: DataFrame, view: str, label: str, reg: float = 3e-4, iterations:
     known = rows.filter(F.col(label).isNotNull())
     if known.select(label).distinct().count() < 2:
         return None
-    size = TEXT if view == "t" else META
-    points = known.select(_vector(size)(f"{view}i", f"{view}v").alias("v"), F.col(label).cast("double").alias("l"), F.when(F.col("y").isNotNull(), 1.0).otherwise(0.3).alias("w"))
+    points = known.select(F.col(view).alias("v"), F.col(label).cast("double").alias("l"), F.when(F.col("y").isNotNull(), 1.0).otherwise(0.3).alias("w"))
     m = LogisticRegression(featuresCol="v", labelCol="l", weightCol="w", maxIter=iterations, regParam=reg).fit(points)
     return m.coefficients.toArray(), float(m.intercept)
 
@@ -198,17 +217,18 @@ def _sure(scored: DataFrame, odds: str, cut: float, most: int, seed: int) -> Dat
 
 def train(docs: DataFrame, labels: DataFrame, rounds: int = 2, most_labelled: int = 4000, most_new: int = 2000, sure: float = 0.97) -> dict | None:
     """Both views' weights, their calibrations and the weights of both together; None without labels of both classes."""
-    tmp = Scratch(docs.sparkSession)
+    spark = docs.sparkSession
+    tmp = Scratch(spark)
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").cast("int").alias("y"))
     picked = tmp.put(known.filter(_share(known, "doc_id", most_labelled, 1)), "picked")
     cols = ["doc_id", "text", "lang", "source"]
     seen = docs.join(F.broadcast(picked), "doc_id").select(*cols, "y", F.col("y").alias("yt"), F.col("y").alias("ym"))
-    base = tmp.put(seen.mapInPandas(_measure, MEASURED).coalesce(4), "views")
+    base = _views(seen, tmp, "views")
     held = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(5)) == 0
     test, rows = base.filter(held), base.filter(~held)
     cut, state = float(np.log(sure / (1 - sure))), rows
     for k in range(rounds + 1):
-        mt, mm = _fit(state, "t", "yt"), _fit(state, "m", "ym")
+        mt, mm = _at_once(spark, partial(_fit, state, "t", "yt"), partial(_fit, state, "m", "ym"))
         if mt is None or mm is None:
             return None
         model = {"t": mt, "m": mm}
@@ -219,16 +239,17 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 2, most_labelled: in
         new = _sure(scored, "om", cut, most_new, 5).withColumnRenamed("label", "yt").join(_sure(scored, "ot", cut, most_new, 6).withColumnRenamed("label", "ym"), "doc_id", "full")
         new = tmp.put(new, "new")  # at most about 2 * most_new rows
         fresh = docs.join(F.broadcast(new), "doc_id").select(*cols, F.lit(None).cast("int").alias("y"), "yt", "ym")
-        state = rows.unionByName(tmp.put(fresh.mapInPandas(_measure, MEASURED).coalesce(4), "fresh"))
+        state = rows.unionByName(_views(fresh, tmp, "fresh"))
         tmp.free(scored, new)
-    judged = tmp.put(test.mapInPandas(partial(_judge, model=model), "y int, ot double, om double"), "held")
-    return model | {"ct": _calibrate(judged, ["ot"]), "cm": _calibrate(judged, ["om"]), "both": _calibrate(judged, ["ot", "om"])}
+    judged = tmp.put(test.select("y", vector_to_array("t").alias("t"), vector_to_array("m").alias("m")).mapInPandas(partial(_judge, model=model), "y int, ot double, om double"), "held")
+    names = {"ct": ["ot"], "cm": ["om"], "both": ["ot", "om"]}
+    return model | dict(zip(names, _at_once(spark, *[partial(_calibrate, judged, odds) for odds in names.values()]), strict=True))
 
 
 def _judge(batches: Iterator[pd.DataFrame], model: dict) -> Iterator[pd.DataFrame]:
     (wt, bt), (wm, bm) = model["t"], model["m"]
     for pdf in batches:
-        yield pd.DataFrame({"y": pdf["y"], "ot": [float(np.clip(wt[i] @ v + bt, -30, 30)) for i, v in zip(pdf["ti"], pdf["tv"], strict=True)], "om": [float(np.clip(wm[i] @ v + bm, -30, 30)) for i, v in zip(pdf["mi"], pdf["mv"], strict=True)]})
+        yield pd.DataFrame({"y": pdf["y"], "ot": [float(np.clip(wt @ v + bt, -30, 30)) for v in pdf["t"]], "om": [float(np.clip(wm @ v + bm, -30, 30)) for v in pdf["m"]]})
 
 
 def _score(batches: Iterator[pd.DataFrame], model: dict | None) -> Iterator[pd.DataFrame]:
