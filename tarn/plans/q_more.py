@@ -344,9 +344,9 @@ def normalize_docs(spark, d):
 @register("topic_clusters")
 def topic_clusters(spark, d):
     docs = table(spark, d, "documents").filter("text is not null")
-    model, _ = X2.fit_topics(docs.select("doc_id", "text"), "text", [3], vocabulary=800, least_docs=5)
-    named = model.transform(docs).groupBy("topic_id").agg(F.count("*").alias("n_docs"))
-    return named.join(X2.topic_names(spark, model), "topic_id")
+    model, _ = X2.fit_topics(docs.select("doc_id", "text"), "text", [2, 3, 4])
+    names = X2.topic_names(spark, model)
+    return model.transform(docs).select("doc_id", "topic_id").join(F.broadcast(names), "topic_id")
 
 
 @register("sentiment_model")
