@@ -11,6 +11,7 @@ from tarn.llm.arc_convert import convert
 from tarn.llm.budget_tree import mix
 from tarn.llm.chroma_align import align, fingerprints
 from tarn.llm.cotrain import score
+from tarn.llm.packed_negatives import mine
 from tarn.llm.path_join import near_duplicates
 from tarn.llm.secret_scan import scan
 from tarn.llm.slack_pack import pack
@@ -82,6 +83,12 @@ def op10_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op12_packed_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the rows whose id is divisible by 50; every seventh row's label is moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(_table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_arc_to_warc": op1_arc_to_warc,
@@ -94,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_chroma_align": op8_chroma_align,
         "op9_tree_extract": op9_tree_extract,
         "op10_chosen_path_join": op10_chosen_path_join,
+        "op12_packed_negatives": op12_packed_negatives,
     }
 
 
