@@ -2,40 +2,117 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Both sides of an as-of join together, by the optimizer's estimate, up to which a key's line needs no cutting.
+UNCUT_BYTES = 2 << 30
+#: Widths of the time ranges into which lines are cut, by the type of the time column.
+RANGE_WIDTH = {"date": 512, "timestamp": 86_400, "timestamp_ntz": 86_400}
+
+
+def scanned_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of what the tables below ``df`` hold; huge where a size is unknown."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
-def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str, values: list[str], strict: bool = True, tie: list[str] | None = None, prefix: str = "", direction: str = "backward") -> DataFrame:
+
+def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str, values: list[str], strict: bool = True, tie: list[str] | None = None, prefix: str = "", direction: str = "backward", cut: bool | None = None, width: int | None = None) -> DataFrame:
     """Each left row with the newest right row before its time (``strict``) or up to it.
 
-    One shuffle by the keys and one sort: both sides are laid on one time line and the last right row is
-    carried along. ``tie``: right columns that order rows of equal time. Left rows without a match, and
-    rows with null keys or times, get nulls.
+    ``tie``: right columns that order rows of equal time. Left rows without a match, and rows with null keys
+    or times, get nulls. Two plans give the same rows:
+
+    Whole lines: one shuffle by the keys and one sort; both sides are laid on one time line and the last
+    right row is carried along. A key's whole line is one window partition.
+
+    Cut lines (``cut``; unset, where the scanned tables are estimated at over ``UNCUT_BYTES``): only the
+    distinct instants of each side travel, right rows as the last one of their instant. Every key's line
+    is cut into ranges of ``width`` (days of a date, seconds of a timestamp, units of a number), each seeded with
+    the last right row of all earlier ranges, which a scan over one row a range carries over empty ones. So a
+    window partition holds at most the instants of one range, whatever a key's share of the rows is; the answers
+    are joined back by key and instant, where adaptive execution can split a hot instant.
     """
-    tie = tie or []
-    sign = 1 if direction == "backward" else -1
+    if cut is None:
+        ranged = width is not None or left.schema[left_ts].dataType.simpleString() in RANGE_WIDTH
+        cut = ranged and scanned_bytes(left) + scanned_bytes(right) > UNCUT_BYTES
+    if cut:
+        return _asof_cut(left, right, by, left_ts, right_ts, values, strict, tie or [], prefix, direction == "backward", width)
+    return _asof_whole(left, right, by, left_ts, right_ts, values, strict, tie or [], prefix, direction == "backward")
+
+
+def _all_known(cols: list[str]) -> Column:
+    return reduce(and_, [F.col(c).isNotNull() for c in cols])
+
+
+def _asof_whole(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str, values: list[str], strict: bool, tie: list[str], prefix: str, backward: bool) -> DataFrame:
     left_first = 0 if strict else 2
-    known = F.lit(True)
-    for b in by:
-        known = known & F.col(b).isNotNull()
     # rows without a key or time, whose answer is null, are dealt by their time and do not meet in one task
-    deal = F.when(known & F.col(left_ts).isNotNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64(left_ts), F.lit(1000)).cast("int"))
+    deal = F.when(_all_known([*by, left_ts]), F.lit(-1)).otherwise(F.pmod(F.xxhash64(left_ts), F.lit(1000)).cast("int"))
     lrow, rrow = F.struct(*[F.col(c) for c in left.columns]), F.struct(*[F.col(c) for c in values])
     tie_cols = [f"_t{i}" for i in range(len(tie))]
     r_types = {f.name: f.dataType for f in right.schema}
     lpart = left.select(*by, F.col(left_ts).alias("_ts"), F.lit(left_first).alias("_side"), deal.alias("_deal"), *[F.lit(None).cast(r_types[t]).alias(n) for t, n in zip(tie, tie_cols, strict=True)], lrow.alias("_l"), F.lit(None).cast(right.select(rrow.alias("x")).schema["x"].dataType).alias("_r"))
-    usable = F.col(right_ts).isNotNull()
-    for b in by:
-        usable = usable & F.col(b).isNotNull()
-    rpart = right.filter(usable).select(*by, F.col(right_ts).alias("_ts"), F.lit(1).alias("_side"), F.lit(-1).alias("_deal"), *[F.col(t).alias(n) for t, n in zip(tie, tie_cols, strict=True)], F.lit(None).cast(left.select(lrow.alias("x")).schema["x"].dataType).alias("_l"), rrow.alias("_r"))
-    ts = F.col("_ts").asc_nulls_first() if sign > 0 else F.col("_ts").desc_nulls_first()
+    rpart = right.filter(_all_known([*by, right_ts])).select(*by, F.col(right_ts).alias("_ts"), F.lit(1).alias("_side"), F.lit(-1).alias("_deal"), *[F.col(t).alias(n) for t, n in zip(tie, tie_cols, strict=True)], F.lit(None).cast(left.select(lrow.alias("x")).schema["x"].dataType).alias("_l"), rrow.alias("_r"))
+    ts = F.col("_ts").asc_nulls_first() if backward else F.col("_ts").desc_nulls_first()
     w = Window.partitionBy(*by, "_deal").orderBy(ts, "_side", *[F.col(t).asc_nulls_first() for t in tie_cols]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     got = lpart.unionByName(rpart).withColumn("_hit", F.last("_r", ignorenulls=True).over(w)).filter("_l is not null")
     hit = F.when(F.col("_deal") == -1, F.col("_hit"))
     return got.select(hit.alias("_hit"), "_l.*").select(*left.columns, *[F.col(f"_hit.{v}").alias(f"{prefix}{v}") for v in values])
 
 
+def time_range(ts: str, kind: str, width: int | None) -> Column:
+    """The number of the range of ``width`` that holds a time."""
+    if width is None and kind not in RANGE_WIDTH:
+        raise ValueError(f"give the width of the ranges for times of type {kind}")
+    c, width = F.col(ts), width or RANGE_WIDTH[kind]
+    if kind == "date":
+        c = F.unix_date(c)
+    elif kind.startswith("timestamp"):
+        c = F.unix_seconds(c.cast("timestamp"))
+    return F.floor(c / width).cast("long")
+
+
+def cut_lines(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str, values: list[str], strict: bool, tie: list[str], backward: bool, width: int | None) -> DataFrame:
+    """(by, _range, _ts, _side, _r): the distinct instants of both sides and each range's seed, first in its range."""
+    kind = left.select(left_ts).unionAll(right.select(right_ts)).schema[0].dataType.simpleString()
+    row = F.struct(*[F.col(c) for c in values])
+    ranged = lambda df: df.withColumn("_range", time_range("_ts", kind, width))
+    asked = ranged(left.filter(_all_known([*by, left_ts])).select(*by, F.col(left_ts).cast(kind).alias("_ts")).distinct())
+    newest = F.max_by(row, F.struct(*[F.col(t) for t in tie])) if tie else F.max(row)  # nulls are smallest, as in a sort
+    known = right.filter(_all_known([*by, right_ts])).withColumn("_ts", F.col(right_ts).cast(kind))
+    instants = ranged(known.groupBy(*by, "_ts").agg(newest.alias("_r")))
+    last = (F.max_by if backward else F.min_by)("_r", "_ts")
+    none = F.lit(None).cast(instants.schema["_r"].dataType)
+    filled = instants.groupBy(*by, "_range").agg(last.alias("_r")).unionByName(asked.select(*by, "_range").distinct().withColumn("_r", none))
+    filled = filled.groupBy(*by, "_range").agg(F.first("_r", ignorenulls=True).alias("_r"))
+    order = F.asc("_range") if backward else F.desc("_range")
+    before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    seeds = filled.select(*by, "_range", F.last("_r", ignorenulls=True).over(before).alias("_r")).filter("_r is not null")
+    side = lambda n: F.lit(n).alias("_side")
+    seeds = seeds.select(*by, "_range", F.lit(None).cast(kind).alias("_ts"), side(1), "_r")
+    line = asked.select(*by, "_range", "_ts", side(0 if strict else 2), none.alias("_r")).unionByName(instants.select(*by, "_range", "_ts", side(1), "_r"))
+    return line.unionByName(seeds)
+
+
+def _asof_cut(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str, values: list[str], strict: bool, tie: list[str], prefix: str, backward: bool, width: int | None) -> DataFrame:
+    line = cut_lines(left, right, by, left_ts, right_ts, values, strict, tie, backward, width)
+    ts = F.col("_ts").asc_nulls_first() if backward else F.col("_ts").desc_nulls_first()
+    w = Window.partitionBy(*by, "_range").orderBy(ts, "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    asked = line.withColumn("_hit", F.last("_r", ignorenulls=True).over(w)).filter(F.col("_side") == (0 if strict else 2))
+    keys = [f"_key{i}" for i in range(len(by) + 1)]
+    answers = asked.select(*[F.col(c).alias(k) for c, k in zip([*by, "_ts"], keys, strict=True)], "_hit")
+    same = reduce(and_, [F.col(c) == F.col(k) for c, k in zip([*by, left_ts], keys, strict=True)])
+    has = _all_known([*by, left_ts])
+    cols = lambda hit: [*left.columns, *[hit(v).alias(f"{prefix}{v}") for v in values]]
+    kinds = {f.name: f.dataType for f in right.schema}
+    found = left.filter(has).join(answers, same, "left").select(*cols(lambda v: F.col(f"_hit.{v}")))
+    return found.unionAll(left.filter(~has).select(*cols(lambda v: F.lit(None).cast(kinds[v]))))
+
+
 def range_agg(left: DataFrame, right: DataFrame, by: list[str], left_id: list[str], left_day: str, right_day: str, lookback: int, aggs: list[Column], include_same: bool = False) -> DataFrame:
     """Aggregates of the right rows of the ``lookback`` days before each left row (left outer).
 

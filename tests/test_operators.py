@@ -47,6 +47,27 @@ def brute_asof(left, right, strict):
     return out
 
 
+def test_asof_on_a_hot_key_cuts_its_line(spark):
+    """Half of all rows have one key and a tenth one instant; no window partition may hold a large share."""
+    n = 20_000
+    hot = F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 97).cast("string")))
+    when = F.when(F.col("id") % 10 == 0, F.lit(777_000)).otherwise(F.pmod(F.xxhash64("id"), F.lit(3_000_000)))
+    base = spark.range(n).select("id", hot.alias("k"), F.timestamp_seconds(when).alias("t"), F.col("id").cast("string").alias("k2"))
+    left, right = base.filter("id % 3 = 0"), base.filter("id % 3 <> 0").select("k", F.col("t").alias("rt"), F.col("id").alias("v"))
+    how = {"by": ["k"], "left_ts": "t", "right_ts": "rt", "values": ["v"], "strict": True, "tie": ["v"]}
+    assert sorted(T.asof_join(left, right, **how, cut=True).collect()) == sorted(T.asof_join(left, right, **how, cut=False).collect())
+    line = T.cut_lines(left, right, **how, backward=True, width=None)
+    assert line.groupBy("k", "_range").count().agg(F.max("count")).first()[0] < n / 40
+    assert line.filter("k = 'hot'").count() > n / 3
+    answered = T.asof_join(left, right, **how, cut=True)
+    assert answered.filter("v is not null").count() > n / 4
+    with pytest.raises(ValueError):
+        T.asof_join(left.withColumn("t", F.lit(1)), right.withColumn("rt", F.lit(1)), **how, cut=True)
+    dates = [x.select("*", F.to_date(c).alias("d")) for x, c in ((left, "t"), (right, "rt"))]
+    both = [T.asof_join(*dates, ["k"], "d", "d", ["v"], tie=["v"], cut=c).select("id", "v").collect() for c in (True, False)]
+    assert sorted(map(str, both[0])) == sorted(map(str, both[1]))
+
+
 @pytest.mark.parametrize("strict", [True, False])
 def test_asof_by_brute_force(spark, strict):
     rng = random.Random(4)
@@ -55,6 +76,11 @@ def test_asof_by_brute_force(spark, strict):
     a, b = spark.createDataFrame(left, "i int, k string, t int"), spark.createDataFrame(right, "k string, t int, v int")
     got = {r.i: r.v for r in T.asof_join(a, b, ["k"], "t", "t", ["v"], strict=strict, tie=["v"]).collect()}
     assert got == brute_asof(left, right, strict)
+    for width in (1, 3, 100):
+        cut = T.asof_join(a, b, ["k"], "t", "t", ["v"], strict=strict, tie=["v"], cut=True, width=width)
+        assert cut.columns == ["i", "k", "t", "v"] and {r.i: r.v for r in cut.collect()} == got
+    ahead = [T.asof_join(a, b, ["k"], "t", "t", ["v"], strict=strict, tie=["v"], direction="forward", prefix="n_", cut=c, width=2).collect() for c in (True, False)]
+    assert sorted(map(str, ahead[0])) == sorted(map(str, ahead[1]))
     later = b.union(spark.createDataFrame([("a", 100, 999)], b.schema))
     assert {r.i: r.v for r in T.asof_join(a, later, ["k"], "t", "t", ["v"], strict=strict, tie=["v"]).collect()} == got
 
