@@ -44,19 +44,19 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, ri
     return _asof_whole(left, right, by, left_ts, right_ts, values, strict, tie or [], prefix, direction == "backward")
 
 
-def _all_known(cols: list[str]) -> Column:
+def all_known(cols: list[str]) -> Column:
     return reduce(and_, [F.col(c).isNotNull() for c in cols])
 
 
 def _asof_whole(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, right_ts: str, values: list[str], strict: bool, tie: list[str], prefix: str, backward: bool) -> DataFrame:
     left_first = 0 if strict else 2
     # rows without a key or time, whose answer is null, are dealt by their time and do not meet in one task
-    deal = F.when(_all_known([*by, left_ts]), F.lit(-1)).otherwise(F.pmod(F.xxhash64(left_ts), F.lit(1000)).cast("int"))
+    deal = F.when(all_known([*by, left_ts]), F.lit(-1)).otherwise(F.pmod(F.xxhash64(left_ts), F.lit(1000)).cast("int"))
     lrow, rrow = F.struct(*[F.col(c) for c in left.columns]), F.struct(*[F.col(c) for c in values])
     tie_cols = [f"_t{i}" for i in range(len(tie))]
     r_types = {f.name: f.dataType for f in right.schema}
     lpart = left.select(*by, F.col(left_ts).alias("_ts"), F.lit(left_first).alias("_side"), deal.alias("_deal"), *[F.lit(None).cast(r_types[t]).alias(n) for t, n in zip(tie, tie_cols, strict=True)], lrow.alias("_l"), F.lit(None).cast(right.select(rrow.alias("x")).schema["x"].dataType).alias("_r"))
-    rpart = right.filter(_all_known([*by, right_ts])).select(*by, F.col(right_ts).alias("_ts"), F.lit(1).alias("_side"), F.lit(-1).alias("_deal"), *[F.col(t).alias(n) for t, n in zip(tie, tie_cols, strict=True)], F.lit(None).cast(left.select(lrow.alias("x")).schema["x"].dataType).alias("_l"), rrow.alias("_r"))
+    rpart = right.filter(all_known([*by, right_ts])).select(*by, F.col(right_ts).alias("_ts"), F.lit(1).alias("_side"), F.lit(-1).alias("_deal"), *[F.col(t).alias(n) for t, n in zip(tie, tie_cols, strict=True)], F.lit(None).cast(left.select(lrow.alias("x")).schema["x"].dataType).alias("_l"), rrow.alias("_r"))
     ts = F.col("_ts").asc_nulls_first() if backward else F.col("_ts").desc_nulls_first()
     w = Window.partitionBy(*by, "_deal").orderBy(ts, "_side", *[F.col(t).asc_nulls_first() for t in tie_cols]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     got = lpart.unionByName(rpart).withColumn("_hit", F.last("_r", ignorenulls=True).over(w)).filter("_l is not null")
@@ -81,9 +81,9 @@ def cut_lines(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, ri
     kind = left.select(left_ts).unionAll(right.select(right_ts)).schema[0].dataType.simpleString()
     row = F.struct(*[F.col(c) for c in values])
     ranged = lambda df: df.withColumn("_range", time_range("_ts", kind, width))
-    asked = ranged(left.filter(_all_known([*by, left_ts])).select(*by, F.col(left_ts).cast(kind).alias("_ts")).distinct())
+    asked = ranged(left.filter(all_known([*by, left_ts])).select(*by, F.col(left_ts).cast(kind).alias("_ts")).distinct())
     newest = F.max_by(row, F.struct(*[F.col(t) for t in tie])) if tie else F.max(row)  # nulls are smallest, as in a sort
-    known = right.filter(_all_known([*by, right_ts])).withColumn("_ts", F.col(right_ts).cast(kind))
+    known = right.filter(all_known([*by, right_ts])).withColumn("_ts", F.col(right_ts).cast(kind))
     instants = ranged(known.groupBy(*by, "_ts").agg(newest.alias("_r")))
     last = (F.max_by if backward else F.min_by)("_r", "_ts")
     none = F.lit(None).cast(instants.schema["_r"].dataType)
@@ -106,7 +106,7 @@ def _asof_cut(left: DataFrame, right: DataFrame, by: list[str], left_ts: str, ri
     keys = [f"_key{i}" for i in range(len(by) + 1)]
     answers = asked.select(*[F.col(c).alias(k) for c, k in zip([*by, "_ts"], keys, strict=True)], "_hit")
     same = reduce(and_, [F.col(c) == F.col(k) for c, k in zip([*by, left_ts], keys, strict=True)])
-    has = _all_known([*by, left_ts])
+    has = all_known([*by, left_ts])
     cols = lambda hit: [*left.columns, *[hit(v).alias(f"{prefix}{v}") for v in values]]
     kinds = {f.name: f.dataType for f in right.schema}
     found = left.filter(has).join(answers, same, "left").select(*cols(lambda v: F.col(f"_hit.{v}")))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tarn.functions import exprs as X
 from tarn.operators.resolve import first_variant_hit, name_variants
 from tarn.operators.snapshot import latest
-from tarn.operators.temporal import asof_join, range_agg, roll_avg, sum_before
+from tarn.operators.temporal import all_known, asof_join, range_agg, roll_avg, sum_before
 
 MIN_DATE = "2000-01-01"
 L5 = {"gd": "gd", "win": "win_rate", "cs": "cs_rate", "btts": "btts_rate", "over25": "over25_rate", "xg_for": "xgf", "xg_against": "xga", "shots": "shots", "shots_target": "sot", "corners": "corners", "fouls": "fouls", "yellows": "yellows", "reds": "reds", "ppda": "ppda", "deep": "deep", "deep_allowed": "deep_allowed", "npxg": "npxg", "npxga": "npxga"}
@@ -29,34 +29,42 @@ def known_ts(kick: str = "kickoff_utc", day: str = "match_date") -> Column:
 
 
 def team_match_features(t: DataFrame, min_date: str = MIN_DATE) -> DataFrame:
-    """Form, side, season and head-to-head histories of each team before each of its matches."""
+    """Form, side, season and head-to-head histories of each team before each of its matches.
+
+    One time line a team: every match stands on it when it is predicted, a played one again when it is known.
+    All families (by team, side, season, opponent) roll over the known rows and carry their last values along
+    the same line, and the days-back counts are range frames on it, so matches are shuffled once, by team.
+    """
     c = F.col
-    base = t.filter(c("team_key").isNotNull() & (c("match_date") >= F.lit(min_date).cast("date"))).withColumns({"ord_ts": ord_ts(), "played": F.coalesce(c("is_finished") & c("goals_for").isNotNull() & c("goals_against").isNotNull(), F.lit(False)), "ppda": X.ratio("ppda_att", "ppda_def")})
     gf, ga = c("goals_for"), c("goals_against")
-    played = base.filter("played").withColumns({"known_ts": known_ts(), "win": (c("points") == 3).cast("int"), "cs": (ga == 0).cast("int"), "btts": ((gf > 0) & (ga > 0)).cast("int"), "over25": (gf + ga > 2).cast("int"), "gd": gf - ga, "res": F.when(c("points") == 3, "W").when(c("points") == 1, "D").otherwise("L")})
-    w = Window.partitionBy("team_key").orderBy("known_ts", "match_key")
+    base = t.filter(c("team_key").isNotNull() & (c("match_date") >= F.lit(min_date).cast("date"))).withColumns({"ord_ts": ord_ts(), "known_ts": known_ts(), "played": F.coalesce(c("is_finished") & gf.isNotNull() & ga.isNotNull(), F.lit(False)), "ppda": X.ratio("ppda_att", "ppda_def")})
+    base = base.withColumns({"win": (c("points") == 3).cast("int"), "cs": (ga == 0).cast("int"), "btts": ((gf > 0) & (ga > 0)).cast("int"), "over25": (gf + ga > 2).cast("int"), "gd": gf - ga, "res": F.when(c("points") == 3, "W").when(c("points") == 1, "D").otherwise("L")})
+    line = base.withColumn("_known", F.explode(F.when(c("played"), F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    line = line.withColumns({"_at": F.when(c("_known"), c("known_ts")).otherwise(c("ord_ts")), "_us": F.unix_micros(c("ord_ts").cast("timestamp"))}).repartition("team_key")
+    over = lambda *by: Window.partitionBy(*by, "_known").orderBy("known_ts", "match_key")
+    w, ws = over("team_key"), over("team_key", "side")
+    wy = over("team_key", "competition_key", "season").rowsBetween(Window.unboundedPreceding, 0)
+    wh = over("team_key", "opponent_key").rowsBetween(-4, 0)
     last5 = w.rowsBetween(-4, 0)
     team = {"f_n_prev": F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)), "last_ord_ts": c("ord_ts"), "f_form5": F.when(F.count("res").over(last5) >= 5, F.array_join(F.collect_list("res").over(last5), ""))}
     for n in (3, 5, 10):
         team |= {f"f_{k}_l{n}": roll_avg(m, w, n) for m, k in BASIC.items()}
     team |= {f"f_{k}_l5": roll_avg(m, w, 5) for m, k in L5.items()} | {"f_xgf_l10": roll_avg("xg_for", w, 10), "f_xga_l10": roll_avg("xg_against", w, 10), "f_win_rate_l10": roll_avg("win", w, 10), "f_pts_l20": roll_avg("points", w, 20), "f_gd_l20": roll_avg("gd", w, 20)}
-    ws = Window.partitionBy("team_key", "side").orderBy("known_ts", "match_key")
     side = {f"f_side_{k}_l5": roll_avg(m, ws, 5) for m, k in BASIC.items()}
-    wy = Window.partitionBy("team_key", "competition_key", "season").orderBy("known_ts", "match_key").rowsBetween(Window.unboundedPreceding, 0)
     year = {"f_s_played": F.count(F.lit(1)).over(wy), "f_s_ppg": F.avg("points").over(wy), "f_s_gf_pg": F.avg("goals_for").over(wy), "f_s_ga_pg": F.avg("goals_against").over(wy), "f_s_gd_pg": F.avg("gd").over(wy)}
-    wh = Window.partitionBy("team_key", "opponent_key").orderBy("known_ts", "match_key").rowsBetween(-4, 0)
     h2h = {"f_h2h_n": F.count(F.lit(1)).over(wh), "f_h2h_pts": F.avg("points").over(wh), "f_h2h_gf": F.avg("goals_for").over(wh), "f_h2h_ga": F.avg("goals_against").over(wh)}
-    out = base
-    for by, cols in ((["team_key"], team), (["team_key", "side"], side), (["team_key", "competition_key", "season"], year), (["team_key", "opponent_key"], h2h)):
-        hist = played.select(*by, "known_ts", "match_key", *[x.alias(n) for n, x in cols.items()])
-        out = asof_join(out, hist, by, "ord_ts", "known_ts", list(cols), tie=["match_key"])
-    near = played.select("team_key", c("ord_ts").alias("p_ord"), c("known_ts").alias("p_known"))
-    b = base.select("team_match_key", "team_key", "ord_ts")
-    span = F.array(*[F.floor(F.unix_timestamp(c("ord_ts").cast("timestamp")) / (30 * 86400)) - i for i in (0, 1)])
-    j = b.withColumn("_m", F.explode(span)).join(near.withColumn("_m", F.floor(F.unix_timestamp(c("p_ord").cast("timestamp")) / (30 * 86400))), ["team_key", "_m"])
-    since = lambda n: c("p_ord") >= c("ord_ts") - F.expr(f"INTERVAL {n} DAY")
-    busy = j.filter((c("p_known") < c("ord_ts")) & since(30)).groupBy("team_match_key").agg(*[F.count(F.when(since(n), 1)).alias(f"f_n_{n}d") for n in (7, 14, 30)])
-    out = out.join(busy, "team_match_key", "left")
+    families = ((["team_key"], team), (["team_key", "side"], side), (["team_key", "competition_key", "season"], year), (["team_key", "opponent_key"], h2h))
+    # in structs, since a null of the newest known match must not be passed over for an older value
+    out = line.withColumns({f"_{n}": F.when(c("_known"), F.struct(x.alias("v"))) for _, cols in families for n, x in cols.items()})
+    seen = {}
+    for by, cols in families:
+        past = Window.partitionBy(*by).orderBy("_at", "_known", "match_key").rowsBetween(Window.unboundedPreceding, 0)
+        seen |= {n: F.when(all_known(by), F.last(f"_{n}", ignorenulls=True).over(past)["v"]) for n in cols}
+    on_day = Window.partitionBy("team_key").orderBy("_us")
+    begun = lambda days: F.count(F.when(c("_known"), 1)).over(on_day.rangeBetween(Window.unboundedPreceding if days is None else -days * 86_400_000_000, 0))
+    out = out.withColumns({**seen, **{f"_begun{n}": begun(n) for n in (7, 14, 30)}, "_begun": begun(None)}).filter(~c("_known"))
+    # a match is known within a day of its start: those that began too early are all among the known ones
+    out = out.withColumns({f"f_n_{n}d": F.coalesce("f_n_prev", F.lit(0)) - (c("_begun") - c(f"_begun{n}")) for n in (7, 14, 30)})
     rest = (F.unix_timestamp(c("ord_ts").cast("timestamp")) - F.unix_timestamp(c("last_ord_ts").cast("timestamp"))) / 86400.0
     zero = ["f_n_prev", "f_s_played", "f_h2h_n", "f_n_7d", "f_n_14d", "f_n_30d"]
     out = out.withColumns({"f_rest_days": F.when(c("last_ord_ts").isNotNull(), F.least(rest, F.lit(30.0))), **{z: F.coalesce(z, F.lit(0)) for z in zero}, **{f"y_{m}": F.when(c("played"), c(m)) for m in ("goals_for", "goals_against", "points", "xg_for", "xg_against")}})

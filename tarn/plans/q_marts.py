@@ -86,8 +86,8 @@ def ml_team_features(spark, d):
     return f.select("match_key", "side", "f_n_prev", F.round("f_pts_l3", 6).alias("f_pts_l3"), F.round("f_sot_l5", 6).alias("f_sot_l5"), "f_form5", "f_n_30d", "y_points")
 
 
-@register("ml_team_feature_families", f"""
-    WITH {MATCHES}, t AS (
+# What is known of a team before each of its matches: its own form, by side, by season, against the opponent.
+FAMILIES = f"""{MATCHES}, t AS (
     SELECT match_key, 'h' AS side, home_key AS team_key, away_key AS opponent_key, competition_key, season, match_date, is_finished, home_goals AS gf, away_goals AS ga, home_shots_target AS st FROM m
     UNION ALL SELECT match_key, 'a', away_key, home_key, competition_key, season, match_date, is_finished, away_goals, home_goals, away_shots_target FROM m),
     r AS (SELECT *, CAST(match_date AS TIMESTAMP) AS ord, is_finished AND gf IS NOT NULL AND ga IS NOT NULL AS has, CASE WHEN gf > ga THEN 3 WHEN gf = ga THEN 1 ELSE 0 END AS p FROM t WHERE match_date >= DATE '1990-01-01'),
@@ -99,7 +99,11 @@ def ml_team_features(spark, d):
     year AS (SELECT team_key, competition_key, season, known, match_key, count(*) OVER w AS n, avg(p) OVER w AS ppg, avg(gf - ga) OVER w AS gd FROM pl WINDOW w AS (PARTITION BY team_key, competition_key, season ORDER BY known, match_key ROWS UNBOUNDED PRECEDING)),
     year1 AS (SELECT * FROM year QUALIFY row_number() OVER (PARTITION BY team_key, competition_key, season, known ORDER BY match_key DESC) = 1),
     met AS (SELECT team_key, opponent_key, known, match_key, count(*) OVER w AS n, avg(p) OVER w AS pts, avg(ga) OVER w AS ga FROM pl WINDOW w AS (PARTITION BY team_key, opponent_key ORDER BY known, match_key ROWS 4 PRECEDING)),
-    met1 AS (SELECT * FROM met QUALIFY row_number() OVER (PARTITION BY team_key, opponent_key, known ORDER BY match_key DESC) = 1)
+    met1 AS (SELECT * FROM met QUALIFY row_number() OVER (PARTITION BY team_key, opponent_key, known ORDER BY match_key DESC) = 1)"""
+
+
+@register("ml_team_feature_families", f"""
+    WITH {FAMILIES}
     SELECT r.match_key AS match_key, r.side AS side, round(a.gf10, 6) AS f_gf_l10, round(a.win10, 6) AS f_win_rate_l10, round(b.pts5, 6) AS f_side_pts_l5, coalesce(y.n, 0) AS f_s_played, round(y.ppg, 6) AS f_s_ppg, round(y.gd, 6) AS f_s_gd_pg, coalesce(h.n, 0) AS f_h2h_n, round(h.pts, 6) AS f_h2h_pts, round(h.ga, 6) AS f_h2h_ga
     FROM r ASOF LEFT JOIN team1 a ON a.team_key = r.team_key AND r.ord > a.known ASOF LEFT JOIN side1 b ON b.team_key = r.team_key AND b.side = r.side AND r.ord > b.known
     ASOF LEFT JOIN year1 y ON y.team_key = r.team_key AND y.competition_key = r.competition_key AND y.season = r.season AND r.ord > y.known ASOF LEFT JOIN met1 h ON h.team_key = r.team_key AND h.opponent_key = r.opponent_key AND r.ord > h.known""")
@@ -111,13 +115,43 @@ def ml_team_feature_families(spark, d):
 
 
 @register("ml_match_features", f"""
-    WITH {MATCHES} SELECT match_key, CASE WHEN NOT coalesce(is_finished AND home_goals IS NOT NULL AND away_goals IS NOT NULL, false) THEN 'predict' WHEN match_date <= DATE '1996-06-30' THEN 'train' WHEN match_date <= DATE '1997-06-30' THEN 'valid' ELSE 'test' END AS split,
-           CASE WHEN is_finished AND home_goals IS NOT NULL AND away_goals IS NOT NULL THEN CASE WHEN home_goals > away_goals THEN 2 WHEN home_goals = away_goals THEN 1 ELSE 0 END END AS y_result_code,
-           CASE WHEN is_finished AND home_goals IS NOT NULL AND away_goals IS NOT NULL THEN CAST(home_goals + away_goals > 2 AS INTEGER) END AS y_over_2_5 FROM m""")
+    WITH {FAMILIES},
+    form AS (SELECT team_key, known, match_key, count(*) OVER (w ROWS UNBOUNDED PRECEDING) AS n, CASE WHEN count(*) OVER (w ROWS 4 PRECEDING) >= 5 THEN array_to_string(list(CASE p WHEN 3 THEN 'W' WHEN 1 THEN 'D' ELSE 'L' END) OVER (w ROWS 4 PRECEDING), '') END AS form5 FROM pl WINDOW w AS (PARTITION BY team_key ORDER BY known, match_key)),
+    form1 AS (SELECT * FROM form QUALIFY row_number() OVER (PARTITION BY team_key, known ORDER BY match_key DESC) = 1),
+    tf AS (SELECT r.match_key, r.side, coalesce(k.n, 0) AS n, k.form5, a.gf10, b.pts5, y.ppg, coalesce(h.n, 0) AS met, h.pts AS met_pts
+           FROM r ASOF LEFT JOIN team1 a ON a.team_key = r.team_key AND r.ord > a.known ASOF LEFT JOIN side1 b ON b.team_key = r.team_key AND b.side = r.side AND r.ord > b.known
+           ASOF LEFT JOIN year1 y ON y.team_key = r.team_key AND y.competition_key = r.competition_key AND y.season = r.season AND r.ord > y.known
+           ASOF LEFT JOIN met1 h ON h.team_key = r.team_key AND h.opponent_key = r.opponent_key AND r.ord > h.known ASOF LEFT JOIN form1 k ON k.team_key = r.team_key AND r.ord > k.known),
+    q AS (SELECT *, CAST(match_date AS TIMESTAMP) AS ord, CAST(o_orderkey % 23 AS VARCHAR) AS referee, home_shots % 6 AS yellows, CASE WHEN o_orderkey % 2 = 0 THEN away_shots % 2 END AS reds, home_shots + away_shots AS fouls, is_finished AND home_goals IS NOT NULL AND away_goals IS NOT NULL AS has,
+                 o_orderkey % 4 AS book, 1.0 + home_shots / 20.0 AS oh, 3.25 AS od, 1.0 + away_shots / 20.0 AS oa FROM m WHERE match_date >= DATE '1990-01-01'),
+    o AS (SELECT *, CASE book WHEN 0 THEN 'mkt_avg' WHEN 1 THEN 'b365' WHEN 2 THEN CASE WHEN o_orderkey % 5 <> 0 THEN 'odds_api' END END AS odds_src, 1 / oh + 1 / od + 1 / oa AS total FROM q),
+    c AS (SELECT referee, known, match_key, count(*) OVER w AS n, CASE WHEN count(*) OVER w >= 10 THEN avg(cards) OVER w END AS cards, CASE WHEN count(*) OVER w >= 10 THEN avg(fouls) OVER w END AS fouls
+          FROM (SELECT referee, match_key, ord + INTERVAL '23 hours 59 minutes 59 seconds' AS known, yellows + yellows + coalesce(reds, 0) AS cards, fouls FROM q WHERE is_finished) WINDOW w AS (PARTITION BY referee ORDER BY known, match_key ROWS 49 PRECEDING)),
+    c1 AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY referee, known ORDER BY match_key DESC) = 1)
+    SELECT o.match_key AS match_key, CASE WHEN NOT coalesce(has, false) THEN 'predict' WHEN match_date <= DATE '1996-06-30' THEN 'train' WHEN match_date <= DATE '1997-06-30' THEN 'valid' ELSE 'test' END AS split,
+           CASE WHEN has THEN CASE WHEN home_goals > away_goals THEN 2 WHEN home_goals = away_goals THEN 1 ELSE 0 END END AS y_result_code, CASE WHEN has THEN CAST(home_goals + away_goals > 2 AS INTEGER) END AS y_over_2_5, CASE WHEN has THEN home_goals - away_goals END AS y_goal_diff, CASE WHEN has THEN CAST(home_goals > 0 AND away_goals > 0 AS INTEGER) END AS y_btts,
+           yellows + yellows + coalesce(reds, 0) AS y_total_cards, h.n >= 5 AND g.n >= 5 AS is_warm, odds_src, odds_src IS NOT NULL AS has_odds, round(CASE WHEN odds_src IS NOT NULL THEN 1 / oh / total END, 6) AS f_mkt_p_home, round(CASE WHEN odds_src IS NOT NULL THEN 1 / od / total END, 6) AS f_mkt_p_draw, round(CASE WHEN odds_src IS NOT NULL THEN 1 / oa / total END, 6) AS f_mkt_p_away, round(CASE WHEN odds_src IS NOT NULL THEN total - 1 END, 6) AS f_mkt_overround,
+           coalesce(c1.n, 0) AS f_ref_n_prev, round(c1.cards, 6) AS f_ref_avg_cards, round(c1.fouls, 6) AS f_ref_avg_fouls, CAST(left(o.competition_key, 1) AS INTEGER) AS f_comp_tier, CAST(isodow(match_date) AS INTEGER) AS f_dow, CAST(month(match_date) AS INTEGER) AS f_month, CAST(isodow(match_date) >= 6 AS INTEGER) AS f_is_weekend,
+           h.n AS f_home_n_prev, g.n AS f_away_n_prev, h.n - g.n AS f_diff_n_prev, h.form5 AS f_home_form5, g.form5 AS f_away_form5, h.met AS f_h2h_n, round(h.gf10, 6) AS f_home_gf_l10, round(g.gf10, 6) AS f_away_gf_l10, round(h.gf10 - g.gf10, 6) AS f_diff_gf_l10, round(h.pts5, 6) AS f_home_side_pts_l5, round(g.pts5, 6) AS f_away_side_pts_l5, round(h.pts5 - g.pts5, 6) AS f_diff_side_pts_l5,
+           round(h.ppg, 6) AS f_home_s_ppg, round(g.ppg, 6) AS f_away_s_ppg, round(h.ppg - g.ppg, 6) AS f_diff_s_ppg, round(h.met_pts, 6) AS f_home_h2h_pts, round(g.met_pts, 6) AS f_away_h2h_pts, round(h.met_pts - g.met_pts, 6) AS f_diff_h2h_pts
+    FROM o JOIN tf h ON h.match_key = o.match_key AND h.side = 'h' JOIN tf g ON g.match_key = o.match_key AND g.side = 'a' ASOF LEFT JOIN c1 ON c1.referee = o.referee AND o.ord > c1.known""")
 def ml_match_features(spark, d):
+    """Every match with quotes of one of three books, cards and fouls of its referee, and both teams' histories."""
+    c = F.col
     m = matches(spark, d)
-    f = ml.match_features(m, ml.team_match_features(core.fact_team_match(m), "1990-01-01"), core.dim_competition(spark), None, "1996-06-30", "1997-06-30", min_date="1990-01-01")
-    return f.select("match_key", "split", "y_result_code", "y_over_2_5")
+    book, kick = c("o_orderkey") % 4, c("match_date").cast("timestamp_ntz")
+    quotes = {"home": 1 + c("home_shots") / 20, "draw": F.lit(3.25), "away": 1 + c("away_shots") / 20}
+    m = m.withColumns({f"{b}_{s}": F.when(book == i, q) for i, b in enumerate(("mkt_avg", "b365", "odds_api")) for s, q in quotes.items()})
+    late = F.when(c("o_orderkey") % 5 == 0, kick + F.expr("INTERVAL 1 HOUR")).otherwise(kick)
+    cards = {f"{s}_yellows": c("home_shots") % 6 for s in ("home", "away")} | {"home_reds": F.when(c("o_orderkey") % 2 == 0, c("away_shots") % 2)}
+    m = m.withColumns({"odds_api_updated_at": late, "home_fouls": c("home_shots"), "away_fouls": c("away_shots"), **cards})
+    comp = orders(spark, d).select(c("o_orderpriority").alias("competition_key"), F.substring("o_orderpriority", 1, 1).cast("int").alias("tier")).distinct()
+    f = ml.match_features(m, ml.team_match_features(core.fact_team_match(m), "1990-01-01"), comp, None, "1996-06-30", "1997-06-30", min_date="1990-01-01")
+    teams = ["gf_l10", "side_pts_l5", "s_ppg", "h2h_pts"]
+    rounded = [*[f"f_{s}_{n}" for n in teams for s in ("home", "away", "diff")], "f_mkt_p_home", "f_mkt_p_draw", "f_mkt_p_away", "f_mkt_overround", "f_ref_avg_cards", "f_ref_avg_fouls"]
+    plain = ["match_key", "split", "y_result_code", "y_over_2_5", "y_goal_diff", "y_btts", "y_total_cards", "is_warm", "odds_src", "has_odds", "f_comp_tier", "f_dow", "f_month", "f_is_weekend", "f_home_form5", "f_away_form5"]
+    counts = ["f_ref_n_prev", "f_home_n_prev", "f_away_n_prev", "f_diff_n_prev", "f_h2h_n"]
+    return f.select(*plain, *[c(n).cast("bigint").alias(n) for n in counts], *[F.round(n, 6).alias(n) for n in rounded])
 
 
 @register("league_positions", f"""
