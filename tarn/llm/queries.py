@@ -104,7 +104,7 @@ def op12_packed_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_diagonal_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return align_tokenizers(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return align_tokenizers(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

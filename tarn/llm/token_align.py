@@ -21,9 +21,11 @@ of its own; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -51,55 +53,69 @@ class TwoTokenizers:
 
     A word with the one space before it encodes alike in any text without double white space and spaces at
     its ends: the byte-level pattern cuts before a space, and no piece holds a mark after other characters.
-    Other texts are encoded whole, and so are texts with a word that does not give its own bytes.
+    Other texts are encoded whole, and so are texts with a word that does not give its own bytes. Where the
+    byte-level file numbers its tokens by the order of its merges, words are merged by these numbers.
     """
 
-    def __init__(self, tokenizer: str, pieces: str, most: int = 300_000):
+    def __init__(self, tokenizer: str, pieces: str, pattern: str, most: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(tokenizer)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
-        letters, names = byte_letters(), self.a.get_vocab()
-        size = max(names.values(), default=-1) + 1
-        self.bytes_a, self.bytes_b = [b""] * size, [self._piece(i) for i in range(self.b.get_piece_size())]
-        for name, i in names.items():
+        letters, names = byte_letters(), self.a.get_vocab(with_added_tokens=False)
+        self.bytes_a = [b""] * self.a.get_vocab_size()
+        self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
+        for name, i in self.a.get_vocab().items():
             self.bytes_a[i] = bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode()
         self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         words = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.by_word = not any(MARK in p[1:] and p.strip(MARK) for p in words)
+        with open(tokenizer, encoding="utf-8") as f:
+            merges = [m.split(" ") if isinstance(m, str) else m for m in json.load(f)["model"]["merges"]]
+        if all(names.get(x + y) == 256 + n for n, (x, y) in enumerate(merges)):
+            ranks = {self.bytes_a[i]: i for i in names.values() if i < 256 + len(merges)}
+            merge = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            self._words_a = lambda texts: [merge(t) for t in texts]
+        else:
+            self._words_a = self._whole_a
         self.most, self.cache = most, {}
 
     def _piece(self, i: int) -> bytes:
         name = self.b.id_to_piece(i)
         return bytes([int(name[3:5], 16)]) if self.b.is_byte(i) else name.replace(MARK, " ").encode()
 
-    def _both(self, texts: list[str]) -> list[tuple[bytes, bytes] | None]:
+    def _whole_a(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _both(self, texts: list[str], side_a: Callable[[list[str]], list[list[int]]]) -> list[tuple[bytes, bytes] | None]:
         """Ids as 32-bit bytes, or None where either side's tokens do not give a space and the text."""
-        out = []
-        sides = zip(texts, self.a.encode_batch([f" {t}" for t in texts], add_special_tokens=False), self.b.encode(texts, num_threads=1), strict=True)
-        for text, ea, ib in sides:
-            ia, want = ea.ids, f" {text}".encode()
-            same = b"".join([self.bytes_a[i] for i in ia]) == want == b"".join([self.bytes_b[i] for i in ib])
-            out.append((np.array(ia, "<u4").tobytes(), np.array(ib, "<u4").tobytes()) if same else None)
+        out, of_a, of_b = [], self.bytes_a, self.bytes_b
+        spaced = [f" {t}" for t in texts]
+        for text, ia, ib in zip(spaced, side_a(spaced), self.b.encode(texts, num_threads=1), strict=True):
+            same = b"".join([of_a[i] for i in ia]) == text.encode() == b"".join([of_b[i] for i in ib])
+            out.append((array("I", ia).tobytes(), array("I", ib).tobytes()) if same else None)
         return out
 
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Both id arrays of every text, empty where a side does not give the text's bytes."""
-        split = [t.split(" ") if self.by_word and not (GAPS.search(t) or t[:1] == " " or t[-1:] == " ") else None for t in texts]
-        cache = self.cache
-        new = list({w for words in split if words for w in words if w not in cache})
-        known = dict(zip(new, self._both(new), strict=True)) if new else {}
-        if len(cache) < self.most:
-            cache.update(known)
-        for text, words in zip(texts, split, strict=True):
-            found = [cache.get(w) or known.get(w) for w in words] if words and text else [None]
+        get, split = self.cache.get, []
+        for t in texts:
+            words = t.split(" ") if t and self.by_word and not (GAPS.search(t) or t[0] == " " or t[-1] == " ") else []
+            split.append((words, [get(w) for w in words]))
+        new = list({w for words, found in split if None in found for w, f in zip(words, found, strict=True) if f is None})
+        known = dict(zip(new, self._both(new, self._words_a), strict=True)) if new else {}
+        if len(self.cache) < self.most:
+            self.cache.update((w, f) for w, f in known.items() if f)
+        for text, (words, found) in zip(texts, split, strict=True):
             if None in found:
-                whole = self._both([text])[0] if text else None
-                found = [whole] if whole else []
-            yield tuple(np.frombuffer(b"".join([f[side] for f in found]), "<u4").astype(np.int64) for side in (0, 1))
+                found = [f or known[w] for w, f in zip(words, found, strict=True)]
+            if None in found or not words:
+                found = [f for f in (self._both([text], self._whole_a) if text else []) if f]
+            yield tuple(np.frombuffer(b"".join(side), "<u4").astype(np.int64) for side in (zip(*found, strict=True) if found else ((), ())))
 
 
 def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int], bytearray, bytearray]:
@@ -108,20 +124,20 @@ def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int], b
     last_a, last_b = bytearray(n), bytearray(len(ends_b))
     i = j = 0
     while i < n:
-        k, s, t = 1, i, j
-        while (part := ends_a[i : i + k]) and part == ends_b[j : j + k]:
-            i, j, k = i + len(part), j + len(part), 2 * k
-        while k > 1:  # the last slice differs: halve it
-            k //= 2
-            if (part := ends_a[i : i + k]) and part == ends_b[j : j + k]:
-                i, j = i + len(part), j + len(part)
-        if i > s:
+        x, y = ends_a[i], ends_b[j]
+        if x == y:
+            s, t, k = i, j, 4
+            i, j = i + 1, j + 1
+            while (part := ends_a[i : i + k]) and part == ends_b[j : j + k]:
+                i, j, k = i + len(part), j + len(part), 2 * k
+            while k > 1:  # the last slice differs: halve it
+                k //= 2
+                if (part := ends_a[i : i + k]) and part == ends_b[j : j + k]:
+                    i, j = i + len(part), j + len(part)
             la.extend(range(s, i))
             lb.extend(range(t, j))
             last_a[s:i] = last_b[t:j] = b"\1" * (i - s)
-        if i == n:
-            break
-        x, y = ends_a[i], ends_b[j]
+            continue
         while x != y:
             la.append(i)
             lb.append(j)
@@ -142,18 +158,20 @@ class GroupText:
     """``a1,a2|b1;a3|b2,b3``: the ids of each group, put in order for a whole text at once."""
 
     def __init__(self, size_a: int, size_b: int):
-        self.a, self.b = (np.array([f"{i}{c}" for i in range(n) for c in marks], object) for n, marks in ((size_a, ",|"), (size_b, ",;")))
+        names = [f"{i}{c}".encode() for n, marks in ((size_a, ",|"), (size_b, ",;")) for i in range(n) for c in marks]
+        self.letters, self.first_b = np.array(names).view(np.uint8).reshape(len(names), -1), 2 * size_a
 
-    def write(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> str:
+    def write(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> bytes:
         cut_a, cut_b = (np.r_[0, np.flatnonzero(x) + 1] for x in (last_a, last_b))
-        out = np.empty(len(a) + len(b), object)
-        out[np.arange(len(a)) + cut_b[np.cumsum(last_a) - last_a]] = self.a[2 * a + last_a]
-        out[np.arange(len(b)) + cut_a[np.cumsum(last_b) - last_b + 1]] = self.b[2 * b + last_b]
-        return "".join(out.tolist())[:-1]
+        order = np.empty(len(a) + len(b), np.int64)
+        order[np.arange(len(a)) + cut_b[np.cumsum(last_a) - last_a]] = 2 * a + last_a
+        order[np.arange(len(b)) + cut_a[np.cumsum(last_b) - last_b + 1]] = self.first_b + 2 * b + last_b
+        letters = self.letters[order]
+        return letters[letters != 0].tobytes()[:-1]
 
 
-def _aligned(batches: Iterator[pd.DataFrame], tokenizer: str, pieces: str) -> Iterator[pd.DataFrame]:
-    two = TwoTokenizers(tokenizer, pieces)
+def _aligned(batches: Iterator[pd.DataFrame], tokenizer: str, pieces: str, pattern: str) -> Iterator[pd.DataFrame]:
+    two = TwoTokenizers(tokenizer, pieces, pattern)
     text_of = GroupText(len(two.bytes_a), len(two.bytes_b))
     for pdf in batches:
         texts = pdf["text"].fillna("").tolist()
@@ -166,7 +184,7 @@ def _aligned(batches: Iterator[pd.DataFrame], tokenizer: str, pieces: str) -> It
                     continue
                 la, lb, last_a, last_b = align(np.cumsum(two.len_a[a]).tolist(), np.cumsum(two.len_b[b]).tolist())
                 ga, gb = (np.frombuffer(x, np.uint8).astype(np.int64) for x in (last_a, last_b))
-                digest = hashlib.sha256(text_of.write(a, b, ga, gb).encode()).hexdigest()
+                digest = hashlib.sha256(text_of.write(a, b, ga, gb)).hexdigest()
                 pairs, times = np.unique(a[la] << 32 | b[lb], return_counts=True)
                 rows.append((len(a), len(b), int(ga.sum()), len(la), digest, pairs.tobytes(), times.astype("<u4").tobytes()))
             out = pd.DataFrame(rows, columns=["n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
@@ -216,16 +234,17 @@ def _look_up(batches: Iterator[pd.DataFrame], hot) -> Iterator[pd.DataFrame]:
         yield pdf.drop(columns=["pairs", "times"]).assign(count_sum=sums, n_best=bests, left=left)
 
 
-def align_tokenizers(docs: DataFrame, tokenizer: str, pieces: str, id_col: str = "doc_id", text_col: str = "text", most_hot: int = 200_000) -> DataFrame:
+def align_tokenizers(docs: DataFrame, tokenizer: str, pieces: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", most_hot: int = 200_000) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256), one row per document.
 
-    tokenizer, pieces: paths of a byte-level tokenizer file (A) and a piece model (B) on every executor.
+    tokenizer, pieces: paths of a byte-level tokenizer file (A) and a piece model (B) on every executor;
+    pattern: how A splits texts before merging.
     n_best counts the links whose pair is, in the corpus, among the most frequent of its B id.
     """
     spark = docs.sparkSession
     tmp = Scratch(spark)
     src = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    done = tmp.put(src.mapInPandas(partial(_aligned, tokenizer=tokenizer, pieces=pieces), f"{ALIGNED}, pairs binary, times binary"), "aligned")
+    done = tmp.put(src.mapInPandas(partial(_aligned, tokenizer=tokenizer, pieces=pieces, pattern=pattern), f"{ALIGNED}, pairs binary, times binary"), "aligned")
     counts = done.select("pairs", "times").mapInPandas(_count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
     counts = tmp.put(counts.withColumn("b", F.col("pair").bitwiseAND((1 << 32) - 1)), "counts")
     tops = counts.groupBy("b").agg(F.max("n").alias("top"))

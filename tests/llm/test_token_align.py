@@ -16,7 +16,7 @@ SCHEMA = "doc_id long, text string, row string, n_a int, pair long, left string"
 def files():
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN
 
 
 @pytest.fixture(scope="module")
