@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarn.functions import exprs as X
-from tarn.operators.resolve import first_variant_hit, name_variants
+from tarn.operators.resolve import first_variant_hit, name_variants, small
 from tarn.operators.snapshot import latest
 from tarn.operators.temporal import all_known, asof_join, range_agg, roll_avg, sum_before
 
@@ -77,8 +77,10 @@ def match_features(m: DataFrame, team_features: DataFrame, comp: DataFrame, team
     c = F.col
     m = m.filter(c("match_date") >= F.lit(min_date).cast("date")).withColumn("ord_ts", ord_ts())
     num = [x for x in team_features.columns if x.startswith("f_") and x not in ("f_form5", "f_h2h_n")]
-    h, a = (team_features.filter(c("side") == s).select("match_key", *[c(x).alias(f"{s}_{x}") for x in [*num, "f_form5", "f_h2h_n"]]) for s in "ha")
-    j = m.join(h, "match_key").join(a, "match_key")
+    # one row a match and side: the maximum is the only value, and unused columns are pruned
+    at = lambda s, x: F.max(F.when(c("side") == s, c(x)))
+    both = team_features.groupBy("match_key").agg(*[at(s, "side").alias(f"_{s}") for s in "ha"], *[at(s, x).alias(f"{s}_{x}") for s in "ha" for x in [*num, "f_form5", "f_h2h_n"]])
+    j = m.join(both.filter("_h is not null and _a is not null").drop("_h", "_a"), "match_key")
     for name in ("mkt_avg", "b365", "odds_api"):
         for s in ("home", "draw", "away"):
             if f"{name}_{s}" not in j.columns:
@@ -95,8 +97,10 @@ def match_features(m: DataFrame, team_features: DataFrame, comp: DataFrame, team
     refs = m.filter(c("referee").isNotNull() & c("is_finished") & c("home_yellows").isNotNull() & c("away_yellows").isNotNull()).withColumns({"known_ts": known_ts(), "cards": cards, "fouls": c("home_fouls") + c("away_fouls")})
     over = wr.rowsBetween(-49, 0)
     refs = refs.select("referee", "known_ts", "match_key", F.count(F.lit(1)).over(over).alias("f_ref_n_prev"), roll_avg("cards", wr, 50, 10).alias("f_ref_avg_cards"), roll_avg("fouls", wr, 50, 10).alias("f_ref_avg_fouls"))
-    j = asof_join(j, refs, ["referee"], "ord_ts", "known_ts", ["f_ref_n_prev", "f_ref_avg_cards", "f_ref_avg_fouls"], tie=["match_key"])
-    j = j.join(F.broadcast(comp.select("competition_key", c("tier").alias("f_comp_tier"))), "competition_key", "left")
+    ref_cols = ["f_ref_n_prev", "f_ref_avg_cards", "f_ref_avg_fouls"]
+    judged = asof_join(m.select("match_key", "referee", "ord_ts"), refs, ["referee"], "ord_ts", "known_ts", ref_cols, tie=["match_key"])
+    j = j.join(judged.select("match_key", *ref_cols), "match_key", "left")  # only narrow rows are sorted by referee
+    j = j.join(small(comp.select("competition_key", c("tier").alias("f_comp_tier"))), "competition_key", "left")
     if teams is not None:
         j = j.join(teams.select(c("team_key").alias("home_key"), c("stadium_capacity").alias("f_home_stadium_capacity")), "home_key", "left")
     labeled = F.coalesce(c("is_finished") & c("home_goals").isNotNull() & c("away_goals").isNotNull(), F.lit(False))
