@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
+import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
@@ -51,15 +55,95 @@ def entity_patterns(alias: DataFrame, name: str = "alias", key: str = "team_key"
     return a.groupBy("entity").agg(F.concat(F.lit(r"(?<!\w)("), F.array_join(F.transform(longest, lambda x: x["q"]), "|"), F.lit(r")(?!\w)")).alias("pattern"))
 
 
-def mentions(docs: DataFrame, patterns: DataFrame, text: str, keep: list[str], most_patterns: int = 5000) -> DataFrame:
-    """(keep, entity, n_mentions) for every document and entity that it names.
+#: The automaton that this worker has built last, by its tag.
+_BUILT: dict = {}
 
-    The patterns are a dictionary of bounded size; a larger one must be matched by words (``word_mentions``).
+
+def _automaton(names: tuple[str, Broadcast]) -> ahocorasick.Automaton:
+    """A trie with failure links over the broadcast names, built once in each worker."""
+    tag, told = names
+    if tag not in _BUILT:
+        _BUILT.clear()
+        trie = ahocorasick.Automaton()
+        for name, owners in told.value:
+            trie.add_word(name, (len(name), name, owners))
+        trie.make_automaton()
+        _BUILT[tag] = trie
+    return _BUILT[tag]
+
+
+def _inside_word(text: str, at: int) -> bool:
+    return 0 <= at < len(text) and (text[at].isalnum() or text[at] == "_")
+
+
+def _spans(text: str, trie: ahocorasick.Automaton) -> dict[int, list[tuple[int, int]]]:
+    """(start, end) of every name that stands between word borders, by owner."""
+    found: dict = {}
+    for last, (length, _, owners) in trie.iter(text) if len(trie) else ():
+        start = last + 1 - length
+        if not _inside_word(text, start - 1) and not _inside_word(text, last + 1):
+            for o in owners:
+                found.setdefault(o, []).append((start, last + 1))
+    return found
+
+
+def _count_spans(spans: list[tuple[int, int]]) -> int:
+    """How many a scan from the left takes that prefers the longest name and never overlaps."""
+    n, free = 0, 0
+    for start, end in sorted(spans, key=lambda x: (x[0], -x[1])):
+        if start >= free:
+            n, free = n + 1, end
+    return n
+
+
+def _mention_counts(batches: Iterator[pd.DataFrame], names, keep: list[str]) -> Iterator[pd.DataFrame]:
+    trie = _automaton(names)
+    for pdf in batches:
+        hits = [(i, o, _count_spans(s)) for i, t in enumerate(pdf["_t"]) if t for o, s in _spans(t, trie).items()]
+        out = pdf[keep].iloc[[h[0] for h in hits]].reset_index(drop=True)
+        yield out.assign(entity=pd.Series([h[1] for h in hits], dtype=object), n_mentions=[h[2] for h in hits])
+
+
+def _mention_spans(batches: Iterator[pd.DataFrame], names) -> Iterator[pd.DataFrame]:
+    trie = _automaton(names)
+    for pdf in batches:
+        hits = [(d, o, s, e) for d, t in zip(pdf["_doc"], pdf["_t"], strict=True) if t for o, spans in _spans(t, trie).items() for s, e in spans]
+        yield pd.DataFrame(hits, columns=["_doc", "entity", "s", "e"])
+
+
+def _shards(names: DataFrame, most: int) -> Iterator[tuple[str, Broadcast]]:
+    """Tagged broadcasts of (name, owners), of about ``most`` names at most; no more than one passes the driver at a time."""
+    n = names.limit(most + 1).count()
+    shards = 1 if n <= most else -(-names.count() * 5 // (4 * most))
+    for s in range(shards):
+        part = names if shards == 1 else names.filter(F.pmod(F.xxhash64("name"), F.lit(shards)) == s)
+        owned = part.groupBy("name").agg(F.array_sort(F.collect_set("owner")).alias("o"))
+        yield uuid.uuid4().hex, names.sparkSession.sparkContext.broadcast([(r["name"], r["o"]) for r in owned.collect()])
+
+
+def mentions(docs: DataFrame, aliases: DataFrame, text: str, keep: list[str], name: str = "alias", key: str = "entity", least_chars: int = 4, shard_names: int = 1_000_000) -> DataFrame:
+    """(keep, entity, n_mentions) for every document and entity that it names by one of its aliases.
+
+    Aliases of ``least_chars`` or more stand between word borders, letter case apart; an entity's longest alias at
+    a place counts, and what it covers counts once: what ``entity_patterns`` finds. All aliases are sought in one
+    pass over each text by an automaton, so the time does not depend on their number. A dictionary of more
+    than ``shard_names`` is cut into several automata of bounded size, and the places they find are united.
     """
-    if patterns.limit(most_patterns + 1).count() > most_patterns:
-        raise ValueError(f"more than {most_patterns} patterns: use word_mentions")
-    j = docs.select(*keep, F.lower(text).alias("_t")).crossJoin(F.broadcast(patterns))
-    return j.withColumn("n_mentions", F.regexp_count("_t", F.col("pattern"))).filter("n_mentions > 0").select(*keep, "entity", "n_mentions")
+    lower = lambda c: F.lower(F.trim(c))
+    names = aliases.select(lower(F.col(name)).alias("name"), F.col(key).cast("string").alias("owner")).filter((F.length("name") >= least_chars) & F.col("owner").isNotNull()).distinct()
+    shards = list(_shards(names, shard_names))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
+    src = docs.select(*keep, F.lower(text).alias("_t"))
+    if len(shards) == 1:
+        return src.mapInPandas(partial(_mention_counts, names=shards[0], keep=keep), f"{kinds}, entity string, n_mentions int")
+    once = src.groupBy(*keep, "_t").agg(F.count("*").alias("_copies"))
+    once = once.withColumn("_doc", F.sha2(F.to_json(F.struct(*keep, "_t")), 256))
+    found = reduce(DataFrame.unionAll, [once.select("_doc", "_t").mapInPandas(partial(_mention_spans, names=b), "_doc string, entity string, s int, e int") for b in shards])
+    ordered = F.array_sort(F.collect_list(F.struct("s", (-F.col("e")).alias("e"))))
+    taken = lambda acc, x: F.when(x["s"] >= acc["free"], F.struct((acc["n"] + 1).alias("n"), (-x["e"]).alias("free"))).otherwise(acc)
+    counts = found.groupBy("_doc", "entity").agg(ordered.alias("spans")).select("_doc", "entity", F.aggregate("spans", F.struct(F.lit(0).alias("n"), F.lit(0).alias("free")), taken)["n"].alias("n_mentions"))
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), "_copies"))
+    return once.select(*keep, "_doc", copies.alias("_c")).join(counts, "_doc").select(*keep, "entity", "n_mentions")
 
 
 def word_mentions(docs: DataFrame, dictionary: DataFrame, text: str, keep: list[str], most_words: int = 4) -> DataFrame:
@@ -76,13 +160,21 @@ def mentions_by_day(docs: DataFrame, dictionary: DataFrame, text: str, ident: st
     return m.groupBy("entity", F.col(day).alias("day")).agg(F.count_distinct(ident).alias("n_docs"), F.sum("n_mentions").alias("n_mentions"))
 
 
+def _longest_inside(batches: Iterator[pd.DataFrame], names, keep: list[str]) -> Iterator[pd.DataFrame]:
+    trie = _automaton(names)
+    for pdf in batches:
+        best = [min(((-n, v) for _, (n, v, _) in trie.iter(t)), default=None) if t and len(trie) else None for t in pdf["_t"]]
+        at = [i for i, b in enumerate(best) if b]
+        yield pdf[keep].iloc[at].reset_index(drop=True).assign(n=[best[i][0] for i in at], v=pd.Series([best[i][1] for i in at], dtype=object))
+
 
-def contains_mentions(docs: DataFrame, names: DataFrame, text: str, name: str, keep: list[str], most_names: int = 5000) -> DataFrame:
-    """The longest name that each text contains (ties: the smaller)."""
-    if names.limit(most_names + 1).count() > most_names:
-        raise ValueError(f"more than {most_names} names: use word_mentions")
-    hit = docs.select(*keep, F.col(text).alias("_t")).join(F.broadcast(names.select(name)), F.col("_t").contains(F.col(name)))
-    return hit.groupBy(*keep).agg(F.min(F.struct((-F.length(name)).alias("n"), F.col(name).alias("v")))["v"].alias(name))
+def contains_mentions(docs: DataFrame, names: DataFrame, text: str, name: str, keep: list[str], shard_names: int = 1_000_000) -> DataFrame:
+    """The longest name that each text contains (ties: the smaller), anywhere in it; automata as in ``mentions``."""
+    src = docs.select(*keep, F.col(text).cast("string").alias("_t"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
+    wanted = names.select(F.col(name).alias("name"), F.lit("").alias("owner")).filter("name <> ''").distinct()
+    hit = reduce(DataFrame.unionAll, [src.mapInPandas(partial(_longest_inside, names=b, keep=keep), f"{kinds}, n int, v string") for b in _shards(wanted, shard_names)])
+    return hit.groupBy(*keep).agg(F.min(F.struct("n", "v"))["v"].alias(name))
 
 
 def lookback(df: DataFrame, day: str, days: int, today: str | None = None) -> DataFrame:

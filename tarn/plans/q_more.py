@@ -199,6 +199,21 @@ def dictionary_mentions(spark, d):
     return m.select("doc_id", F.col("entity").alias("alias"), "n_mentions")
 
 
+@register("alias_mentions", """
+    WITH b AS (SELECT item_id, regexp_split_to_array(lower(text), '[^a-z]+') AS w FROM benchmark),
+    a AS (SELECT DISTINCT 'e' || (item_id % 5) AS entity, array_to_string(w[x:x + n], ' ') AS alias FROM b, (VALUES (1), (2), (3)) v(x), (VALUES (0), (1)) z(n)),
+    p AS (SELECT entity, '\\b(' || array_to_string(list(alias ORDER BY -length(alias), alias), '|') || ')\\b' AS pattern FROM a WHERE length(alias) >= 4 AND regexp_full_match(alias, '[a-z]+( [a-z]+)?') GROUP BY 1),
+    h AS (SELECT doc_id, entity, len(regexp_extract_all(regexp_replace(lower(text), '[^ -~]', 'x', 'g'), pattern)) AS n FROM documents, p)
+    SELECT doc_id, entity, CAST(n AS INTEGER) AS n_mentions FROM h WHERE n > 0""")
+def alias_mentions(spark, d):
+    """Words and word pairs from the benchmark's openings as aliases of five entities, in every document."""
+    b = table(spark, d, "benchmark").select("item_id", F.split(F.lower("text"), "[^a-z]+").alias("w"))
+    cut = [F.array_join(F.slice("w", x, n), " ") for x in (1, 2, 3) for n in (1, 2)]
+    a = b.select(F.concat(F.lit("e"), F.col("item_id") % 5).alias("entity"), F.explode(F.array(*cut)).alias("alias")).filter(F.col("alias").rlike("^[a-z]+( [a-z]+)?$"))
+    docs = table(spark, d, "documents").select("doc_id", F.regexp_replace(F.lower("text"), "[^ -~]", "x").alias("t"))
+    return X2.mentions(docs, a, "t", ["doc_id"])
+
+
 @register("contains_join", """
     WITH h AS (SELECT p_partkey, p_type, p_brand AS b, CASE WHEN p_name LIKE '%' || r_name || '%' OR p_type LIKE '%' || r_name || '%' THEN 1 END AS x, r_name FROM part, (SELECT DISTINCT left(p_type, 5) AS r_name FROM part))
     SELECT p_partkey, arg_min(r_name, (-length(r_name), r_name)) AS r_name FROM h WHERE x = 1 AND p_type LIKE '%' || r_name || '%' GROUP BY 1""")

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -145,7 +146,7 @@ def test_trend_alerts(spark):
 def test_entities_and_documents(spark):
     alias = spark.createDataFrame([("Real", "R"), ("Real Madrid", "R"), ("C.F. X", "X"), ("ab", "A")], "alias string, team_key string")
     d = spark.createDataFrame([(1, "Real Madrid beat C.F. X; real!"), (2, "surreal ab")], "i int, t string")
-    assert {(r.i, r.entity, r.n_mentions) for r in TX.mentions(d, TX.entity_patterns(alias), "t", ["i"]).collect()} == {(1, "R", 2), (1, "X", 1)}
+    assert {(r.i, r.entity, r.n_mentions) for r in TX.mentions(d, alias, "t", ["i"], key="team_key").collect()} == {(1, "R", 2), (1, "X", 1)}
     src = spark.createDataFrame([("a", "T", "<b>B</b>", dt.datetime(2026, 1, 1)), ("a", "T2", "C", dt.datetime(2026, 1, 2)), (None, "x", "y", dt.datetime(2026, 1, 1))], "id string, t string, b string, p timestamp")
     n = TX.normalise({"news": (src, {"doc_id": F.col("id"), "title": F.col("t"), "body": F.col("b"), "published_at": F.col("p")})})
     (r,) = TX.drop_invalid(n).collect()
@@ -195,3 +196,41 @@ def test_sentiment_model_reads_whole_texts(spark):
         got = {r.doc_id: r.prediction for r in TX.score_sentiment(model, df, ["doc_id"], "text").collect()}
         assert len(got) == 83 and all(got[i] == i % 2 for i in range(80)) and got[100] == 1 and got[101] == 0
     assert TX.trigram_counts("Naïve👍", 1 << 14).sum() == 4 and TX.trigram_counts("ab", 64).sum() == 0
+
+
+def plain_mentions(docs, alias, least=4):
+    """Every entity's regular expression over every document."""
+    by = {}
+    for a, e in alias:
+        if a and e and len(a.strip()) >= least:
+            by.setdefault(e, set()).add(a.strip().lower())
+    out = []
+    for i, t in docs:
+        for e, names in by.items():
+            n = len(re.findall(r"(?<!\w)(?:" + "|".join(re.escape(a) for a in sorted(names, key=lambda a: (-len(a), a))) + r")(?!\w)", (t or "").lower()))
+            out += [(i, e, n)] if n else []
+    return sorted(out)
+
+
+def test_automaton_finds_what_the_patterns_find(spark):
+    rng = random.Random(5)
+    parts = ["real", "real madrid", "madrid", "c.f. x", "é", "atlético", "_", " ", " ", "-", "X", "a+b(c)", "inter", "inter milan", "milan ac", "", "\n"]
+    docs = [(i // 2, "".join(rng.choice(parts) for _ in range(rng.randint(0, 12)))) for i in range(300)] + [(7, None), (8, ""), (9, "real " * 4000), (9, "real " * 4000)]
+    alias = [(a, e) for a in [*parts, " Real Madrid ", "real madrid c.f. x", "ab", None, "tico", "x-real"] for e in ("R", "S", "T", None) if rng.random() < 0.6] + [("inter", "R"), ("inter milan", "R"), ("milan ac", "R")]
+    d, a = spark.createDataFrame(docs, "i int, t string"), spark.createDataFrame(alias, "alias string, entity string")
+    want = plain_mentions(docs, alias)
+    assert len(want) > 100
+    for shard_names in (1_000_000, 4):
+        assert sorted(map(tuple, TX.mentions(d, a, "t", ["i"], shard_names=shard_names).collect())) == want
+    longest = sorted((i, min(((-len(n), n) for n in {x for x, _ in alias if x} if n in (t or "")), default=None)) for i, t in dict(docs).items())
+    unique = spark.createDataFrame([(i, t) for i, t in dict(docs).items()], "i int, t string")
+    for shard_names in (1_000_000, 4):
+        got = TX.contains_mentions(unique, a, "t", "alias", ["i"], shard_names=shard_names).collect()
+        assert sorted((r.i, r.alias) for r in got) == [(i, b[1]) for i, b in longest if b]
+    assert TX.mentions(d, a.limit(0), "t", ["i"]).count() == TX.mentions(d.limit(0), a, "t", ["i"]).count() == 0
+
+
+def test_a_hundred_thousand_aliases(spark):
+    a = spark.range(100_000).select(F.concat(F.lit("name "), "id").alias("alias"), (F.col("id") % 1000).cast("string").alias("entity"))
+    d = spark.createDataFrame([(1, "Name 7, name 1007 and name 99999x, name 77777"), (2, "name 100000")], "i int, t string")
+    assert sorted(map(tuple, TX.mentions(d, a, "t", ["i"]).collect())) == [(1, "7", 2), (1, "777", 1)]
