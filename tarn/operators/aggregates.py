@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -140,15 +142,48 @@ def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def pairwise_nearest(df: DataFrame, ident: str, lat: str, lon: str, n: int = 10, most_rows: int = 5000) -> DataFrame:
-    """The ``n`` nearest pairs of a small table of places (bounded by ``most_rows``)."""
+EARTH_KM = 6371.0
+
+
+def _chord(arc_km: float) -> float:
+    return 2 * EARTH_KM * math.sin(min(math.pi / 2, arc_km / (2 * EARTH_KM)))
+
+
+def pairwise_nearest(df: DataFrame, ident: str, lat: str, lon: str, n: int = 10) -> DataFrame:
+    """(<ident>_a, <ident>_b, km): the ``n`` nearest pairs of places, a before b; ties by both ids.
+
+    Places lie in grids of cubes around the globe, each four times as wide as the one before. One counting pass
+    gives, for every grid, the number of pairs that share a cube; the finest grid with ``n`` of them proves that
+    the ``n`` nearest pairs are no farther apart than its cubes' diagonal. Only places in neighbouring cubes of
+    that size are compared. In the next finer grid fewer than ``n`` pairs share a cube, so no cube holds more than
+    about sqrt(2n) places: the comparisons grow with the places, not with their square. Of places at the same
+    point the n + 1 smallest ids can be among the nearest pairs; others are left out before. Places without id
+    or coordinates take no part.
+    """
     from tarn.functions.exprs import great_circle_km
 
-    if df.limit(most_rows + 1).count() > most_rows:
-        raise ValueError(f"more than {most_rows} places: compare within regions instead")
-    a, b = (df.select(*[F.col(c).alias(f"{c}_{s}") for c in (ident, lat, lon)]) for s in "ab")
-    pairs = a.join(F.broadcast(b), F.col(f"{ident}_a") < F.col(f"{ident}_b"))
-    d = pairs.select(f"{ident}_a", f"{ident}_b", great_circle_km(*[F.col(c) for c in (f"{lat}_a", f"{lon}_a", f"{lat}_b", f"{lon}_b")]).alias("km"))
+    known = df.select(ident, F.col(lat).cast("double").alias("lat"), F.col(lon).cast("double").alias("lon")).filter(F.col(ident).isNotNull() & F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    first = F.row_number().over(Window.partitionBy("lat", "lon").orderBy(ident))
+    known = known.withColumn("_n", first).filter(F.col("_n") <= n + 1).drop("_n")
+    la, lo = F.radians("lat"), F.radians("lon")
+    xyz = {"x": F.cos(la) * F.cos(lo), "y": F.cos(la) * F.sin(lo), "z": F.sin(la)}
+    placed = known.withColumns({k: EARTH_KM * v for k, v in xyz.items()})
+    sides = [1e-6 * 4**i for i in range(18)]  # a millimetre to more than the globe, which one cube then holds
+    cube = lambda side: [F.floor((F.col(k) + 7000) / side).alias(f"c{k}") for k in "xyz"]
+    level = placed.select("x", "y", "z", F.posexplode(F.array(*[F.lit(s) for s in sides])).alias("level", "side")).groupBy("level", *cube(F.col("side"))).agg(F.count("*").alias("m"))
+    shared = {r["level"]: r["pairs"] for r in level.groupBy("level").agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("pairs")).collect()}
+    enough = min((i for i, pairs in shared.items() if pairs >= n), default=len(sides) - 1)
+    diagonal = min(math.sqrt(3) * sides[enough], 2 * EARTH_KM)
+    # as far along the globe, and what the arc cosine may err by for points close together
+    reach = _chord(2 * EARTH_KM * math.asin(diagonal / (2 * EARTH_KM)) + 0.002)
+    a = placed.select(*[F.col(c).alias(f"{c}_a") for c in (ident, "lat", "lon", "x", "y", "z")], *cube(reach))
+    near = F.array(*[F.lit(i) for i in (-1, 0, 1)])
+    b = placed.select(*[F.col(c).alias(f"{c}_b") for c in (ident, "lat", "lon", "x", "y", "z")], *cube(reach))
+    for k in "xyz":
+        b = b.withColumn(f"d{k}", F.explode(near)).withColumn(f"c{k}", F.col(f"c{k}") + F.col(f"d{k}")).drop(f"d{k}")
+    close = sum((F.pow(F.col(f"{k}_a") - F.col(f"{k}_b"), 2) for k in "yz"), F.pow(F.col("x_a") - F.col("x_b"), 2)) <= reach * reach * (1 + 1e-9)
+    pairs = a.join(b, ["cx", "cy", "cz"]).filter((F.col(f"{ident}_a") < F.col(f"{ident}_b")) & close)
+    d = pairs.select(f"{ident}_a", f"{ident}_b", great_circle_km(*[F.col(c) for c in ("lat_a", "lon_a", "lat_b", "lon_b")]).alias("km"))
     return d.orderBy("km", f"{ident}_a", f"{ident}_b").limit(n)
 
 

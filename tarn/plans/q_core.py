@@ -302,6 +302,17 @@ def pair_distance(spark, d):
     return A.pairwise_nearest(n, "n_nationkey", "lat", "lon").withColumn("km", F.round("km", 4))
 
 
+@register("nearest_customers", """
+    WITH p AS (SELECT c_custkey, (c_custkey * 7919) % 170000 / 1000.0 - 85.0 AS lat, (c_custkey * 104729) % 359000 / 1000.0 - 180.0 AS lon FROM customer)
+    SELECT a.c_custkey AS c_custkey_a, b.c_custkey AS c_custkey_b,
+           round(6371.0 * acos(least(1.0, greatest(-1.0, sin(radians(a.lat)) * sin(radians(b.lat)) + cos(radians(a.lat)) * cos(radians(b.lat)) * cos(radians(b.lon) - radians(a.lon))))), 4) AS km
+    FROM p a JOIN p b ON a.c_custkey < b.c_custkey ORDER BY km, 1, 2 LIMIT 25""")
+def nearest_customers(spark, d):
+    key = F.col("c_custkey")
+    c = table(spark, d, "customer").select("c_custkey", ((key * 7919) % 170000 / 1000.0 - 85.0).alias("lat"), ((key * 104729) % 359000 / 1000.0 - 180.0).alias("lon"))
+    return A.pairwise_nearest(c, "c_custkey", "lat", "lon", 25).withColumn("km", F.round("km", 4))
+
+
 @register("haversine", """
     WITH p AS (SELECT s_suppkey, (s_suppkey * 37) % 170 - 85.0 AS lat, (s_suppkey * 53) % 360 - 180.0 AS lon FROM supplier)
     SELECT s_suppkey, round(2 * 6371.0 * asin(sqrt(least(1.0, pow(sin((radians(48.2) - radians(lat)) / 2), 2) + cos(radians(lat)) * cos(radians(48.2)) * pow(sin((radians(16.4) - radians(lon)) / 2), 2)))), 4) AS km FROM p""")

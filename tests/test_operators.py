@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 import re
 
@@ -234,3 +235,41 @@ def test_a_hundred_thousand_aliases(spark):
     a = spark.range(100_000).select(F.concat(F.lit("name "), "id").alias("alias"), (F.col("id") % 1000).cast("string").alias("entity"))
     d = spark.createDataFrame([(1, "Name 7, name 1007 and name 99999x, name 77777"), (2, "name 100000")], "i int, t string")
     assert sorted(map(tuple, TX.mentions(d, a, "t", ["i"]).collect())) == [(1, "7", 2), (1, "777", 1)]
+
+
+def plain_nearest(rows, n):
+    rad = [(i, math.radians(a), math.radians(b)) for i, a, b in rows if None not in (i, a, b)]
+    km = lambda p, q: 6371.0 * math.acos(max(-1.0, min(1.0, math.sin(p[1]) * math.sin(q[1]) + math.cos(p[1]) * math.cos(q[1]) * math.cos(q[2] - p[2]))))
+    return sorted((km(p, q), p[0], q[0]) for p in rad for q in rad if p[0] < q[0])[:n]
+
+
+@pytest.mark.parametrize("kind", ["spread", "cluster", "copies", "few", "poles"])
+def test_nearest_pairs_are_exact(spark, kind):
+    rng = random.Random(kind)
+    wide = [(i, rng.uniform(-90, 90), rng.uniform(-180, 180)) for i in range(250)]
+    rows = {
+        "spread": wide,
+        "cluster": wide[:50] + [(1000 + i, 48 + rng.random() * 1e-3, 16 + rng.random() * 1e-3) for i in range(250)],
+        "copies": wide + [(1000 + i, 10.0, 20.0) for i in range(60)] + [(2000 + i, 10.0, 20.001) for i in range(60)] + [(None, 1.0, 1.0), (1, None, 1.0)],
+        "few": [(1, 0.0, 0.0), (2, 0.0, 180.0), (3, 90.0, 0.0)],
+        "poles": [(i, rng.choice([-1, 1]) * (90 - rng.random() * 0.01), rng.uniform(-180, 180)) for i in range(150)] + [(500 + i, rng.uniform(-1, 1), rng.choice([-180, 180]) * (1 - rng.random() * 1e-4)) for i in range(100)],
+    }[kind]
+    df = spark.createDataFrame(rows, "id int, la double, lo double")
+    for n in (1, 20):
+        got, want = A.pairwise_nearest(df, "id", "la", "lo", n).collect(), plain_nearest(rows, n)
+        assert [r.km for r in got] == pytest.approx([w[0] for w in want], abs=1e-6)
+        if kind != "poles":  # there distances of close points tie within the arc cosine's precision
+            assert [(r.id_a, r.id_b) for r in got] == [w[1:] for w in want]
+
+
+def test_nearest_pairs_of_a_dense_place(spark):
+    """A third of all places lie in a ten-thousandth of the area."""
+    third = F.when(F.col("id") % 3 == 0, F.lit(0.001)).otherwise(F.lit(1.0))
+    df = spark.range(20_000).select("id", (third * F.rand(1) * 80).alias("la"), (third * F.rand(2) * 170).alias("lo"))
+    got = A.pairwise_nearest(df, "id", "la", "lo", 10)
+    rows = {r.id: (r.la, r.lo) for r in df.collect()}
+    cells = {}
+    for i, (la, lo) in rows.items():  # any two within 20 m share or touch such a cell
+        cells.setdefault((int(la / 0.0002), int(lo / 0.0002)), []).append((i, la, lo))
+    near = [x for (a, b), c in cells.items() for x in plain_nearest(c + [p for da, db in ((0, 1), (1, -1), (1, 0), (1, 1)) for p in cells.get((a + da, b + db), [])], 10)]
+    assert [r.km for r in got.collect()] == pytest.approx([k for k, _, _ in sorted(set(near))[:10]], abs=1e-6)
