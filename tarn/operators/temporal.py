@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
+from bisect import bisect_left, insort
+from collections.abc import Iterator
+from functools import partial, reduce
+from operator import add, and_, neg
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -204,14 +207,80 @@ def dense_grid(df: DataFrame, group: list[str], a: str, b: str) -> DataFrame:
     return df.select(*group, a).distinct().join(df.select(*group, b).distinct(), group)
 
 
-def rank_before(df: DataFrame, group: list[str], entity: str, day: str, points: str, extra: list[str], top: int = 6) -> DataFrame:
-    """(group, day, entity, points_before, position, is_top): the table of a group before each day."""
-    grid = dense_grid(df, group, day, entity)
-    daily = df.groupBy(*group, entity, day).agg(*[F.sum(c).alias(c) for c in [points, *extra]])
-    w = Window.partitionBy(*group, entity).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-    sums = grid.join(daily, [*group, entity, day], "left").select(*group, entity, day, *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"{c}_before") for c in [points, *extra]])
-    place = F.rank().over(Window.partitionBy(*group, day).orderBy(*[F.col(f"{c}_before").desc() for c in [points, *extra]]))
-    return sums.withColumn("position", place).withColumn("is_top", F.col("position") <= top)
+class Standings:
+    """Totals of the entities of one group, and the sorted list of them that gives positions."""
+
+    def __init__(self, width: int):
+        self.totals, self.order, self.zero = {}, [], (0,) * width
+
+    def add(self, entity, change: tuple) -> None:
+        old = self.totals.get(entity)
+        new = tuple(map(add, old or self.zero, change))
+        if old is not None:
+            if new == old:
+                return
+            del self.order[bisect_left(self.order, tuple(map(neg, old)))]
+        self.totals[entity] = new
+        insort(self.order, tuple(map(neg, new)))
+
+    def position(self, entity) -> int:
+        """One more than the number of entities with higher totals."""
+        return 1 + bisect_left(self.order, tuple(map(neg, self.totals[entity])))
+
+
+def _sweep(batches: Iterator[pd.DataFrame], group: list[str], width: int, top: int) -> Iterator[pd.DataFrame]:
+    """Positions that are asked for, from lines sorted by group, day and kind: entries, questions, results."""
+    at, table = None, None
+    for pdf in batches:
+        rows, kept = [], []
+        keys = zip(*[pdf[g] for g in group], strict=True)
+        values = zip(*[pdf[f"_v{i}"] for i in range(width)], strict=True)
+        for i, (key, entity, kind, change) in enumerate(zip(keys, pdf["_entity"], pdf["_kind"], values, strict=True)):
+            if key != at:
+                at, table = key, Standings(width)
+            if kind == 1:
+                place = table.position(entity)
+                rows.append((*table.totals[entity], place, place <= top))
+                kept.append(i)
+            else:
+                table.add(entity, change)
+        new = pd.DataFrame(rows, columns=[*[f"_v{i}" for i in range(width)], "position", "is_top"])
+        yield pd.concat([pdf[[*group, "_entity", "_day"]].iloc[kept].reset_index(drop=True), new], axis=1)
+
+
+def rank_before(df: DataFrame, group: list[str], entity: str, day: str, points: str, extra: list[str], top: int = 6, asked: DataFrame | None = None) -> DataFrame:
+    """(group, day, entity, points_before, extra_before, position, is_top): tables of a group before given days.
+
+    Without ``asked`` the result is the whole grid of a group's days and entities, from windows. ``asked``
+    (group, entity, day) says whose positions on which days are wanted: then each group's daily sums are swept
+    in order of days, batch by batch, and a task holds the totals of the group's entities in a sorted list,
+    never days times entities. Entities stand in the table from the beginning, with zeros; equal totals share a
+    position. Totals are whole numbers (longs) in a sweep; rows with a null group, entity or day take no part in it.
+    """
+    cols = [points, *extra]
+    if asked is None:
+        grid = dense_grid(df, group, day, entity)
+        daily = df.groupBy(*group, entity, day).agg(*[F.sum(c).alias(c) for c in cols])
+        w = Window.partitionBy(*group, entity).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
+        sums = grid.join(daily, [*group, entity, day], "left").select(*group, entity, day, *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"{c}_before") for c in cols])
+        place = F.rank().over(Window.partitionBy(*group, day).orderBy(*[F.col(f"{c}_before").desc() for c in cols]))
+        return sums.withColumn("position", place).withColumn("is_top", F.col("position") <= top)
+    use = df.filter(all_known([*group, entity, day]))
+    asked = asked.filter(all_known([*group, entity, day])).select(*group, entity, day).distinct()
+    kind = use.schema[day].dataType
+    zero = [F.lit(0).cast("long").alias(f"_v{i}") for i in range(len(cols))]
+    line = lambda d, n, at, values: d.select(*group, F.col(entity).alias("_entity"), at.cast(kind).alias("_day"), F.lit(n).alias("_kind"), *values)
+    entries = line(use.select(*group, entity).union(asked.select(*group, entity)).distinct(), 0, F.lit(None), zero)
+    daily = use.groupBy(*group, entity, day).agg(*[F.sum(F.coalesce(F.col(c).cast("long"), F.lit(0))).alias(c) for c in cols])
+    results = line(daily, 2, F.col(day), [F.col(c).alias(f"_v{i}") for i, c in enumerate(cols)])
+    lines = entries.unionAll(line(asked, 1, F.col(day), zero)).unionAll(results)
+    order = [*group, F.asc_nulls_first("_day"), "_kind"]
+    dealt = lines.repartition(*group).sortWithinPartitions(*order)
+    names = {f.name: f.dataType.simpleString() for f in lines.schema}
+    schema = ", ".join(f"`{c}` {names[c]}" for c in [*group, "_entity", "_day", *[f"_v{i}" for i in range(len(cols))]])
+    swept = dealt.mapInPandas(partial(_sweep, group=group, width=len(cols), top=top), f"{schema}, position int, is_top boolean")
+    before = [F.col(f"_v{i}").alias(f"{c}_before") for i, c in enumerate(cols)]
+    return swept.select(*group, F.col("_day").alias(day), F.col("_entity").alias(entity), *before, "position", "is_top")
 
 
 def pair_history(df: DataFrame, a: str, b: str, order: list[str], value: str, n: int = 5) -> DataFrame:

@@ -39,7 +39,7 @@ def rolling_form(m: DataFrame, n: int = 5) -> DataFrame:
 def season_position(m: DataFrame, top: int = 6) -> DataFrame:
     """Table position of both teams before the day of the match."""
     s = sides(m).withColumn("gd", F.col("gf") - F.col("ga")).fillna(0, ["points", "gd", "gf"])
-    pos = rank_before(s, ["season"], "team", "match_date", "points", ["gd", "gf"], top)
+    pos = rank_before(s, ["season"], "team", "match_date", "points", ["gd", "gf"], top, asked=sides(m))
     return spread(m, sides(m).join(pos.select("season", "team", "match_date", "position", "is_top"), ["season", "team", "match_date"], "left").withColumn("is_top", F.col("is_top").cast("int")), ["position", "is_top"])
 
 

@@ -273,3 +273,20 @@ def test_nearest_pairs_of_a_dense_place(spark):
         cells.setdefault((int(la / 0.0002), int(lo / 0.0002)), []).append((i, la, lo))
     near = [x for (a, b), c in cells.items() for x in plain_nearest(c + [p for da, db in ((0, 1), (1, -1), (1, 0), (1, 1)) for p in cells.get((a + da, b + db), [])], 10)]
     assert [r.km for r in got.collect()] == pytest.approx([k for k, _, _ in sorted(set(near))[:10]], abs=1e-6)
+
+
+def test_positions_by_a_sweep_equal_the_grid(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice(["g", "h", None]), rng.choice("abcdefgh"), day(rng.randint(0, 40)), rng.randint(0, 3), rng.randint(-4, 4), "x") for _ in range(500)] + [("g", None, day(1), 3, 1, "x"), ("g", "a", None, 3, 1, "x"), ("g", "z", day(3), None, None, "x")]
+    df = spark.createDataFrame(rows, "grp string, team string, d date, pts int, gd int, position string")
+    whole = df.filter("grp is not null and team is not null and d is not null")
+    grid = {tuple(r) for r in T.rank_before(whole, ["grp"], "team", "d", "pts", ["gd"], 3).select("grp", "team", "d", "pts_before", "gd_before", "position", "is_top").collect()}
+    every = T.dense_grid(whole, ["grp"], "d", "team")
+    pick = ["grp", "team", "d", "pts_before", "gd_before", "position", "is_top"]
+    assert {tuple(r) for r in T.rank_before(df, ["grp"], "team", "d", "pts", ["gd"], 3, asked=every).select(*pick).collect()} == grid
+    some = every.filter("day(d) % 3 = 0 and team < 'd'")
+    wanted = {g for g in grid if g[2].day % 3 == 0 and g[1] < "d"}
+    assert {tuple(r) for r in T.rank_before(df, ["grp"], "team", "d", "pts", ["gd"], 3, asked=some.union(some)).select(*pick).collect()} == wanted
+    new = spark.createDataFrame([("g", "newcomer", day(100))], "grp string, team string, d date")
+    assert T.rank_before(df, ["grp"], "team", "d", "pts", ["gd"], 3, asked=new).first()["pts_before"] == 0
+    assert T.rank_before(df.limit(0), ["grp"], "team", "d", "pts", ["gd"], 3, asked=new.limit(0)).count() == 0
