@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -112,7 +112,7 @@ def schema_drift(headers: DataFrame, group: str, name: str) -> DataFrame:
     """(group, column, change) against the group before, from rows (group, column name)."""
     seen = headers.select(group, name).distinct()
     groups = seen.select(group).distinct()
-    nxt = groups.join(groups.select(F.col(group).alias("_g2")), F.col("_g2") > F.col(group)).groupBy(group).agg(F.min("_g2").alias("_next"))
+    nxt = groups.withColumn("_next", F.lead(group).over(Window.orderBy(group))).filter("_next is not null")  # one row a group
     before = seen.join(nxt, group).select(F.col("_next").alias(group), name)
     added = seen.join(groups.join(nxt.select(F.col("_next").alias(group)).distinct(), group, "left_semi"), group, "left_semi").join(before, [group, name], "left_anti").withColumn("change", F.lit("added"))
     removed = before.join(seen, [group, name], "left_anti").withColumn("change", F.lit("removed"))

@@ -53,25 +53,49 @@ def read_jsonl(spark: SparkSession, glob: str) -> DataFrame:
     return spark.createDataFrame([], DOCS) if df is None else df.filter("doc is not null")
 
 
+#: A comma outside of double quotes.
+_COMMA = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+
+
+def csv_cells(line: str) -> Column:
+    """The fields of a line; quotes around a field go, doubled ones inside become single."""
+    plain = F.split(line, ",", -1)
+    quoted = F.transform(F.split(line, _COMMA, -1), lambda c: F.when(c.rlike('^".*"$'), F.replace(c.substr(F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+    return F.when(F.instr(line, '"') > 0, quoted).otherwise(plain)
+
+
+def csv_headers(raw: DataFrame) -> DataFrame:
+    """(path, head, names) from (path, value, at): the first line of each file and its column names."""
+    first = raw.filter("at = 0").groupBy("path").agg(F.first("value").alias("head"))
+    bare = F.regexp_replace("head", "^\\x{FEFF}", "")
+    return first.select("path", "head", bare.alias("_bare")).withColumn("names", F.transform(csv_cells("_bare"), lambda c: F.trim(c))).drop("_bare")
+
+
 def read_csv_union(spark: SparkSession, glob: str, columns: list[str]) -> DataFrame:
-    """(path, columns...) as strings: files with differing headers are united by name; unreadable lines go."""
+    """(path, columns...) as strings: files with differing headers are united by name; unreadable lines go.
+
+    One text scan, whatever the number of files and headers: every file's header, a small table on the cluster, is
+    joined by path, and a line's fields are taken by the positions of the names in its own header. Lines whose
+    number of fields differs from their header's, lines that repeat it and lines without any wanted field go.
+    Empty fields are null; fields do not span lines.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ["path", *columns]])
     if not exists(spark, glob):
         return spark.createDataFrame([], schema)
-    raw = spark.read.option("recursiveFileLookup", "true").text(glob)
-    heads = raw.select(F.col("_metadata.file_path").alias("path"), "value", F.col("_metadata.file_block_start").alias("at")).filter("at = 0")
-    first = heads.groupBy("path").agg(F.first("value").alias("head"))
-    groups: dict[str, list[str]] = {}
-    for r in first.collect():  # one row per file
-        groups.setdefault(r["head"].lstrip("﻿"), []).append(r["path"])
-    out = None
-    for paths in groups.values():
-        df = spark.read.csv(paths, header=True, mode="DROPMALFORMED", enforceSchema=False)
-        names = {c.strip().lstrip("﻿"): c for c in df.columns}
-        one = df.select(F.col("_metadata.file_path").alias("path"), *[(F.col(f"`{names[c]}`") if c in names else F.lit(None)).cast("string").alias(c) for c in columns])
-        one = one.filter(F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in columns]).isNotNull())
-        out = one if out is None else out.unionByName(one)
-    return out
+    raw = spark.read.option("recursiveFileLookup", "true").text(glob).select(F.col("_metadata.file_path").alias("path"), "value", F.col("_metadata.file_block_start").alias("at"))
+    lines = raw.drop("at").join(csv_headers(raw), "path").filter(F.col("value") != F.col("head")).withColumn("cells", csv_cells("value"))
+    field = lambda name: F.nullif(F.get("cells", F.coalesce(F.array_position("names", name), F.lit(0)).cast("int") - 1), F.lit(""))
+    # all wanted fields as one array: a filter over many columns would repeat the splitting for each of them
+    rows = lines.filter(F.size("cells") == F.size("names")).withColumn("_wanted", F.transform(F.array(*[F.lit(c) for c in columns]), field))
+    return rows.filter(F.exists("_wanted", lambda v: F.trim(v) != "")).select("path", *[F.get("_wanted", F.lit(i)).alias(c) for i, c in enumerate(columns)])
+
+
+def header_names(spark: SparkSession, glob: str) -> DataFrame:
+    """(path, name), one row per file and column: what ``schema_drift`` compares."""
+    if not exists(spark, glob):
+        return spark.createDataFrame([], "path string, name string")
+    raw = spark.read.option("recursiveFileLookup", "true").text(glob).select(F.col("_metadata.file_path").alias("path"), "value", F.col("_metadata.file_block_start").alias("at"))
+    return csv_headers(raw).select("path", F.explode("names").alias("name")).filter("name <> ''")
 
 
 def _decode(batches: Iterator[pd.DataFrame], encodings: list[str]) -> Iterator[pd.DataFrame]:

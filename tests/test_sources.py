@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarn.functions import json as J
+from tarn.operators import quality
 from tarn.plans import staging
 from tarn.sources import readers, sinks
 
@@ -87,6 +88,26 @@ def test_csv_union_encodings_and_seed(spark, tmp_path):
     assert readers.read_alias_seed(spark, [str(tmp_path / "none")]).count() == 0
 
 
+def test_many_small_csv_files_of_a_few_headers(spark, tmp_path):
+    heads = ["a,b", "b,c,a", "\ufeff c , a"]
+    for i in range(300):
+        h = heads[i % 3]
+        cells = {"a": f"a{i}", "b": f'"b,""{i}"""', "c": ""}
+        names = [n.strip().lstrip("\ufeff") for n in h.split(",")]
+        put(tmp_path, f"csv/d{i % 10}/{i}.csv", h + "\r\n" + ",".join(cells[n.strip()] for n in names) + "\n" + ",".join("x" for _ in range(len(names) + 1)) + "\n" + h.lstrip("\ufeff") + "\n\n" + "," * (len(names) - 1) + "\n")
+    got = readers.read_csv_union(spark, str(tmp_path / "csv"), ["b", "a", "none"])
+    assert got.columns == ["path", "b", "a", "none"]
+    assert sorted((r.a, r.b, r.none) for r in got.collect()) == sorted((f"a{i}", f'b,"{i}"' if i % 3 < 2 else None, None) for i in range(300))
+    assert all(r.path.endswith(f"/{r.a[1:]}.csv") for r in got.collect())
+    assert got._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 2  # the lines and the headers, not a scan a header
+    names = readers.header_names(spark, str(tmp_path / "csv")).withColumn("season", F.regexp_extract("path", "/d([0-9])/", 1))
+    assert {(r.name, r.n) for r in names.groupBy("name").agg(F.count("*").alias("n")).collect()} == {("a", 300), ("b", 200), ("c", 200)}
+    first = names.filter("season < '2'").withColumn("grp", F.when(F.expr("path like '%/d0/%'"), "2024").otherwise("2025"))
+    small = first.filter("grp = '2024' or name <> 'b'")
+    assert [tuple(r) for r in quality.schema_drift(small, "grp", "name").select("grp", "name", "change").collect()] == [("2025", "b", "removed")]
+    assert readers.read_csv_union(spark, str(tmp_path / "none"), ["a"]).count() == readers.header_names(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_xml_html_and_bindings(spark):
     df = spark.createDataFrame([(1, "<goal><value><elapsed>3</elapsed><team>9</team></value><value><elapsed>80</elapsed></value></goal>"), (2, None), (3, "nope")], "id int, xml string")
     rows = readers.parse_xml_events(df, "xml", "value", "elapsed INT, team INT", ["id"]).collect()
