@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarn.functions.exprs import overround
+from tarn.operators.resolve import small
 
 
 def sum_if(cond: Column, value: Column | str) -> Column:
@@ -127,9 +130,59 @@ def profile(df: DataFrame, approx: bool = True) -> DataFrame:
     return df.agg(F.array(*cells).alias("c")).select(F.inline("c"))
 
 
-def calibration(df: DataFrame, p: str, y: str, bins: int = 10) -> DataFrame:
-    """Mean prediction and outcome per bin of equal count, from cut points instead of a global sort."""
-    cuts = df.agg(F.percentile_approx(p, F.array(*[F.lit(i / bins) for i in range(1, bins)]), 10_000).alias("_c"))
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, at: list[float], enough: int = 1_000_000, bins: int = 1024) -> DataFrame:
+    """(keys, q0, q1, ...): exact quantiles with linear interpolation, nulls and NaN left out.
+
+    Where no key has more than ``enough`` values, they fit one buffer and the built-in aggregate does. Else every
+    order statistic that a quantile needs is boxed in: rows are counted in ``bins`` equal parts of its range, the
+    part that holds it becomes its range, and so on until no range holds more than ``enough`` rows or more than
+    one value. Each pass keeps at most ``bins`` counters a key and order statistic, combined before the shuffle;
+    what is left of a range is then ranked by its distinct values. Keys may be few or many, hot or not.
+    """
+    v = F.col(value).cast("double")
+    rows = df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= enough:
+        return rows.groupBy(*keys).agg(*[F.percentile("_v", q).alias(f"q{i}") for i, q in enumerate(at)])
+    ranks = F.explode(F.array_distinct(F.flatten(F.array(*[F.array(F.floor(place), F.ceil(place)) for place in [(F.col("n") - 1) * q for q in at]]))))
+    boxes = sizes.select(*keys, "n", ranks.alias("rank"), "lo", "hi", F.lit(0).cast("long").alias("below"), F.col("n").alias("inside"))
+    same = lambda a, b: reduce(and_, [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys], F.lit(True))
+    held = lambda: rows.alias("r").join(small(boxes).alias("b"), same("r", "b") & F.col("_v").between(F.col("lo"), F.col("hi"))).select(*[F.col(f"b.{k}").alias(k) for k in keys], "n", "rank", "lo", "hi", "below", "_v")
+    before = Window.partitionBy(*keys, "rank").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+
+    def chosen(parts: DataFrame) -> DataFrame:
+        """Of the parts of each box, in order, the one that holds the wanted rank."""
+        parts = parts.withColumn("below", F.col("below") + F.coalesce(F.sum("inside").over(before), F.lit(0)))
+        return parts.filter((F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("inside")))
+
+    spark, last = df.sparkSession, None
+    kinds = boxes.schema
+    while True:
+        # one row a key and order statistic: small, and a literal table cuts the lineage of the passes before
+        open_rows = boxes.filter("inside > 1 and lo < hi").agg(F.max("inside")).first()[0] or 0
+        if open_rows <= enough or open_rows == last:
+            break
+        last = open_rows
+        width = F.col("hi") / bins - F.col("lo") / bins
+        part = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("_v") / bins - F.col("lo") / bins) / width * bins), F.lit(bins - 1))).otherwise(F.lit(0))
+        parts = held().groupBy(*keys, "n", "rank", "below", part.alias("part")).agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count("*").alias("inside"))
+        boxes = chosen(parts).select(*[f.name for f in kinds])
+        boxes = boxes.checkpoint() if spark.sparkContext.getCheckpointDir() else boxes
+    found = chosen(held().groupBy(*keys, "n", "rank", "below", F.col("_v").alias("part")).agg(F.count("*").alias("inside")))
+    values = found.groupBy(*keys, "n").agg(F.map_from_entries(F.collect_list(F.struct(F.col("rank").alias("key"), F.col("part").alias("value")))).alias("at"))
+
+    def between(q: float) -> Column:
+        place = (F.col("n") - 1) * q
+        low, high = (F.col("at")[f(place)] for f in (F.floor, F.ceil))
+        return F.when(low == high, low).otherwise(low + (place - F.floor(place)) * (high - low))
+
+    return values.select(*keys, *[between(q).alias(f"q{i}") for i, q in enumerate(at)])
+
+
+def calibration(df: DataFrame, p: str, y: str, bins: int = 10, enough: int = 1_000_000) -> DataFrame:
+    """Mean prediction and outcome per bin of equal count, from exact cut points instead of a global sort."""
+    cuts = exact_quantiles(df, [], p, [i / bins for i in range(1, bins)], enough)
+    cuts = cuts.select(F.array(*[f"q{i}" for i in range(bins - 1)]).alias("_c"))  # one row
     at = F.size(F.filter("_c", lambda c: c < F.col(p)))
     return df.filter(F.col(p).isNotNull()).crossJoin(F.broadcast(cuts)).groupBy(at.alias("bin")).agg(F.count("*").alias("n"), F.avg(p).alias("mean_p"), F.avg(F.col(y).cast("double")).alias("mean_y"))
 

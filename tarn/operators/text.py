@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial, reduce
+from operator import and_
 
 import ahocorasick
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tarn.functions.exprs import clean_text
-from tarn.operators.aggregates import burst_alerts, sentiment_metrics, trend
+from tarn.operators.aggregates import burst_alerts, exact_quantiles, sentiment_metrics, trend
 from tarn.operators.snapshot import latest
 
 SCHEMA = ["doc_id", "source_type", "title", "body", "published_at", "engagement", "language"]
@@ -192,13 +193,23 @@ def topic_alerts(df: DataFrame, keys: list[str], day: str, days: int = 7, least:
     return t, burst_alerts(t, sentiment_metrics(recent, keys), keys, negative_rate)
 
 
-def anomaly_scores(daily: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """Robust z-scores (median and absolute deviation per key) and their largest magnitude."""
-    med = daily.groupBy(*keys).agg(*[F.median(v).alias(f"_m_{v}") for v in values])
-    j = daily.join(med, keys)
-    mad = j.groupBy(*keys).agg(*[F.median(F.abs(F.col(v) - F.col(f"_m_{v}"))).alias(f"_d_{v}") for v in values])
+def anomaly_scores(daily: DataFrame, keys: list[str], values: list[str], enough: int = 1_000_000) -> DataFrame:
+    """Robust z-scores (median and absolute deviation per key) and their largest magnitude; medians are exact, NaN left out."""
+
+    number = lambda x: F.when(~F.isnan(x.cast("double")), x)
+
+    def medians(df: DataFrame, prefix: str, of: Callable[[str], Column]) -> DataFrame:
+        if keys and (df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) <= enough:
+            return df.join(df.groupBy(*keys).agg(*[F.median(number(of(v))).alias(f"{prefix}{v}") for v in values]), keys)
+        for v in values:
+            one = exact_quantiles(df.withColumn("_x", of(v)), keys, "_x", [0.5], enough).withColumnRenamed("q0", f"{prefix}{v}")
+            df = df.join(one, keys, "left") if keys else df.crossJoin(F.broadcast(one))  # one row
+        return df.filter(reduce(and_, [F.col(k).isNotNull() for k in keys], F.lit(True)))
+
+    j = medians(daily, "_m_", F.col)
+    j = medians(j, "_d_", lambda v: F.abs(F.col(v) - F.col(f"_m_{v}")))
     z = {f"z_{v}": (F.col(v) - F.col(f"_m_{v}")) / F.nullif(1.4826 * F.col(f"_d_{v}"), F.lit(0.0)) for v in values}
-    out = j.join(mad, keys).withColumns(z)
+    out = j.withColumns(z)
     return out.withColumn("anomaly_score", F.greatest(F.lit(0.0), *[F.coalesce(F.abs(f"z_{v}"), F.lit(0.0)) for v in values])).drop(*[f"{p}{v}" for p in ("_m_", "_d_") for v in values])
 
 

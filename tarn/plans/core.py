@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tarn.functions import exprs as X
 from tarn.operators import reshape as R
-from tarn.operators.resolve import alias_dictionary, link_unique, mapped_flag, resolve_alias, source_ids, survive, unmapped_report
+from tarn.operators.resolve import alias_dictionary, link_unique, mapped_flag, resolve_alias, small, source_ids, survive, unmapped_report
 from tarn.operators.snapshot import latest
 
 # The codes by which each source names a competition.
@@ -231,7 +231,7 @@ def with_weather(matches: DataFrame, teams: DataFrame, weather: DataFrame) -> Da
     zones = weather.groupBy("venue_name").agg(F.min("timezone").alias("_tz"))
     ground = teams.select(F.col("team_key").alias("home_key"), "openmeteo_venue_key").join(zones, F.col("openmeteo_venue_key") == zones["venue_name"]).select("home_key", "openmeteo_venue_key", "_tz")
     hour = F.date_trunc("hour", F.convert_timezone(F.lit("UTC"), F.col("_tz"), F.col("kickoff_utc"))).cast("timestamp_ntz")
-    m = matches.join(F.broadcast(ground), "home_key", "left").withColumn("_hour", hour)
+    m = matches.join(small(ground), "home_key", "left").withColumn("_hour", hour)
     w = weather.select(F.col("venue_name").alias("openmeteo_venue_key"), F.col("weather_time").alias("_hour"), F.col("temperature_c").alias("weather_temp_c"), F.col("precipitation_mm").alias("weather_precip_mm"), F.col("windspeed_kmh").alias("weather_wind_kmh"), F.col("humidity_pct").alias("weather_humidity_pct"), "weather_code", F.lit(True).alias("_w"))
     return m.join(w, ["openmeteo_venue_key", "_hour"], "left").withColumn("has_weather", F.col("_w").isNotNull()).drop("_w", "_hour", "_tz")
 

@@ -9,6 +9,7 @@ from tarn.functions import exprs as X
 from tarn.operators import reshape as R
 from tarn.operators.aggregates import market_features, sentiment_metrics
 from tarn.operators.quality import assert_grain
+from tarn.operators.resolve import small
 from tarn.operators.temporal import asof_join, band_nearest, gap_days, n_prior, pair_history, period_change, prior_avg, range_agg, rank_before, spikes
 from tarn.streaming.state import elo
 
@@ -191,7 +192,7 @@ def weekly_report(ratings: DataFrame, matches: DataFrame, docs: DataFrame, start
 # Dashboard views: predictions, upcoming matches, long explanations, indicators, per class.
 def prediction_views(pred: DataFrame, contrib: DataFrame, teams: DataFrame, metrics: DataFrame, today: Column) -> dict[str, DataFrame]:
     names = lambda s: teams.select(F.col("team_key").alias(f"{s}_key"), F.col("team_name").alias(f"{s}_name"))
-    p = pred.join(F.broadcast(names("home")), "home_key", "left").join(F.broadcast(names("away")), "away_key", "left")
+    p = pred.join(small(names("home")), "home_key", "left").join(small(names("away")), "away_key", "left")
     p = p.withColumns({"summary": X.prob_summary("p_home", "p_draw", "p_away"), "timeline": X.timeline_bucket("match_date", today), "probability_pct": F.round(100 * F.col("confidence"), 2)})
     done = p.filter("actual_result is not null")
     kpi = done.groupBy("model_version").agg(F.count("*").alias("n_scored"), F.avg(F.col("is_correct").cast("double")).alias("accuracy"), F.avg("confidence").alias("mean_confidence"))

@@ -76,10 +76,12 @@ def quantile_cut(spark, d):
     return A.quantile_dates(orders(spark, d), "day", [0.7, 0.85])
 
 
-@register("calibration_bins")
+@register("calibration_bins", """
+    WITH j AS (SELECT 1 - 1 / log2(n_chars + 4) AS p, quality FROM documents JOIN labels USING (doc_id)), c AS (SELECT quantile_cont(p, [0.2, 0.4, 0.6, 0.8]) AS c FROM j)
+    SELECT CAST(len(list_filter(c, lambda x: x < p)) AS INTEGER) AS bin, count(*) AS n, round(avg(p), 6) AS mean_p, round(avg(quality), 6) AS mean_y FROM j, c WHERE p IS NOT NULL GROUP BY 1""")
 def calibration_bins(spark, d):
     j = table(spark, d, "documents").join(table(spark, d, "labels"), "doc_id").withColumn("p", 1 - 1 / F.log2(F.col("n_chars") + 4))
-    return A.calibration(j, "p", "quality", 5)
+    return A.calibration(j, "p", "quality", 5).select("bin", "n", F.round("mean_p", 6).alias("mean_p"), F.round("mean_y", 6).alias("mean_y"))
 
 
 @register("histogram", "SELECT p_brand, CAST(floor(p_size / 15) * 15 AS BIGINT) AS bucket, count(*) AS n FROM part GROUP BY ALL")

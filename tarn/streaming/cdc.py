@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tarn.operators.resolve import small
+
 DEAD_BYTES = 100_000
 
 
@@ -54,7 +56,7 @@ def write_batches(batch: DataFrame, root: str) -> None:
             else:
                 part = part.select(*cols)
             spans = part.groupBy("table", "partition").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"))
-            named = part.join(F.broadcast(spans), ["table", "partition"])
+            named = part.join(small(spans), ["table", "partition"])
             out = named.withColumns({"kafka_partition": F.col("partition"), "range": F.format_string("%012d-%012d", "lo", "hi"), "table_name": F.col("table")}).drop("lo", "hi")
             out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("table_name", "kafka_partition", "range").parquet(f"{root.rstrip('/')}/{kind}")
     finally:

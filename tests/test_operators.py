@@ -3,6 +3,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -290,3 +291,22 @@ def test_positions_by_a_sweep_equal_the_grid(spark):
     new = spark.createDataFrame([("g", "newcomer", day(100))], "grp string, team string, d date")
     assert T.rank_before(df, ["grp"], "team", "d", "pts", ["gd"], 3, asked=new).first()["pts_before"] == 0
     assert T.rank_before(df.limit(0), ["grp"], "team", "d", "pts", ["gd"], 3, asked=new.limit(0)).count() == 0
+
+
+def test_quantiles_by_refined_ranges_are_exact(spark):
+    rng = np.random.default_rng(2)
+    kinds = {"a": rng.lognormal(0, 4, 3000), "b": rng.integers(0, 3, 2000) * 1.0, "c": np.full(900, 7.5), "d": np.r_[rng.normal(0, 1e-9, 500), 1e15, -1e300], "e": [1.0], None: rng.random(400)}
+    rows = [(k, float(x)) for k, v in kinds.items() for x in v] + [("a", None), ("a", float("nan")), ("f", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    at = [0.0, 0.1, 0.5, 0.93, 1.0]
+    for options in ({}, {"enough": 100, "bins": 512}):
+        got = {r.k: list(r[1:]) for r in A.exact_quantiles(df, ["k"], "v", at, **options).collect()}
+        assert got.keys() == kinds.keys()
+        for k, v in kinds.items():
+            assert got[k] == pytest.approx(np.quantile(np.array(v), at).tolist(), rel=1e-9, abs=1e-20)
+    whole = [x for v in kinds.values() for x in v]
+    assert list(A.exact_quantiles(df, [], "v", at, enough=500, bins=512).first()) == pytest.approx(np.quantile(whole, at).tolist(), rel=1e-9)
+    assert A.exact_quantiles(df.limit(0), ["k"], "v", at).count() == 0
+    daily = df.filter("k in ('a', 'b')").withColumn("w", F.col("v") * 2)
+    few, many = (sorted(map(str, TX.anomaly_scores(daily, ["k"], ["v", "w"], enough=e).select("k", "v", F.round("anomaly_score", 9)).collect())) for e in (1_000_000, 100))
+    assert few == many
