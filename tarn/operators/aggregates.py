@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tarn.functions.exprs import overround
 from tarn.operators.resolve import small
+from tarn.session import cut_lineage
 
 
 def sum_if(cond: Column, value: Column | str) -> Column:
@@ -155,10 +156,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, at: list[float],
         parts = parts.withColumn("below", F.col("below") + F.coalesce(F.sum("inside").over(before), F.lit(0)))
         return parts.filter((F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("inside")))
 
-    spark, last = df.sparkSession, None
-    kinds = boxes.schema
+    last, kinds = None, boxes.schema
     while True:
-        # one row a key and order statistic: small, and a literal table cuts the lineage of the passes before
         open_rows = boxes.filter("inside > 1 and lo < hi").agg(F.max("inside")).first()[0] or 0
         if open_rows <= enough or open_rows == last:
             break
@@ -167,7 +166,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, at: list[float],
         part = F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("_v") / bins - F.col("lo") / bins) / width * bins), F.lit(bins - 1))).otherwise(F.lit(0))
         parts = held().groupBy(*keys, "n", "rank", "below", part.alias("part")).agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count("*").alias("inside"))
         boxes = chosen(parts).select(*[f.name for f in kinds])
-        boxes = boxes.checkpoint() if spark.sparkContext.getCheckpointDir() else boxes
+        boxes = cut_lineage(boxes)  # one row a key and order statistic
     found = chosen(held().groupBy(*keys, "n", "rank", "below", F.col("_v").alias("part")).agg(F.count("*").alias("inside")))
     values = found.groupBy(*keys, "n").agg(F.map_from_entries(F.collect_list(F.struct(F.col("rank").alias("key"), F.col("part").alias("value")))).alias("at"))
 

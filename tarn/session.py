@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 CONF = {
@@ -20,3 +22,16 @@ def get_session(app: str = "tarn", master: str | None = None, **conf: str) -> Sp
     if master:
         b = b.master(master)
     return b.config(map={**CONF, **conf}).getOrCreate()
+
+
+def cut_lineage(df):
+    """``df`` checkpointed to the shared folder that the cluster names; a local one only in local mode (tests)."""
+    spark = df.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        found = spark.conf.get("spark.checkpoint.dir", None)
+        if not found:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            found = tempfile.mkdtemp(prefix="spark-")
+        spark.sparkContext.setCheckpointDir(found)
+    return df.checkpoint()

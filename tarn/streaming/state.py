@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tarn.operators.resolve import small
+from tarn.session import cut_lineage
+
 
 def running_state(events: DataFrame, key: list[str], order: list[str], counts: dict[str, Column], last: list[str]) -> DataFrame:
     """Conditional counts and newest values per entity; batch, or a stream in update mode."""
@@ -34,16 +37,41 @@ def elo_step(home: float, away: float, hg: int, ag: int, k: float, edge: float)
     return k * factor * ((1.0 if hg > ag else 0.5 if hg == ag else 0.0) - e), e
 
 
+def meeting_groups(matches: DataFrame, home: str, away: str) -> DataFrame:
+    """(entity, component): entities that are linked by any chain of matches share the smallest entity among them.
+
+    Labels pass along the distinct pairs as pre-aggregated minima, and every label then jumps to its own label,
+    so the number of rounds grows with the logarithm of the chains. A round's table has one row an entity.
+    """
+    pairs = matches.select(F.col(home).alias("a"), F.col(away).alias("b")).filter("a is not null and b is not null").distinct()
+    both = cut_lineage(pairs.unionAll(pairs.select("b", "a")).distinct())
+    labels = both.select(F.col("a").alias("entity")).distinct().withColumn("component", F.col("entity"))
+    while True:
+        told = both.join(labels.select(F.col("entity").alias("b"), F.col("component").alias("m")), "b").groupBy(F.col("a").alias("entity")).agg(F.min("m").alias("m"))
+        low = labels.join(told, "entity").select("entity", F.least("component", "m").alias("low"), F.col("component").alias("old"))
+        jump = low.select(F.col("entity").alias("low"), F.col("low").alias("lower"))
+        new = cut_lineage(low.join(jump, "low").select("entity", F.least("low", "lower").alias("component"), "old"))
+        if new.filter("component <> old").isEmpty():
+            return new.drop("old")
+        labels = new.drop("old")
+
+
 COLUMNS = "home_elo_before double, away_elo_before double, elo_diff double, home_expected double"
 
 
-def elo(matches: DataFrame, group: str, season: str, order: list[str], home: str, away: str, hg: str, ag: str, ident: str, k: float = 20, edge: float = 60, start: float = 1500, regress: float = 0.25) -> DataFrame:
+def elo(matches: DataFrame, group: str | None, season: str, order: list[str], home: str, away: str, hg: str, ag: str, ident: str, k: float = 20, edge: float = 60, start: float = 1500, regress: float = 0.25) -> DataFrame:
     """Ratings before each match of a group (competition), which is rated in order in one task.
 
     Matches arrive sorted, batch by batch; only the ratings of the group at hand are held, never its matches.
-    Entities of two groups have two ratings.
+    With a ``group`` column, entities of two groups have two ratings. Without one an entity has one rating in all
+    its competitions: those who are linked by any chain of matches form a group, ``component``, and are rated
+    together in order of time. Ratings depend on all earlier ones of both sides, so a component is one task.
     At a new season ratings go back towards the start by ``regress``; unplayed matches change nothing.
     """
+    if group is None:
+        group = "component"
+        of = meeting_groups(matches, home, away).select(F.col("entity").alias(home), "component")
+        matches = matches.drop(group).join(small(of), home, "left").withColumn(group, F.coalesce(group, home))
     kind = {f.name: f.dataType.simpleString() for f in matches.schema}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -1,11 +1,13 @@
 import base64
 import itertools
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tarn.streaming import cdc
-from tarn.streaming.state import elo, elo_stream, running_state, windowed_counts
+from tarn.streaming.state import elo, elo_step, elo_stream, meeting_groups, running_state, windowed_counts
 
 MSG = "topic string, partition int, offset long, value string"
 
@@ -110,3 +112,32 @@ def test_elo_holds_no_group_whole(spark):
     assert "FlatMapGroupsInPandas" not in df._jdf.queryExecution().toString()
     by = {g: {r.match_id: r[2:] for r in whole if r.grp == g} for g in (1, 2, None)}
     assert by[1] == by[2] == by[None] and by[1][39][0] != 1500
+
+
+def test_elo_over_competitions_equals_a_plain_fold(spark):
+    rng = random.Random(8)
+    leagues = {"north": "abcd", "south": "efgh", "cup": "ah", "west": "wxyz", "far": "uv"}
+    rows = []
+    for n in range(240):
+        home, away = rng.sample(leagues[league := rng.choice([*leagues])], 2)
+        rows.append((league, 2000 + n // 100, n, home, away, rng.randint(0, 4), None if n % 17 == 0 else rng.randint(0, 4), n))
+    chain = [(f"c{i}", 2001, 300 + i, f"m{i}", f"m{i + 1}", 1, 0, 300 + i) for i in range(20)]
+    m = spark.createDataFrame(rows + chain, "grp string, season int, ord int, home string, away string, hg int, ag int, match_id long")
+    groups = {r.entity: r.component for r in meeting_groups(m, "home", "away").collect()}
+    linked = {**dict.fromkeys("abcdefgh", "a"), **dict.fromkeys("wxyz", "w"), "u": "u", "v": "u"}
+    assert groups == linked | {f"m{i}": "m0" for i in range(21)}
+    want = {}
+    for part in sorted(set(groups.values())):
+        rating, now = {}, None
+        for _, season, _, home, away, hg, ag, ident in sorted((r for r in rows + chain if groups[r[3]] == part), key=lambda r: r[2]):
+            if now is not None and season != now:
+                rating = {t: 1500 + 0.75 * (v - 1500) for t, v in rating.items()}
+            now = season
+            h, a = rating.setdefault(home, 1500.0), rating.setdefault(away, 1500.0)
+            want[ident] = (h, a)
+            if ag is not None:
+                delta, _ = elo_step(h, a, hg, ag, 20, 60)
+                rating[home], rating[away] = h + delta, a - delta
+    got = elo(m, None, "season", ["ord"], "home", "away", "hg", "ag", "match_id").collect()
+    assert {r.match_id: (r.home_elo_before, r.away_elo_before) for r in got} == {k: pytest.approx(v) for k, v in want.items()}
+    assert meeting_groups(m.limit(0), "home", "away").count() == 0
