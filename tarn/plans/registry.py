@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("q_core", "q_more", "q_marts", "q_docs")
+MODULES = ("q_core", "q_more", "q_marts", "q_docs", "q_records")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
