@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tarn.functions import exprs as X
+from tarn.operators import reshape as R
+from tarn.operators import resolve as E
 from tarn.operators import text as TX
-from tarn.plans import features, ml
+from tarn.plans import core, features, ml
 from tarn.plans.q_core import orders, table
 from tarn.plans.q_docs import TEAM_DAYS, _spine, _team_lines
 from tarn.plans.q_marts import MATCHES, matches
@@ -149,3 +152,107 @@ def _unified(spark, d):
 def newest_valid_documents(spark, d):
     """Of equal ids the newest; documents without time go."""
     return TX.drop_invalid(_unified(spark, d)).select("doc_id", "published_at", "text_clean")
+
+
+@register("row_expressions", """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS label, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority ELSE o_orderstatus END AS first_known, o_orderstatus AS present, CAST(NULL AS VARCHAR) AS absent,
+           CASE WHEN n < 0 THEN 'past' WHEN n = 0 THEN 'today' WHEN n = 1 THEN 'tomorrow' WHEN n <= 7 THEN 'next 7 days' ELSE 'later' END AS bucket, printf('H %.1f%% | D 10.0%% | A %.1f%%', o_orderkey % 10 * 5.0, 90 - o_orderkey % 10 * 5.0) AS summary,
+           round(e * (1 - draw), 6) AS p_home, round(draw, 6) AS p_draw, round((1 - e) * (1 - draw), 6) AS p_away, round(abs(atan2(7.32 * dx, dx * dx + dy * dy - 3.66 * 3.66)), 6) AS angle
+    FROM (SELECT *, datediff('day', DATE '1998-01-01', CAST(o_orderdate AS DATE)) AS n, 0.28 * exp(-power((o_orderkey % 600 - 300) / 250.0, 2) / 2) AS draw, 1 / (1 + power(10, -(o_orderkey % 600 - 300) / 400.0)) AS e, (1 - (o_orderkey % 50) / 60.0) * 105 AS dx, ((o_orderkey % 31) / 31.0 - 0.5) * 68 AS dy FROM orders)""")
+def row_expressions(spark, d):
+    k = c("o_orderkey")
+    o = R.select_except(table(spark, d, "orders"), "o_totalprice", "no_such_column")
+    label = X.blank_to_null(F.when(k % 5 == 0, F.lit("  ")).otherwise(F.concat(F.lit(" "), "o_orderpriority", F.lit(" "))))
+    p, elo = k % 10 / 20.0, X.elo_outcome((k % 600 - 300).cast("double"))
+    return o.select(
+        "o_orderkey", label.alias("label"), X.coalesce_priority(label, "o_orderstatus").alias("first_known"), X.first_present(o, ["o_totalprice", "o_orderstatus"]).alias("present"), X.first_present(o, ["o_totalprice"]).alias("absent"),
+        X.timeline_bucket(F.to_date("o_orderdate"), F.lit("1998-01-01").cast("date")).alias("bucket"), X.prob_summary(p, F.lit(0.1), 0.9 - p).alias("summary"), *[F.round(e, 6).alias(n) for n, e in zip(("p_home", "p_draw", "p_away"), elo, strict=True)], F.round(X.shot_angle(k % 50 / 60.0, k % 31 / 31.0), 6).alias("angle"))
+
+
+@register("side_by_side", """
+    WITH t AS (SELECT s_nationkey AS n, count(*) AS suppliers, min(s_suppkey) AS low FROM supplier GROUP BY 1)
+    SELECT h.n, h.suppliers AS f_home_suppliers, a.suppliers AS f_away_suppliers, h.suppliers - a.suppliers AS f_diff_suppliers, h.low AS f_home_low, a.low AS f_away_low, h.low - a.low AS f_diff_low FROM t h JOIN t a ON a.n = (h.n + 1) % 25""")
+def side_by_side(spark, d):
+    t = table(spark, d, "supplier").groupBy(c("s_nationkey").alias("n")).agg(F.count("*").alias("f_suppliers"), F.min("s_suppkey").alias("f_low"))
+    return t.alias("h").join(t.alias("a"), c("a.n") == (c("h.n") + 1) % 25).select(c("h.n").alias("n"), *X.fan_out(["f_suppliers", "f_low"]))
+
+
+@register("plausible_matches", """
+    SELECT o_orderkey FROM orders WHERE o_orderkey % 4 = 1 AND o_orderkey % 11 <> 0 AND o_custkey % 9 <> o_orderkey % 9 AND o_orderdate >= TIMESTAMP '1995-01-01' AND o_orderkey % 7 <> 0""")
+def plausible_matches(spark, d):
+    k = c("o_orderkey")
+    away = F.when(k % 11 != 0, k % 9)
+    m = table(spark, d, "orders").select("o_orderkey", (k % 4).alias("sport_id"), (c("o_custkey") % 9).alias("home_team_id"), away.alias("away_team_id"), F.concat(F.lit(" t"), (c("o_custkey") % 9).cast("string")).alias("home_team"), F.concat(F.lit("t"), away.cast("string"), F.lit(" ")).alias("away_team"), c("o_orderdate").cast("timestamp_ntz").alias("match_time_utc"), F.when(k % 7 == 0, F.upper(F.lit(core.TEST_LEAGUES[0]))).otherwise("bl1").alias("league_shortcut"))
+    return core.plausible_matches(m, since="1995-01-01").select("o_orderkey")
+
+
+@register("best_sightings", """
+    WITH s AS (SELECT 'suppliers' AS source, 2 AS prio, CAST(s_suppkey AS VARCHAR) AS id, s_nationkey AS n, CAST(NULL AS INTEGER) AS founded FROM supplier UNION ALL SELECT 'customers', 1, CAST(c_custkey AS VARCHAR), c_nationkey, CAST(1900 + c_custkey % 100 AS INTEGER) FROM customer WHERE c_nationkey % 3 <> 0)
+    SELECT 'nation ' || n AS raw_name, source, id AS source_team_id, founded FROM s QUALIFY row_number() OVER (PARTITION BY n ORDER BY prio, id) = 1""")
+def best_sightings(spark, d):
+    """Occurrences in two sources in one schema; of each name the one of the best source."""
+    name = lambda k: F.concat(F.lit("nation "), c(k).cast("string"))
+    s = core.sightings(core.SIGHTING, [
+        ("suppliers", 2, table(spark, d, "supplier"), {"source_team_id": "s_suppkey", "raw_name": name("s_nationkey")}),
+        ("customers", 1, table(spark, d, "customer").filter("c_nationkey % 3 <> 0"), {"source_team_id": "c_custkey", "raw_name": name("c_nationkey"), "founded": 1900 + c("c_custkey") % 100}),
+        ("nameless", 0, table(spark, d, "customer"), {"source_team_id": "c_custkey", "raw_name": F.lit(" ")}),
+    ], "raw_name")
+    return E.best_by(s, ["raw_name"], [c("prio"), c("source_team_id")]).select("raw_name", "source", "source_team_id", "founded")
+
+
+@register("player_season_features", """
+    WITH p AS (SELECT l_partkey AS k, CAST(year(l_shipdate) AS INTEGER) AS s, l_returnflag AS comp, CAST(sum(l_quantity * 30) AS DOUBLE) AS minutes, count(*) AS games, sum(l_tax * 100) AS goals FROM lineitem GROUP BY ALL),
+    t AS (SELECT k, s, sum(minutes) AS minutes, sum(games) AS games, CASE WHEN sum(minutes) >= 450 THEN sum(goals) * 90.0 / sum(minutes) END AS g90 FROM p GROUP BY ALL)
+    SELECT p.k AS player_key, p.s AS season, p.comp AS competition_key, round(p.minutes, 6) AS y_minutes, round(a.minutes, 6) AS f_prev1_minutes, CAST(a.games AS BIGINT) AS f_prev1_games, round(a.g90, 6) AS f_prev1_goals_p90, round(b.minutes, 6) AS f_prev2_minutes, round(b.g90, 6) AS f_prev2_goals_p90, CAST(a.k IS NOT NULL AS INTEGER) AS f_has_prev1,
+           CASE p.comp WHEN 'A' THEN 1 WHEN 'N' THEN 2 END AS f_comp_tier, p_size + 150 AS f_height_cm, p.s < 1998 AS season_complete, p.s < 1998 AND p.minutes >= 900 AS is_reliable_target
+    FROM p LEFT JOIN t a ON a.k = p.k AND a.s = p.s - 1 LEFT JOIN t b ON b.k = p.k AND b.s = p.s - 2 LEFT JOIN part ON p_partkey = p.k""")
+def player_season_features(spark, d):
+    """Parts as players: a season's lines of one return flag are its matches in one competition."""
+    zero = F.lit(0.0)
+    p = table(spark, d, "lineitem").groupBy(c("l_partkey").alias("player_key"), F.year("l_shipdate").alias("season"), c("l_returnflag").alias("competition_key")).agg(F.sum(c("l_quantity") * 30).alias("minutes_played"), F.count("*").alias("games"), F.sum(c("l_tax") * 100).alias("goals"))
+    p = p.withColumns(dict.fromkeys(("assists", "xg", "xa", "shots", "key_passes"), zero))
+    players = table(spark, d, "part").select(c("p_partkey").alias("player_key"), F.lit("1975-05-05").cast("date").alias("date_of_birth"), F.lit("x").alias("nationality"), (c("p_size") + 150).alias("height_cm"))
+    comp = table(spark, d, "lineitem").select(c("l_returnflag").alias("competition_key")).distinct().withColumn("tier", X.lookup("competition_key", {"A": 1, "N": 2}, "int"))
+    f = ml.player_season_features(p, players, comp, F.lit("1998-08-01").cast("date"))
+    rounded = [F.round(x, 6).alias(x) for x in ("y_minutes", "f_prev1_minutes", "f_prev1_goals_p90", "f_prev2_minutes", "f_prev2_goals_p90")]
+    return f.select("player_key", "season", "competition_key", *rounded, "f_prev1_games", "f_has_prev1", "f_comp_tier", "f_height_cm", "season_complete", "is_reliable_target")
+
+
+@register("scoring_batch", f"""
+    WITH {MATCHES} SELECT match_key, match_date, season, home_key, away_key, true AS is_missing_kickoff, CAST(match_date AS TIMESTAMP) AS ord_ts, CAST(match_date AS TIMESTAMP) + INTERVAL '23 hours 59 minutes 59 seconds' AS known_ts, CASE WHEN home_goals > away_goals THEN 'H' WHEN home_goals = away_goals THEN 'D' ELSE 'A' END AS y_result
+    FROM m WHERE is_finished AND home_goals IS NOT NULL AND away_goals IS NOT NULL AND match_date > DATE '1996-06-30' AND match_date <= DATE '1997-06-30' AND match_date >= DATE '1996-09-01' ORDER BY match_date, match_key LIMIT 500""")
+def scoring_batch(spark, d):
+    """The first 500 matches of the validation year that are to be scored, with what the audit asks for."""
+    m = matches(spark, d)
+    comp = orders(spark, d).select(c("o_orderpriority").alias("competition_key"), F.lit(1).alias("tier")).distinct()
+    f = ml.match_features(m, ml.team_match_features(core.fact_team_match(m), "1990-01-01"), comp, None, "1996-06-30", "1997-06-30", min_date="1990-01-01")
+    batch = features.select_for_scoring(ml.temporal_audit(f), "valid", since="1996-09-01", limit=500)
+    return batch.select("match_key", "match_date", "season", "home_key", "away_key", "is_missing_kickoff", "ord_ts", "known_ts", "y_result")
+
+
+@register("match_weather", f"""
+    WITH {MATCHES}, k AS (SELECT match_key, home_key, match_date, o_orderkey % 24 AS hour FROM m), w AS (SELECT DISTINCT CAST(l_suppkey % 40 AS VARCHAR) AS team, CAST(l_shipdate AS DATE) AS day FROM lineitem WHERE l_suppkey % 40 < 30)
+    SELECT match_key, w.team IS NOT NULL AS has_weather, CASE WHEN w.team IS NOT NULL THEN CAST(w.team AS DOUBLE) + hour END AS weather_temp_c FROM k LEFT JOIN w ON w.team = home_key AND w.day = match_date AND hour IN (14, 15)""")
+def match_weather(spark, d):
+    """Hourly weather at the home ground for two hours of a day; kick-off minutes are cut to the hour."""
+    hour = c("o_orderkey") % 24
+    m = matches(spark, d).withColumn("kickoff_utc", F.timestamp_seconds(F.unix_date("match_date").cast("bigint") * 86400 + hour * 3600 + 1740).cast("timestamp_ntz"))
+    team = (c("l_suppkey") % 40).cast("string")
+    lines = table(spark, d, "lineitem")
+    teams = lines.select(team.alias("team_key"), F.concat(F.lit("v"), team).alias("openmeteo_venue_key")).distinct()
+    days = lines.filter("l_suppkey % 40 < 30").select(team.alias("t"), F.to_date("l_shipdate").alias("day")).distinct().withColumn("h", F.explode(F.array(F.lit(14), F.lit(15))))
+    none = F.lit(0.0)
+    weather = days.select(F.concat(F.lit("v"), "t").alias("venue_name"), F.lit("UTC").alias("timezone"), F.timestamp_seconds(F.unix_date("day").cast("bigint") * 86400 + c("h") * 3600).cast("timestamp_ntz").alias("weather_time"), (c("t").cast("double") + c("h")).alias("temperature_c"), none.alias("precipitation_mm"), none.alias("windspeed_kmh"), none.alias("humidity_pct"), F.lit(0).alias("weather_code"))
+    return core.with_weather(m, teams, weather).select("match_key", "has_weather", "weather_temp_c")
+
+
+@register("prediction_summaries", f"""
+    WITH {MATCHES} SELECT match_key, 'team ' || home_key AS home_name, 'team ' || away_key AS away_name, printf('H %.1f%% | D 20.0%% | A %.1f%%', o_orderkey % 9 * 5.0, 80 - o_orderkey % 9 * 5.0) AS summary,
+           CASE WHEN n < 0 THEN 'past' WHEN n = 0 THEN 'today' WHEN n = 1 THEN 'tomorrow' WHEN n <= 7 THEN 'next 7 days' ELSE 'later' END AS timeline, CAST(o_orderkey % 9 * 5 AS DOUBLE) AS probability_pct FROM (SELECT *, datediff('day', DATE '1998-01-01', match_date) AS n FROM m)""")
+def prediction_summaries(spark, d):
+    m = matches(spark, d)
+    p = c("o_orderkey") % 9 / 20.0
+    pred = m.select("match_key", "match_date", "home_key", "away_key", "is_finished", p.alias("p_home"), F.lit(0.2).alias("p_draw"), (0.8 - p).alias("p_away"), p.alias("confidence"), F.lit("m").alias("model_version"), c("result").alias("actual_result"), F.lit(True).alias("is_correct"))
+    teams = m.select(c("home_key").alias("team_key")).union(m.select("away_key")).distinct().withColumn("team_name", F.concat(F.lit("team "), "team_key"))
+    views = features.prediction_views(pred, m.select("match_key"), teams, m.select("match_key"), F.lit("1998-01-01").cast("date"))
+    return views["predictions"].select("match_key", "home_name", "away_name", "summary", "timeline", "probability_pct")
