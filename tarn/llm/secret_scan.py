@@ -9,15 +9,18 @@ digits alone are numbers and have none. Three statistics look at its symbols:
 - the lag-one correlations of the symbols' places in the alphabet and of vowels, squared and summed.
 
 Text is large in all three, a random string small. Both are calibrated by encoding and length: a uniform
-source, and text with the corpus's own pairs of adjacent characters (counted over all documents, spaces and
+source, and text with the corpus's own pairs of adjacent characters (counted over all documents outside base spans, spaces and
 signs left out; a small corpus is filled up by a fixed table), bare and in the styles of identifiers (STYLES), each simulated from a fixed seed. The
 statistics become z-scores under text and are combined by a weighted inverse-normal rule, weights from the
-calibrations, into a p-value of "this is text of that style"; the largest over the styles counts. A run of
-over 512 characters is judged in equal pieces, of which the most text-like counts.
-
-A weighted step-up procedure over all candidates of the corpus, weights rising with length because longer
-strings can tell more, sets the cut at false-discovery rate q. Null and empty texts have no spans; offsets
-are code points, ends exclusive.
+calibrations, into one score. Its p-value, "this is text of that style", is the normal one, but never below
+an exponential tail fitted to the largest fortieth of the simulated text, since few styles are normal that far
+out; the largest over the styles counts. A run of over 512 characters is judged in equal pieces, of which the
+most text-like counts.
+
+A weighted step-up procedure over all candidates of the corpus outside base spans, weights rising with length
+because longer strings can tell more, sets the cut at false-discovery rate q. Runs that meet a base span are
+found anyway and stay out of that family, else many sure ones would loosen the cut for the others. Null and
+empty texts have no spans; offsets are code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -58,15 +61,18 @@ for _name, _symbols in ENCODINGS:
     SYMBOLS.setdefault(_name, _symbols)
 CODES = [(name, {c: i for i, c in enumerate(symbols)}) for name, symbols in ENCODINGS]
 # Styles of text without spaces, by encoding: case of a word's first letter and of its others, separator,
-# share of numbers (one to six digits) among its words (two to nine letters); None for bare text.
+# share of numbers (one to six digits) among its words (two to nine letters); None for bare text. TURNS: words
+# and single digits by turns, where it costs no power (in one case with digits, random strings look alike).
+TURNS = -1.0
 STYLES = {
     "hex": [None, ("l", "l", "", 0.5), ("l", "l", "", 0.8)],
     "base32": [None, ("u", "u", "", 0.3), ("u", "u", "", 0.6)],
     "base36": [None, ("l", "l", "", 0.3), ("l", "l", "", 0.6)],
     "letters": [None, ("u", "l", "", 0.0), ("u", "u", "", 0.0)],
-    "base64": [None, ("u", "l", "", 0.1), ("l", "l", "_", 0.15), ("l", "l", "-", 0.4), ("u", "u", "_", 0.2), ("u", "u", "-", 0.6), ("u", "l", "-", 0.3)],
+    "base64": [None, ("u", "l", "", 0.1), ("l", "l", "_", 0.15), ("l", "l", "-", 0.4), ("u", "u", "_", 0.2), ("u", "u", "-", 0.6), ("u", "l", "-", 0.3), ("u", "l", "", TURNS)],
 }
 LENGTHS = np.array([20, 24, 28, 32, 40, 48, 64, 96, 128, 192, 256, 512])
+TAIL = 0.025  # of the simulated text, from where on an exponential law bounds p
 BIN, BINS = 20, 1000  # bins of -log10 p: 20 a decade
 BANDS = 6  # of length: 20-31, 32-63, ... 512 and more
 
@@ -139,8 +145,9 @@ def _in_style(text: np.ndarray, e: str, style: tuple | None, rng: np.random.Gene
     left, number = np.zeros(m, np.int64), np.zeros(m, bool)
     for t in range(text.shape[1]):
         first = left == 0
-        number[first] = rng.random(first.sum()) < numbers
-        left[first] = np.where(number[first], rng.integers(1, 7, first.sum()), rng.integers(2, 10, first.sum()))
+        number[first] = ~number[first] & (t > 0) if numbers == TURNS else rng.random(first.sum()) < numbers
+        digit_run = 1 if numbers == TURNS else rng.integers(1, 7, first.sum())
+        left[first] = np.where(number[first], digit_run, rng.integers(3 if numbers == TURNS else 2, 10, first.sum()))
         out[:, t] = np.where(number, rng.choice(digits, m), np.where(first, case[head][text[:, t]], case[body][text[:, t]]))
         if sep >= 0:
             out[left == 1, t] = sep
@@ -157,8 +164,9 @@ def _prior(weight: float = 5000.0) -> np.ndarray:
     return weight * np.outer(f, f).ravel() / f.sum() ** 2
 
 
-def calibrate(pairs: np.ndarray, strings: int = 800, seed: int = 5) -> dict[str, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
-    """By encoding and length, a row for each style: mean and deviation of the statistics under text, and the weights of the z-scores."""
+def calibrate(pairs: np.ndarray, strings: int = 1600, seed: int = 5) -> dict[str, list[tuple[np.ndarray, ...]]]:
+    """By encoding and length, a row for each style: mean and deviation of the statistics under text, the weights
+    of the z-scores, and where the tail of the weighted score starts and its mean excess."""
     out, pairs = {}, pairs + _prior()
     for e in SYMBOLS:
         rng, chain = np.random.default_rng(seed), _fold(pairs, e)
@@ -181,7 +189,9 @@ def calibrate(pairs: np.ndarray, strings: int = 800, seed: int = 5) -> dict[str,
                 # only towards random: a statistic in which random strings are larger gets no weight
                 w = np.maximum(0, np.linalg.solve(cov + np.cov(zb.T), -zb.mean(axis=0)))
                 w = w if w.any() else np.ones(3)
-                here.append((mean, sd, w / np.sqrt(w @ cov @ w)))
+                w = w / np.sqrt(w @ cov @ w)
+                score = np.sort(za @ w)[-int(TAIL * strings) - 1 :]
+                here.append((mean, sd, w, np.array([score[0], max((score[1:] - score[0]).mean(), 0.05)])))
             rows.append(tuple(np.array(x) for x in zip(*here, strict=True)))
         out[e] = rows
     return out
@@ -203,19 +213,22 @@ def battery(s: str, tables: dict) -> float:
     x = statistics(np.stack([codes[i * n : (i + 1) * n] for i in range(pieces)]), e)
     at = float(np.interp(np.log(n), np.log(LENGTHS), np.arange(len(LENGTHS))))
     lo, f = int(at), at - int(at)
-    (m0, s0, w0), (m1, s1, w1) = tables[e][lo], tables[e][min(lo + 1, len(LENGTHS) - 1)]
-    z = (x[:, None] - (m0 * (1 - f) + m1 * f)) / (s0 * (1 - f) + s1 * f)
-    return _phi(float((z * (w0 * (1 - f) + w1 * f)).sum(axis=2).max()))
+    mean, sd, w, tail = (a * (1 - f) + b * f for a, b in zip(tables[e][lo], tables[e][min(lo + 1, len(LENGTHS) - 1)], strict=True))
+    z = ((x[:, None] - mean) / sd * w).sum(axis=2).max(axis=0)  # of the most text-like piece, by style
+    far = TAIL * np.exp(-np.maximum(0.0, z - tail[:, 0]) / tail[:, 1])
+    return max(max(_phi(v), b if v > t else 0.0) for v, b, t in zip(z.tolist(), far.tolist(), tail[:, 0].tolist(), strict=True))
 
 
 def _band(n: int) -> int:
     return min(BANDS - 1, max(0, n.bit_length() - 5))
 
 
-def candidates(text: str, tables: dict) -> list[tuple[int, int, int, int]]:
-    """(start, end, length band, bin of -log10 p) of the runs in a text."""
+def candidates(text: str, tables: dict, base: list[tuple[int, int, int]] = ()) -> list[tuple[int, int, int, int]]:
+    """(start, end, length band, bin of -log10 p) of the runs in a text that meet none of the base spans."""
     out = []
     for m in RUN.finditer(text):
+        if any(s < m.end() and m.start() < e for s, _, e in base):
+            continue
         p = battery(m[0], tables)
         out.append((m.start(), m.end(), _band(m.end() - m.start()), min(BINS - 1, int(-BIN * math.log10(max(p, 1e-60))))))
     return out
@@ -233,11 +246,20 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def without(text: str, spans: list[tuple[int, int, int]]) -> str:
+    """The text with its spans left out."""
+    out, at = [], 0
+    for s, _, e in spans:
+        out.append(text[at:s] if s > at else "")
+        at = max(at, e)
+    return "".join(out) + text[at:] if at else text
+
+
 def all_spans(text: str, fitted: tuple[dict, list[int]]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and base spans with those that the battery adds outside them."""
     tables, cuts = fitted
     base = base_spans(text)
-    more = [(s, 3, e) for s, e, band, b in candidates(text, tables) if b >= cuts[band] and not any(s < y and x < e for x, _, y in base)]
+    more = [(s, 3, e) for s, e, band, b in candidates(text, tables, base) if b >= cuts[band]]
     return base, sorted(base + more)
 
 
@@ -246,7 +268,7 @@ def _pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for t in pdf["text"]:
             if t:
-                total += pair_counts(t)
+                total += pair_counts(without(t, base_spans(t)))
     on = np.flatnonzero(total)
     yield pd.DataFrame({"pair": on, "n": total[on]})
 
@@ -255,7 +277,7 @@ def _histogram(batches: Iterator[pd.DataFrame], tables: dict) -> Iterator[pd.Dat
     total = np.zeros((BANDS, BINS), np.int64)
     for pdf in batches:
         for t in pdf["text"]:
-            for _, _, band, b in candidates(t, tables) if t else ():
+            for _, _, band, b in candidates(t, tables, base_spans(t)) if t else ():
                 total[band, b] += 1
     band, b = np.nonzero(total)
     yield pd.DataFrame({"band": band, "bin": b, "n": total[band, b]})
@@ -280,7 +302,7 @@ def step_up(counts: np.ndarray, q: float) -> list[int]:
 
 def fit(docs: DataFrame, text_col: str = "text", q: float = 0.05) -> tuple[dict, list[int]]:
     """The calibration, from pair counts over all documents, and the cut per length band, from the p-values
-    of all candidates of the corpus; what comes to the driver is 4,096 counts and a histogram of fixed size."""
+    of all candidates of the corpus outside base spans; what comes to the driver is 4,096 counts and a histogram of fixed size."""
     src = docs.select(F.col(text_col).cast("string").alias("text"))
     pairs = np.zeros(4096, np.int64)
     for r in src.mapInPandas(_pairs, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
