@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -141,19 +141,19 @@ def _measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for part, s, origin in _slices(pdf):
             rows, tail = s.text_rows(), np.arange(LANGS + SOURCES, META)
-            out = part[["doc_id", "y", "yt", "ym"]].copy()
+            out = part[KNOWN].copy()
             out["ti"], out["tv"] = [i for i, _ in rows], [v for _, v in rows]
             out["mi"] = [np.r_[o, tail] for o in origin]
             out["mv"] = [np.r_[1.0, 1.0, x] for x in s.meta]
             yield out
 
 
-MEASURED = "doc_id long, y int, yt int, ym int, ti array<int>, tv array<double>, mi array<int>, mv array<double>"
-KNOWN = ["doc_id", "y", "yt", "ym"]
+MEASURED = "doc_id long, y int, yt int, ym int, wt double, wm double, ti array<int>, tv array<double>, mi array<int>, mv array<double>"
+KNOWN = ["doc_id", "y", "yt", "ym", "wt", "wm"]
 
 
 def _views(rows: DataFrame, tmp: Scratch, tag: str) -> DataFrame:
-    """(doc_id, y, yt, ym, t, m): the views of a bounded set of rows as sparse vectors, in a few partitions.
+    """(KNOWN, t, m): labels, their weights and the views of a bounded set of rows as sparse vectors, in a few partitions.
 
     Vectors are written as the struct that stores them and read back as vectors, without a Python function a row.
     The shuffle of these few rows leaves the scan of all documents at its full width.
@@ -169,7 +169,7 @@ def _views(rows: DataFrame, tmp: Scratch, tag: str) -> DataFrame:
 def _guess(batches: Iterator[pd.DataFrame], model: dict) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         for part, s, origin in _slices(pdf):
-            ot, om = _odds(s, origin, model)
+            ot, om = (np.clip(o * w[0] + b, -30, 30) for o, (w, b) in zip(_odds(s, origin, model), (model["ct"], model["cm"]), strict=True))
             yield pd.DataFrame({"doc_id": part["doc_id"], "lang": part["lang"], "source": part["source"], "ot": ot, "om": om})[s.n_words > 0]
 
 
@@ -179,22 +179,37 @@ def _at_once(spark: SparkSession, *fits: Callable[[], tuple | None]) -> list[tup
         return pool.map(lambda f: f(), [inheritable_thread_target(spark)(f) for f in fits])
 
 
-def _fit(rows: DataFrame, view: str, label: str, reg: float = 3e-4, iterations: int = 25) -> tuple[np.ndarray, float] | None:
-    """Weights and intercept; None unless both classes occur. Pseudo-labels weigh 0.3."""
-    known = rows.filter(F.col(label).isNotNull())
-    if known.select(label).distinct().count() < 2:
+def _fit(rows: DataFrame, view: str, reg: float = 3e-4, iterations: int = 25) -> tuple[np.ndarray, float] | None:
+    """Weights and intercept of a view; None unless both classes occur."""
+    known = rows.filter(F.col(f"y{view}").isNotNull())
+    if known.select(f"y{view}").distinct().count() < 2:
         return None
-    points = known.select(F.col(view).alias("v"), F.col(label).cast("double").alias("l"), F.when(F.col("y").isNotNull(), 1.0).otherwise(0.3).alias("w"))
+    points = known.select(F.col(view).alias("v"), F.col(f"y{view}").cast("double").alias("l"), F.col(f"w{view}").alias("w"))
     m = LogisticRegression(featuresCol="v", labelCol="l", weightCol="w", maxIter=iterations, regParam=reg).fit(points)
     return m.coefficients.toArray(), float(m.intercept)
 
 
-def _calibrate(rows: DataFrame, odds: list[str]) -> tuple[np.ndarray, float]:
-    """Weights and intercept that turn views' log-odds into calibrated ones, on held-out labelled rows."""
-    if rows.select("y").distinct().count() < 2:
-        return np.full(len(odds), 1 / len(odds)), 0.0
-    m = LogisticRegression(featuresCol="v", labelCol="l", maxIter=25, regParam=1e-3).fit(rows.select(array_to_vector(F.array(*odds)).alias("v"), F.col("y").cast("double").alias("l")))
-    return m.coefficients.toArray(), float(m.intercept)
+def _calibrate(y: np.ndarray, x: np.ndarray, reg: float = 1e-3) -> tuple[np.ndarray, float]:
+    """Weights and intercept that turn views' log-odds into calibrated ones: a regression over the few held-out
+    rows (a fifth of ``most_labelled``) and one or two columns, by Newton steps that are halved until they help."""
+    n, k = x.shape
+    if len(set(y.tolist())) < 2:
+        return np.full(k, 1 / k), 0.0
+    sd = np.maximum(x.std(axis=0), 1e-9)
+    z, ridge, beta = np.c_[x / sd, np.ones(n)], np.diag([reg] * k + [0.0]), np.zeros(k + 1)
+
+    def loss(b: np.ndarray) -> float:
+        return float((np.logaddexp(0, z @ b) - y * (z @ b)).mean() + b @ ridge @ b / 2)
+
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(z @ beta, -30, 30)))
+        step = np.linalg.solve((z.T * (p * (1 - p) / n)) @ z + ridge + 1e-9 * np.eye(k + 1), z.T @ (p - y) / n + ridge @ beta)
+        while np.abs(step).max() > 1e-9 and loss(beta - step) > loss(beta):
+            step /= 2
+        beta = beta - step
+        if np.abs(step).max() <= 1e-9:
+            break
+    return beta[:k] / sd, float(beta[k])
 
 
 def _share(df: DataFrame, key: str, most: int, seed: int) -> Column:
@@ -204,46 +219,62 @@ def _share(df: DataFrame, key: str, most: int, seed: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) < F.lit(int(p * (1 << 30)) + (p >= 1))
 
 
-def _sure(scored: DataFrame, odds: str, cut: float, most: int, seed: int) -> DataFrame:
-    """(doc_id, label): of the rows of which a view is sure about ``most``, evenly over label, language and source."""
-    sure = scored.filter(F.abs(odds) >= cut).select("doc_id", "lang", "source", (F.col(odds) > 0).cast("int").alias("label"))
+def _sure(scored: DataFrame, odds: str, share: float, most: int, seed: int) -> DataFrame:
+    """(doc_id, label, weight): of the ``share`` of each class of which a view is surest about ``most`` rows, evenly
+    over label, language and source. The cut is found in a histogram of hundredths, so ties go together."""
+    label, at = (F.col(odds) > 0).cast("int"), F.floor(F.abs(odds) * 100).cast("int")
+    bins: dict[int, list[tuple[int, int]]] = {0: [], 1: []}
+    for r in scored.groupBy(label.alias("label"), at.alias("at")).agg(F.count("*").alias("n")).collect():  # at most 6,002 rows
+        bins[r["label"]].append((r["at"], r["n"]))
+    cut = {}
+    for k, rows in bins.items():
+        rows.sort(reverse=True)
+        reached = np.cumsum([n for _, n in rows])
+        cut[k] = rows[int(np.searchsorted(reached, share * reached[-1]))][0] if rows else 0
+    weight = 0.3 * F.abs(F.tanh(F.col(odds) / 2))
+    sure = scored.filter(at >= F.when(label == 1, cut[1]).otherwise(cut[0])).select("doc_id", "lang", "source", label.alias("label"), weight.alias("weight"))
     keys = ["label", "lang", "source"]
     strata = sure.groupBy(*keys).agg(F.count("*").alias("n"))
     quota = most / max(1, strata.count())
     on = [F.col(f"s.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
     drawn = sure.alias("r").join(strata.alias("s"), on).filter(F.pmod(F.xxhash64(F.lit(seed), "r.doc_id"), F.lit(1 << 30)) < F.lit(float(quota)) / F.col("s.n") * (1 << 30))
-    return drawn.select("r.doc_id", "r.label").groupBy("doc_id").agg(F.max("label").alias("label"))
+    return drawn.select("r.doc_id", "r.label", "r.weight").groupBy("doc_id").agg(F.max("label").alias("label"), F.max("weight").alias("weight"))
 
 
-def train(docs: DataFrame, labels: DataFrame, rounds: int = 2, most_labelled: int = 4000, most_new: int = 2000, sure: float = 0.97) -> dict | None:
-    """Both views' weights, their calibrations and the weights of both together; None without labels of both classes."""
+def train(docs: DataFrame, labels: DataFrame, rounds: int = 2, most_labelled: int = 4000, most_new: int = 2000, share: float = 0.25) -> dict | None:
+    """Both views' weights, their calibrations, the weights of both together, and how many labels each view gave in
+    each round (``given``); None without labels of both classes."""
     spark = docs.sparkSession
     tmp = Scratch(spark)
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").cast("int").alias("y"))
     picked = tmp.put(known.filter(_share(known, "doc_id", most_labelled, 1)), "picked")
     cols = ["doc_id", "text", "lang", "source"]
-    seen = docs.join(F.broadcast(picked), "doc_id").select(*cols, "y", F.col("y").alias("yt"), F.col("y").alias("ym"))
+    one = F.lit(1.0)
+    seen = docs.join(F.broadcast(picked), "doc_id").select(*cols, "y", F.col("y").alias("yt"), F.col("y").alias("ym"), one.alias("wt"), one.alias("wm"))
     base = _views(seen, tmp, "views")
     held = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(5)) == 0
-    test, rows = base.filter(held), base.filter(~held)
-    cut, state = float(np.log(sure / (1 - sure))), rows
+    test, state = base.filter(held), base.filter(~held)
+    taken, given = picked.select("doc_id"), []
     for k in range(rounds + 1):
-        mt, mm = _at_once(spark, partial(_fit, state, "t", "yt"), partial(_fit, state, "m", "ym"))
+        mt, mm = _at_once(spark, partial(_fit, state, "t"), partial(_fit, state, "m"))
         if mt is None or mm is None:
             return None
         model = {"t": mt, "m": mm}
+        judged = test.select("y", vector_to_array("t").alias("t"), vector_to_array("m").alias("m")).mapInPandas(partial(_judge, model=model), "y int, ot double, om double").toPandas()
+        y, odds = judged["y"].to_numpy(float), judged[["ot", "om"]].to_numpy(float)
+        model |= {"ct": _calibrate(y, odds[:, :1]), "cm": _calibrate(y, odds[:, 1:]), "both": _calibrate(y, odds)}
         if k == rounds:
             break
-        rest = docs.filter(F.col("doc_id").isNotNull()).select(*cols).join(F.broadcast(picked.select("doc_id")), "doc_id", "left_anti")
+        rest = docs.filter(F.col("doc_id").isNotNull()).select(*cols).join(F.broadcast(taken), "doc_id", "left_anti")
         scored = tmp.put(rest.mapInPandas(partial(_guess, model=model), "doc_id long, lang string, source string, ot double, om double"), "scored")
-        new = _sure(scored, "om", cut, most_new, 5).withColumnRenamed("label", "yt").join(_sure(scored, "ot", cut, most_new, 6).withColumnRenamed("label", "ym"), "doc_id", "full")
-        new = tmp.put(new, "new")  # at most about 2 * most_new rows
-        fresh = docs.join(F.broadcast(new), "doc_id").select(*cols, F.lit(None).cast("int").alias("y"), "yt", "ym")
-        state = rows.unionByName(_views(fresh, tmp, "fresh"))
-        tmp.free(scored, new)
-    judged = tmp.put(test.select("y", vector_to_array("t").alias("t"), vector_to_array("m").alias("m")).mapInPandas(partial(_judge, model=model), "y int, ot double, om double"), "held")
-    names = {"ct": ["ot"], "cm": ["om"], "both": ["ot", "om"]}
-    return model | dict(zip(names, _at_once(spark, *[partial(_calibrate, judged, odds) for odds in names.values()]), strict=True))
+        by_meta, by_text = (_sure(scored, o, share, most_new, 5 + 2 * k + i).select("doc_id", F.col("label").alias(f"y{v}"), F.col("weight").alias(f"w{v}")) for i, (o, v) in enumerate((("om", "t"), ("ot", "m"))))
+        new = tmp.put(by_meta.join(by_text, "doc_id", "full"), "new")  # at most about 2 * most_new rows
+        given.append(new.agg(F.count("ym").alias("text"), F.count("yt").alias("meta")).first().asDict())
+        fresh = docs.join(F.broadcast(new), "doc_id").select(*cols, F.lit(None).cast("int").alias("y"), "yt", "ym", "wt", "wm")
+        state = state.unionByName(_views(fresh, tmp, "fresh"))
+        taken = taken.unionByName(new.select("doc_id"))
+        tmp.free(scored)
+    return model | {"given": given}
 
 
 def _judge(batches: Iterator[pd.DataFrame], model: dict) -> Iterator[pd.DataFrame]:

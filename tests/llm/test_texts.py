@@ -146,6 +146,30 @@ def test_false_discoveries_among_generated_text(tables):
     assert sum(hits) >= 70 and len(hits) - sum(hits) <= 0.05 * len(hits) + 3
 
 
+def test_sure_base_spans_do_not_loosen_the_cut(spark, tables):
+    """10,000 runs of text in prose beside 5,000 base hex secrets and 100 random strings: false added spans stay within q."""
+    prose = [" ".join(tables[1])] * 20
+    rng, words = np.random.default_rng(2), [w for w in tables[1] if w.isascii() and w.isalpha()]
+
+    def run(k):
+        at, out = int(rng.integers(len(words) - 60)), ""
+        while len(out) < 20 + k % 40:
+            w, at = words[at], at + 1
+            out += (w.lower(), w.capitalize(), w.lower() + "_", w.lower() + "-", w.upper() + "_")[k % 5]
+        return out
+
+    texts = [" ".join(run(int(k)) for k in rng.integers(0, 1000, 100)) for _ in range(100)] + prose
+    hexes = [" ".join("".join(rng.choice(list("0123456789abcdef"), 40)) for _ in range(50)) for _ in range(100)]
+    secret = ["note " + "".join(rng.choice(list(secret_scan.WIDE), 40)) for _ in range(100)]
+    alone, beside = (secret_scan.fit(docs(spark, x).repartition(8)) for x in (texts + secret, texts + secret + hexes))
+    added = {k: sum("random" in s for r in secret_scan.scan(docs(spark, x + hexes).repartition(8)).select("spans").collect() for s in r.spans.split(",")) for k, x in (("false", texts), ("all", texts + secret))}
+    assert added["false"] <= 3 and added["all"] >= 90
+    bins = [[b for t in texts[:100] for *_, band, b in secret_scan.candidates(t, f[0], secret_scan.base_spans(t)) if b >= f[1][band]] for f in (alone, beside)]
+    assert all(len(b) <= 0.05 * 100 + 3 for b in bins)
+    base = secret_scan.base_spans(hexes[0])
+    assert len(base) == 50 and secret_scan.candidates(hexes[0], beside[0], base) == [] and len(secret_scan.candidates(hexes[0], beside[0])) == 50
+
+
 def test_step_up_equals_a_plain_one():
     """Ordered candidates one by one, each p over its band's weight."""
     rng = np.random.default_rng(4)
@@ -253,7 +277,7 @@ def test_cotraining_equals_a_plain_one(spark):
         rows.append((i, text, "en", f"src{(i % 4) * 2 + (ok if rng.random() < 0.9 else 1 - ok)}", 0, ""))
     df = spark.createDataFrame(rows, DOCS)
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(150)], "doc_id long, quality int, toxic int")
-    got = {r.doc_id: r for r in cotrain.score(df, labels, rounds=1, sure=0.9).collect()}
+    got = {r.doc_id: r for r in cotrain.score(df, labels, rounds=1, share=0.5).collect()}
     s = cotrain.Slice([t.encode() for _, t, *_ in rows])
     views = {"t": np.zeros((500, cotrain.TEXT)), "m": np.zeros((500, cotrain.META))}
     for i, (index, value) in enumerate(s.text_rows()):
@@ -265,14 +289,19 @@ def test_cotraining_equals_a_plain_one(spark):
     held = {r.doc_id for r in df.filter(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(5)) == 0).collect()}
     fit = [i for i in range(150) if i not in held]
     y = np.array([i % 2 for i in range(500)], float)
-    first = {k: logistic(v[fit], y[fit], np.ones(len(fit)))(v) for k, v in views.items()}
-    cut, last = np.log(9), {}
+    first, last = {}, {}
+    for k, v in views.items():
+        raw = logistic(v[fit], y[fit], np.ones(len(fit)))(v)[:, None]
+        test = [i for i in range(150) if i in held]
+        first[k] = logistic(raw[test], y[test], np.ones(len(test)), reg=1e-3)(raw)
     for k, other in (("t", "m"), ("m", "t")):
-        new = [i for i in range(150, 500) if abs(first[other][i]) >= cut]
-        use = fit + new
-        lab = np.r_[y[fit], (first[other][new] > 0).astype(float)]
-        last[k] = logistic(views[k][use], lab, np.r_[np.ones(len(fit)), np.full(len(new), 0.3)])(views[k])
-    test = [i for i in range(150) if i in held]
+        odds, new = first[other], []
+        for side in (odds[150:] > 0, odds[150:] <= 0):
+            at = 150 + np.flatnonzero(side)
+            least = np.sort(np.floor(np.abs(odds[at]) * 100))[::-1][int(np.ceil(0.5 * len(at))) - 1]
+            new += [i for i in at if np.floor(abs(odds[i]) * 100) >= least]
+        lab, weight = np.r_[y[fit], (odds[new] > 0).astype(float)], np.r_[np.ones(len(fit)), 0.3 * np.abs(np.tanh(odds[new] / 2))]
+        last[k] = logistic(views[k][fit + new], lab, weight)(views[k])
     both = np.column_stack([last["t"], last["m"]])
     want = logistic(both[test], y[test], np.ones(len(test)), reg=1e-3)(both) >= 0
     assert np.mean([got[i].kept == want[i] for i in range(500)]) >= 0.96
@@ -282,6 +311,30 @@ def test_cotraining_equals_a_plain_one(spark):
     assert auc["score"] >= max(auc["p_text"], auc["p_meta"]) - 2  # both views together are no worse than one
 
 
+def test_calibration_equals_a_plain_one():
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(300, 2)) * [3, 0.5]
+    y = (x @ [0.5, 1.0] + rng.normal(size=300) > 0.3).astype(float)
+    w, b = cotrain._calibrate(y, x)
+    want = logistic(x, y, np.ones(300), reg=1e-3)(x)
+    assert np.abs(x @ w + b - want).max() < 0.05
+    assert np.isfinite(cotrain._calibrate((x[:, 0] > 0).astype(float), x)[0]).all()  # classes that one line parts
+    assert cotrain._calibrate(np.ones(3), x[:3])[0].tolist() == [0.5, 0.5]
+
+
+def test_both_views_give_labels_in_every_round(spark):
+    """On documents of the given tables, fitted on two thirds of the labels and held against the rest."""
+    sf = "/root/testdata/sf0.01"
+    df, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    known = F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(3)) > 0
+    model = cotrain.train(cotrain._inputs(df), labels.filter(known))
+    assert len(model["given"]) == 2 and all(r["text"] > 20 and r["meta"] > 20 for r in model["given"]), model["given"]
+    truth = {r.doc_id: r.quality for r in labels.filter(~known).collect()}
+    scores = cotrain._score(iter([cotrain._inputs(df).toPandas()]), model)
+    hit = [(s >= 0.5) == (truth[d] == 1) for part in scores for d, s in zip(part["doc_id"], part["score"]) if d in truth]
+    assert len(hit) >= 50 and np.mean(hit) >= 0.85, np.mean(hit)
+
+
 def test_clashing_columns_pass_through(spark):
     df = docs(spark, ["fine text here", None]).withColumn("y", F.lit("clash")).withColumn("score", F.lit(1))
     labels = spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int")
