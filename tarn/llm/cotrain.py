@@ -189,6 +189,12 @@ def _fit(rows: DataFrame, view: str, reg: float = 3e-4, iterations: int = 25) ->
     return m.coefficients.toArray(), float(m.intercept)
 
 
+def _loss(y: np.ndarray, x: np.ndarray, by: tuple[np.ndarray, float]) -> float:
+    """Mean log-loss of calibrated log-odds."""
+    z = x @ by[0] + by[1]
+    return float((np.logaddexp(0, z) - y * z).mean())
+
+
 def _calibrate(y: np.ndarray, x: np.ndarray, reg: float = 1e-3) -> tuple[np.ndarray, float]:
     """Weights and intercept that turn views' log-odds into calibrated ones: a regression over the few held-out
     rows (a fifth of ``most_labelled``) and one or two columns, by Newton steps that are halved until they help."""
@@ -243,7 +249,7 @@ def _sure(scored: DataFrame, odds: str, share: float, most: int, seed: int) -> D
 
 def train(docs: DataFrame, labels: DataFrame, rounds: int = 2, most_labelled: int = 4000, most_new: int = 2000, share: float = 0.25) -> dict | None:
     """Both views' weights, their calibrations, the weights of both together, and how many labels each view gave in
-    each round (``given``); None without labels of both classes."""
+    each round and whether each kept those it got (``given``); None without labels of both classes."""
     spark = docs.sparkSession
     tmp = Scratch(spark)
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.max("quality").cast("int").alias("y"))
@@ -253,16 +259,26 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 2, most_labelled: in
     seen = docs.join(F.broadcast(picked), "doc_id").select(*cols, "y", F.col("y").alias("yt"), F.col("y").alias("ym"), one.alias("wt"), one.alias("wm"))
     base = _views(seen, tmp, "views")
     held = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(5)) == 0
-    test, state = base.filter(held), base.filter(~held)
-    taken, given = picked.select("doc_id"), []
+    test, start = base.filter(held), base.filter(~held)
+    use, fresh = {"t": start, "m": start}, None  # the rows that each view has kept, and those of this round
+    model, best, given, taken = {}, {"t": np.inf, "m": np.inf}, [], picked.select("doc_id")
     for k in range(rounds + 1):
-        mt, mm = _at_once(spark, partial(_fit, state, "t"), partial(_fit, state, "m"))
-        if mt is None or mm is None:
+        rows = {v: use[v] if fresh is None else use[v].unionByName(fresh) for v in use}
+        fits = dict(zip(rows, _at_once(spark, *[partial(_fit, rows[v], v) for v in rows]), strict=True))
+        if None in fits.values():
             return None
-        model = {"t": mt, "m": mm}
-        judged = test.select("y", vector_to_array("t").alias("t"), vector_to_array("m").alias("m")).mapInPandas(partial(_judge, model=model), "y int, ot double, om double").toPandas()
-        y, odds = judged["y"].to_numpy(float), judged[["ot", "om"]].to_numpy(float)
-        model |= {"ct": _calibrate(y, odds[:, :1]), "cm": _calibrate(y, odds[:, 1:]), "both": _calibrate(y, odds)}
+        judged = test.select("y", vector_to_array("t").alias("t"), vector_to_array("m").alias("m")).mapInPandas(partial(_judge, model=fits), "y int, ot double, om double").toPandas()
+        y = judged["y"].to_numpy(float)
+        for v, named in (("t", "text"), ("m", "meta")):
+            x = judged[[f"o{v}"]].to_numpy(float)
+            calibration = _calibrate(y, x)
+            loss = _loss(y, x, calibration) if len(y) else 0.0
+            better = loss < best[v]
+            if better:
+                model |= {v: fits[v], f"c{v}": calibration, f"x{v}": x}
+                use[v], best[v] = rows[v], loss
+            if given:
+                given[-1][f"{named}_kept"] = better
         if k == rounds:
             break
         rest = docs.filter(F.col("doc_id").isNotNull()).select(*cols).join(F.broadcast(taken), "doc_id", "left_anti")
@@ -270,11 +286,11 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 2, most_labelled: in
         by_meta, by_text = (_sure(scored, o, share, most_new, 5 + 2 * k + i).select("doc_id", F.col("label").alias(f"y{v}"), F.col("weight").alias(f"w{v}")) for i, (o, v) in enumerate((("om", "t"), ("ot", "m"))))
         new = tmp.put(by_meta.join(by_text, "doc_id", "full"), "new")  # at most about 2 * most_new rows
         given.append(new.agg(F.count("ym").alias("text"), F.count("yt").alias("meta")).first().asDict())
-        fresh = docs.join(F.broadcast(new), "doc_id").select(*cols, F.lit(None).cast("int").alias("y"), "yt", "ym", "wt", "wm")
-        state = state.unionByName(_views(fresh, tmp, "fresh"))
+        fresh = _views(docs.join(F.broadcast(new), "doc_id").select(*cols, F.lit(None).cast("int").alias("y"), "yt", "ym", "wt", "wm"), tmp, "fresh")
         taken = taken.unionByName(new.select("doc_id"))
         tmp.free(scored)
-    return model | {"given": given}
+    both = _calibrate(y, np.column_stack([model.pop("xt"), model.pop("xm")]))
+    return model | {"both": both, "given": given}
 
 
 def _judge(batches: Iterator[pd.DataFrame], model: dict) -> Iterator[pd.DataFrame]:

@@ -294,6 +294,7 @@ def test_cotraining_equals_a_plain_one(spark):
         raw = logistic(v[fit], y[fit], np.ones(len(fit)))(v)[:, None]
         test = [i for i in range(150) if i in held]
         first[k] = logistic(raw[test], y[test], np.ones(len(test)), reg=1e-3)(raw)
+        last[k] = raw[:, 0]
     for k, other in (("t", "m"), ("m", "t")):
         odds, new = first[other], []
         for side in (odds[150:] > 0, odds[150:] <= 0):
@@ -301,7 +302,10 @@ def test_cotraining_equals_a_plain_one(spark):
             least = np.sort(np.floor(np.abs(odds[at]) * 100))[::-1][int(np.ceil(0.5 * len(at))) - 1]
             new += [i for i in at if np.floor(abs(odds[i]) * 100) >= least]
         lab, weight = np.r_[y[fit], (odds[new] > 0).astype(float)], np.r_[np.ones(len(fit)), 0.3 * np.abs(np.tanh(odds[new] / 2))]
-        last[k] = logistic(views[k][fit + new], lab, weight)(views[k])
+        raw = logistic(views[k][fit + new], lab, weight)(views[k])
+        z = logistic(raw[test, None], y[test], np.ones(len(test)), reg=1e-3)(raw[:, None])
+        loss = [(np.logaddexp(0, o[test]) - y[test] * o[test]).mean() for o in (z, first[k])]
+        last[k] = raw if loss[0] < loss[1] else last[k]
     both = np.column_stack([last["t"], last["m"]])
     want = logistic(both[test], y[test], np.ones(len(test)), reg=1e-3)(both) >= 0
     assert np.mean([got[i].kept == want[i] for i in range(500)]) >= 0.96
@@ -333,6 +337,8 @@ def test_both_views_give_labels_in_every_round(spark):
     scores = cotrain._score(iter([cotrain._inputs(df).toPandas()]), model)
     hit = [(s >= 0.5) == (truth[d] == 1) for part in scores for d, s in zip(part["doc_id"], part["score"]) if d in truth]
     assert len(hit) >= 50 and np.mean(hit) >= 0.85, np.mean(hit)
+    alone = cotrain.train(cotrain._inputs(df), labels.filter(known), rounds=0)
+    assert alone["given"] == [] and alone["t"][0].shape == (cotrain.TEXT,)
 
 
 def test_clashing_columns_pass_through(spark):
