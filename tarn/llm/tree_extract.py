@@ -14,7 +14,8 @@ element, nothing can be learned, and fixed weights of telling tags, names and lo
 Work is linear in the size of a page. Elements nested deeper than 512 become siblings at that depth, as in
 browsers, so a hostile page has a bounded number of levels; no text is lost by it.
 
-Null, empty and text-free pages give an empty text. Character references are decoded, white space in
+A page that no element beyond html and body divides is text as a whole. Null, empty and text-free pages give an
+empty text. Character references are decoded, white space in
 a block becomes one space, blocks are joined by one space; markup cut off at the page's end is dropped.
 """
 
@@ -69,6 +70,7 @@ class Page:
 
     def __init__(self, source: str):
         self.parent, self.kind, self.away, self.towards, self.depth, self.put_in = [-1], [0], [0], [0], [0], [0]
+        self.divided = False  # by an element beyond html and body
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters in links
         stack: list[tuple[str, int]] = [("#", 0)]
         open_tags: dict[str, int] = {}  # how many of each tag are on the stack, so that none is looked for in vain
@@ -142,6 +144,7 @@ class Page:
                 words = {w for h in HINT.findall(attrs) for w in WORD.findall("".join(h).lower())} if "=" in attrs else ()
                 if self.depth[node] >= DEEPEST:
                     node = self.parent[node]
+                self.divided |= tag not in ("html", "body")
                 self.parent.append(node)
                 self.depth.append(self.depth[node] + 1)
                 self.put_in.append(int(PUT_IN in attrs))
@@ -333,7 +336,7 @@ def _texts(sources: list[str | None], model: dict[str, np.ndarray]) -> list[str]
     base = np.r_[0, np.cumsum(sizes)[:-1]]
     parent = np.concatenate([np.array(p.parent) + b for p, b in zip(pages, base, strict=True)])
     content = marginals(np.concatenate([p.features() for p in pages]), parent, np.concatenate([np.array(p.depth) for p in pages]), model)[:, 2] > 0.5
-    return [" ".join(t for node, t, _ in p.blocks if content[b + node]) for p, b in zip(pages, base, strict=True)]
+    return [" ".join(t for node, t, _ in p.blocks if content[b + node] or not p.divided) for p, b in zip(pages, base, strict=True)]
 
 
 def _extract(batches: Iterator[pd.DataFrame], model: dict[str, np.ndarray], slice_rows: int = 200) -> Iterator[pd.DataFrame]:

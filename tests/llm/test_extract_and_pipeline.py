@@ -32,6 +32,13 @@ def test_held_out_pages(spark, model):
     assert np.mean([g == expected(r.html) for g, r in zip(got, rows, strict=True)]) >= 0.99
 
 
+def test_pages_that_no_element_divides(model):
+    """Bare text, with inline marks or breaks, in html and body or without any tag, is text as a whole."""
+    bare = "Short note, written <b>without</b> blocks<br>at all &amp; kept.<script>x</script>"
+    want = ["Short note, written without blocks at all & kept."] * 3
+    assert X._texts([bare, f"<html><head><title>t</title></head><body>{bare}</body></html>", f"<body class='sidebar'>{bare}"], model) == want
+
+
 def test_hard_pages(model):
     prose = "".join(f"<p>Some longer sentence number {i}, which says a thing or two about it.</p>" for i in range(5))
     page = f'<html><head><title>T</title></head><body><div><a href=a>Home</a> <a href=b>News</a></div><div>{prose}</div><div class="comments"><p>Great post, thanks.</p></div><aside><p>Side text here, more.</p></aside><form><p>Name please, now.</p></form><script>x="</p>"</script><footer>&copy; x</footer></body></html>'
