@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,13 +17,32 @@ from tarn.llm.secret_scan import redact
 from tarn.llm.slack_pack import pack
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+BATCH_LIMIT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 19
 
 
+def small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage whose texts reach Python in Arrow batches that end with the row that takes them to ``BATCH_BYTES``.
+
+    The rows of a task stay the same, only fewer are held at once; by default 10,000 whole texts are, however long.
+    A limit that the session has set holds. The setting outlives the call, since a plan reads it when it runs.
+    """
+
+    @wraps(stage)
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if spark.conf.get(BATCH_LIMIT, None) is None:
+            spark.conf.set(BATCH_LIMIT, str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return bounded
+
+
+@small_batches
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifiers reject go; the others stay as they are."""
     return keep_good(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@small_batches
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest id.
 
@@ -37,11 +57,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.unionByName(docs.filter("doc_id is null"), allowMissingColumns=True).select(*COLUMNS)
 
 
+@small_batches
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret found is replaced by a mark; all documents stay."""
     return redact(docs.select(*COLUMNS))
 
 
+@small_batches
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Nine tenths of the tokens, by language weights; no document is used twice.
 
@@ -52,6 +74,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(chosen, "doc_id", "left_semi").unionByName(docs.filter("doc_id is null")).select(*COLUMNS)
 
 
+@small_batches
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of 2048 tokens."""
     return pack(docs, **tokenizer_files())

@@ -3,6 +3,7 @@ import re
 import time
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,6 +159,39 @@ def test_stages_take_empty_tables(spark):
         assert stage(spark, empty, SF).count() == 0, name
 
 
+def test_stages_bound_batches_by_bytes(spark):
+    """No stage holds 10,000 whole texts at once: batches are bounded by bytes, whole, and change no result."""
+    key, most = corpus_pipeline.BATCH_LIMIT, corpus_pipeline.BATCH_BYTES
+    texts = [f'number {i} token = "abcdef01234567{i:02d}" ' + f"word{i} " * 20_000 for i in range(40)] + ["x " * most, None, ""]
+    rows = [(i, t, "en", "src", len(t or ""), "", 1) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 1), DOCS)
+
+    def held(batches):
+        for pdf in batches:
+            yield pd.DataFrame({"rows": [len(pdf)], "before_last": [sum(len(t or "") for t in pdf["text"][:-1])]})
+
+    stages, before = dict(corpus_pipeline.STAGES), spark.conf.get(key, None)
+    try:
+        spark.conf.set(key, str(2**31 - 2))  # a session's own limit holds
+        want = {name: sorted(stages[name](spark, docs, SF).collect()) for name in ("secret_scan", "packing")}
+        assert spark.conf.get(key) == str(2**31 - 2)
+        for name, stage in stages.items():
+            spark.conf.unset(key)
+            stage(spark, spark.createDataFrame([], DOCS), SF)
+            sizes = docs.mapInPandas(held, "rows long, before_last long").collect()
+            assert sum(r.rows for r in sizes) == len(texts), name
+            assert max(r.before_last for r in sizes) < most and len(sizes) > 5, name
+        got = {name: sorted(stages[name](spark, docs, SF).collect()) for name in want}
+        assert all([r[0] for r in got[n]] == [r[0] for r in want[n]] for n in want)
+        assert got["secret_scan"] == want["secret_scan"]
+        cols = ["doc_id", "piece", "start", "length", "ids_crc32"]
+        assert [[r[c] for c in cols] for r in got["packing"]] == [[r[c] for c in cols] for r in want["packing"]]
+    finally:
+        spark.conf.unset(key)
+        if before is not None:
+            spark.conf.set(key, before)
+
+
 def test_run_leaves_one_table(spark, tmp_path, monkeypatch):
     for t in ("documents", "labels"):
         df = spark.read.parquet(f"{SF}/{t}.parquet")
