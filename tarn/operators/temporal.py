@@ -133,6 +133,36 @@ def range_agg(left: DataFrame, right: DataFrame, by: list[str], left_id: list[st
     return left.join(hits, left_id, "left")
 
 
+def lookback_line(right: DataFrame, by: list[str], day: str, lookback: int, sums: dict[str, Column], item: str | None = None) -> DataFrame:
+    """(by, _day, n_rows, sums, n_items) for every day that has right rows in the ``lookback`` days before it.
+
+    ``_day`` counts from 1970-01-01. ``sums``: {name: column}; ``n_items``: distinct values of ``item`` over those days.
+    Rows are summed by key and day first, and only these sums look back on each other, so no left row meets single
+    right rows and a key's line is as long as its calendar. An item counts from each of its rows to its next one
+    or to the end of the look-back, whichever is earlier: one step up, one down. Rows with null keys or days take no part.
+    """
+    rows = right.filter(all_known([*by, day])).select(*by, F.unix_date(F.col(day).cast("date")).alias("_at"), *[v.alias(k) for k, v in sums.items()], *([F.col(item).alias("_item")] if item else []))
+    rows = rows.withColumn("n_rows", F.lit(1).cast("long"))
+    cols = ["n_rows", *sums]
+    if item:
+        kinds = {f.name: f.dataType for f in rows.schema}
+        step = F.col("_item").isNotNull().cast("long")
+        following = F.lead("_at").over(Window.partitionBy(*by, "_item").orderBy("_at"))
+        rows = rows.withColumn("_end", F.least(F.col("_at") + lookback, following))
+        up = F.struct("_at", *cols, step.alias("_step"))
+        down = F.struct(F.col("_end").alias("_at"), *[F.lit(None).cast(kinds[c]).alias(c) for c in cols], (-step).alias("_step"))
+        rows = rows.select(*by, F.inline(F.array(up, down)))
+    line = rows.groupBy(*by, "_at").agg(*[F.sum(c).alias(c) for c in [*cols, *(["_step"] if item else [])]])
+    w = Window.partitionBy(*by)
+    until = F.least(F.lead("_at").over(w.orderBy("_at")) - 1, F.col("_at") + lookback)
+    days = line.withColumn("_until", until).withColumn("_day", F.explode(F.sequence("_at", "_until")))
+    own = lambda c: F.sum(F.when(F.col("_day") == F.col("_at"), F.col(c)))
+    out = {c: own(c).over(w.orderBy("_day").rangeBetween(-lookback, -1)) for c in cols}
+    if item:
+        out["n_items"] = own("_step").over(w.orderBy("_day").rangeBetween(Window.unboundedPreceding, -1))
+    return days.select(*by, "_day", *[v.alias(k) for k, v in out.items()]).filter("n_rows > 0")
+
+
 def band_join(a: DataFrame, b: DataFrame, by: list[str], a_day: str, b_day: str, tol: int = 1) -> DataFrame:
     """All pairs with equal keys and days at most ``tol`` apart, with ``day_gap``."""
     days = F.sequence(F.date_sub(F.col(a_day).cast("date"), tol), F.date_add(F.col(a_day).cast("date"), tol))

@@ -10,7 +10,7 @@ from tarn.operators import reshape as R
 from tarn.operators.aggregates import market_features, sentiment_metrics
 from tarn.operators.quality import assert_grain
 from tarn.operators.resolve import small
-from tarn.operators.temporal import asof_join, band_nearest, gap_days, n_prior, pair_history, period_change, prior_avg, range_agg, rank_before, spikes
+from tarn.operators.temporal import asof_join, band_nearest, gap_days, lookback_line, n_prior, pair_history, period_change, prior_avg, range_agg, rank_before, spikes
 from tarn.streaming.state import elo
 
 KEY = "match_id"
@@ -73,13 +73,18 @@ def attention(m: DataFrame, daily: DataFrame, days: int = 7) -> DataFrame:
     return out.withColumn("views_ratio", X.ratio("home_views", "away_views")).drop("match_date", "home", "away")
 
 
+def from_lines(m: DataFrame, line: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """(match_id, home_<value>, away_<value>) from a ``lookback_line`` by team; null without rows to look back on."""
+    out = m.select(KEY, "match_date", "home", "away").withColumn("_day", F.unix_date(F.col("match_date").cast("date")))
+    for s in ("home", "away"):
+        out = out.join(line.select(F.col("team").alias(s), "_day", *[v.alias(f"{s}_{k}") for k, v in values.items()]), [s, "_day"], "left")
+    return out.select(KEY, *[f"{s}_{k}" for s in ("home", "away") for k in values])
+
+
 def injury_load(m: DataFrame, injuries: DataFrame, days: int = 14) -> DataFrame:
     """injuries: (team, player, day, xg). Players out in the days before, and the goals they stand for."""
-    out = m.select(KEY, "match_date", "home", "away")
-    for s in ("home", "away"):
-        r = injuries.select(F.col("team").alias(s), "player", "day", "xg").distinct()
-        out = range_agg(out, r, [s], [KEY], "match_date", "day", days, [F.count_distinct("player").alias(f"{s}_injured"), F.sum("xg").alias(f"{s}_missing_xg")])
-    return out.fillna(0, ["home_injured", "away_injured"]).drop("match_date", "home", "away")
+    line = lookback_line(injuries.select("team", "player", "day", "xg").distinct(), ["team"], "day", days, {"xg": F.col("xg")}, "player")
+    return from_lines(m, line, {"injured": F.col("n_items"), "missing_xg": F.col("xg")}).fillna(0, ["home_injured", "away_injured"])
 
 
 def lineup_averages(m: DataFrame, lineups: DataFrame, players: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from tarn.operators import resolve as E
 from tarn.operators import snapshot as S
 from tarn.operators import temporal as T
 from tarn.operators import text as TX
+from tarn.plans import features
 
 DAY = dt.date(2026, 1, 1)
 
@@ -88,6 +89,45 @@ def test_asof_by_brute_force(spark, strict):
     assert {r.i: r.v for r in T.asof_join(a, later, ["k"], "t", "t", ["v"], strict=strict, tie=["v"]).collect()} == got
 
 
+def most_rows(df):
+    """The most rows that any node of the executed plan puts out."""
+    df.collect()
+    nodes, most = [df._jdf.queryExecution().executedPlan()], 0
+    while nodes:
+        n = nodes.pop()
+        kind, m, kids = n.getClass().getSimpleName(), n.metrics().get("numOutputRows"), n.children()
+        most = max(most, m.get().value()) if m.isDefined() else most
+        nodes += [n.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [n.plan()] if kind.endswith("QueryStageExec") else [kids.apply(i) for i in range(kids.size())]
+    return most
+
+
+def matches_of(spark, n, teams, days, seed):
+    rng = random.Random(seed)
+    rows = [(i, day(rng.randrange(days)), *(rng.choice(teams) for _ in range(2))) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "match_id int, match_date date, home string, away string")
+
+
+def test_injuries_by_brute_force(spark):
+    """Gaps, repeated rows and days, unknown players, teams, days and values."""
+    rng = random.Random(11)
+    rows, m = matches_of(spark, 150, ["a", "b", "c", None], 90, 12)
+    hurt = [(rng.choice(["a", "b", None]), rng.choice([*range(6), None]), rng.choice([day(rng.randrange(90)), day(30), None]), rng.choice([0.25, 0.5, None])) for _ in range(120)]
+    got = {r.match_id: (r.home_injured, r.home_missing_xg, r.away_injured, r.away_missing_xg) for r in features.injury_load(m, spark.createDataFrame(hurt, "team string, player int, day date, xg double")).collect()}
+    for i, d, *teams in rows:
+        want = []
+        for t in teams:
+            near = {x for x in hurt if t and x[0] == t and x[2] and 0 < (d - x[2]).days <= 14}
+            xg = [x[3] for x in near if x[3] is not None]
+            want += [len({x[1] for x in near} - {None}), sum(xg) if xg else None]
+        assert got[i] == tuple(want)
+
+
+def test_injuries_of_a_team_do_not_meet_each_match(spark):
+    _, m = matches_of(spark, 500, ["a"], 40, 13)
+    hurt = spark.range(3000).select(F.lit("a").alias("team"), (F.col("id") % 700).alias("player"), F.date_add(F.lit(DAY), (F.col("id") % 40).cast("int")).alias("day"), F.lit(0.5).alias("xg"))
+    assert most_rows(features.injury_load(m, hurt)) <= 3 * 3000
+
+
 def test_range_and_band_by_brute_force(spark):
     rng = random.Random(5)
     left, right = [(i, rng.choice("ab"), day(rng.randrange(60))) for i in range(40)], [(rng.choice("ab"), day(rng.randrange(60)), rng.randrange(9)) for _ in range(120)]
