@@ -107,10 +107,8 @@ def comment_sentiment(m: DataFrame, comments: DataFrame, positive: list[str], ne
     """comments: (team, day, text). Mean lexicon sentiment of the days before the match."""
     label, _ = X.lexicon_sentiment("text", positive, negative)
     scored = comments.withColumn("s", X.lookup(label, {"positive": 1, "negative": -1, "neutral": 0}, "int"))
-    out = m.select(KEY, "match_date", "home", "away")
-    for s in ("home", "away"):
-        out = range_agg(out, scored.select(F.col("team").alias(s), "day", "s"), [s], [KEY], "match_date", "day", days, [F.avg("s").alias(f"{s}_sentiment"), F.count("*").alias(f"{s}_comments")])
-    return out.drop("match_date", "home", "away")
+    line = lookback_line(scored, ["team"], "day", days, {"s": F.col("s"), "_known": F.col("s").isNotNull().cast("int")})
+    return from_lines(m, line, {"sentiment": X.ratio("s", "_known"), "comments": F.col("n_rows")})
 
 
 def match_context(m: DataFrame, weather: DataFrame | None = None) -> DataFrame:

@@ -128,6 +128,20 @@ def test_injuries_of_a_team_do_not_meet_each_match(spark):
     assert most_rows(features.injury_load(m, hurt)) <= 3 * 3000
 
 
+def test_comments_are_summed_by_day(spark):
+    """As by brute force; a team's comments do not meet each of its matches."""
+    rng = random.Random(14)
+    rows, m = matches_of(spark, 300, ["a", "b", None], 40, 15)
+    said = [(rng.choice("aaab"), day(rng.randrange(30)), rng.choice(["a good win", "a bad day", "good or bad", None])) for _ in range(2000)]
+    f = features.comment_sentiment(m, spark.createDataFrame(said, "team string, day date, text string"), ["good", "win"], ["bad"])
+    got = {r.match_id: (r.home_sentiment, r.home_comments, r.away_sentiment, r.away_comments) for r in f.collect()}
+    score = {"a good win": 1, "a bad day": -1, "good or bad": 0, None: 0}
+    for i, d, *teams in rows:
+        near = [[score[x] for t, e, x in said if t == team and 0 < (d - e).days <= 7] for team in teams]
+        assert got[i] == tuple(v for s in near for v in ((sum(s) / len(s), len(s)) if s else (None, None)))
+    assert most_rows(f) <= 2000
+
+
 def test_range_and_band_by_brute_force(spark):
     rng = random.Random(5)
     left, right = [(i, rng.choice("ab"), day(rng.randrange(60))) for i in range(40)], [(rng.choice("ab"), day(rng.randrange(60)), rng.randrange(9)) for _ in range(120)]
