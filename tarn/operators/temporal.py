@@ -172,9 +172,22 @@ def band_join(a: DataFrame, b: DataFrame, by: list[str], a_day: str, b_day: str,
 
 
 def band_nearest(a: DataFrame, b: DataFrame, by: list[str], a_id: list[str], a_day: str, b_day: str, tie: list[str], tol: int = 1) -> DataFrame:
-    """The nearest of the pairs of ``band_join`` for each row of ``a``."""
-    w = Window.partitionBy(*a_id).orderBy("day_gap", *tie)
-    return band_join(a, b, by, a_day, b_day, tol).withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    """The nearest of the pairs of ``band_join`` for each row of ``a``; ties by ``tie``, unknown values last.
+
+    Which row of ``b`` is nearest depends on key and day only. So each key and day of ``b`` keeps its first row by
+    ``tie``, each day around takes the nearest of these, and a row of ``a`` meets one row, not all of its days.
+    """
+    order = [F.col(t).asc_nulls_last() for t in tie]
+    first = lambda df, keys, *o: df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*o))).filter("_rn = 1").drop("_rn")
+    dated = b.withColumn("_bd", F.col(b_day).cast("date")).filter(all_known([*by, "_bd"]))
+    if len(tie) == 1 and tie != [b_day] and sorted(b.columns) == sorted({*by, b_day, *tie}) and dict(b.dtypes)[b_day] == "date":
+        best = dated.groupBy(*by, b_day, "_bd").agg(F.min(tie[0]).alias(tie[0]))  # no other columns: no sort
+    else:
+        best = first(dated, [*by, "_bd"], *order)
+    around = best.withColumn("_day", F.explode(F.sequence(F.date_sub("_bd", tol), F.date_add("_bd", tol)))).withColumn("day_gap", F.abs(F.datediff("_bd", "_day")))
+    nearest = first(around, [*by, "_day"], "day_gap", *order).select(*by, "_day", *[c for c in b.columns if c not in by], "day_gap")
+    pairs = a.withColumn("_day", F.col(a_day).cast("date")).join(nearest, [*by, "_day"]).drop("_day")
+    return first(pairs, a_id, "day_gap", *order)
 
 
 def ordered(by: list[str], order: list[Column | str]):

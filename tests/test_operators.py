@@ -142,6 +142,26 @@ def test_comments_are_summed_by_day(spark):
     assert most_rows(f) <= 2000
 
 
+@pytest.mark.parametrize(("extra", "tol"), [(False, 1), (True, 2)])
+def test_nearest_of_a_band_by_brute_force(spark, extra, tol):
+    """Ties, unknown keys, days and tie values, ids that repeat; no row meets all rows of its days."""
+    rng = random.Random(16)
+    left = [(rng.randrange(380), rng.choice(["a", "a", "b", None]), rng.choice([day(rng.randrange(20)), None])) for _ in range(400)]
+    right = [(rng.choice(["a", "a", "c", None]), rng.choice([day(2 * rng.randrange(10)), None]), rng.choice([rng.randrange(900), None]), str(i)) for i in range(2000)]
+    right += [("b", day(5), None, "x"), ("b", day(9), None, "y"), ("b", day(9), 3, "z")]
+    b = spark.createDataFrame(right, "k string, e date, v int, s string")
+    f = T.band_nearest(spark.createDataFrame(left, "i int, k string, d date"), b if extra else b.drop("s"), ["k"], ["i"], "d", "e", ["v", "s"] if extra else ["v"], tol)
+    want = {}
+    for i, k, d in left:
+        for q, e, v, s in right:
+            if k and k == q and d and e and abs((d - e).days) <= tol:
+                hit = (abs((d - e).days), v is None, v or 0, s if extra else "")
+                want[i] = min(want.get(i, hit), hit)
+    got = {r.i: (r.day_gap, r.v is None, r.v or 0, r.s if extra else "") for r in f.collect()}
+    assert got == want and f.columns == ["k", "i", "d", "e", "v", *(["s"] if extra else []), "day_gap"]
+    assert f.count() == len(want) and most_rows(f) <= len(right)
+
+
 def test_range_and_band_by_brute_force(spark):
     rng = random.Random(5)
     left, right = [(i, rng.choice("ab"), day(rng.randrange(60))) for i in range(40)], [(rng.choice("ab"), day(rng.randrange(60)), rng.randrange(9)) for _ in range(120)]
