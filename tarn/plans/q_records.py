@@ -24,9 +24,9 @@ c = F.col
     UNION ALL SELECT DISTINCT l_orderkey, 0, 0, 'No', 'Part', 'Mode' FROM lineitem UNION ALL SELECT DISTINCT l_orderkey, 1, 0, 'lines', CAST(count(*) AS VARCHAR), NULL FROM lineitem GROUP BY l_orderkey""")
 def order_page_tables(spark, d):
     """Each order as a web page with two tables, one of them without closing tags, read back as cells."""
-    row = F.concat(F.lit("<tr><td>"), c("l_linenumber").cast("string"), F.lit("</td><td class='p'>"), c("l_partkey").cast("string"), F.lit(" &amp; <b>co</b></td><td> "), c("l_returnflag"), F.lit("\n</td></tr>"))
-    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_returnflag", row.alias("r")))).alias("a"))
-    body = F.array_join(F.transform("a", lambda x: x["r"]), "")
+    row = lambda x: F.concat(F.lit("<tr><td>"), x["l_linenumber"].cast("string"), F.lit("</td><td class='p'>"), x["l_partkey"].cast("string"), F.lit(" &amp; <b>co</b></td><td> "), x["l_returnflag"], F.lit("\n</td></tr>"))
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_returnflag"))).alias("a"))
+    body = F.array_join(F.transform("a", row), "")
     page = F.concat(F.lit("<html><p>Order</p><table><thead><tr><th>No</th><th>Part</th><th>Mode</th></tr></thead>"), body, F.lit("</table><table><tr><td>lines<td>"), F.size("a").cast("string"), F.lit("</table></html>"))
     cells = extract_html_tables(lines.select("l_orderkey", page.alias("html")), "l_orderkey", "html", expected=2)
     return cells.select("l_orderkey", "table_no", "row_no", *[F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(("line", "part", "mode"))])

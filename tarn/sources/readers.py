@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from datetime import date
 from functools import partial
+from html import unescape
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -224,25 +227,91 @@ class _Tables(HTMLParser):
         return sorted(self.done, key=lambda t: t["at"])
 
 
-def _html_rows(batches: Iterator[pd.DataFrame], ident: str, html: str) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = []
-        for i, source in zip(pdf[ident], pdf[html], strict=True):
-            p = _Tables()
-            p.feed(source or "")
-            for k, t in enumerate(p.tables()):
-                rows += [(i, k, j, cells) for j, cells in enumerate(t["rows"])]
-        yield pd.DataFrame(rows, columns=[ident, "table_no", "row_no", "cells"])
+#: A start or end tag of plain attributes. What it does not match (comments, self-closing tags, odd quotes) is read by ``_Tables``.
+_TAG = re.compile(r"""<(/?[a-zA-Z][a-zA-Z0-9]*+)(?:[\t\n\r\f ]++[a-zA-Z_][a-zA-Z0-9_:.-]*+(?:=(?:"[^"<>]*+"|'[^'<>]*+'|[a-zA-Z0-9_.#%-]++))?+)*+[\t\n\r\f ]*+>""")
+#: Elements whose content a parser may read as text.
+_RAW = {"script", "style", "textarea", "title", "iframe", "noembed", "noframes", "noscript", "xmp", "plaintext"}
+
+#: What a tag does in ``_plain_tables``.
+_ACTS = {"table": "table", "/table": "/table", "tr": "tr", "td": "td", "th": "td", "/td": "/td", "/th": "/td", "/tr": "/td"}
+
+
+def _plain_tables(source: str) -> list[list[list[str]]] | None:
+    """The rows of each table as ``_Tables`` finds them, by one split at tags; None for pages that are not plain."""
+    parts = _TAG.split(source)
+    if len(parts) != 2 * source.count("<") + 1 or "&" in parts[-1]:
+        return None
+    done, outer, rows, cell = [], [], None, None  # all tables by their beginning; rows and open cell of the tables around; of this one
+    for tag, text in zip(parts[1::2], parts[2::2], strict=True):
+        act = _ACTS.get(tag)
+        if act is None:
+            tag = tag.lower()
+            if tag in _RAW:
+                return None
+            act = _ACTS.get(tag)
+        if act == "table":
+            outer.append((rows, cell))
+            rows, cell = [], None
+            done.append(rows)
+        elif act and rows is not None:
+            if cell is not None:
+                rows[-1].append(" ".join("".join(cell).split()))
+                cell = None
+            if act == "td":
+                if not rows:
+                    rows.append([])
+                cell = []
+            elif act == "tr":
+                rows.append([])
+            elif act == "/table":
+                rows, cell = outer.pop()
+        if text and cell is not None:
+            cell.append(unescape(text) if "&" in text else text)
+    while rows is not None:
+        if cell is not None:
+            rows[-1].append(" ".join("".join(cell).split()))
+        rows, cell = outer.pop()
+    return done
+
+
+def page_tables(source: str) -> list[list[list[str]]]:
+    """Tables of rows of cells of a page."""
+    plain = _plain_tables(source)
+    if plain is not None:
+        return plain
+    p = _Tables()
+    p.feed(source)
+    return [t["rows"] for t in p.tables()]
+
+
+def _html_rows(batches: Iterator[pa.RecordBatch], expected: int | None, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            pages, numbers, places, ends, cells = [], [], [], [0], []
+            for i, source in enumerate(part.column(1).to_pylist()):
+                tables = page_tables(source or "")
+                if expected is not None and max((k + 1 for k, t in enumerate(tables) if t), default=0) != expected:
+                    continue
+                for k, rows in enumerate(tables):
+                    for j, row in enumerate(rows):
+                        pages.append(i)
+                        numbers.append(k)
+                        places.append(j)
+                        cells += row
+                        ends.append(len(cells))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(cells, pa.string()), type=schema.field(2).type)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(pages, pa.int32())), pa.array(numbers, pa.int32()), pa.array(places, pa.int32()), lists], names=[batch.schema.names[0], *schema.names])
 
 
 def extract_html_tables(df: DataFrame, ident: str, html: str, expected: int | None = None) -> DataFrame:
-    """(id, table_no, row_no, cells); ``expected``: pages with another number of tables go."""
+    """(id, table_no, row_no, cells); ``expected``: pages with another number of tables go.
+
+    A page is read once; tables without rows behind the last one with rows are not counted.
+    """
     kind = df.schema[ident].dataType.simpleString()
-    rows = df.select(ident, html).mapInPandas(partial(_html_rows, ident=ident, html=html), f"{ident} {kind}, table_no int, row_no int, cells array<string>")
-    if expected is None:
-        return rows
-    ok = rows.groupBy(ident).agg((F.max("table_no") + 1).alias("_n")).filter(F.col("_n") == expected)
-    return rows.join(ok.select(ident), ident, "left_semi")
+    schema = pa.schema([("table_no", pa.int32()), ("row_no", pa.int32()), ("cells", pa.list_(pa.field("element", pa.string())))])
+    return df.select(ident, html).mapInArrow(partial(_html_rows, expected=expected, schema=schema), f"`{ident}` {kind}, table_no int, row_no int, cells array<string>")
 
 
 def with_partition(df: DataFrame, *keys: str, path: str = "path") -> DataFrame:

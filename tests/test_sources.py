@@ -1,5 +1,6 @@
 import gzip
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -137,3 +138,29 @@ def test_sinks(spark, tmp_path):
     sinks.write_csv(df, str(tmp_path / "csv"))
     assert spark.read.csv(str(tmp_path / "csv"), header=True).count() == 2
     assert readers.read_prefix(spark, root + "/core").select("source_key").distinct().count() >= 1
+
+
+def test_html_tables_are_read_once(spark):
+    """Pages of another number of tables go, pages without id stay, and no page is parsed a second time."""
+    two = "<table><tr><td>a &amp; b</table><TABLE class='x'><tr><th>c</th></tr></TABLE>"
+    h = spark.createDataFrame([(1, two), (None, two), (2, "<table><tr><td>d</table>"), (3, None)], "id int, html string")
+    got = readers.extract_html_tables(h, "id", "html", expected=2)
+    assert {(r.id, r.table_no, r.row_no, *r.cells) for r in got.collect()} == {(i, k, 0, c) for i in (1, None) for k, c in ((0, "a & b"), (1, "c"))}
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapIn") == 1
+
+
+def test_html_tables_by_a_split_equal_the_parser():
+    """Random pages of plain and odd tags; nearly all pages of plain tags only are read by the split."""
+    def parsed(page):
+        p = readers._Tables()
+        p.feed(page)
+        return [t["rows"] for t in p.tables()]
+
+    rng = random.Random(17)
+    plain = ["<table>", "</table>", "<tr>", "</tr>", "<td>", "</td>", "<th>", "</TD>", "<TD class='p'>", '<table border=1 id="a b">', "<b>", "x", "a b", " ", "&lt;td&gt;", "AT&T \n", "\n"]
+    odd = ["<td/>", "<br/>", "&am", "p;", "<!-- <td> -->", "<", ">", "<script>", "</script>", "<title>", "</title>", "<td a=b'c>", "<td a='x>y'>", "</td x=1>", "'", '"', "<td\n>", "<td:x>", "</ td>", "<td\x1f>", "\x00", "<td a=>", "<?x>", "\u0130"]
+    for pool in (plain, plain + odd, odd):
+        pages = ["".join(rng.choices(pool, k=rng.choice([3, 10, 30]))) for _ in range(3000)]
+        for page in pages:
+            assert readers.page_tables(page) == parsed(page), page
+        assert pool is not plain or sum(readers._plain_tables(p) is not None for p in pages) > 2500
