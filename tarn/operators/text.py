@@ -11,7 +11,7 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, StorageLevel
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.clustering import KMeans
@@ -213,22 +213,33 @@ def anomaly_scores(daily: DataFrame, keys: list[str], values: list[str], enough:
     return out.withColumn("anomaly_score", F.greatest(F.lit(0.0), *[F.coalesce(F.abs(f"z_{v}"), F.lit(0.0)) for v in values])).drop(*[f"{p}{v}" for p in ("_m_", "_d_") for v in values])
 
 
-def topic_pipeline(text: str, k: int, vocabulary: int = 5000, least_docs: int = 2, seed: int = 7) -> Pipeline:
-    return Pipeline(stages=[RegexTokenizer(inputCol=text, outputCol="_w", pattern=r"[^\p{L}\p{N}]+", minTokenLength=2), CountVectorizer(inputCol="_w", outputCol="_tf", vocabSize=vocabulary, minDF=least_docs), IDF(inputCol="_tf", outputCol="features"), KMeans(k=k, seed=seed, featuresCol="features", predictionCol="topic_id")])
+def topic_words(text: str, vocabulary: int = 5000, least_docs: int = 2) -> Pipeline:
+    """Word counts over the most frequent words; nothing here depends on the number of topics."""
+    return Pipeline(stages=[RegexTokenizer(inputCol=text, outputCol="_w", pattern=r"[^\p{L}\p{N}]+", minTokenLength=2), CountVectorizer(inputCol="_w", outputCol="_tf", vocabSize=vocabulary, minDF=least_docs)])
 
 
-def fit_topics(df: DataFrame, text: str, ks: list[int], least_share: float = 0.02, **options) -> tuple[PipelineModel, int]:
-    """The model of the best silhouette among those without tiny clusters (or of all, if each has some)."""
-    best = None
-    for k in ks:
-        m = topic_pipeline(text, k, **options).fit(df)
-        out = m.transform(df)
-        total, least = out.groupBy("topic_id").count().agg(F.sum("count"), F.min("count")).first()
-        score = ClusteringEvaluator(predictionCol="topic_id").evaluate(out) if k > 1 else 0.0
-        rank = (least >= least_share * total, score)
-        if best is None or rank > best[0]:
-            best = (rank, m, k)
-    return best[1], best[2]
+def fit_topics(df: DataFrame, text: str, ks: list[int], least_share: float = 0.02, seed: int = 7, **options) -> tuple[PipelineModel, int]:
+    """The model of the best silhouette among those without tiny clusters (or of all, if each has some).
+
+    Texts are read twice, for the vocabulary and for their counts, which stay on the executors' disks until all
+    ``ks`` are fitted; so the time for another ``k`` does not depend on the length of the texts.
+    """
+    words = topic_words(text, **options).fit(df)
+    counts = words.transform(df).select("_tf").persist(StorageLevel.DISK_ONLY)
+    try:
+        idf = IDF(inputCol="_tf", outputCol="features").fit(counts)
+        vectors, best = idf.transform(counts).select("features"), None
+        for k in ks:
+            m = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="topic_id").fit(vectors)
+            out = m.transform(vectors)
+            total, least = out.groupBy("topic_id").count().agg(F.sum("count"), F.min("count")).first()
+            score = ClusteringEvaluator(predictionCol="topic_id").evaluate(out) if k > 1 else 0.0
+            rank = (least >= least_share * total, score)
+            if best is None or rank > best[0]:
+                best = (rank, m, k)
+    finally:
+        counts.unpersist()
+    return PipelineModel([*words.stages, idf, best[1]]), best[2]
 
 
 def topic_names(spark: SparkSession, model: PipelineModel, n: int = 5) -> DataFrame:

@@ -384,3 +384,22 @@ def test_quantiles_by_refined_ranges_are_exact(spark):
     daily = df.filter("k in ('a', 'b')").withColumn("w", F.col("v") * 2)
     few, many = (sorted(map(str, TX.anomaly_scores(daily, ["k"], ["v", "w"], enough=e).select("k", "v", F.round("anomaly_score", 9)).collect())) for e in (1_000_000, 100))
     assert few == many
+
+
+def test_topics_read_each_text_twice(spark):
+    """Three planted topics are found, and the number of candidates does not multiply the passes over the texts."""
+    rng, n = random.Random(18), 120
+    words = ["goal match team ball".split(), "bank rate stock fund".split(), "rain wind snow sun".split()]
+    rows = [(i, " ".join(rng.choices(words[i % 3], k=12))) for i in range(n)]
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(t):
+        reads.add(1)
+        return t
+
+    df = spark.createDataFrame(rows, "doc_id int, raw string").select("doc_id", F.udf(seen)("raw").alias("text"))
+    model, k = TX.fit_topics(df, "text", [2, 3, 4])
+    assert k == 3 and reads.value <= 2 * n
+    topics = [{r.topic_id for r in model.transform(df).collect() if r.doc_id % 3 == t} for t in range(3)]
+    assert all(len(t) == 1 for t in topics) and len(set.union(*topics)) == 3
+    assert {x for r in TX.topic_names(spark, model, 4).collect() for x in r.topic_name.split(" / ")} == set(sum(words, []))
